@@ -17,6 +17,20 @@ def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from spanworks.llm.pieces import digests, encode_decode
+
+    return digests(encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
+
+
+def op4_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanworks.llm.tiff import media_rows
+
+    return media_rows(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(own.items()))
