@@ -31,6 +31,12 @@ def op4_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_rows(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanworks.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(own.items()))
