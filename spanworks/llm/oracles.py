@@ -1 +1,15 @@
-SQL: dict[str, str] = {}
+"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+
+SQL: dict[str, str] = {
+    "op7_warc_normaliser": """
+with p as (
+    select page_id, coalesce(octet_length(encode(html)), 0) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), f as (
+    select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) else page_id end as first_id from p
+)
+select page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
+       case when page_id = first_id then 'response' else 'revisit' end as record_type,
+       case when page_id = first_id then null else first_id end as refers_to
+from f
+""",
+}

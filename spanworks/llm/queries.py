@@ -11,6 +11,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanworks.llm.warc import archive_pages
+
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanworks.llm.sharding import shard
 
