@@ -43,6 +43,12 @@ def op10_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_debruijn_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanworks.llm.debruijn import digests, remove_repeats
+
+    return digests(remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(own.items()))
