@@ -24,7 +24,7 @@ from spanworks.session import ensure_checkpoints, ship
 
 #: Payloads from this size on are written once; a later equal one refers to the first.
 REVISIT_BYTES = 100
-#: Rows of the table of revisits up to which it is broadcast (24 bytes a row); beyond, it is joined by a shuffle.
+#: Rows of the table of revisits up to which it is broadcast (60 bytes a row); beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Uncompressed bytes after which a task opens another archive, and bytes read or inflated at once.
 ROLL_BYTES, READ_BYTES = 128_000_000, 1 << 20
@@ -64,14 +64,14 @@ def parse_head(raw: bytes) -> dict[str, str]:
 
 
 def revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
-    """(page_id, refers_to) of pages whose payload an earlier page (a smaller id) has.
+    """(page_id, digest, refers_to) of pages whose payload an earlier page (a smaller id) has.
 
-    Only ids and digests are shuffled; the minimum per digest is combined before the
+    Only ids and digests are shuffled here; the minimum per digest is combined before the
     shuffle, so that thousands of copies cost a row per task."""
     raw = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     keyed = pages.where(F.col("page_id").isNotNull() & (F.octet_length(raw) >= least)).select("page_id", F.unhex(F.sha2(raw, 256)).alias("digest"))
     first = keyed.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).where("refers_to < last").select("digest", "refers_to")
-    return keyed.join(first, "digest").where("page_id <> refers_to").select("page_id", "refers_to").distinct()
+    return keyed.join(first, "digest").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
 
 
 def write_archives(pages: DataFrame, folder: str, least: int = REVISIT_BYTES) -> DataFrame:
@@ -80,7 +80,8 @@ def write_archives(pages: DataFrame, folder: str, least: int = REVISIT_BYTES) ->
     ship(spark)
     links = revisits(pages, least).checkpoint()
     links = F.broadcast(links) if links.count() <= BROADCAST_ROWS else links
-    rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload")).join(links, "page_id", "left")
+    raw = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    rows = pages.select("page_id", "url", raw.alias("payload"), F.unhex(F.sha2(raw, 256)).alias("digest")).join(links, ["page_id", "digest"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, path = _place(folder)
