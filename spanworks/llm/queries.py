@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,13 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")))
 
 
+def op1_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanworks.llm.scoring import score_texts
+
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return score_texts(table(spark, sf_dir, "documents"), held_out)
+
+
 def op4_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanworks.llm.tiff import media_rows
 
