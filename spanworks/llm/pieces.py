@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanworks.session import ship
+from spanworks.session import ensure_checkpoints, ship
 
 #: Chunks in the broadcast table, and the longest of these in characters: at most about 60 MB.
 TABLE_ROWS, TABLE_CHARS = 200_000, 32
 #: Chunks and characters that one task keeps for itself.
-TASK_ROWS, TASK_CHARS = 400_000, 16_000_000
+TASK_ROWS, TASK_CHARS = 200_000, 8_000_000
 #: Distinct chunks counted before a task passes its counts on.
-COUNT_ROWS = 500_000
+COUNT_ROWS = 250_000
 
 MARK = "▁"
 _CHUNK = re.compile(r"\n|[ ▁]*[^ ▁\n]+|[ ▁]+")
@@ -93,9 +93,11 @@ def packed(ids: list[int]) -> bytes:
 def frequent_chunks(docs: DataFrame, model: str, text_col: str = "text") -> DataFrame:
     """The most frequent chunks with their ids (``chunk``, ``ids``), each segmented once.
 
-    All texts are counted; ties are settled by the chunk, so the table is always the same.
+    All texts are counted.  Chunks are graded by the logarithm of their count and taken by
+    whole grades, at most TABLE_ROWS of them, so that no task has to rank them all.
     """
     ship(docs.sparkSession)
+    ensure_checkpoints(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
@@ -117,8 +119,14 @@ def frequent_chunks(docs: DataFrame, model: str, text_col: str = "text") -> Data
             yield pa.record_batch([b.column(0), pa.array(got, pa.binary())], ["chunk", "ids"])
 
     counted = docs.select(text_col).mapInArrow(count, "chunk string, n bigint").groupBy("chunk").agg(F.sum("n").alias("n"))
-    top = counted.orderBy(F.desc("n"), "chunk").limit(TABLE_ROWS).select("chunk")
-    return top.mapInArrow(ids, "chunk string, ids binary")
+    counted = counted.where("n > 1").withColumn("grade", F.floor(F.log2("n") * 8).cast("int")).checkpoint()
+    # from the highest grade of frequency down, as long as the table has room
+    grades, room, least = sorted(counted.groupBy("grade").count().collect(), reverse=True), TABLE_ROWS, 1 << 30
+    for grade, n in grades:
+        if n > room:
+            break
+        room, least = room - n, grade
+    return counted.where(F.col("grade") >= least).select("chunk").mapInArrow(ids, "chunk string, ids binary")
 
 
 def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
