@@ -39,6 +39,12 @@ def op1_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"), held_out)
 
 
+def op3_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanworks.llm.rules import judge_narrow
+
+    return judge_narrow(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("lang")
+
+
 def op4_tiff_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanworks.llm.tiff import media_rows
 
