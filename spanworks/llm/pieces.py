@@ -129,13 +129,13 @@ def frequent_chunks(docs: DataFrame, model: str, text_col: str = "text") -> Data
     return counted.where(F.col("grade") >= least).select("chunk").mapInArrow(ids, "chunk string, ids binary")
 
 
-def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_decode(docs: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """Encode whole texts as the library does, with begin and end ids, and decode the ids.
 
-    Returns a row per input row: id, ``ids`` (little-endian unsigned 32-bit) and
+    Returns a row per input row: the columns ``keep``, ``ids`` (little-endian unsigned 32-bit) and
     ``decoded``.  Null and empty texts give begin and end only, and decode to nothing;
     repeated rows give repeated results; an empty table gives no rows.  A model whose
-    pieces may cross marks is applied to whole texts.
+    pieces may cross marks is applied to whole texts; columns outside ``keep`` are left out.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -152,12 +152,12 @@ def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 b = batch.slice(at, 512)
-                coded = [bos + x + eos for x in seg.encode([t or "" for t in b.column(1).to_pylist()])]
+                coded = [bos + x + eos for x in seg.encode([t or "" for t in b.column(len(keep)).to_pylist()])]
                 text = sp.decode([memoryview(x).cast("I").tolist() for x in coded], num_threads=1)
-                yield pa.record_batch([b.column(0), pa.array(coded, pa.binary()), pa.array(text, pa.string())], [id_col, "ids", "decoded"])
+                yield pa.record_batch([*(b.column(i) for i in range(len(keep))), pa.array(coded, pa.binary()), pa.array(text, pa.string())], [*keep, "ids", "decoded"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids binary, decoded string")
+    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep) + "ids binary, decoded string"
+    return docs.select(*keep, text_col).mapInArrow(run, schema)
 
 
 def digests(coded: DataFrame, id_col: str = "doc_id") -> DataFrame:
