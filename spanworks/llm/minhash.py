@@ -25,6 +25,8 @@ WORDS, BANDS, ROWS = 5, 32, 4
 SIGNATURE_SHARE = 0.57
 #: Members up to which a band's pairs are made by a join; larger bands are compared in blocks.
 SMALL_BAND = 64
+#: Ids up to which a set of documents is broadcast (8 bytes each, about 40 in a hash table).
+BROADCAST_ROWS = 1_000_000
 #: Texts handled together in a task.
 STEP = 512
 
@@ -79,18 +81,24 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_col).mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, sig binary")
 
 
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """A key for every band of every signature; the band's number is part of it."""
+    s = sig.reshape(-1, BANDS, ROWS).astype(np.uint64)
+    acc = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), s.shape[:2])
+    for r in range(ROWS):
+        acc = mix((acc << np.uint64(32)) ^ (acc >> np.uint64(11)) ^ s[:, :, r])
+    return acc.view(np.int64)
+
+
 def band_rows(classes: DataFrame) -> DataFrame:
-    """(doc, band_key) for every class and band; the key holds the band's number."""
+    """(doc, band_key) for every class and band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 b = batch.slice(at, STEP)
-                s = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(np.uint64)
-                acc = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), s.shape[:2])
-                for r in range(ROWS):
-                    acc = mix((acc << np.uint64(32)) ^ (acc >> np.uint64(11)) ^ s[:, :, r])
-                yield pa.record_batch([pa.array(np.repeat(b.column(0).to_numpy(), BANDS)), pa.array(acc.ravel().view(np.int64))], ["doc", "band_key"])
+                keys = band_keys(np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32))
+                yield pa.record_batch([pa.array(np.repeat(b.column(0).to_numpy(), BANDS)), pa.array(keys.ravel())], ["doc", "band_key"])
 
     return classes.select("doc_id", "sig").mapInArrow(run, "doc bigint, band_key bigint")
 
@@ -109,34 +117,92 @@ def agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= threshold * union."""
+def sets_of(ids: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, set) for the documents named in ``ids`` (doc): the sorted shingle hashes, made anew from the texts.
+
+    The ids are broadcast if they are few, so that texts are not shuffled."""
+    ids = ids.distinct().checkpoint()
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids.hint("shuffle_hash")
 
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 b = batch.slice(at, STEP)
                 yield pa.record_batch([b.column(0), pa.array([s.tobytes() for s in shingle_sets(b.column(1))], pa.binary())], ["doc", "set"])
 
+    texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
+    return texts.join(ids, "doc", "left_semi").mapInArrow(run, "doc bigint, set binary")
+
+
+def near(s: np.ndarray, others: list[np.ndarray], threshold: int) -> np.ndarray:
+    """Which of the other sets have 100 * intersection >= threshold * union with ``s``; all are sorted."""
+    sizes = np.array([len(t) for t in others])
+    if not len(s) or not sizes.sum():
+        return np.zeros(len(others), bool)
+    whole = np.concatenate(others)
+    hit = s[np.minimum(np.searchsorted(s, whole), len(s) - 1)] == whole
+    same = np.add.reduceat(np.append(hit, False), np.cumsum(sizes) - sizes, dtype=np.int64) * (sizes > 0)
+    return (same > 0) & (100 * same >= threshold * (len(s) + sizes - same))
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The pairs (a, b) that are near on their full sets, as (u, v)."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3)):
-                s, t = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                at = np.searchsorted(t, s)
-                same = int((t[np.minimum(at, len(t) - 1)] == s).sum()) if len(s) and len(t) else 0
-                keep.append(same > 0 and 100 * same >= threshold * (len(s) + len(t) - same))
-            mask = pa.array(keep, pa.bool_())
+            sets = [[np.frombuffer(x, np.uint64) for x in b.column(i).to_pylist()] for i in (2, 3)]
+            mask = pa.array([bool(near(s, [t], threshold)[0]) for s, t in zip(*sets)], pa.bool_())
             yield pa.record_batch([b.column(0).filter(mask), b.column(1).filter(mask)], ["u", "v"])
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
-    # equal ids have one representative row: the class that the pair was made from
-    sets = texts.join(needed, "doc", "left_semi").mapInArrow(to_sets, "doc bigint, set binary")
+    # rows that share an id can bring a pair several sets; it is near if some of them are
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc")), docs, id_col, text_col)
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     return both.select("a", "b", "set_a", "set_b").mapInArrow(compare, "u bigint, v bigint").distinct()
 
 
+def links_across(large: DataFrame, sets: DataFrame, threshold: int, block: int = 1000) -> DataFrame:
+    """Links (u, v) that join the components inside large bands (``band_key``, ``doc``, ``comp``, ``members``).
+
+    A band is cut into blocks of about ``block`` members, and a task compares two blocks:
+    signatures first, then full sets, nearest first.  Members that are joined already
+    need no comparison, and a pair is looked at in the first band that it shares.  A task
+    passes on at most one link per member, so pairs are never made as rows.
+    """
+    dealt = large.withColumn("blocks", F.ceil(F.col("members") / F.lit(block)).cast("int"))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("doc", "band_key"), F.col("blocks")).cast("int"))
+    # a member goes to every pair of blocks that its own block is part of
+    spread = dealt.select("band_key", "doc", "comp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    spread = spread.select("band_key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc", "comp", "own").join(sets, "doc")
+
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        band_key, i, j = (k.as_py() for k in key)
+        own, doc = t.column("own").to_numpy(), t.column("doc").to_numpy()
+        held = [np.frombuffer(x, np.uint64) for x in t.column("set").to_pylist()]
+        sig = np.stack([signature(s) for s in held])
+        keys = band_keys(sig)
+        band = int(np.argmax((keys == band_key).any(axis=0)))
+        _, root = np.unique(t.column("comp").to_numpy(), return_inverse=True)
+        right = np.flatnonzero(own == j)
+        u, v = [], []
+        for x in np.flatnonzero(own == i):
+            y = right[(root[right] != root[x]) & ((i != j) | (right > x))]
+            if len(y):
+                share = (sig[y] == sig[x]).mean(axis=1)
+                fit = (share >= SIGNATURE_SHARE) & ~(keys[y, :band] == keys[x, :band]).any(axis=1)
+                y = y[fit][np.argsort(-share[fit], kind="stable")]
+            while len(y):
+                now, y = y[:64], y[64:]
+                for z in now[near(held[x], [held[k] for k in now], threshold)]:
+                    if root[z] != root[x]:
+                        u.append(doc[x])
+                        v.append(doc[z])
+                        root[root == root[z]] = root[x]
+                y = y[root[y] != root[x]]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return spread.groupBy("band_key", "i", "j").applyInArrow(run, "u bigint, v bigint")
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of an edge (u, v).
 
@@ -194,50 +260,20 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, id_col: str = "doc_id"
     shared = bands.groupBy("band_key").agg(F.min("doc").alias("lead"), F.max("doc").alias("last")).where("lead <> last").select("band_key", "lead")
     peers = bands.join(shared, "band_key").checkpoint()  # rows of bands with two classes or more
     first = peers.where("doc <> lead").select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct()
-    links = confirmed(agreeing(first, classes), docs, threshold, id_col, text_col).checkpoint()
+    links = confirmed(agreeing(first, classes).checkpoint(), docs, threshold, id_col, text_col).checkpoint()
 
-    # bands that hold several components yet: every pair across these
+    # bands that hold several components yet: compare across these
     part = components(links)
     at = peers.join(part, peers["doc"] == part["node"], "left").select("band_key", "doc", F.coalesce("component", "doc").alias("comp"))
     sizes = at.groupBy("band_key").agg(F.count("*").alias("members"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 <> c1").select("band_key", "members")
     inside = at.join(sizes, "band_key").checkpoint()
     small = inside.where(F.col("members") <= SMALL_BAND).select("band_key", "doc", "comp")
     pairs = small.join(small.toDF("band_key", "doc_b", "comp_b"), "band_key").where("doc < doc_b and comp <> comp_b").select(F.col("doc").alias("a"), F.col("doc_b").alias("b"))
-    large = inside.where(F.col("members") > SMALL_BAND).join(classes.select(F.col("doc_id").alias("doc"), "sig"), "doc")
-    across = agreeing(pairs.distinct().join(first, ["a", "b"], "left_anti"), classes).union(cross_component(large)).distinct()
-    later = confirmed(across.checkpoint(), docs, threshold, id_col, text_col)
+    later = confirmed(agreeing(pairs.distinct().join(first, ["a", "b"], "left_anti"), classes).checkpoint(), docs, threshold, id_col, text_col)
+    large = inside.where(F.col("members") > SMALL_BAND)
+    across = links_across(large, sets_of(large.select("doc"), docs, id_col, text_col), threshold)
 
-    whole = components(links.union(later).union(members))
+    whole = components(links.union(later).union(across).union(members))
     out = sigs.join(whole, sigs["doc_id"] == whole["node"], "left")
     comp = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
-
-
-def cross_component(inside: DataFrame, block: int = 2000) -> DataFrame:
-    """Pairs (a < b) of one large band and different components whose signatures agree.
-
-    A band is cut into blocks of about ``block`` members; each task compares two blocks as
-    matrices and passes on only the agreeing pairs, so a large band is spread over
-    tasks and its pairs are never all made.
-    """
-    dealt = inside.withColumn("blocks", F.ceil(F.col("members") / F.lit(block)).cast("int"))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("doc", "band_key"), F.col("blocks")).cast("int"))
-    # the member goes to every pair of blocks that its own block is part of
-    spread = dealt.select("band_key", "doc", "comp", "sig", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    spread = spread.select("band_key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc", "comp", "sig", "own")
-
-    def run(key: tuple, t: pa.Table) -> pa.Table:
-        own, doc, comp = (t.column(c).to_numpy() for c in ("own", "doc", "comp"))
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(len(doc), -1)
-        left = np.flatnonzero(own == key[1].as_py())
-        right = np.flatnonzero(own == key[2].as_py())
-        a, b = [], []
-        for x in left:
-            y = right[(comp[right] != comp[x]) & ((doc[right] > doc[x]) | (key[1].as_py() != key[2].as_py()))]
-            y = y[(sig[y] == sig[x]).mean(axis=1) >= SIGNATURE_SHARE] if len(y) else y
-            a.append(np.minimum(doc[x], doc[y]))
-            b.append(np.maximum(doc[x], doc[y]))
-        none = [np.zeros(0, np.int64)]
-        return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
-
-    return spread.groupBy("band_key", "i", "j").applyInArrow(run, "a bigint, b bigint")
