@@ -208,11 +208,11 @@ def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
     no words and become empty; rows equal in id and text are one document and are treated
     alike; ids that are null come first; columns named like the two new ones are replaced.
     """
-    spans = repeated_spans(docs, k, id_col, text_col)
+    spans = repeated_spans(docs, k, id_col, text_col).toDF("_span_doc", "_span_key", "_spans")
     keep = [c for c in docs.columns if c not in (text_col, "n_words", "n_removed")]
     text = F.coalesce(F.col(text_col), F.lit(""))
     left = docs.select(*keep, text.cast("binary").alias("_raw"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("_doc"), F.xxhash64(text).alias("_key"))
-    both = left.join(spans.hint("shuffle_hash"), (left["_doc"] == spans["doc"]) & (left["_key"] == spans["key"]), "left").select(*keep, "_raw", "spans")
+    both = left.join(spans.hint("shuffle_hash"), (F.col("_doc") == F.col("_span_doc")) & (F.col("_key") == F.col("_span_key")), "left").select(*keep, "_raw", "_spans")
     schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep) + f"`{text_col}` string, n_words bigint, n_removed bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
