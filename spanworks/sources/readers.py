@@ -100,8 +100,17 @@ def read_log(spark: SparkSession, path: str, schema: str = LOG) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, encoding: str = "UTF-8", multiline: bool = False) -> DataFrame:
-    """CSV with a header; a byte-order mark before the first name is skipped."""
-    return spark.read.schema(schema).option("header", True).option("encoding", encoding).option("multiLine", multiline).option("escape", '"').option("enforceSchema", True).csv(path)
+    """CSV with a header; a byte-order mark before the first name is skipped.
+
+    Windows-1252, which Spark doesn't read, is read as Latin-1; the 27 characters that differ are then replaced.
+    """
+    western = encoding.lower() in ("windows-1252", "cp1252")
+    got = spark.read.schema(schema).option("header", True).option("encoding", "ISO-8859-1" if western else encoding).option("multiLine", multiline).option("escape", '"').option("enforceSchema", True).csv(path)
+    if not western:
+        return got
+    own = {chr(b): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+    old, new = "".join(k for k, v in own.items() if v), "".join(own.values())
+    return got.select(*[F.translate(f.name, old, new).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in got.schema.fields])
 
 
 def read_snapshots(spark: SparkSession, folder: str, schema: str = "id bigint, status string") -> DataFrame:
