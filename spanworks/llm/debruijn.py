@@ -3,10 +3,12 @@
 Every run of ``k`` words is an edge between its first and its last k - 1 words.  Edges are
 dealt by their minimiser (the least hash among their half-length runs), so that
 equal edges meet and neighbouring edges of a text, which mostly share the minimiser,
-travel as one stretch.  Stretches hold no branch inside; per minimiser the earliest
-source coordinate of each edge is found, and what also starts earlier becomes spans
-of source coordinates.  Joined by coordinates, spans that touch compact into the long
-repeated paths of each text.
+travel as one stretch.  Per minimiser the earliest place of each edge is found.  A
+repeated edge follows the one before it without a branch where the text and the earlier
+place go on together; such stretches, found under different minimisers, are joined by
+their coordinates into paths: (text, first word, last word) and the place that they
+repeat.  Coordinates that don't go on together end a path, so a path is always a
+passage that stands, word by word, at both places.
 
 Edges whose minimiser occurs once in the corpus can't repeat and are never shuffled;
 a Bloom filter of bounded size tells them apart.  When it is over-full it lets more
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanworks.llm import bloom
@@ -61,35 +63,44 @@ def _runs(change: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def resolve(seed: np.ndarray, edge: np.ndarray, doc: np.ndarray, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Masks over edges: those that also start earlier, and the earliest of each (ties all count as earliest)."""
+    """Which edges also start earlier, and for each the index of an equal one that starts earliest.
+
+    Edges are equal if edge and minimiser are: 128 bits.  Ties in the place all count as earliest."""
     order = np.lexsort((start, text, doc, edge, seed))
-    s, e, d, t, p = seed[order], edge[order], doc[order], text[order], start[order]
+    s, e = seed[order], edge[order]
     new = np.ones(len(s), bool)
     new[1:] = (s[1:] != s[:-1]) | (e[1:] != e[:-1])
-    first = np.flatnonzero(new)[np.cumsum(new) - 1]
-    later = (d != d[first]) | (t != t[first]) | (p != p[first])
-    out = np.zeros(len(s), bool)
-    out[order] = later
-    return out, ~out
-
-
-def _spans(doc: np.ndarray, text: np.ndarray, start: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """Edges that follow each other in a text, as (doc, text, first word, last word)."""
-    order = np.lexsort((start, text, doc))
-    d, t, p = doc[order], text[order], start[order]
-    new = np.ones(len(d), bool)
-    new[1:] = (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (p[1:] > p[:-1] + 1)
+    first = np.empty(len(s), np.int64)
+    first[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    later = (doc != doc[first]) | (text != text[first]) | (start != start[first])
+    return later, first
+
+
+def _paths(doc: np.ndarray, text: np.ndarray, start: np.ndarray, first: np.ndarray, which: np.ndarray, k: int) -> list[np.ndarray]:
+    """Stretches of edges that follow each other in their text and at the earlier place:
+    doc, text, first word, last word, and the earlier place's doc, text and first word."""
+    i = np.flatnonzero(which)
+    i = i[np.lexsort((start[i], text[i], doc[i]))]
+    j = first[i]
+    cols = [doc[i], text[i], doc[j], text[j]]
+    p, q = start[i], start[j]
+    new = np.ones(len(i), bool)
+    for c in cols:
+        new[1:] |= c[1:] != c[:-1]
+    new[1:] |= (p[1:] != p[:-1] + 1) | (q[1:] != q[:-1] + 1)
     at, n = _runs(new)
-    return d[at], t[at], p[at], p[at + n - 1] + k - 1
+    return [cols[0][at], cols[1][at], p[at], p[at + n - 1] + k - 1, cols[2][at], cols[3][at], q[at]]
 
 
-_ROW = "bucket int, seed bigint, doc bigint, text bigint, lo int, hi int, edges binary"
+_PATH = "doc bigint, text bigint, lo int, hi int, from_doc bigint, from_text bigint, from_lo int"
+_ROW = f"bucket int, seed bigint, {_PATH}, edges binary"
 _NAMES = [x.split()[0] for x in _ROW.split(", ")]
+_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
 
-def _rows(bucket, seed, doc, text, lo, hi, edges) -> pa.RecordBatch:
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-    return pa.record_batch([pa.array(x, t) for x, t in zip((bucket, seed, doc, text, lo, hi, edges), kinds)], _NAMES)
+def _rows(*columns) -> pa.RecordBatch:
+    n = len(columns[0])
+    return pa.record_batch([pa.nulls(n, t) if x is None else pa.array(x, t) for x, t in zip(columns, _KINDS)], _NAMES)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -134,12 +145,12 @@ def seed_filter(seeds: DataFrame, count: int) -> bloom.Filter:
     return bloom.Filter.of(list(zip(*(parts.column(c).to_pylist() for c in ("segment", "size", "data")))), log_segments, PROBES)
 
 
-def repeated_spans(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Spans of words covered by edges that also start earlier in the corpus.
+def repeated_paths(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Passages of ``k`` words or more that also start earlier in the corpus.
 
-    One row per document that has any: ``doc``, ``key`` (hash of the text) and ``spans``, an
-    array of (lo, hi) word numbers.  Earlier means a smaller id (null first), then the text's
-    hash among rows that share an id, then the position.
+    One row per path: ``doc`` and ``text`` (hash of the text), ``lo`` and ``hi`` (first and last word), and
+    ``from_doc``, ``from_text``, ``from_lo``: an earlier place with the same words.  Earlier means a
+    smaller id (null first), then the text's hash among rows that share an id, then the position.
     """
     spark = docs.sparkSession
     ensure_checkpoints(spark)
@@ -167,37 +178,43 @@ def repeated_spans(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
             if not kept:
                 continue
             least, edge, doc, text, start, place = (np.concatenate(x) for x in zip(*kept))
-            later, mine = resolve(least, edge, doc, text, start)  # as a partial aggregate: a batch passes on one of each edge
-            d, t, lo, hi = _spans(doc[later], text[later], start[later], k)
-            none = pa.nulls(len(d), pa.int64())
-            home = (d ^ t).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            yield _rows(bloom.segment_of(home, log_buckets), none, d, t, lo, hi, pa.nulls(len(d), pa.binary()))
-            least, edge, doc, text, start, place = (x[mine] for x in (least, edge, doc, text, start, place))
+            later, earliest = resolve(least, edge, doc, text, start)  # as a partial aggregate: a batch passes on one of each edge
+            found = _paths(doc, text, start, earliest, later, k)
+            home = (found[0] ^ found[1]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            yield _rows(bloom.segment_of(home, log_buckets), None, *found, None)
+            least, edge, doc, text, start, place = (x[~later] for x in (least, edge, doc, text, start, place))
             new = np.ones(len(least), bool)
             new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1)
             at, n = _runs(new)
             raw = edge.tobytes()
             blobs = [raw[8 * a : 8 * (a + m)] for a, m in zip(at.tolist(), n.tolist())]
-            yield _rows(bloom.segment_of(least[at], log_buckets), least[at].view(np.int64), doc[at], text[at], start[at], start[at] + n - 1, blobs)
+            yield _rows(bloom.segment_of(least[at], log_buckets), least[at].view(np.int64), doc[at], text[at], start[at], start[at] + n - 1, None, None, None, blobs)
 
     def settle(t: pa.Table) -> pa.Table:
-        seed = t.column("seed").combine_chunks()
-        done = np.asarray(seed.is_null())
-        col = {c: t.column(c).to_numpy() for c in ("doc", "text", "lo", "hi")}
-        open_ = np.flatnonzero(~done)
-        n = (col["hi"] - col["lo"] + 1)[open_]
-        edge = np.frombuffer(b"".join(t.column("edges").take(pa.array(open_)).to_pylist()), np.uint64)
-        each = np.repeat(open_, n)
-        offset = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-        doc, text, start = col["doc"][each], col["text"][each], col["lo"][each] + offset
-        later, _ = resolve(np.asarray(seed.fill_null(0)).view(np.uint64)[each], edge, doc, text, start)
-        found = _spans(doc[later], text[later], start[later], k)
-        out = [np.concatenate([col[c][done], f]) for c, f in zip(("doc", "text", "lo", "hi"), found)]
-        return pa.table([pa.array(out[0]), pa.array(out[1]), pa.array(out[2].astype(np.int32)), pa.array(out[3].astype(np.int32))], names=["doc", "key", "lo", "hi"])
+        names = [x.split()[0] for x in _PATH.split(", ")]
+        done = t.filter(t.column("seed").is_null()).select(names)
+        rest = t.filter(t.column("seed").is_valid())
+        col = {c: rest.column(c).to_numpy() for c in ("seed", "doc", "text", "lo", "hi")}
+        n = col["hi"] - col["lo"] + 1
+        edge = np.frombuffer(b"".join(rest.column("edges").to_pylist()), np.uint64)
+        each = np.repeat(np.arange(len(n)), n)
+        start = col["lo"][each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+        doc, text = col["doc"][each], col["text"][each]
+        later, earliest = resolve(col["seed"].view(np.uint64)[each], edge, doc, text, start)
+        found = [pa.array(x, kind) for x, kind in zip(_paths(doc, text, start, earliest, later, k), _KINDS[2:9])]
+        return pa.concat_tables([done, pa.table(found, names=names)])
 
     moved = _keyed(docs, id_col, text_col).mapInArrow(edges_of, _ROW)
-    spans = moved.groupBy("bucket").applyInArrow(settle, "doc bigint, key bigint, lo int, hi int")
-    return spans.groupBy("doc", "key").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
+    parts = moved.groupBy("bucket").applyInArrow(settle, _PATH)
+    # parts of a path go on together in the text and at the earlier place
+    place = ["from_doc", "from_text", "_apart"]
+    parts = parts.withColumn("_apart", F.col("lo") - F.col("from_lo"))
+    w = Window.partitionBy("doc", "text").orderBy(*place, "lo")
+    goes_on = F.col("lo") == F.lag("hi").over(w) - F.lit(k - 2)
+    for c in place:
+        goes_on = goes_on & (F.col(c) == F.lag(c).over(w))
+    numbered = parts.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_path", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("doc", "text", "_path").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("from_doc").alias("from_doc"), F.first("from_text").alias("from_text"), F.min("from_lo").alias("from_lo")).drop("_path")
 
 
 def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -208,7 +225,8 @@ def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
     no words and become empty; rows equal in id and text are one document and are treated
     alike; ids that are null come first; columns named like the two new ones are replaced.
     """
-    spans = repeated_spans(docs, k, id_col, text_col).toDF("_span_doc", "_span_key", "_spans")
+    paths = repeated_paths(docs, k, id_col, text_col)
+    spans = paths.groupBy(F.col("doc").alias("_span_doc"), F.col("text").alias("_span_key")).agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("_spans"))
     keep = [c for c in docs.columns if c not in (text_col, "n_words", "n_removed")]
     text = F.coalesce(F.col(text_col), F.lit(""))
     left = docs.select(*keep, text.cast("binary").alias("_raw"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("_doc"), F.xxhash64(text).alias("_key"))

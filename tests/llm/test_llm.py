@@ -292,6 +292,20 @@ def test_op9(docs, plain):
     assert remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_op9_paths_stand_at_both_places(docs, plain):
+    from spanworks.llm.debruijn import repeated_paths
+
+    text = {-(2**63) if i is None else i: words(t) for i, t in plain}
+    rows = repeated_paths(docs).collect()
+    assert rows and len({(r.doc, r.lo, r.from_doc, r.from_lo) for r in rows}) == len(rows)
+    ends = {(r.doc, r.hi, r.from_doc, r.from_lo + r.hi - r.lo) for r in rows}
+    for r in rows:
+        n = r.hi - r.lo + 1
+        assert n >= 20 and (r.from_doc, r.from_lo) < (r.doc, r.lo)
+        assert text[r.doc][r.lo : r.hi + 1] == text[r.from_doc][r.from_lo : r.from_lo + n]
+        assert (r.doc, r.lo + 18, r.from_doc, r.from_lo + 18) not in ends, "adjoining parts are one path"
+
+
 def test_op9_overfull_filter_changes_nothing(docs, monkeypatch):
     from spanworks.llm import debruijn
 
