@@ -77,3 +77,36 @@ def quotes(text: Column, spellings: Column) -> Column:
     """Whether a text holds one of the spellings."""
     plain = F.lower(strip_markup(text))
     return F.exists(spellings, lambda s: F.contains(plain, s))
+
+
+# Reporting areas whose county isn't their own name without CITY.
+COUNTY_OF = {"DUBLIN CITY": "Dublin", "DUN LAOGHAIRE/RATHDOWN": "Dublin", "FINGAL": "Dublin", "SOUTH DUBLIN": "Dublin", "NORTH TIPPERARY": "Tipperary", "SOUTH TIPPERARY": "Tipperary"}
+
+
+def county_of(area: Column) -> Column:
+    """The traditional county of a reporting area."""
+    pairs = F.create_map(*[F.lit(x) for kv in COUNTY_OF.items() for x in kv])
+    return F.coalesce(pairs[area], title_case(F.regexp_replace(area, " CITY$", "")))
+
+
+def elsewhere_label(settlement: Column) -> Column:
+    return F.concat(F.lit("Elsewhere in "), F.replace(settlement, F.lit(" and suburbs"), F.lit("")))
+
+
+def around_label(division: Column) -> Column:
+    return F.concat(F.lit("Around "), division)
+
+
+def minute_time(t: Column) -> Column:
+    """A time to the minute, empty for none."""
+    return F.left(F.trim(F.coalesce(t, F.lit(""))), F.lit(5))
+
+
+def first_said(*columns: Column) -> Column:
+    """The first column that isn't blank, trimmed; empty if all are."""
+    return F.coalesce(*[F.nullif(F.trim(F.coalesce(c, F.lit(""))), F.lit("")) for c in columns], F.lit(""))
+
+
+def availability_text(availability: Column, person_h: Column) -> Column:
+    """Three decimals; a month with any loss never shows as whole."""
+    return F.concat(F.format_string("%.3f", F.when(person_h > 0, F.least(availability, F.lit(99.999))).otherwise(availability)), F.lit("%"))

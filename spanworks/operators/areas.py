@@ -40,3 +40,28 @@ def dominant(footprint: DataFrame, key: str, area: str, weight: str) -> DataFram
 def mismatches(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
     """Keys that both have with different values."""
     return left.select(key, F.col(value).alias("ours")).join(right.select(key, F.col(value).alias("theirs")), key).where(~F.col("ours").eqNullSafe(F.col("theirs")))
+
+
+def with_people(centroids: DataFrame, people: DataFrame, key: str = "guid", total: int | None = None) -> DataFrame:
+    """Centroids with their population; a wrong total raises when the result is read."""
+    out = centroids.join(people, key)
+    if total is None:
+        return out
+    found = out.agg(F.sum("pop").alias("_total"))
+    right = F.assert_true(F.col("_total") == total, F.lit(f"populations don't add up to {total}"))
+    return out.withColumn("_one", F.lit(1)).join(F.broadcast(found.select(F.lit(1).alias("_one"), F.coalesce(right.cast("string"), F.lit("ok")).alias("_ok"))), "_one").where("_ok = 'ok'").drop("_one", "_ok")
+
+
+def area_rows(small: DataFrame, named: DataFrame) -> DataFrame:
+    """(guid, code, name, county) for every small area: its settlement's, else those of its division.
+
+    ``small`` has guid, code (null: in no settlement), division, reporting area; ``named`` code, name, county."""
+    from spanworks.functions.text import around_label, county_of, title_case
+
+    own, division = county_of(F.col("reporting")), title_case(F.col("division"))
+    out = small.join(named.withColumnsRenamed({"name": "_name", "county": "_county"}), "code", "left")
+    lone = F.col("code").isNull()
+    return out.select(
+        "guid", F.when(lone, F.concat_ws(":", F.lit("ed"), own, division)).otherwise(F.col("code")).alias("code"),
+        F.when(lone, around_label(division)).otherwise(F.col("_name")).alias("name"), F.coalesce("_county", own).alias("county"),
+    )

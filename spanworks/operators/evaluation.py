@@ -31,3 +31,67 @@ def overlap_audit(intervals: DataFrame, groups: list[str], place: list[str], peo
         return month_slices(merged).groupBy("month").agg(F.sum(F.col("us") * F.col(people)).alias(name))
 
     return by([*groups, *place], "published").join(by(place, "exact"), "month", "full_outer")
+
+
+def truth(rows: DataFrame) -> DataFrame:
+    """Add what is true for a reviewed answer: the reviewer's fields where the answer was judged incorrect
+    and they gave one, else the answer's own.  Columns model_* and human_* of source, date, time."""
+    from spanworks.functions.text import first_said, minute_time
+
+    wrong = F.lower(F.trim("human_verdict")) == "incorrect"
+    pick = lambda h, m: F.when(wrong, first_said(F.col(h), F.col(m))).otherwise(first_said(F.col(m)))
+    time = F.when(wrong, first_said(minute_time(F.col("human_time")), minute_time(F.col("model_time")))).otherwise(minute_time(F.col("model_time")))
+    return rows.withColumns({"true_source": pick("human_source", "model_source"), "true_date": pick("human_date", "model_date"), "true_time": time})
+
+
+def shadow(notices: DataFrame, recorded: DataFrame, key: str = "id") -> DataFrame:
+    """Compare answers of rules with recorded ones: adds ``kind``: never, stale, abstain, recurrence, agree or disagree.
+
+    ``notices``: key, h, source, date, time (source null: abstained); ``recorded``: key, h, source, date, time, recurrence."""
+    from spanworks.functions.text import first_said, minute_time
+
+    r = recorded.toDF(*[c if c == key else f"_{c}" for c in recorded.columns])
+    same = lambda c: first_said(F.col(c)) == first_said(F.col(f"_{c}"))
+    agree = same("source") & same("date") & (minute_time(F.col("time")) == minute_time(F.col("_time")))
+    kind = (
+        F.when(F.col("_h").isNull(), "never").when(~F.col("h").eqNullSafe(F.col("_h")), "stale").when(F.col("source").isNull(), "abstain")
+        .when(first_said(F.col("_recurrence"), F.lit("none")) != "none", "recurrence").when(agree, "agree").otherwise("disagree")
+    )
+    return notices.join(r, key, "left").withColumn("kind", kind).withColumnRenamed("_source", "recorded_source").drop("_h", "_date", "_time", "_recurrence")
+
+
+def consequential(events: DataFrame, months: DataFrame, keys: list[str]) -> DataFrame:
+    """Events whose class recurrence changes, or outages whose text says that they recur, with their person-hours.
+
+    ``events``: keys, sev, plain_sev, says_recurring; ``months``: keys, us, people."""
+    lost = months.groupBy(*keys).agg((F.sum(F.col("us") * F.col("people")) / 3.6e9).alias("_h"))
+    down = (F.col("plain_sev") == "outage") & (F.col("sev") == "degraded")
+    missed = (F.col("sev") == "outage") & F.col("says_recurring")
+    out = events.where(down | missed).withColumn("effect", F.when(down, "downgraded").otherwise("charged"))
+    return out.join(lost, keys, "left").withColumn("person_h", F.round(F.coalesce("_h", F.lit(0.0))).cast("bigint")).drop("_h")
+
+
+def recurrence_counts(cases: DataFrame) -> DataFrame:
+    """Per tag: notices, hours charged, and hours that one unbroken interval would charge.
+
+    ``cases``: recurrence_tag, start_us, intervals (array of s, e)."""
+    us = F.aggregate("intervals", F.lit(0).cast("bigint"), lambda a, i: a + i["e"] - i["s"])
+    return cases.groupBy("recurrence_tag").agg(F.count("*").alias("notices"), (F.sum(us) / 3.6e9).alias("hours"), (F.sum(F.element_at("intervals", -1)["e"] - F.col("start_us")) / 3.6e9).alias("unbroken_hours"))
+
+
+def mixed_events(cases: DataFrame, keys: list[str]) -> DataFrame:
+    """Events of which some pins are expanded and some aren't."""
+    on = F.col("recurrence_tag").startswith("expanded")
+    return cases.groupBy(*keys).agg(F.count("*").alias("pins"), F.count_if(on).alias("expanded")).where("expanded > 0 and expanded < pins")
+
+
+def window_label(windows, zone: str = "Europe/Dublin"):
+    """Opening and closing time of a series, read off its unclipped edges, and its first day."""
+    local = lambda us, form: F.date_format(F.from_utc_timestamp(F.timestamp_micros(us), zone), form)
+    return F.concat(local(F.get(windows, F.lit(1))["s"], "HH:mm"), F.lit("-"), local(F.get(windows, F.lit(0))["e"], "HH:mm"), F.lit(" from "), local(F.get(windows, F.lit(0))["s"], "yyyy-MM-dd"))
+
+
+def verdict_tally(reviews: DataFrame) -> DataFrame:
+    """Events and person-hours by verdict; blank verdicts are unreviewed."""
+    verdict = F.lower(F.trim(F.coalesce("human_verdict", F.lit(""))))
+    return reviews.groupBy(F.when(verdict == "", "unreviewed").otherwise(verdict).alias("verdict")).agg(F.count("*").alias("events"), F.sum("person_h").alias("person_h"))

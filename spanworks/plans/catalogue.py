@@ -505,6 +505,82 @@ def reported_spans(spark, d):
     return o.select("o_orderkey", times.span_seconds(F.col("start"), source, F.col("day"), F.col("t")).alias("seconds"))
 
 
+# --- labels, reviews and reports
+
+
+@query
+def county_names(spark, d):
+    names = ["CORK CITY", "FINGAL", "CARLOW", "DUN LAOGHAIRE/RATHDOWN", "NORTH TIPPERARY", "GALWAY"]
+    return B.table(spark, d, "nation").select("n_nationkey", text.county_of(F.get(F.array(*map(F.lit, names)), F.col("n_nationkey") % 6)).alias("county"))
+
+
+@query
+def area_rows(spark, d):
+    k = F.col("s_suppkey")
+    small = B.table(spark, d, "supplier").select(k.alias("guid"), F.when(k % 3 != 0, F.concat(F.lit("T"), (k % 5).cast("string"))).alias("code"), F.concat(F.lit("east ward-"), (k % 4).cast("string")).alias("division"), F.when(k % 2 == 0, "CORK CITY").otherwise("FINGAL").alias("reporting"))
+    named = spark.range(5).select(F.concat(F.lit("T"), F.col("id").cast("string")).alias("code"), F.concat(F.lit("Town "), F.col("id").cast("string")).alias("name"), F.when(F.col("id") < 3, "Mayo").alias("county"))
+    return A.area_rows(small, named)
+
+
+@query
+def availability_label(spark, d):
+    t = _months(spark, d).select("region", F.date_format("month", "yyyy-MM").alias("month"), (F.col("person_us") / 3.6e9).cast("bigint").alias("person_h"), "availability")
+    return t.select("region", "month", text.availability_text(F.col("availability"), F.col("person_h")).alias("label"), F.nullif(F.col("person_h"), F.lit(0).cast("bigint")).alias("person_h"))
+
+
+@query
+def reviewed_truth(spark, d):
+    k = F.col("o_orderkey")
+    o = B.table(spark, d, "orders").select(
+        k.alias("id"), F.when(k % 3 == 0, "Incorrect ").otherwise("correct").alias("human_verdict"), F.lit(" completion_update").alias("model_source"), F.when(k % 2 == 0, "not_found").alias("human_source"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("model_date"), F.lit("").alias("human_date"), F.lit("08:15:30").alias("model_time"), F.when(k % 4 == 0, " 09:00 ").alias("human_time"),
+    )
+    return evaluation.truth(o).select("id", "true_source", "true_date", "true_time")
+
+
+@query
+def shadow_compare(spark, d):
+    docs = B.table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("lang"), text.text_hash(F.col("text")).alias("h"))
+    k = F.col("id")
+    ours = docs.select("id", "lang", "h", F.when(k % 4 != 0, "completion_update").alias("source"), F.lit("2026-05-01").alias("date"), F.lit("10:00").alias("time"))
+    theirs = docs.where(k % 7 != 0).select("id", F.when(k % 11 == 0, "old").otherwise(F.col("h")).alias("h"), F.lit("completion_update").alias("source"), F.when(k % 3 == 0, "2026-05-02").otherwise("2026-05-01").alias("date"), F.lit("10:00:00").alias("time"), F.when(k % 5 == 0, "daily").alias("recurrence"))
+    return evaluation.shadow(ours, theirs).groupBy("lang", "kind").agg(F.count("*").alias("n"))
+
+
+@query
+def consequential_events(spark, d):
+    per = intervals.month_slices(_events(spark, d)).groupBy(*EVENT, "month").agg(F.sum("us").alias("us")).join(_people(spark, d), EVENT)
+    e = _events(spark, d).select(*EVENT).distinct().withColumns({"plain_sev": F.when(F.col("sev") == "degraded", "outage").otherwise(F.col("sev")), "says_recurring": F.col("ref").endswith("5-error")})
+    return evaluation.consequential(e, per, EVENT).select(*EVENT, "effect", "person_h")
+
+
+@query
+def verdict_tallies(spark, d):
+    o = B.table(spark, d, "orders").select(F.when(F.col("o_orderkey") % 3 == 0, " Correct").when(F.col("o_orderkey") % 3 == 1, "wrong").alias("human_verdict"), F.floor("o_totalprice").alias("person_h"))
+    return evaluation.verdict_tally(o)
+
+
+@query
+def expanded_notices(spark, d):
+    """Notices with recurring windows: what each event charges, and which events mix."""
+    from spanworks.plans.resolve import demo_cases, resolve
+
+    k = F.col("id")
+    c = demo_cases(spark, d).where("id % 8 = 0").withColumns({
+        "span": F.lit(3 * 86400.0 + 10 * 3600), "end_source": F.lit("scheduled_end_with_time"), "end_time": F.when(k % 3 == 0, "08:00").otherwise("07:00"), "end_date": F.date_format(F.col("start") + F.expr("interval 3 days"), "yyyy-MM-dd"),
+        "recurrence": F.when(k % 5 != 0, "daily"), "window_open": F.lit("22:00"), "window_close": F.lit("07:00"), "window_first": F.date_format("start", "yyyy-MM-dd"), "reference_num": F.concat(F.lit("E"), k.cast("string")),
+    })
+    got = resolve(c, F.timestamp_micros(F.lit(B.NOW_US))).withColumn("start_us", times.micros(F.col("start")))
+    return evaluation.recurrence_counts(got).select("recurrence_tag", "notices")
+
+
+@query
+def data_horizon(spark, d):
+    """The newest observation and the backlog; sums over no rows are 0."""
+    o = B.table(spark, d, "orders")
+    return o.agg(F.max("o_orderdate").cast("string").alias("horizon"), F.count("*").alias("rows"), F.coalesce(F.sum((F.col("o_orderstatus") == "P").cast("bigint")), F.lit(0)).alias("pending"))
+
+
 @query
 def resolved_notices(spark, d):
     """The resolver on events: each notice's charged interval and how it was found."""

@@ -204,5 +204,18 @@ f as (select *, case when boil and lift_at is not null then 'paired' when boil a
     when not over_ and status = 'Open' and t0 < {NOW_US} then 'accrues' when coalesce(charge, 0) = 0 then 'token' when known is not null then 'imputed_to_end' else 'imputed_from_start' end as outcome from d)
 select id, sev, outcome, 1 as pieces, case when outcome = 'imputed_to_end' then known - charge else t0 end as s, case outcome when 'paired' then least(greatest(lift_at, t0), t0 + {CAP}) when 'accrues' then greatest(t0, least({NOW_US}, t0 + {CAP})) when 'span' then t0 + least(cast(span * 1000000 as bigint), {CAP})
     when 'imputed_to_end' then known when 'imputed_from_start' then t0 + charge else t0 + 1000000 end as e, outcome in ('paired', 'span') as has_end, outcome = 'paired' or (outcome = 'span' and coalesce(source = 'completion_update', false)) as observed_end, outcome like 'imputed%' as imputed from f where outcome <> 'dropped'""",
+    "county_names": "select n_nationkey, (['Cork', 'Dublin', 'Carlow', 'Dublin', 'Tipperary', 'Galway'])[n_nationkey % 6 + 1] as county from nation",
+    "area_rows": """with s as (select s_suppkey as guid, case when s_suppkey % 3 <> 0 then 'T' || (s_suppkey % 5) end as code, 'East Ward-' || (s_suppkey % 4) as division, case when s_suppkey % 2 = 0 then 'Cork' else 'Dublin' end as own, s_suppkey % 5 as t from supplier)
+select guid, coalesce(code, 'ed:' || own || ':' || division) as code, case when code is null then 'Around ' || division else 'Town ' || t end as name, case when code is not null and t < 3 then 'Mayo' else own end as county from s""",
+    "availability_label": MONTHS + """, l as (select region, strftime(slot, '%Y-%m') as month, cast(floor(person_us / 3.6e9::double) as bigint) as person_h, round(greatest(raw, 0), 3) as av from a)
+select region, month, printf('%.3f', case when person_h > 0 then least(av, 99.999) else av end) || '%' as label, nullif(person_h, 0) as person_h from l""",
+    "reviewed_truth": """select o_orderkey as id, case when o_orderkey % 3 = 0 and o_orderkey % 2 = 0 then 'not_found' else 'completion_update' end as true_source, strftime(o_orderdate, '%Y-%m-%d') as true_date,
+case when o_orderkey % 3 = 0 and o_orderkey % 4 = 0 then '09:00' else '08:15' end as true_time from orders""",
+    "shadow_compare": """select lang, case when doc_id % 7 = 0 then 'never' when doc_id % 11 = 0 then 'stale' when doc_id % 4 = 0 then 'abstain' when doc_id % 5 = 0 then 'recurrence' when doc_id % 3 <> 0 then 'agree' else 'disagree' end as kind, count(*) as n from documents group by all""",
+    "consequential_events": f"""with {N}, {AREAS}, {FOOT}, {PEOPLE}, {EVENTS}, {slices('x', 'ev', 'month')}, h as (select region, sev, ref, sum(us * people)::double / 3.6e9::double as h from x join people using (region, sev, ref) group by all), e as (select distinct region, sev, ref from ev)
+select e.region, e.sev, e.ref, case when e.sev = 'degraded' then 'downgraded' else 'charged' end as effect, cast(round(coalesce(h, 0)) as bigint) as person_h from e left join h using (region, sev, ref) where e.sev = 'degraded' or (e.sev = 'outage' and e.ref like '%5-error')""",
+    "verdict_tallies": "select case o_orderkey % 3 when 0 then 'correct' when 1 then 'wrong' else 'unreviewed' end as verdict, count(*) as events, cast(sum(floor(o_totalprice)) as bigint) as person_h from orders group by 1",
+    "expanded_notices": """select case when event_id % 5 = 0 then 'none' when event_id % 3 = 0 then 'refused: close is not the reported end' else 'expanded' end as recurrence_tag, count(*) as notices from events where event_id % 8 = 0 group by 1""",
+    "data_horizon": "select cast(max(o_orderdate) as varchar) as horizon, count(*) as rows, count(*) filter (o_orderstatus = 'P') as pending from orders",
     "streamed_windows": "select strftime(ts, '%Y-%m-%d') as day, event_type, count(*) as n, round(sum(value), 2) as total from events group by all",
 }
