@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanworks.llm.rules import word_array
@@ -125,8 +125,9 @@ def blocks(docs: DataFrame, entropy_share: float = ENTROPY_SHARE, max_repeat: fl
     placed = running(read, ["source", "epoch"], ["turn", "doc_id"], {"at": F.col("tokens")}, number=None).where("epoch < full or at < rest")
     stream = F.col("epoch") * F.col("n") + F.col("at")
     block = F.least(F.floor(F.when(F.col("budget") > 0, stream / F.col("budget")).otherwise(0) * parts), F.lit(parts - 1)).cast("bigint")
-    order = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed), "block", "turn"), "source", "doc_id", "epoch", "at")
-    return placed.withColumn("block", block).withColumn("slot", F.row_number().over(order) - 1).select("doc_id", "source", "tokens", "epoch", "block", "slot", "weight")
+    placed = placed.withColumn("block", block).withColumn("order", F.xxhash64(F.lit(seed), "block", "turn"))
+    placed = placed.select("doc_id", "source", "tokens", "epoch", "block", "weight", "order", "at")
+    return running(placed, ["block"], ["order", "source", "doc_id", "epoch", "at"], number="slot").select("doc_id", "source", "tokens", "epoch", "block", "slot", "weight")
 
 
 def mixed_documents(docs: DataFrame, entropy_share: float = ENTROPY_SHARE, max_repeat: float = MAX_REPEAT, budget: float | None = None, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
