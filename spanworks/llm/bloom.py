@@ -11,6 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 from spanworks.llm.tokens import mix
 
@@ -48,16 +49,18 @@ class Filter:
     k: int
 
     @classmethod
-    def of(cls, parts: list[tuple[int, int, bytes]], log_segments: int, k: int) -> Filter:
-        """From (segment, size in bits, bytes) in any order; absent segments are empty."""
+    def of(cls, parts: pa.Table, log_segments: int, k: int) -> Filter:
+        """From ``segment``, ``size`` (bits) and ``data`` in any order; absent segments are empty."""
         n = 1 << log_segments
         base, size = np.zeros(n, np.int64), np.zeros(n, np.uint64)
-        chunks, at = [], 0
-        for seg, bits, data in sorted(parts):
+        whole = np.zeros(sum(len(x.as_buffer()) for x in parts.column("data")) + 1, np.uint8)
+        at = 0
+        for seg, bits, data in zip(parts.column("segment").to_pylist(), parts.column("size").to_pylist(), parts.column("data")):
+            raw = np.frombuffer(data.as_buffer(), np.uint8)
             base[seg], size[seg] = at, bits
-            chunks.append(np.frombuffer(data, np.uint8))
-            at += len(data)
-        return cls(np.concatenate([*chunks, np.zeros(1, np.uint8)]), base, size, log_segments, k)
+            whole[at : at + len(raw)] = raw
+            at += len(raw)
+        return cls(whole, base, size, log_segments, k)
 
     def has(self, h: np.ndarray, level: int) -> np.ndarray:
         """Whether each key may hold the level; never false for one that does."""

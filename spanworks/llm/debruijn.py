@@ -142,7 +142,7 @@ def seed_filter(seeds: DataFrame, count: int) -> bloom.Filter:
 
     cut = F.shiftrightunsigned(F.col("seed"), 64 - log_segments).cast("int")
     parts = seeds.select(cut.alias("segment"), "seed").groupBy("segment").applyInArrow(run, "segment int, size bigint, data binary").toArrow()
-    return bloom.Filter.of(list(zip(*(parts.column(c).to_pylist() for c in ("segment", "size", "data")))), log_segments, PROBES)
+    return bloom.Filter.of(parts, log_segments, PROBES)
 
 
 def repeated_paths(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
