@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from spanworks.session import ensure_checkpoints
 
 _SEPARATORS = " \t\n\x0b\x0c\r"
-_SPLIT = "[\\x20\\x09-\\x0D]+"
-_SYMBOLS = "#*$%&|<>"
+_SEPARATOR = "[\\x20\\x09-\\x0D]"
+_SPLIT = _SEPARATOR + "+"
+_SYMBOL = "[#*$%&|<>]"
 
 #: Rules: a score per document that is higher for worse text, and cutoffs from mild to strict (reject at or above).
 RULES: dict[str, tuple[str, list[float]]] = {
@@ -28,6 +29,8 @@ RULES: dict[str, tuple[str, list[float]]] = {
 }
 #: Allowed share of good documents rejected per stratum by all rules together, and the chance to exceed it anywhere.
 RISK, ERROR = 0.02, 0.05
+#: Labelled ids up to which they are broadcast (8 bytes each, about 40 in a hash table); beyond, they are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def let(value: Column, body) -> Column:
@@ -43,19 +46,25 @@ def word_array(text: Column) -> Column:
 def repeated_words(words: Column) -> Column:
     """How many words lie in a window of three that occurs twice or more in the text.
 
-    Windows are hashed and sorted with their places, equal neighbours give the places, and
-    each place adds the words up to the next one, three at most.
+    Windows are hashed.  Only where some hash is there twice they are sorted with their
+    places: equal neighbours give the places, and each adds the words up to the next
+    one, three at most.
     """
 
-    def places(w: Column) -> Column:
-        n = F.size(w) - 2
-        hashed = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.xxhash64(w[i], w[i + 1], w[i + 2]).alias("h"), i.alias("i")))
-        return let(F.array_sort(hashed), lambda s: F.filter(F.transform(s, lambda x, k: F.when((F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"]), x["i"])), lambda p: p.isNotNull()))
+    def hashed(w: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2]))
+
+    def places(h: Column) -> Column:
+        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return let(pairs, lambda s: F.filter(F.transform(s, lambda x, k: F.when((F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"]), x["i"])), lambda p: p.isNotNull()))
 
     def covered(p: Column) -> Column:
         return F.aggregate(F.transform(p, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(p, k + 1) - x, F.lit(3)))), F.lit(0), lambda a, x: a + x)
 
-    return F.when(F.size(words) < 4, F.lit(0)).otherwise(let(F.array_sort(places(words)), covered)).cast("bigint")
+    def count(h: Column) -> Column:
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(let(F.sort_array(places(h)), covered))
+
+    return F.when(F.size(words) < 4, F.lit(0)).otherwise(let(hashed(words), count)).cast("bigint")
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -71,8 +80,8 @@ def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     out = docs.withColumns(
         {
             "_w": counts,
-            "word_chars": F.length(F.translate(text, _SEPARATORS, "")).cast("bigint"),
-            "n_symbols": (F.length(text) - F.length(F.translate(text, _SYMBOLS, ""))).cast("bigint"),
+            "word_chars": (F.length(text) - F.regexp_count(text, F.lit(_SEPARATOR))).cast("bigint"),
+            "n_symbols": F.regexp_count(text, F.lit(_SYMBOL)).cast("bigint"),
             "n_dup_lines": duplicate_lines(text),
         }
     )
@@ -98,12 +107,17 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k > n * F.lit(p), F.lit(1.0)).otherwise(F.exp(F.aggregate(few, start, add)["sum"]))
 
 
+def good_ids(labels: DataFrame) -> DataFrame:
+    """(_id) of the labelled documents that must not be rejected."""
+    return labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").alias("_id")).distinct()
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: float = RISK, error: float = ERROR, id_col: str = "doc_id") -> DataFrame:
     """(stratum, rule, cutoff): the strictest cutoff that the holdout supports; none if it supports none.
 
     All labelled rows that pass the base rules and are good (quality 1, not toxic) count.
     """
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").alias("_id")).distinct()
+    good = good_ids(labels)
     held = measured.where(~F.col("base_failed")).join(good, F.col(id_col) == F.col("_id"), "left_semi")
     rules = F.array(*[F.struct(F.lit(name).alias("rule"), F.col(name).alias("score"), F.array(*map(F.lit, cuts)).alias("cuts")) for name, (_, cuts) in RULES.items()])
     long = held.select(F.col(stratum).alias("stratum"), F.explode(rules).alias("r")).select("stratum", "r.rule", "r.cuts", F.size(F.filter("r.cuts", lambda c: F.col("r.score") < c)).alias("passed"))
@@ -146,14 +160,16 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str
     Strata without enough labels have no cutoffs.  Null and empty texts have no words and
     fail the base; null strata are a stratum; ids that are null have no label; labels of
     unknown ids are ignored; an empty table gives no rows; columns named like a
-    statistic or a rule are replaced.  Statistics of rows are taken twice, for the cutoffs and
-    for the verdict, so that texts are neither shuffled nor stored in between.
+    statistic or a rule are replaced.  Statistics of labelled good rows are taken twice, for the cutoffs
+    and for the verdict, so that texts are neither shuffled nor stored in between.
     """
     ensure_checkpoints(docs.sparkSession)
     docs = _without_own(docs, stratum, id_col, text_col)
-    measured = features(docs, text_col)
-    limits = cutoffs(measured.select(id_col, stratum, "base_failed", *RULES), labels, stratum, risk, error, id_col).checkpoint()
-    return verdicts(measured, limits, stratum).select(*docs.columns, *STATISTICS)
+    good = good_ids(labels).checkpoint()
+    good = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good.hint("shuffle_hash")
+    held = features(docs.join(good, F.col(id_col) == F.col("_id"), "left_semi").select(id_col, stratum, text_col), text_col).drop(text_col)
+    limits = cutoffs(held, labels, stratum, risk, error, id_col).checkpoint()
+    return verdicts(features(docs, text_col), limits, stratum).select(*docs.columns, *STATISTICS)
 
 
 def judge_narrow(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", text_col: str = "text", risk: float = RISK, error: float = ERROR) -> DataFrame:
