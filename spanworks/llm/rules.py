@@ -76,16 +76,16 @@ def duplicate_lines(text: Column) -> Column:
 def features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns with the text's statistics, ``base_failed`` and one score per rule."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    counts = let(word_array(text), lambda w: F.struct(F.size(w).cast("bigint").alias("n_words"), repeated_words(w).alias("n_repeat_words")))
-    out = docs.withColumns(
-        {
-            "_w": counts,
-            "word_chars": (F.length(text) - F.regexp_count(text, F.lit(_SEPARATOR))).cast("bigint"),
-            "n_symbols": F.regexp_count(text, F.lit(_SYMBOL)).cast("bigint"),
-            "n_dup_lines": duplicate_lines(text),
-        }
+    words = let(word_array(text), lambda w: F.struct(F.size(w).cast("bigint").alias("n_words"), repeated_words(w).alias("n_repeat_words")))
+    found = F.struct(
+        words.alias("words"),
+        (F.length(text) - F.regexp_count(text, F.lit(_SEPARATOR))).cast("bigint").alias("word_chars"),
+        F.regexp_count(text, F.lit(_SYMBOL)).cast("bigint").alias("n_symbols"),
+        duplicate_lines(text).alias("n_dup_lines"),
     )
-    out = out.withColumns({"n_words": F.col("_w.n_words"), "n_repeat_words": F.col("_w.n_repeat_words")}).drop("_w")
+    # exploding an array of one keeps later filters above the statistics, which would else be taken again for each of them
+    out = docs.select("*", F.explode(F.array(found)).alias("_w"))
+    out = out.withColumns({"n_words": F.col("_w.words.n_words"), "word_chars": F.col("_w.word_chars"), "n_symbols": F.col("_w.n_symbols"), "n_dup_lines": F.col("_w.n_dup_lines"), "n_repeat_words": F.col("_w.words.n_repeat_words")}).drop("_w")
     out = out.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     return out.withColumns({name: F.coalesce(F.try_divide(*[F.col(c).cast("double") for c in form.split(" / ")]), F.lit(0.0)) for name, (form, _) in RULES.items()})
 
