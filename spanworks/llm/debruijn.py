@@ -33,8 +33,8 @@ from spanworks.session import ensure_checkpoints, ship
 FILTER_BYTES, BITS_PER_KEY, PROBES = 64_000_000, 16, 3
 #: Minimiser occurrences that one group of the resolving step is planned for.
 GROUP_SEEDS = 32_768
-#: Texts handled together in a task.
-STEP = 2048
+#: Texts handled together in a task, and repeated edges after which it passes on what it has.
+STEP, TASK_EDGES = 1024, 1_000_000
 _NULL = -(2**63)
 
 
@@ -164,7 +164,7 @@ def repeated_paths(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
         repeated = shared.value
         for batch in batches:
             doc_ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            kept = []
+            kept, size = [], 0
             for at in range(0, batch.num_rows, STEP):
                 w = split_words(batch.column(2).slice(at, STEP))
                 edge, start, place, least = stretches(w, k)
@@ -175,20 +175,26 @@ def repeated_paths(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
                 edge, start, place, least = edge[may], start[may], place[may], least[may]
                 doc = np.searchsorted(w.first, start, side="right") - 1
                 kept.append((least, edge, doc_ids[at + doc], keys[at + doc], start - w.first[doc], place - w.first[doc]))
-            if not kept:
-                continue
-            least, edge, doc, text, start, place = (np.concatenate(x) for x in zip(*kept))
-            later, earliest = resolve(least, edge, doc, text, start)  # as a partial aggregate: a batch passes on one of each edge
-            found = _paths(doc, text, start, earliest, later, k)
-            home = (found[0] ^ found[1]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            yield _rows(bloom.segment_of(home, log_buckets), None, *found, None)
-            least, edge, doc, text, start, place = (x[~later] for x in (least, edge, doc, text, start, place))
-            new = np.ones(len(least), bool)
-            new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1)
-            at, n = _runs(new)
-            raw = edge.tobytes()
-            blobs = [raw[8 * a : 8 * (a + m)] for a, m in zip(at.tolist(), n.tolist())]
-            yield _rows(bloom.segment_of(least[at], log_buckets), least[at].view(np.int64), doc[at], text[at], start[at], start[at] + n - 1, None, None, None, blobs)
+                size += len(edge)
+                if size > TASK_EDGES:
+                    yield from passed_on(*(np.concatenate(x) for x in zip(*kept)))
+                    kept, size = [], 0
+            if size:
+                yield from passed_on(*(np.concatenate(x) for x in zip(*kept)))
+
+    def passed_on(least, edge, doc, text, start, place) -> Iterator[pa.RecordBatch]:
+        """As a partial aggregate: one of each edge, in stretches, and the paths of the others."""
+        later, earliest = resolve(least, edge, doc, text, start)
+        found = _paths(doc, text, start, earliest, later, k)
+        home = (found[0] ^ found[1]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        yield _rows(bloom.segment_of(home, log_buckets), None, *found, None)
+        least, edge, doc, text, start, place = (x[~later] for x in (least, edge, doc, text, start, place))
+        new = np.ones(len(least), bool)
+        new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1)
+        at, n = _runs(new)
+        raw = edge.tobytes()
+        blobs = [raw[8 * a : 8 * (a + m)] for a, m in zip(at.tolist(), n.tolist())]
+        yield _rows(bloom.segment_of(least[at], log_buckets), least[at].view(np.int64), doc[at], text[at], start[at], start[at] + n - 1, None, None, None, blobs)
 
     def settle(t: pa.Table) -> pa.Table:
         names = [x.split()[0] for x in _PATH.split(", ")]
