@@ -65,7 +65,7 @@ def now_standing(spark, d):
 @query
 def civil_windows(spark, d):
     """Nightly windows in civil time over five weeks from an order's date, both clock changes included."""
-    o = B.table(spark, d, "orders").where("o_orderkey % 50 = 0").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    o = B.table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
     lo = F.col("day").cast("timestamp") + F.expr("interval 3 hours")
     hi = lo + F.expr("interval 35 days")
     w = intervals.civil_windows(F.col("day"), F.lit("22:00"), F.lit("07:00"), lo, hi)
