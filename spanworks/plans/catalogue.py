@@ -566,7 +566,7 @@ def expanded_notices(spark, d):
     from spanworks.plans.resolve import demo_cases, resolve
 
     k = F.col("id")
-    c = demo_cases(spark, d).where("id % 8 = 0").withColumns({
+    c = demo_cases(spark, d).withColumns({
         "span": F.lit(3 * 86400.0 + 10 * 3600), "end_source": F.lit("scheduled_end_with_time"), "end_time": F.when(k % 3 == 0, "08:00").otherwise("07:00"), "end_date": F.date_format(F.col("start") + F.expr("interval 3 days"), "yyyy-MM-dd"),
         "recurrence": F.when(k % 5 != 0, "daily"), "window_open": F.lit("22:00"), "window_close": F.lit("07:00"), "window_first": F.date_format("start", "yyyy-MM-dd"), "reference_num": F.concat(F.lit("E"), k.cast("string")),
     })
