@@ -17,7 +17,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanworks.llm.rules import word_array
@@ -28,6 +28,8 @@ from spanworks.session import ensure_checkpoints
 ENTROPY_SHARE, MAX_REPEAT, BLOCK_TOKENS = 0.95, 4.0, 1 << 20
 #: Sources up to which their table is broadcast (about 50 bytes a row); beyond, it is joined by a shuffle.
 BROADCAST_ROWS = 200_000
+#: Blocks to a partition of the mixed documents at most, where the session asks for fewer partitions.
+PARTITION_BLOCKS = 8
 #: Exponents tried at once in a round, and rounds: each narrows the bracket by as many.
 SECTIONS, ROUNDS = 32, 5
 
@@ -109,6 +111,17 @@ def _turn(seed: int):
     return F.xxhash64(F.lit(seed), "epoch", "doc_id", "key")
 
 
+def _placed(rows: DataFrame, mix: Mix, block_tokens: int, seed: int) -> tuple[DataFrame, int]:
+    """Each reading of a document with ``epoch``, ``turn`` (its hash there), ``at`` and ``block``; and the number of blocks."""
+    parts = max(1, math.ceil(mix.budget / block_tokens))
+    last = F.col("full") - F.when(F.col("rest") > 0, 0).otherwise(1)
+    read = _beside(rows, mix.sources).where(last >= 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn("turn", _turn(seed))
+    placed = running(read, ["source", "epoch"], ["turn", "doc_id"], {"at": F.col("tokens")}, number=None).where("epoch < full or at < rest")
+    stream = F.col("epoch") * F.col("n") + F.col("at")
+    block = F.least(F.floor(F.when(F.col("budget") > 0, stream / F.col("budget")).otherwise(0) * parts), F.lit(parts - 1)).cast("bigint")
+    return placed.withColumn("block", block), parts
+
+
 def blocks(docs: DataFrame, entropy_share: float = ENTROPY_SHARE, max_repeat: float = MAX_REPEAT, budget: float | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix as rows: doc_id, source, tokens, epoch, block, slot (from 0 in each block), weight.
 
@@ -119,33 +132,42 @@ def blocks(docs: DataFrame, entropy_share: float = ENTROPY_SHARE, max_repeat: fl
     ensure_checkpoints(docs.sparkSession)
     rows = sized(docs, id_col, text_col, source_col).checkpoint()
     mix = find_mix(rows, entropy_share, max_repeat, budget)
-    parts = max(1, math.ceil(mix.budget / block_tokens))
-    last = F.col("full") - F.when(F.col("rest") > 0, 0).otherwise(1)
-    read = _beside(rows, mix.sources).where(last >= 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn("turn", _turn(seed))
-    placed = running(read, ["source", "epoch"], ["turn", "doc_id"], {"at": F.col("tokens")}, number=None).where("epoch < full or at < rest")
-    stream = F.col("epoch") * F.col("n") + F.col("at")
-    block = F.least(F.floor(F.when(F.col("budget") > 0, stream / F.col("budget")).otherwise(0) * parts), F.lit(parts - 1)).cast("bigint")
-    placed = placed.withColumn("block", block).withColumn("order", F.xxhash64(F.lit(seed), "block", "turn"))
-    placed = placed.select("doc_id", "source", "tokens", "epoch", "block", "weight", "order", "at")
+    placed, _ = _placed(rows, mix, block_tokens, seed)
+    placed = placed.withColumn("order", F.xxhash64(F.lit(seed), "block", "turn")).select("doc_id", "source", "tokens", "epoch", "block", "weight", "order", "at")
     return running(placed, ["block"], ["order", "source", "doc_id", "epoch", "at"], number="slot").select("doc_id", "source", "tokens", "epoch", "block", "slot", "weight")
 
 
-def mixed_documents(docs: DataFrame, entropy_share: float = ENTROPY_SHARE, max_repeat: float = MAX_REPEAT, budget: float | None = None, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """All columns of the documents, each as often as the mix reads it.
+def mixed_documents(docs: DataFrame, entropy_share: float = ENTROPY_SHARE, max_repeat: float = MAX_REPEAT, budget: float | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """All columns of the documents, each as often as the mix reads it, in the order of :func:`blocks`.
 
-    The last epoch of a source takes the documents whose hash is up to a border, found from
-    running sums without the texts, so that texts are not shuffled.
+    A block is a range of hashes in each epoch of a source.  The ranges are found without the
+    texts and laid beside the documents by hash; then the texts are shuffled once, into
+    partitions that follow the blocks, and sorted there.
     """
-    ensure_checkpoints(docs.sparkSession)
+    spark = docs.sparkSession
+    ensure_checkpoints(spark)
     rows = sized(docs, id_col, text_col, source_col).checkpoint()
     mix = find_mix(rows, entropy_share, max_repeat, budget)
-    part = _beside(rows, mix.sources).where("rest > 0").withColumn("epoch", F.col("full")).withColumn("turn", _turn(seed))
-    taken = running(part.select("source", "turn", "tokens", "rest"), ["source"], ["turn"], {"at": F.col("tokens")}, number=None).where("at < rest")
-    border = taken.groupBy("source").agg(F.max("turn").alias("_to"))
-    ways = mix.sources.join(border.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").select(F.col("source").alias("_source"), F.col("full").alias("_full"), "_to")
-    if mix.sources.count() <= BROADCAST_ROWS:
-        ways = F.broadcast(ways)
-    own = docs.join(ways, docs[source_col].eqNullSafe(ways["_source"]))
-    turn = F.xxhash64(F.lit(seed), F.col("_full"), F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    times = F.col("_full") + F.when(turn <= F.col("_to"), 1).otherwise(0)
-    return own.withColumn("_times", times).where("_times > 0").withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).select(*docs.columns)
+    placed, parts = _placed(rows, mix, block_tokens, seed)
+    found = placed.groupBy("source", "epoch", "block").agg(F.min("turn").alias("_from"), F.max("turn").alias("_to")).checkpoint()
+    # a hash finds its range by its leading bits: about as many values as the source has blocks
+    bits = found.groupBy("source", "epoch").count().groupBy("source").agg(F.max("epoch").alias("_last"), F.greatest(F.lit(1), F.ceil(F.log2(F.max("count")))).cast("int").alias("_bits")).checkpoint()
+    cell = lambda x: F.expr(f"shiftright({x}, 64 - _bits)")
+    ranges = found.withColumn("_next", F.lead("_from").over(Window.partitionBy("source", "epoch").orderBy("block")))
+    ranges = _beside(ranges, bits.drop("_last")).withColumn("_cell", F.explode(F.sequence(cell("_from"), cell("coalesce(_next, _to)"))))
+    ranges = ranges.select(F.col("source").alias("_of"), F.col("epoch").alias("_in"), "_cell", F.col("block").alias("_block"), "_from", "_to", "_next").checkpoint()
+    few = ranges.count() <= BROADCAST_ROWS
+
+    own = docs.withColumns({"_source": F.col(source_col), "_key": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
+    ways = bits.withColumnRenamed("source", "_s")
+    own = own.join(F.broadcast(ways) if few else ways, F.col("_source").eqNullSafe(F.col("_s")))
+    own = own.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_last")))).withColumn("_turn", F.xxhash64(F.lit(seed), F.col("_epoch"), F.col(id_col), F.col("_key")))
+    own = own.withColumn("_own_cell", cell("_turn"))
+    inside = (F.col("_turn") >= F.col("_from")) & F.when(F.col("_next").isNull(), F.col("_turn") <= F.col("_to")).otherwise(F.col("_turn") < F.col("_next"))
+    same = F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_epoch") == F.col("_in")) & (F.col("_own_cell") == F.col("_cell"))
+    own = own.join(F.broadcast(ranges) if few else ranges, same & inside).withColumn("_order", F.xxhash64(F.lit(seed), F.col("_block"), F.col("_turn")))
+    # the place in the mix, from 0 to 1, grows with block and order
+    into = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts // PARTITION_BLOCKS)
+    place = (F.col("_block") + F.col("_order") / F.lit(2.0**64) + 0.5) / parts
+    own = own.repartitionById(into, F.least(F.floor(place * into), F.lit(into - 1)).cast("int"))
+    return own.sortWithinPartitions("_block", "_order", "_source", id_col, "_epoch").select(*docs.columns)
