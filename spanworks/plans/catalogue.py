@@ -592,7 +592,7 @@ def resolved_notices(spark, d):
 
 @query
 def streamed_windows(spark, d):
-    """Events as a stream: tumbling hours with a watermark, read back when the stream has caught up."""
-    from spanworks.streaming.windows import hourly_counts
+    """Events as a stream: tumbling days with a watermark, read back when the stream has caught up."""
+    from spanworks.streaming.windows import daily_counts
 
-    return hourly_counts(spark, f"{d}/events.parquet")
+    return daily_counts(spark, f"{d}/events.parquet")

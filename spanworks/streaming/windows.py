@@ -17,8 +17,8 @@ def tumbling(events: DataFrame, at: str = "ts", keys: tuple[str, ...] = ("event_
     return t.groupBy(F.window("_at", size).alias("w"), *keys).agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
-def hourly_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Run :func:`tumbling` over a folder or file until it has caught up, and read the sink."""
+def daily_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Run :func:`tumbling` with windows of a day over a folder or file until it has caught up, and read the sink."""
     schema = spark.read.parquet(path).schema
     base = f"{ensure_checkpoints(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     q = (
