@@ -60,7 +60,8 @@ STAGES = [
     ("encode_pieces", encode_pieces),
 ]
 
-#: MinHash, running sums in an order of hashes, and SentencePiece have no SQL form; tests hold the run against brute force.
+#: MinHash, running sums in an order of hashes, and SentencePiece have no SQL form.  Tests check columns, row counts, that
+#: no text repeats after the near-duplicate stage, and the mix's order; no test holds the whole run against brute force.
 ORACLE_SQL = None
 
 
