@@ -9,6 +9,8 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+#: Bytes of an Arrow batch that goes to a Python worker, unless the session has set its own.
+BATCH_BYTES, _BATCH_KEY = 8 << 20, "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def build_session(app: str = "spanworks", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,7 +49,10 @@ def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once per application.
 
     The zip goes through Spark's own file server, so executors need no shared folder.
+    Arrow batches are cut by bytes as well, so that long texts don't fill a worker.
     """
+    if spark.sparkContext.getConf().get(_BATCH_KEY) is None:
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
