@@ -26,15 +26,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanworks.llm import bloom
-from spanworks.llm.tokens import Words, split_words, windows
+from spanworks.llm.tokens import Words, split_words, steps, windows
 from spanworks.session import ensure_checkpoints, ship
 
 #: Largest filter of repeated minimisers in bytes, and bits for each while it fits.
 FILTER_BYTES, BITS_PER_KEY, PROBES = 64_000_000, 16, 3
 #: Minimiser occurrences that one group of the resolving step is planned for.
 GROUP_SEEDS = 32_768
-#: Texts handled together in a task, and repeated edges after which it passes on what it has.
-STEP, TASK_EDGES = 1024, 1_000_000
+#: Repeated edges after which a task passes on what it has.
+TASK_EDGES = 500_000
 _NULL = -(2**63)
 
 
@@ -115,8 +115,8 @@ def repeated_seeds(docs: DataFrame, k: int, text_col: str = "text") -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
-            for at in range(0, batch.num_rows, STEP):
-                w = split_words(batch.column(0).slice(at, STEP))
+            for _, b in steps(batch, 0):
+                w = split_words(b.column(0))
                 _, _, place, least = stretches(w, k)
                 new = np.ones(len(place), bool)
                 new[1:] = place[1:] != place[:-1]
@@ -165,8 +165,8 @@ def repeated_paths(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
         for batch in batches:
             doc_ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             kept, size = [], 0
-            for at in range(0, batch.num_rows, STEP):
-                w = split_words(batch.column(2).slice(at, STEP))
+            for at, b in steps(batch, 2):
+                w = split_words(b.column(2))
                 edge, start, place, least = stretches(w, k)
                 new = np.ones(len(place), bool)
                 new[1:] = place[1:] != place[:-1]
@@ -241,8 +241,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, STEP):
-                b = batch.slice(at, STEP)
+            for _, b in steps(batch, len(keep)):
                 raw, spans = b.column(len(keep)), b.column(len(keep) + 1)
                 w = split_words(raw, hashed=False)
                 owner = np.repeat(np.arange(b.num_rows), np.asarray(spans.value_lengths().fill_null(0)))

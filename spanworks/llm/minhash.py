@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanworks.llm.tokens import mix, split_words, windows
+from spanworks.llm.tokens import mix, split_words, steps, windows
 from spanworks.session import ensure_checkpoints, ship
 
 #: Words of a shingle; bands and minima per band: a pair at 0.75 is missed in 5 of a million cases.
@@ -27,7 +27,7 @@ SIGNATURE_SHARE = 0.57
 SMALL_BAND = 64
 #: Ids up to which a set of documents is broadcast (8 bytes each, about 40 in a hash table).
 BROADCAST_ROWS = 1_000_000
-#: Texts handled together in a task.
+#: Classes whose band keys a task makes at once.
 STEP = 512
 
 _RNG = np.random.default_rng(20240229)
@@ -71,8 +71,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, STEP):
-                b = batch.slice(at, STEP)
+            for _, b in steps(batch, 1):
                 sets = shingle_sets(b.column(1))
                 keys = [np.array([mix(s).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(s ^ np.uint64(77)), initial=len(s))], np.uint64).tobytes() for s in sets]
                 sigs = [signature(s).tobytes() for s in sets]
@@ -126,8 +125,7 @@ def sets_of(ids: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, STEP):
-                b = batch.slice(at, STEP)
+            for _, b in steps(batch, 1):
                 yield pa.record_batch([b.column(0), pa.array([s.tobytes() for s in shingle_sets(b.column(1))], pa.binary())], ["doc", "set"])
 
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))

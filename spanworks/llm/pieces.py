@@ -20,14 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanworks.llm.tokens import steps
 from spanworks.session import ensure_checkpoints, ship
 
 #: Chunks in the broadcast table, and the longest of these in characters: at most about 60 MB.
 TABLE_ROWS, TABLE_CHARS = 200_000, 32
 #: Chunks and characters that one task keeps for itself.
-TASK_ROWS, TASK_CHARS = 200_000, 8_000_000
+TASK_ROWS, TASK_CHARS = 100_000, 4_000_000
 #: Distinct chunks counted before a task passes its counts on.
-COUNT_ROWS = 250_000
+COUNT_ROWS = 100_000
 
 MARK = "▁"
 _CHUNK = re.compile(r"\n|[ ▁]*[^ ▁\n]+|[ ▁]+")
@@ -106,8 +107,8 @@ def frequent_chunks(docs: DataFrame, model: str, text_col: str = "text") -> Data
             return pa.record_batch([pa.array(list(seen.keys()), pa.string()), pa.array(list(seen.values()), pa.int64())], ["chunk", "n"])
 
         for b in batches:
-            for t in b.column(0).to_pylist():
-                seen.update(c for c in chunks(t or "") if len(c) <= TABLE_CHARS)
+            for t in b.column(0):
+                seen.update(c for c in chunks(t.as_py() or "") if len(c) <= TABLE_CHARS)
                 if len(seen) > COUNT_ROWS:
                     yield out()
                     seen.clear()
@@ -150,8 +151,7 @@ def encode_decode(docs: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id"
         sp = seg.sp
         bos, eos = packed([sp.bos_id()]), packed([sp.eos_id()])
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                b = batch.slice(at, 512)
+            for _, b in steps(batch, len(keep), 1_000_000):
                 coded = [bos + x + eos for x in seg.encode([t or "" for t in b.column(len(keep)).to_pylist()])]
                 text = sp.decode([memoryview(x).cast("I").tolist() for x in coded], num_threads=1)
                 yield pa.record_batch([*(b.column(i) for i in range(len(keep))), pa.array(coded, pa.binary()), pa.array(text, pa.string())], [*keep, "ids", "decoded"])

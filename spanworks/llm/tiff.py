@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanworks.llm.tokens import steps
 from spanworks.session import ship
 
 #: Bytes of samples after which a task passes its rows on.
-BATCH_BYTES = 16_000_000
+BATCH_BYTES = 4_000_000
 #: Payload row, rows of a strip, edge of a tile, rows of a page.
 WIDTH, STRIP_ROWS, TILE, PAGE_ROWS = 192, 32, 64, 256
 
@@ -241,8 +242,7 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                b = batch.slice(at, 256)
+            for _, b in steps(batch, 1, 2_000_000):
                 raw = [x or b"" for x in b.column(1).to_pylist()]
                 media = [write_tiff(x + b" " * (-len(x) % WIDTH if x else WIDTH)) for x in raw]
                 yield pa.record_batch([b.column(0), pa.array(map(len, raw), pa.int64()), pa.array(media, pa.binary())], [id_col, "n_bytes", "media"])

@@ -9,10 +9,15 @@ never one call per word.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Bytes of text that a task works on at once.  Its arrays take about twenty times as much.
+STEP_BYTES = 4_000_000
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _PRIME = np.uint64(0x100000001B3)
@@ -39,6 +44,20 @@ def mix_int(x: int) -> int:
     return int(mix(np.array([x & 0xFFFFFFFFFFFFFFFF], dtype=np.uint64))[0])
 
 
+def steps(batch: pa.RecordBatch, column: int, limit: int | None = None, rows: int = 4096) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Slices of a batch, each with its first row, that hold at most ``limit`` bytes in ``column``.
+
+    A row that is larger than the limit is a slice of its own; no slice has more than ``rows`` rows.
+    """
+    limit = STEP_BYTES if limit is None else limit
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at, done = 0, 0
+    while at < batch.num_rows:
+        to = min(max(at + 1, int(np.searchsorted(ends, done + limit, side="right"))), at + rows, batch.num_rows)
+        yield at, batch.slice(at, to - at)
+        at, done = to, int(ends[to - 1])
+
+
 @dataclass
 class Words:
     """The words of a batch: byte ranges in ``buf``, hashes, and ``first[i]:first[i+1]`` per text."""
