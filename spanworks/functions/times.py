@@ -40,9 +40,13 @@ def span_seconds(start: Column, source: Column, date: Column, time: Column, zone
     return F.when(~F.coalesce(source, F.lit("not_found")).isin("not_found", "lifted_immediate") & (span >= 0), span)
 
 
+def calendar_date(year: Column, month: Column, day: Column) -> Column:
+    """The date of three numbers, null if the calendar has none."""
+    return F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day), "yyyy-MM-dd")
+
+
 def nearest_year(day: Column, month: Column, near: Column) -> Column:
     """The date of a day and month in the year that brings it nearest to ``near``; ties go to the earlier one."""
-    dates = F.array(*[F.struct(F.abs(F.datediff(d, near)).alias("far"), d.alias("d")) for d in (F.try_make_date(F.year(near) + k, month, day) for k in (-1, 0, 1))]) if hasattr(F, "try_make_date") else F.array(
-        *[F.struct(F.abs(F.datediff(d, near)).alias("far"), d.alias("d")) for d in (F.try_to_date(F.format_string("%04d-%02d-%02d", F.year(near) + k, month, day)) for k in (-1, 0, 1))]
-    )
+    years = F.array(*[F.year(near) + k for k in (-1, 0, 1)])
+    dates = F.transform(years, lambda y: F.struct(F.abs(F.datediff(calendar_date(y, month, day), near)).alias("far"), calendar_date(y, month, day).alias("d")))
     return F.array_min(F.filter(dates, lambda x: x["d"].isNotNull()))["d"]

@@ -447,7 +447,7 @@ def template_extract(spark, d):
         .when(k == 4, F.lit("Until further notice"))
         .otherwise(F.concat(F.lit("Works until 13pm on "), at))
     )
-    return extract_ends(o.select("o_orderkey", F.date_format("day", "yyyy-MM-dd").alias("start_date"), body.alias("description")), "o_orderkey").select("o_orderkey", "end_source", "local_date", "local_time")
+    return extract_ends(o.select("o_orderkey", F.date_format("day", "yyyy-MM-dd").alias("start_date"), body.alias("description"))).select("o_orderkey", "end_source", "local_date", "local_time")
 
 
 @query
