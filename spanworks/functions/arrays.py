@@ -15,4 +15,4 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def lookup(table: dict, key: Column) -> Column:
     """A small fixed table as an expression; null for other keys."""
-    return F.create_map(*[F.lit(x) for kv in table.items() for x in kv])[key]
+    return F.expr("map(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for kv in table.items() for x in kv) + ")")[key]

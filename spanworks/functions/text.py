@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Wording that announces a window repeating over a range of dates, and
-# words that say nothing about which supply scheme is meant.
-RECURRENCE = r"\b(daily|nightly|each night|every night|each day|overnight from|overnight between)\b"
-PRESSURE = r"\b(low|reduced)\s+(water\s+)?pressure\b"
+# Wording that announces a window repeating over a range of dates, wording that
+# announces low pressure and no loss of supply, and words that say nothing about which supply scheme is meant.
+RECURRENCE = r"\b(daily|nightly|each night|every night|each day|overnight (?:from|between))\b"
+PRESSURE_ONLY = ["may cause low pressure to", "may cause severe low pressure to"]
 SCHEME_NOISE = ["public", "water", "supply", "scheme", "regional", "pws", "the"]
 
 
@@ -36,8 +36,9 @@ def describes_recurrence(text: Column) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "<[^>]+>", " ").rlike(RECURRENCE)
 
 
-def mentions_pressure(text: Column) -> Column:
-    return F.lower(F.coalesce(text, F.lit(""))).rlike(PRESSURE)
+def only_pressure(text: Column) -> Column:
+    """Whether a text announces low pressure alone; one that announces disruptions as well doesn't count."""
+    return F.lower(F.coalesce(text, F.lit(""))).rlike("|".join(rf"{x}\b" for x in PRESSURE_ONLY))
 
 
 def title_case(c: Column) -> Column:
@@ -58,19 +59,25 @@ def text_hash(c: Column) -> Column:
 def time_spellings(t: Column) -> Column:
     """Ways in which a text can write an HH:MM time, in lower case."""
     hour, minute = F.substring(t, 1, 2).cast("int"), F.substring(t, 4, 2)
-    half = F.when(hour < 12, "am").otherwise("pm")
     twelve = F.when(hour % 12 == 0, 12).otherwise(hour % 12).cast("string")
-    full = [F.concat(twelve, sep, minute, gap, half) for sep in (F.lit(":"), F.lit(".")) for gap in (F.lit(""), F.lit(" "))]
-    short = [F.when(minute == "00", F.concat(twelve, gap, half)) for gap in (F.lit(""), F.lit(" "))]
-    word = F.when(t == "12:00", "midday").when(t == "00:00", "midnight")
-    return F.filter(F.array(t, *full, *short, word, F.when(t == "12:00", "noon")), lambda x: x.isNotNull())
+    half = F.when(hour < 12, "am").otherwise("pm")
+    bare = F.when(minute == "00", F.array(twelve)).otherwise(F.array().cast("array<string>"))
+    stems = F.concat(bare, F.array(F.concat(twelve, F.lit(":"), minute), F.concat(twelve, F.lit("."), minute)))
+    halves = F.flatten(F.transform(stems, lambda x: F.array(F.concat(x, half), F.concat(x, F.lit(" "), half))))
+    return F.concat(F.array(F.left(t, F.lit(5)), F.concat(hour.cast("string"), F.lit(":"), minute)), halves)
+
+
+def ordinal(day: Column) -> Column:
+    """The ending of a day's number: st, nd, rd or th."""
+    return F.when(day.between(11, 13), "th").when(day % 10 == 1, "st").when(day % 10 == 2, "nd").when(day % 10 == 3, "rd").otherwise("th")
 
 
 def date_spellings(d: Column) -> Column:
     """Ways in which a text can write a date, in lower case."""
-    day, month = F.dayofmonth(d).cast("string"), F.lower(F.date_format(d, "MMMM"))
-    padded = F.date_format(d, "dd")
-    return F.array(F.date_format(d, "dd/MM/yyyy"), F.concat(day, F.lit(" "), month), F.concat(padded, F.lit(" "), month), F.concat(day, F.lit("th "), month), F.concat(day, F.lit(" "), F.substring(month, 1, 3)))
+    day, month = F.dayofmonth(d), F.lower(F.date_format(d, "MMMM"))
+    n, said = day.cast("string"), F.concat(day.cast("string"), ordinal(day))
+    spelled = [F.concat(n, F.lit(" "), month), F.concat(F.date_format(d, "dd"), F.lit(" "), month), F.concat(n, F.lit(" "), F.left(month, F.lit(3))), F.concat(said, F.lit(" "), month), F.concat(said, F.lit(" of "), month)]
+    return F.array(*spelled, *[F.date_format(d, form) for form in ("d/MM", "dd/MM", "d/M", "d-MM", "dd-MM")])
 
 
 def quotes(text: Column, spellings: Column) -> Column:

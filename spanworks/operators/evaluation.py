@@ -13,7 +13,7 @@ def accuracy(df: DataFrame, by: str, verdict: str) -> DataFrame:
     one = lambda v: F.count_if(F.col(verdict) == v)
     out = df.rollup(by).agg(F.count("*").alias("n"), one("correct").alias("correct"), one("incorrect").alias("incorrect"), one("abstain").alias("abstained"), F.grouping(by).alias("_g"))
     judged = F.col("correct") + F.col("incorrect")
-    return out.select(F.when(F.col("_g") == 1, "TOTAL").otherwise(F.col(by)).alias(by), "n", "correct", "incorrect", "abstained", F.round(F.try_divide(100.0 * F.col("correct"), judged), 2).alias("accuracy"))
+    return out.select(F.when(F.col("_g") == 1, "TOTAL").otherwise(F.col(by)).alias(by), "n", "correct", "incorrect", "abstained", F.bround(F.try_divide(100.0 * F.col("correct"), judged), 2).alias("accuracy"))
 
 
 def agreement(df: DataFrame, by: str, kind: str, kinds: list[str]) -> DataFrame:
@@ -68,7 +68,7 @@ def consequential(events: DataFrame, months: DataFrame, keys: list[str]) -> Data
     down = (F.col("plain_sev") == "outage") & (F.col("sev") == "degraded")
     missed = (F.col("sev") == "outage") & F.col("says_recurring")
     out = events.where(down | missed).withColumn("effect", F.when(down, "downgraded").otherwise("charged"))
-    return out.join(lost, keys, "left").withColumn("person_h", F.round(F.coalesce("_h", F.lit(0.0))).cast("bigint")).drop("_h")
+    return out.join(lost, keys, "left").withColumn("person_h", F.bround(F.coalesce("_h", F.lit(0.0))).cast("bigint")).drop("_h")
 
 
 def recurrence_counts(cases: DataFrame) -> DataFrame:

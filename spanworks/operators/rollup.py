@@ -39,7 +39,7 @@ def graded(table: DataFrame, since_us: int, now_us: int) -> DataFrame:
     out = with_month_bounds(table)
     period = F.greatest(F.least(F.col("hi"), F.lit(now_us)) - F.greatest(F.col("lo"), F.lit(since_us)), F.lit(1_000_000))
     raw = 100.0 * (1 - F.col("person_us").cast("double") / (F.col("population").cast("double") * period))
-    return out.withColumns({"availability": F.round(F.greatest(raw, F.lit(0.0)), 3), "grade": grade(raw)}).drop("lo", "hi")
+    return out.withColumns({"availability": F.bround(F.greatest(raw, F.lit(0.0)), 3), "grade": grade(raw)}).drop("lo", "hi")
 
 
 def full_months(table: DataFrame, regions: DataFrame, region: str, months: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def day_status(events: DataFrame, people: DataFrame, region: str, population: Da
     per = day_slices(events).select(*keys, "day").distinct().join(people, keys, "left").withColumn("rank", rank(F.col("sev")))
     by = per.groupBy(region, "day", "rank").agg(F.sum(F.coalesce("people", F.lit(0))).alias("people"))
     worst = by.groupBy(region, "day").agg(F.min(F.struct("rank", "people")).alias("w")).select(region, "day", "w.rank", "w.people")
-    return worst.join(population, region).select(region, "day", named(F.col("rank")).alias("sev"), F.round(F.least(F.lit(100.0), 100.0 * F.col("people") / F.col("population")), 1).alias("pct"))
+    return worst.join(population, region).select(region, "day", named(F.col("rank")).alias("sev"), F.bround(F.least(F.lit(100.0), 100.0 * F.col("people") / F.col("population")), 1).alias("pct"))
 
 
 def top_events(per_month: DataFrame, k: int, by: Column, tie: list[str]) -> DataFrame:

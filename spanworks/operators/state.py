@@ -9,16 +9,18 @@ from pyspark.sql import types as T
 OPEN = "Open"
 
 
-def upsert(old: DataFrame, new: DataFrame, now: Column, key: str = "id", status: str = "status", start: str = "start_date") -> DataFrame:
+def upsert(old: DataFrame, new: DataFrame, now: Column, key: str = "id", status: str = "status", start: str = "start_date", order: str | None = None) -> DataFrame:
     """Merge a batch into an archive by key and stamp transitions.
 
     Fed columns are those of ``new``; the stamps are first_seen, last_seen, closed_at and
     first_start_date.  Rows absent from the batch stay as they are.  A reopened row loses
     closed_at, an open row that is open no more gets ``now``; a null status counts as closed.
-    The last of several batch rows of a key counts, in the order of their columns.
+    The last of several batch rows of a key counts: that with the largest ``order``, a column beside the fed ones, else
+    the last in the order of the batch's partitions and rows.
     """
-    fed = [c for c in new.columns if c != key]
-    batch = new.groupBy(key).agg(F.max(F.struct(*fed)).alias("_new"))
+    fed = [c for c in new.columns if c not in (key, order)]
+    place = F.monotonically_increasing_id() if order is None else F.col(order)
+    batch = new.withColumn("_place", place).groupBy(key).agg(F.max_by(F.struct(*fed), "_place").alias("_new"))
     stamps = ["first_seen", "last_seen", "closed_at", "first_start_date"]
     past = old.select(key, F.struct(*[c for c in old.columns if c != key]).alias("_old"))
     both = past.join(batch, key, "full_outer")

@@ -23,7 +23,7 @@ def tier_medians(df: DataFrame, keys: list[str], hours: str = "hours", tier: str
     """Medians of observed, scheduled, and observed with imputed spans, and each tier's count."""
     one = lambda *t: F.when(F.col(tier).isin(*t), F.col(hours))
     return df.groupBy(*keys).agg(
-        F.round(F.median(one("observed")), 1).alias("median_observed"), F.count(one("observed")).alias("observed_n"),
-        F.round(F.median(one("scheduled")), 1).alias("median_scheduled"), F.count(one("scheduled")).alias("scheduled_n"),
-        F.round(F.median(one("observed", "imputed")), 1).alias("median_pooled"), F.count(one("imputed")).alias("imputed_n"),
+        F.bround(F.median(one("observed")), 1).alias("median_observed"), F.count(one("observed")).alias("observed_n"),
+        F.bround(F.median(one("scheduled")), 1).alias("median_scheduled"), F.count(one("scheduled")).alias("scheduled_n"),
+        F.bround(F.median(one("observed", "imputed")), 1).alias("median_pooled"), F.count(one("imputed")).alias("imputed_n"),
     )

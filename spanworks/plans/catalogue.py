@@ -58,7 +58,9 @@ def month_axis(spark, d):
 
 @query
 def now_standing(spark, d):
-    n = B.notices(spark, d).where(severity.marks_health(F.lit("boil_notice_issued")))
+    """Health notices that stand at a moment, its end included."""
+    of = F.when(F.col("category") == "signup", "boil_notice_issued").when(F.col("category") == "error", "burst_main").otherwise("other")
+    n = B.notices(spark, d).where(severity.marks_health(of))
     return n.groupBy("region").agg(F.count_if(intervals.in_force(F.col("s"), F.col("e"), F.lit(B.NOW_US))).alias("standing"))
 
 
@@ -120,7 +122,7 @@ def clear_days(spark, d):
 @query
 def top_events(spark, d):
     per = intervals.month_slices(_events(spark, d).where("sev = 'outage'")).groupBy(*EVENT, "month").agg(F.sum("us").alias("us")).join(_people(spark, d), EVENT)
-    per = per.withColumn("person_h", F.round(F.col("us") * F.col("people") / 3.6e9).cast("bigint")).where("people > 0")
+    per = per.withColumn("person_h", F.bround(F.col("us") * F.col("people") / 3.6e9).cast("bigint")).where("people > 0")
     return rollup.top_events(per, 10, F.col("person_h"), ["region", "ref"]).select(F.date_format("month", "yyyy-MM").alias("month"), "place", "region", "ref", "person_h", "people")
 
 
@@ -302,14 +304,19 @@ def _versions(spark, d):
     return o.select(F.col("o_custkey").alias("id"), status.alias("status"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"), F.col("o_orderkey").alias("k"), F.year("o_orderdate").alias("y"))
 
 
+#: The years of the orders, each a batch.
+YEARS = range(1995, 2002)
+
+
 @query
 def upsert_state(spark, d):
+    """Years of orders merged one after the other; of several orders of a year the one with the largest key counts."""
     v = _versions(spark, d)
     last = Window.partitionBy("id", "y").orderBy(F.desc("k"))
     one = v.withColumn("r", F.row_number().over(last)).where("r = 1").drop("r")
-    archive = one.where("y = 1995").select("id", "status", "start_date", F.lit("1995").alias("first_seen"), F.lit("1995").alias("last_seen"), F.lit(None).cast("string").alias("closed_at"), F.col("start_date").alias("first_start_date"))
-    for y in (1996, 1997):
-        archive = state.upsert(archive, one.where(F.col("y") == y).select("id", "status", "start_date"), F.lit(str(y)))
+    archive = one.where(F.col("y") == YEARS[0]).select("id", "status", "start_date", F.lit(str(YEARS[0])).alias("first_seen"), F.lit(str(YEARS[0])).alias("last_seen"), F.lit(None).cast("string").alias("closed_at"), F.col("start_date").alias("first_start_date"))
+    for y in YEARS[1:]:
+        archive = state.upsert(archive, v.where(F.col("y") == y).select("id", "status", "start_date", "k"), F.lit(str(y)), order="k")
     return archive
 
 
@@ -417,17 +424,26 @@ def text_hash_dedup(spark, d):
 @query
 def recurrence_text(spark, d):
     c = B.table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("Works <b>take place</b> "), F.get(F.array(*map(F.lit, ["daily", "Nightly", "each <i>night</i>", "each  day", "every night", "dailyx", "overnight from 10pm", "once"])), (F.col("o_orderkey") % 8).cast("int"))).alias("t"))
-    return c.select("o_orderkey", text.describes_recurrence(F.col("t")).alias("recurring"), text.mentions_pressure(F.concat("t", F.lit(" with Low Pressure"))).alias("pressure"))
+    pressure = ["This May cause low pressure to Anytown", "may cause severe low pressure to Anytown", "may cause low pressure and supply disruptions to Anytown", "may cause low pressure together with", "low pressure", "may cause supply disruptions to Anytown"]
+    said = F.concat("t", F.lit(" "), F.get(F.array(*map(F.lit, pressure)), (F.col("o_orderkey") % 6).cast("int")))
+    return c.select("o_orderkey", text.describes_recurrence(F.col("t")).alias("recurring"), text.only_pressure(said).alias("pressure"))
 
 
 @query
 def quotable(spark, d):
     """Whether a text writes the time and the date that an answer claims."""
-    o = B.table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"), F.format_string("%02d:%02d", (F.col("o_orderkey") % 24).cast("int"), (F.col("o_orderkey") % 2 * 30).cast("int")).alias("t"))
-    said = F.concat(F.lit("<p>Until "), F.date_format(F.concat(F.lit("2000-01-01 "), F.col("t")).cast("timestamp"), "h:mma"), F.lit(" on "), F.when(F.col("o_orderkey") % 3 == 0, F.date_format("day", "dd/MM/yyyy")).otherwise(F.date_format("day", "d MMMM")), F.lit("</p>"))
-    o = o.withColumn("said", said)
-    other = F.when(F.col("o_orderkey") % 5 == 0, "03:15").otherwise(F.col("t"))
-    return o.select("o_orderkey", text.quotes(F.col("said"), text.time_spellings(other)).alias("time_said"), text.quotes(F.col("said"), text.date_spellings(F.col("day"))).alias("date_said"))
+    k, day = F.col("o_orderkey"), F.col("day")
+    o = B.table(spark, d, "orders").select(k, F.to_date("o_orderdate").alias("day"), F.format_string("%02d:%02d", (k % 24).cast("int"), (k % 2 * 30).cast("int")).alias("t"))
+    at = F.to_timestamp(F.concat(F.lit("2000-01-01 "), F.col("t")), "yyyy-MM-dd HH:mm")
+    clock = F.when(k % 4 == 0, F.date_format(at, "h:mma")).when(k % 4 == 1, F.date_format(at, "H:mm")).when(k % 4 == 2, F.date_format(at, "h.mm a")).otherwise("midday")
+    n, month = F.dayofmonth("day"), F.date_format("day", "MMMM")
+    date = (
+        F.when(k % 6 == 0, F.date_format("day", "dd/MM/yyyy")).when(k % 6 == 1, F.date_format("day", "d MMMM")).when(k % 6 == 2, F.concat(n.cast("string"), text.ordinal(n), F.lit(" of "), month))
+        .when(k % 6 == 3, F.concat(n.cast("string"), F.lit("th "), month)).when(k % 6 == 4, F.date_format("day", "d-MM")).otherwise(F.concat(month, F.lit(" "), n.cast("string")))
+    )
+    o = o.withColumn("said", F.concat(F.lit("<p>Until "), clock, F.lit(" on "), date, F.lit("</p>")))
+    other = F.when(k % 5 == 0, "03:15").otherwise(F.col("t"))
+    return o.select(k, text.quotes(F.col("said"), text.time_spellings(other)).alias("time_said"), text.quotes(F.col("said"), text.date_spellings(day)).alias("date_said"))
 
 
 @query
@@ -571,7 +587,7 @@ def expanded_notices(spark, d):
         "recurrence": F.when(k % 5 != 0, "daily"), "window_open": F.lit("22:00"), "window_close": F.lit("07:00"), "window_first": F.date_format("start", "yyyy-MM-dd"), "reference_num": F.concat(F.lit("E"), k.cast("string")),
     })
     got = resolve(c, F.timestamp_micros(F.lit(B.NOW_US))).withColumn("start_us", times.micros(F.col("start")))
-    return evaluation.recurrence_counts(got).select("recurrence_tag", "notices")
+    return evaluation.recurrence_counts(got).select("recurrence_tag", "notices", F.bround("hours", 3).alias("hours"), F.bround("unbroken_hours", 3).alias("unbroken_hours"))
 
 
 @query

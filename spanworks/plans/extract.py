@@ -39,25 +39,25 @@ def tokens(plain: Column) -> Column:
 
 
 class Reader:
-    """Looks at the tokens of a block around a position."""
+    """Looks at tokens by their distance from the first one."""
 
-    def __init__(self, block: Column, at: Column):
+    def __init__(self, block: Column, at: Column | int = 0):
         self.block, self.at = block, at
 
-    def token(self, k: int | Column = 0) -> Column:
-        return F.get(self.block, (self.at + k).cast("int"))
+    def token(self, k: int) -> Column:
+        return F.get(self.block, F.lit(k) if isinstance(self.at, int) else self.at + k)
 
-    def word(self, k: int | Column = 0) -> Column:
+    def word(self, k: int = 0) -> Column:
         return self.token(k)["w"]
 
-    def touches(self, k: int | Column) -> Column:
+    def touches(self, k: int) -> Column:
         return F.coalesce(self.token(k)["touch"], F.lit(False))
 
-    def number(self, k: int | Column, least: int, most: int) -> Column:
+    def number(self, k: int, least: int, most: int) -> Column:
         """Whether a token is a number of so many digits."""
         return F.coalesce(self.word(k).rlike(rf"^\d{{{least},{most}}}$"), F.lit(False))
 
-    def ends(self, k: int | Column) -> Column:
+    def ends(self, k: int) -> Column:
         """Whether the token before ``k`` ends a word there."""
         return ~(self.touches(k) & F.coalesce(self.word(k).rlike(r"^[\p{L}\d_]"), F.lit(False)))
 
@@ -65,60 +65,61 @@ class Reader:
         return F.coalesce(self.word(k).isin(*signs), F.lit(False)) & self.touches(k)
 
 
-def _found(value: Column, to: Column) -> Column:
-    return F.struct(value.alias("value"), to.cast("int").alias("to"))
+def _found(value: Column, size: int) -> Column:
+    return F.struct(value.alias("value"), F.lit(size).alias("size"))
 
 
-def clock(block: Column, at: Column) -> Column:
-    """(value, to): the HH:MM written at a position, null where no clock shows it, and the next position; null if no time stands there."""
-    r = Reader(block, at)
+def clock(t: Column) -> Column:
+    """(value, size): the HH:MM that the first tokens write, null where no clock shows it, and how many they are; null if they write no time."""
+    r = Reader(t)
     split = r.joined(1, ":", ".") & r.number(2, 2, 2) & r.touches(2)
     shift = lambda k: F.coalesce(lookup(HALVES, r.word(k)), F.when(r.touches(k), lookup(TOUCHING_HALVES, r.word(k))))
 
     def twelve(minute: Column, half: Column) -> Column:
-        h, m = r.word(0).cast("int"), minute.cast("int")
+        h, m = r.word().cast("int"), minute.cast("int")
         return F.when(h.between(1, 12) & (m <= 59), F.format_string("%02d:%02d", h % 12 + half, m))
 
-    h24, m24 = r.word(0).cast("int"), r.word(2).cast("int")
-    named = lookup(TIMES_OF_DAY, r.word(0))
+    h24, m24 = r.word().cast("int"), r.word(2).cast("int")
+    named = lookup(TIMES_OF_DAY, r.word())
     hour = r.number(0, 1, 2)
     return (
-        F.when(named.isNotNull() & r.ends(1), _found(named, at + 1))
-        .when(hour & split & shift(3).isNotNull() & r.ends(4), _found(twelve(r.word(2), shift(3)), at + 4))
-        .when(hour & shift(1).isNotNull() & r.ends(2), _found(twelve(F.lit("00"), shift(1)), at + 2))
-        .when(hour & split & (r.word(1) == ":") & r.ends(3), _found(F.when((h24 < 24) & (m24 < 60), F.format_string("%02d:%02d", h24, m24)), at + 3))
+        F.when(named.isNotNull() & r.ends(1), _found(named, 1))
+        .when(hour & split & shift(3).isNotNull() & r.ends(4), _found(twelve(r.word(2), shift(3)), 4))
+        .when(hour & shift(1).isNotNull() & r.ends(2), _found(twelve(F.lit("00"), shift(1)), 2))
+        .when(hour & split & (r.word(1) == ":") & r.ends(3), _found(F.when((h24 < 24) & (m24 < 60), F.format_string("%02d:%02d", h24, m24)), 3))
     )
 
 
-def day_of(block: Column, at: Column, published: Column) -> Column:
-    """(value, to): the date written at a position, the year nearest to publication where none is given; null as in :func:`clock`."""
-    r = Reader(block, at)
+def day_of(t: Column, published: Column) -> Column:
+    """The date that the first tokens write as (value), in the year nearest to publication where none is given; null as in :func:`clock`."""
+    r = Reader(t)
     slashes = r.number(0, 1, 2) & r.joined(1, "/") & r.number(2, 1, 2) & r.touches(2) & r.joined(3, "/") & r.number(4, 2, 4) & r.touches(4) & r.ends(5)
     year = r.word(4).cast("int")
-    written = calendar_date(F.when(year < 100, year + 2000).otherwise(year), r.word(2).cast("int"), r.word(0).cast("int"))
-    of = F.when(r.word(1) == "of", 1).otherwise(0)
-    month = lookup(MONTH_NUMBER, r.word(of + 1))
-    spelled = r.number(0, 1, 2) & ~r.touches(1) & ~r.touches(of + 1) & month.isNotNull() & r.ends(of + 2)
-    dated = r.number(of + 2, 4, 4) & ~r.touches(of + 2) & r.ends(of + 3)
-    day = r.word(0).cast("int")
-    return (
-        F.when(slashes, _found(written, at + 5))
-        .when(spelled & dated, _found(calendar_date(r.word(of + 2).cast("int"), month, day), at + of + 3))
-        .when(spelled, _found(nearest_year(day, month, published), at + of + 2))
-    )
+    written = calendar_date(F.when(year < 100, year + 2000).otherwise(year), r.word(2).cast("int"), r.word().cast("int"))
 
+    def spelled(rest: Column) -> Column:
+        x = Reader(rest)
+        month, day = lookup(MONTH_NUMBER, x.word()), r.word().cast("int")
+        dated = x.number(1, 4, 4) & ~x.touches(1) & x.ends(2)
+        date = F.when(dated, calendar_date(x.word(1).cast("int"), month, day)).otherwise(nearest_year(day, month, published))
+        return F.when(month.isNotNull() & ~x.touches(0) & (dated | x.ends(1)), F.struct(date.alias("value")))
 
-def moment(block: Column, at: Column, published: Column, on: bool) -> Column:
-    """(date, time) where a time, ``on`` (it may lack in headers) and a date follow each other, else null."""
+    rest = F.slice(t, F.when(r.word(1) == "of", 3).otherwise(2), 4)
+    return F.when(slashes, F.struct(written.alias("value"))).when(r.number(0, 1, 2) & ~r.touches(1), let(rest, spelled))
 
-    def then(c: Column) -> Column:
-        said = Reader(block, c["to"]).word() == "on"
-        after = c["to"] + F.when(said, 1).otherwise(0)
-        the = F.when(F.lit(on) & (Reader(block, after).word() == "the"), 1).otherwise(0)
-        here = F.when(c.isNotNull() & (F.coalesce(said, F.lit(False)) | F.lit(not on)), day_of(block, after + the, published))
-        return let(here, lambda d: F.when(d.isNotNull(), F.struct(F.date_format(d["value"], "yyyy-MM-dd").alias("date"), c["value"].alias("time"))))
 
-    return let(clock(block, at), then)
+def moment(t: Column, published: Column, on: bool) -> Column:
+    """(date, time) where the first tokens write a time, ``on`` (it may lack in headers) and a date, else null."""
+
+    def dated(c: Column, rest: Column) -> Column:
+        r = Reader(rest)
+        said = F.coalesce(r.word() == "on", F.lit(False))
+        the = said & F.coalesce(r.word(1) == "the", F.lit(False)) if on else F.lit(False)
+        from_ = F.when(said, 2).otherwise(1) + F.when(the, 1).otherwise(0)
+        read = F.when(said | F.lit(not on), let(F.slice(rest, from_, 8), lambda x: day_of(x, published)))
+        return let(read, lambda d: F.when(d.isNotNull(), F.struct(F.date_format(d["value"], "yyyy-MM-dd").alias("date"), c["value"].alias("time"))))
+
+    return let(clock(t), lambda c: F.when(c.isNotNull(), let(F.slice(t, c["size"] + 1, 10), lambda rest: dated(c, rest))))
 
 
 def _is_header(block: Column, at: Column) -> Column:
@@ -143,11 +144,11 @@ def _says(text: Column, phrases: list[str]) -> Column:
 
 def _completed(block: Column, published: Column) -> Column:
     """The moment in a block's header, if it has one."""
-    r = Reader(block, F.lit(1))
-    named = F.coalesce(r.word() == "update", F.lit(False)).cast("int")
+    r = Reader(block)
+    named = F.coalesce(r.word(1) == "update", F.lit(False)).cast("int")
     sign = lambda k: F.coalesce(r.word(k).isin(":", "."), F.lit(False)).cast("int")
-    skip = named * (1 + sign(1) * (1 + sign(2)))
-    return F.when(_is_header(block, F.lit(0)), moment(block, skip + 1, published, on=False))
+    from_ = named * (1 + sign(2) * (1 + sign(3))) + 2
+    return F.when(_is_header(block, F.lit(0)), let(F.slice(block, from_, 16), lambda t: moment(t, published, on=False)))
 
 
 def _lists_days(t: Column) -> Column:
@@ -165,21 +166,25 @@ def _lists_days(t: Column) -> Column:
 
 def _scheduled(block: Column, published: Column) -> Column:
     """The one end that a block states; null if an "until" can't be read in full, an end is no real date, or there are several."""
-    places = F.sequence(F.lit(0), F.size(block))
-    word = lambda i, k: F.get(block, (i + k).cast("int"))["w"]
-    until = F.transform(F.filter(places, lambda i: word(i, 0).isin(UNTIL)), lambda i: moment(block, i + 1, published, on=True))
-
-    def estimated(i: Column) -> Column:
-        each = [F.lit(True) & (word(i, 0) == p[0]) & (word(i, 1) == p[1]) & (word(i, 2) == p[2]) & (word(i, 3) == p[3]) for p in ESTIMATES]
-        return each[0] | each[1]
 
-    later = F.filter(F.transform(F.filter(places, estimated), lambda i: moment(block, i + 4, published, on=True)), lambda m: m.isNotNull())
+    def place(i: Column) -> Column:
+        """Where the moment after an until or an estimate starts, and whether it must be one."""
+        r = Reader(block, i)
+        estimate = F.lit(False)
+        for p in ESTIMATES:
+            same = F.lit(True)
+            for k, w in enumerate(p):
+                same = same & (r.word(k) == w)
+            estimate = estimate | same
+        return F.when(r.word().isin(UNTIL), F.struct((i + 2).alias("from"), F.lit(True).alias("must"))).when((r.word() == ESTIMATES[0][0]) & estimate, F.struct((i + 5).alias("from"), F.lit(False).alias("must")))
 
     def one(ends: Column) -> Column:
         sure = ~F.exists(ends, lambda m: m.isNull() | m["date"].isNull() | m["time"].isNull())
         return F.when(sure & (F.size(F.array_distinct(ends)) == 1), F.get(ends, F.lit(0)))
 
-    return let(F.concat(until, later), one)
+    places = F.filter(F.transform(F.sequence(F.lit(0), F.size(block)), place), lambda x: x.isNotNull())
+    read = F.transform(places, lambda p: F.struct(p["must"].alias("must"), let(F.slice(block, p["from"], 16), lambda t: moment(t, published, on=True)).alias("m")))
+    return let(F.transform(F.filter(read, lambda x: x["must"] | x["m"].isNotNull()), lambda x: x["m"]), one)
 
 
 def _answer(t: Column, description: Column, published: Column) -> Column:
@@ -189,7 +194,7 @@ def _answer(t: Column, description: Column, published: Column) -> Column:
         def decide(first: Column) -> Column:
             done = F.when(first["done"], _completed(first["b"], published))
             shut = describes_recurrence(description) | F.exists(t, lambda x: x["w"].isin(LIFT)) | _lists_days(t)
-            planned = F.when(first.isNull() & ~shut, _scheduled(F.get(all_, F.lit(0)), published))
+            planned = F.when(first.isNull() & ~shut, let(F.get(all_, F.lit(0)), lambda newest: _scheduled(newest, published)))
             pair = lambda source, m: F.when(m["date"].isNotNull() & m["time"].isNotNull(), F.struct(F.lit(source).alias("end_source"), m["date"].alias("local_date"), m["time"].alias("local_time")))
             return F.coalesce(let(done, lambda m: pair("completion_update", m)), let(planned, lambda m: pair("scheduled_end_with_time", m)))
 

@@ -52,8 +52,8 @@ def medians(keys: str) -> str:
     pick = keys + ", " if keys else ""
     one = lambda *t: f"case when tier in ({', '.join(repr(x) for x in t)}) then hours end"
     return f"""with {N}, t as (select region, {TIER} as tier, (e - s) / 1e6::double / 3600 as hours from n)
-select {pick}round(median({one('observed')}), 1) as median_observed, count({one('observed')}) as observed_n, round(median({one('scheduled')}), 1) as median_scheduled,
-       count({one('scheduled')}) as scheduled_n, round(median({one('observed', 'imputed')}), 1) as median_pooled, count({one('imputed')}) as imputed_n from t {'group by ' + keys if keys else ''}"""
+select {pick}round_even(median({one('observed')}), 1) as median_observed, count({one('observed')}) as observed_n, round_even(median({one('scheduled')}), 1) as median_scheduled,
+       count({one('scheduled')}) as scheduled_n, round_even(median({one('observed', 'imputed')}), 1) as median_pooled, count({one('imputed')}) as imputed_n from t {'group by ' + keys if keys else ''}"""
 
 
 ISSUES = f"""with {N}, k as (select *, case when user_id % 13 = 0 then '' else cast(user_id as varchar) end as scheme from n),
@@ -91,24 +91,24 @@ SQL: dict[str, str] = {
 select region, category, sum(us)::double / 1e6 as seconds, count(*) filter (us > 0) as pieces from c group by all""",
     "month_clip": f"with {N}, {union('u', 'n', 'region, category')}, {slices('x', 'u', 'month')} select region, category, strftime(slot, '%Y-%m') as month, cast(sum(us) as bigint) as us, count(*) as pieces from x group by all",
     "month_axis": """select o_orderpriority, strftime(unnest(generate_series(date_trunc('month', min(o_orderdate)), date_trunc('month', max(o_orderdate)), interval 1 month)), '%Y-%m') as month from orders group by o_orderpriority""",
-    "now_standing": f"with {N} select region, count(*) filter (s <= {NOW_US} and {NOW_US} <= e) as standing from n group by region",
-    "civil_windows": """with o as (select o_orderkey, cast(o_orderdate as date) as day, cast(cast(o_orderdate as date) as timestamp) + interval 3 hour as lo from orders where o_orderkey % 50 = 0),
+    "now_standing": f"with {N} select region, count(*) filter (s <= {NOW_US} and {NOW_US} <= e) as standing from n where category = 'signup' group by region",
+    "civil_windows": """with o as (select o_orderkey, cast(o_orderdate as date) as day, cast(cast(o_orderdate as date) as timestamp) + interval 3 hour as lo from orders),
 x as (select *, lo + interval 35 day as hi from o), d as (select *, cast(unnest(generate_series(greatest(cast(day as timestamp), cast(lo - interval 1 day as timestamp)), cast(hi as timestamp) + interval 1 day, interval 1 day)) as date) as d0 from x),
 w as (select *, greatest(epoch_us(lo), epoch_us(timezone('Europe/Dublin', cast(d0 as timestamp) + interval 22 hour))) as s, least(epoch_us(hi), epoch_us(timezone('Europe/Dublin', cast(d0 as timestamp) + interval 31 hour))) as e from d)
 select o_orderkey, count(*) as windows, cast(sum(e - s) as bigint) as us, min(s) as first_us from w where e > s group by o_orderkey""",
     "severity_counts": MONTHS + f" select region, strftime(slot, '%Y-%m') as month, {', '.join(f'n_{s}' for s in severity.SEVERITIES)} from a",
-    "availability_grade": MONTHS + """ select region, strftime(slot, '%Y-%m') as month, cast(floor(person_us / 1e6::double) as bigint) as person_s, round(greatest(raw, 0), 3) as availability,
+    "availability_grade": MONTHS + """ select region, strftime(slot, '%Y-%m') as month, cast(floor(person_us / 1e6::double) as bigint) as person_s, round_even(greatest(raw, 0), 3) as availability,
 case when raw >= 99.9 then 'A' when raw >= 99.75 then 'B' when raw >= 99.45 then 'C' when raw >= 99.0 then 'D' else 'F' end as grade from a""",
     "capped_people": f"with {N}, {AREAS}, {FOOT}, {PEOPLE} select region, sev, ref, least(people, 9000) as people from people",
     "day_status": f"""with {N}, {AREAS}, {FOOT}, {PEOPLE}, {POPULATION}, {EVENTS}, {slices('x', 'ev', 'day')}, p as (
     select d.region, slot, list_position(['outage', 'quality', 'degraded', 'maintenance'], d.sev) as rank, sum(coalesce(people, 0)) as people from (select distinct region, sev, ref, slot from x) d left join people using (region, sev, ref) group by all),
 w as (select *, row_number() over (partition by region, slot order by rank) as r from p)
-select region, strftime(slot, '%Y-%m-%d') as day, (['outage', 'quality', 'degraded', 'maintenance'])[rank] as sev, round(least(100, 100 * people::double / population), 1) as pct from w join population using (region) where r = 1""",
+select region, strftime(slot, '%Y-%m-%d') as day, (['outage', 'quality', 'degraded', 'maintenance'])[rank] as sev, round_even(least(100, 100 * people::double / population), 1) as pct from w join population using (region) where r = 1""",
     "clear_days": f"""with {N}, {AREAS}, {POPULATION}, {EVENTS}, {slices('x', 'ev', 'day')}, b as (select distinct region, slot from x),
 g as (select region, unnest(generate_series(date_trunc('day', make_timestamp({SINCE_US})), date_trunc('day', make_timestamp({NOW_US})), interval 1 day)) as slot from population)
 select g.region, count(*) as elapsed, count(*) filter (b.slot is null) as clear from g left join b on b.region = g.region and b.slot = g.slot group by g.region""",
     "top_events": f"""with {N}, {AREAS}, {FOOT}, {PEOPLE}, {EVENTS}, o as (select * from ev where sev = 'outage'), {slices('x', 'o', 'month')}, p as (
-    select region, ref, slot, cast(round(sum(us)::double * max(people) / 3.6e9::double) as bigint) as person_h, max(people) as people from x join people using (region, sev, ref) where people > 0 group by region, ref, slot),
+    select region, ref, slot, cast(round_even(sum(us)::double * max(people) / 3.6e9::double, 0) as bigint) as person_h, max(people) as people from x join people using (region, sev, ref) where people > 0 group by region, ref, slot),
 r as (select *, row_number() over (partition by slot order by person_h desc, region, ref) as place from p) select strftime(slot, '%Y-%m') as month, place, region, ref, person_h, people from r where place <= 10""",
     "open_list": f"with {N}, r as (select *, row_number() over (partition by region order by s desc, id) as place from n where s <= {NOW_US} and e > {NOW_US}) select region, place, id, ref, s from r where place <= 60",
     "recent_history": f"with {N} select region, strftime(make_timestamp(e), '%Y-%m') as month, count(*) as n, array_to_string((list(id order by e desc, id))[1:20], ',') as newest from n group by all",
@@ -151,8 +151,8 @@ select id, fate, case fate when 'paired' then least(greatest(lift_at, t0), t0 +
     "modal_window": f"""with {N}, h as (select *, case when id % 2 = 0 then cast(hour(make_timestamp(s)) % 4 as int) end as hour from n), c as (select region, ref, hour, count(*) as k from h where hour is not null group by all),
 b as (select *, row_number() over (partition by region, ref order by k desc, hour) as r from c) select h.id, coalesce(h.hour, b.hour) as hour from h left join b on b.region = h.region and b.ref = h.ref and b.r = 1""",
     "upsert_state": f"""with {VERSIONS}, one as (select * from (select *, row_number() over (partition by id, y order by k desc) as r from v) where r = 1),
-a5 as (select id, status, start_date, '1995' as first_seen, '1995' as last_seen, cast(null as varchar) as closed_at, start_date as first_start_date from one where y = 1995),
-n6 as (select * from one where y = 1996), n7 as (select * from one where y = 1997), {merged('a5', 'n6', 1996, 'a6')}, {merged('a6', 'n7', 1997, 'a7')} select * from a7""",
+a1995 as (select id, status, start_date, '1995' as first_seen, '1995' as last_seen, cast(null as varchar) as closed_at, start_date as first_start_date from one where y = 1995),
+{', '.join(f"n{y} as (select * from one where y = {y}), " + merged(f"a{y - 1}", f"n{y}", y, f"a{y}") for y in range(1996, 2002))} select * from a2001""",
     "close_replay": f"with {TAGS} select * from stamps",
     "guarded_stamps": f"""with {TAGS}, c as (select c_custkey as id, case c_custkey % 3 when 0 then 'Open' when 1 then 'Closed' end as status, case when c_custkey % 4 = 0 then 'earlier' end as closed_at from customer), j as (
     select c.*, closed_tag, closed_at is null and status is distinct from 'Open' and closed_tag is not null as filled from c left join stamps using (id)) select id, status, case when filled then closed_tag else closed_at end as closed_at, filled from j""",
@@ -174,10 +174,10 @@ select p_partkey, category, implied as implied_work_type from p left join r usin
     "scheme_key": "select p_partkey, lower(p_name) || ' brand ' || split_part(p_brand, '#', 2) as scheme from part",
     "title_case": """with w as (select p_partkey, split_part(p_name, ' ', 1) as a, split_part(p_name, ' ', 2) as b, lower(p_type) as t from part)
 select p_partkey, 'O''' || upper(a[1]) || a[2:] || ' ' || upper(b[1]) || b[2:] || '-' || upper(t[1]) || t[2:] || '/X' as label from w""",
-    "text_hash_dedup": "select sha256(text) as text_hash, min(doc_id) as doc_id, count(*) as copies from documents where doc_id % 10 <> 3 group by 1",
-    "recurrence_text": "select o_orderkey, o_orderkey % 8 in (0, 1, 4, 6) as recurring, true as pressure from orders",
-    "quotable": "select o_orderkey, o_orderkey % 5 <> 0 as time_said, true as date_said from orders",
-    "template_extract": """with o as (select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day, (o_orderkey // 4) % 6 as k from orders where o_orderkey % 4 = 0)
+    "text_hash_dedup": "select sha256(text) as text_hash, min(doc_id) as doc_id, count(*) as copies from documents group by 1",
+    "recurrence_text": "select o_orderkey, o_orderkey % 8 in (0, 1, 4, 6) as recurring, o_orderkey % 6 in (0, 1) as pressure from orders",
+    "quotable": "select o_orderkey, o_orderkey % 5 <> 0 and o_orderkey % 4 <> 3 as time_said, o_orderkey % 6 in (0, 1, 2, 4) or (o_orderkey % 6 = 3 and day(o_orderdate) not in (1, 2, 3, 21, 22, 23, 31)) as date_said from orders",
+    "template_extract": """with o as (select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day, (o_orderkey // 4) % 6 as k from orders)
 select o_orderkey, case when k in (0, 3) then 'scheduled_end_with_time' when k = 1 then 'completion_update' end as end_source, case when k in (0, 1, 3) then day end as local_date, case k when 0 then '17:30' when 1 then '10:15' when 3 then '12:00' end as local_time from o""",
     "json_flag": "select event_id, cast(json_extract_string(props, '$.k') as int) as k, json_extract_string(props, '$.none') is null as lacks from events",
     "overlap_audit": f"""with {N}, {AREAS}, {FOOT}, f as (select distinct region, ref, area, pop from foot), j as (select n.region, n.ref, area, pop, s, e from n join f using (region, ref) where sev = 'outage'),
@@ -185,7 +185,7 @@ select o_orderkey, case when k in (0, 3) then 'scheduled_end_with_time' when k =
 select strftime(slot, '%Y-%m') as month, published, exact from p full outer join q using (slot)""",
     "accuracy_table": """with t as (select lang, case when n_chars % 5 = 0 then 'abstain' when cast(n_chars > 600 as int) = quality then 'correct' else 'incorrect' end as v from labels join documents using (doc_id)),
 g as (select coalesce(lang, 'TOTAL') as lang, count(*) as n, count(*) filter (v = 'correct') as correct, count(*) filter (v = 'incorrect') as incorrect, count(*) filter (v = 'abstain') as abstained from t group by rollup (lang))
-select *, round(100 * correct::double / nullif(correct + incorrect, 0), 2) as accuracy from g""",
+select *, round_even(100 * correct::double / nullif(correct + incorrect, 0), 2) as accuracy from g""",
     "agreement_pivot": """with t as (select lang, case when l.doc_id is null then 'stale' when quality = toxic then 'agree' else 'disagree' end as kind from documents d left join labels l using (doc_id))
 select lang, count(*) filter (kind = 'agree') as agree, count(*) filter (kind = 'disagree') as disagree, count(*) filter (kind = 'stale') as stale from t group by lang""",
     "stratified_quota": "with r as (select doc_id, lang, row_number() over (partition by lang order by md5('5:' || doc_id), doc_id) as pick from documents) select doc_id, lang, pick from r where pick <= case lang when 'en' then 30 when 'de' then 20 else 10 end",
@@ -207,15 +207,24 @@ select id, sev, outcome, 1 as pieces, case when outcome = 'imputed_to_end' then
     "county_names": "select n_nationkey, (['Cork', 'Dublin', 'Carlow', 'Dublin', 'Tipperary', 'Galway'])[n_nationkey % 6 + 1] as county from nation",
     "area_rows": """with s as (select s_suppkey as guid, case when s_suppkey % 3 <> 0 then 'T' || (s_suppkey % 5) end as code, 'East Ward-' || (s_suppkey % 4) as division, case when s_suppkey % 2 = 0 then 'Cork' else 'Dublin' end as own, s_suppkey % 5 as t from supplier)
 select guid, coalesce(code, 'ed:' || own || ':' || division) as code, case when code is null then 'Around ' || division else 'Town ' || t end as name, case when code is not null and t < 3 then 'Mayo' else own end as county from s""",
-    "availability_label": MONTHS + """, l as (select region, strftime(slot, '%Y-%m') as month, cast(floor(person_us / 3.6e9::double) as bigint) as person_h, round(greatest(raw, 0), 3) as av from a)
+    "availability_label": MONTHS + """, l as (select region, strftime(slot, '%Y-%m') as month, cast(floor(person_us / 3.6e9::double) as bigint) as person_h, round_even(greatest(raw, 0), 3) as av from a)
 select region, month, printf('%.3f', case when person_h > 0 then least(av, 99.999) else av end) || '%' as label, nullif(person_h, 0) as person_h from l""",
     "reviewed_truth": """select o_orderkey as id, case when o_orderkey % 3 = 0 and o_orderkey % 2 = 0 then 'not_found' else 'completion_update' end as true_source, strftime(o_orderdate, '%Y-%m-%d') as true_date,
 case when o_orderkey % 3 = 0 and o_orderkey % 4 = 0 then '09:00' else '08:15' end as true_time from orders""",
     "shadow_compare": """select lang, case when doc_id % 7 = 0 then 'never' when doc_id % 11 = 0 then 'stale' when doc_id % 4 = 0 then 'abstain' when doc_id % 5 = 0 then 'recurrence' when doc_id % 3 <> 0 then 'agree' else 'disagree' end as kind, count(*) as n from documents group by all""",
     "consequential_events": f"""with {N}, {AREAS}, {FOOT}, {PEOPLE}, {EVENTS}, {slices('x', 'ev', 'month')}, h as (select region, sev, ref, sum(us * people)::double / 3.6e9::double as h from x join people using (region, sev, ref) group by all), e as (select distinct region, sev, ref from ev)
-select e.region, e.sev, e.ref, case when e.sev = 'degraded' then 'downgraded' else 'charged' end as effect, cast(round(coalesce(h, 0)) as bigint) as person_h from e left join h using (region, sev, ref) where e.sev = 'degraded' or (e.sev = 'outage' and e.ref like '%5-error')""",
+select e.region, e.sev, e.ref, case when e.sev = 'degraded' then 'downgraded' else 'charged' end as effect, cast(round_even(coalesce(h, 0), 0) as bigint) as person_h from e left join h using (region, sev, ref) where e.sev = 'degraded' or (e.sev = 'outage' and e.ref like '%5-error')""",
     "verdict_tallies": "select case o_orderkey % 3 when 0 then 'correct' when 1 then 'wrong' else 'unreviewed' end as verdict, count(*) as events, cast(sum(floor(o_totalprice)) as bigint) as person_h from orders group by 1",
-    "expanded_notices": """select case when event_id % 5 = 0 then 'none' when event_id % 3 = 0 then 'refused: close is not the reported end' else 'expanded' end as recurrence_tag, count(*) as notices from events where event_id % 8 = 0 group by 1""",
+    "expanded_notices": f"""with {CASES}, l as (select county, scheme, cat, t0 as lift from c where cat like '%lifted'), p as (
+    select c.id, min(lift) as lift_at from c join l on l.county = c.county and l.scheme = c.scheme and l.cat = replace(c.cat, 'issued', 'lifted') where c.cat like '%issued' and lift >= c.t0 - 172800000000 group by c.id),
+j as (select c.*, lift_at, cat = 'boil_notice_issued' as boil from c left join p using (id) where cat not like '%lifted'),
+x as (select *, case when boil and lift_at is not null then least(greatest(lift_at, t0), t0 + {CAP}) when boil then t0 + 1000000 else t0 + 295200000000 end as whole,
+    case when boil or k % 5 = 0 then 'none' when k % 3 = 0 then 'refused: close is not the reported end' else 'expanded' end as recurrence_tag from j),
+w as (select *, unnest(generate_series(cast(cast(ts as date) as timestamp), cast(cast(ts as date) as timestamp) + interval 4 day, interval 1 day)) as d0 from x where recurrence_tag = 'expanded'),
+n as (select id, greatest(t0, epoch_us(timezone('Europe/Dublin', d0 + interval 22 hour))) as s, least(whole, epoch_us(timezone('Europe/Dublin', d0 + interval 31 hour))) as e from w),
+m as (select id, sum(e - s) as us, max(e) as last from n where e > s group by id),
+r as (select recurrence_tag, coalesce(m.us, whole - t0) as us, coalesce(m.last, whole) - t0 as unbroken from x left join m using (id))
+select recurrence_tag, count(*) as notices, round_even(sum(us)::double / 3.6e9::double, 3) as hours, round_even(sum(unbroken)::double / 3.6e9::double, 3) as unbroken_hours from r group by 1""",
     "data_horizon": "select cast(max(o_orderdate) as varchar) as horizon, count(*) as rows, count(*) filter (o_orderstatus = 'P') as pending from orders",
     "streamed_windows": "select strftime(ts, '%Y-%m-%d') as day, event_type, count(*) as n, round(sum(value), 2) as total from events group by all",
 }

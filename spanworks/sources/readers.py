@@ -114,9 +114,13 @@ def read_csv(spark: SparkSession, path: str, schema: str, encoding: str = "UTF-8
 
 
 def read_snapshots(spark: SparkSession, folder: str, schema: str = "id bigint, status string") -> DataFrame:
-    """A folder with one ``<tag>.jsonl`` (or folder of that name) per snapshot; adds ``tag``.  An empty folder is an error."""
+    """A folder with one ``<tag>.jsonl`` (or folder of that name) per snapshot; adds ``tag``, the date that names it.
+
+    An empty folder is an error, and so is a file whose name has no date; dates in parent folders don't count.
+    """
     got = spark.read.schema(schema).json(f"{folder.rstrip('/')}/*").withColumn("_f", F.input_file_name())
-    return got.withColumn("tag", F.regexp_extract("_f", r"([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)).drop("_f")
+    tag = F.regexp_extract("_f", r"([0-9]{4}-[0-9]{2}-[0-9]{2})[^/]*(?:/part-[^/]*)?$", 1)
+    return got.withColumn("tag", F.when(tag == "", F.raise_error(F.concat(F.lit("no date names the snapshot "), "_f"))).otherwise(tag)).drop("_f")
 
 
 def areas_with_people(areas: DataFrame, people: DataFrame, guid: str = "guid") -> DataFrame:
