@@ -1,59 +1,54 @@
 """Substring dedup on the De Bruijn graph of word k-mers.
 
-Every run of ``k`` words is an edge between its first and its last k - 1 words.  Edges are
-dealt by their minimiser (the least hash among their half-length runs), so that
-equal edges meet and neighbouring edges of a text, which mostly share the minimiser,
-travel as one stretch.  Per minimiser the earliest place of each edge is found.  A
-repeated edge follows the one before it without a branch where the text and the earlier
-place go on together; such stretches, found under different minimisers, are joined by
-their coordinates into paths: (text, first word, last word) and the place that they
-repeat.  Coordinates that don't go on together end a path, so a path is always a
-passage that stands, word by word, at both places.
-
-Edges whose minimiser occurs once in the corpus can't repeat and are never shuffled;
-a Bloom filter of bounded size tells them apart.  When it is over-full it lets more
-edges pass, which costs time but changes no result.
+Nodes are runs of k - 1 words, and every run of ``k`` words is an edge from its first to its
+last k - 1 words.  The steps:
+
+1. *Candidates.* A node is known by its minimiser, the least hash among its half-length
+   runs.  Minimisers that are chosen at one place only belong to nodes that can't repeat;
+   a Bloom filter of bounded size leaves those out.  When it is over-full it lets more
+   nodes pass, which costs time but changes no result.
+2. *Degrees.* Nodes are dealt by minimiser, so that all occurrences of a node meet and
+   neighbouring ones travel as one stretch.  A node branches unless it has one
+   predecessor and one successor; where a text begins or ends counts as one more.
+   Edges that follow each other without a branch inside a stretch are one fragment.
+   Fragments that don't start at a branch are open: one other fragment leads into them.
+3. *Compaction.* Fragments are put together by joins of the edge that leads into an open one with
+   the last edge of others: at first a random half of them is taken in each round, which
+   shrinks the table, then all of them by pointer doubling.  What is left are paths.
+4. *Coordinates.* Every occurrence of a path's first edge is one of the whole path, since the path has
+   no branch and no end inside.  The words are read at these coordinates and digested, and
+   occurrences with equal words are repeats of the earliest of them.
+
+Minimisers that are very frequent are split: their nodes are dealt one by one, by their
+own hash.  A passage that very many texts share is passed on once per task.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanworks.llm import bloom
-from spanworks.llm.tokens import Words, split_words, steps, windows
+from spanworks.llm.tokens import Words, mix, split_words, steps, windows
 from spanworks.session import ensure_checkpoints, ship
 
-#: Largest filter of repeated minimisers in bytes, and bits for each while it fits.
+#: Largest filter in bytes, and bits for each key while it fits.
 FILTER_BYTES, BITS_PER_KEY, PROBES = 64_000_000, 16, 3
-#: Minimiser occurrences that one group of the resolving step is planned for.
-GROUP_SEEDS = 32_768
-#: Repeated edges after which a task passes on what it has.
-TASK_EDGES = 500_000
+#: Minimiser occurrences that one group of the graph step is planned for, and minimisers that may count as very frequent.
+GROUP_SEEDS, HOT_SEEDS = 32_768, 1_000_000
+#: Minimisers, and nodes, that a task collects before it passes them on.
+TASK_SEEDS, TASK_NODES = 1_000_000, 1_500_000
+#: Part of the open fragments that is left for pointer doubling.
+DOUBLING_SHARE = 16
 _NULL = -(2**63)
-
-
-def stretches(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every edge: its hash, the word it starts at, the word its minimiser starts at and that one's hash."""
-    seed = k // 2
-    edge, start = windows(words, k)
-    short, at = windows(words, seed)
-    if not len(edge):
-        none = np.zeros(0, np.int64)
-        return edge, start, none, edge
-    place = np.searchsorted(at, start)
-    best, least = place.copy(), short[place]
-    for j in range(1, k - seed + 1):
-        other = short[place + j]
-        better = other < least  # strict: the leftmost of equals, so equal edges choose alike
-        best[better] = place[better] + j
-        least = np.minimum(least, other)
-    return edge, start, at[best], least
+_C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def _runs(change: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -62,49 +57,70 @@ def _runs(change: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.append(start, len(change)))
 
 
-def resolve(seed: np.ndarray, edge: np.ndarray, doc: np.ndarray, text: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which edges also start earlier, and for each the index of an equal one that starts earliest.
-
-    Edges are equal if edge and minimiser are: 128 bits.  Ties in the place all count as earliest."""
-    order = np.lexsort((start, text, doc, edge, seed))
-    s, e = seed[order], edge[order]
-    new = np.ones(len(s), bool)
-    new[1:] = (s[1:] != s[:-1]) | (e[1:] != e[:-1])
-    first = np.empty(len(s), np.int64)
-    first[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    later = (doc != doc[first]) | (text != text[first]) | (start != start[first])
-    return later, first
-
-
-def _paths(doc: np.ndarray, text: np.ndarray, start: np.ndarray, first: np.ndarray, which: np.ndarray, k: int) -> list[np.ndarray]:
-    """Stretches of edges that follow each other in their text and at the earlier place:
-    doc, text, first word, last word, and the earlier place's doc, text and first word."""
-    i = np.flatnonzero(which)
-    i = i[np.lexsort((start[i], text[i], doc[i]))]
-    j = first[i]
-    cols = [doc[i], text[i], doc[j], text[j]]
-    p, q = start[i], start[j]
-    new = np.ones(len(i), bool)
-    for c in cols:
-        new[1:] |= c[1:] != c[:-1]
-    new[1:] |= (p[1:] != p[:-1] + 1) | (q[1:] != q[:-1] + 1)
-    at, n = _runs(new)
-    return [cols[0][at], cols[1][at], p[at], p[at + n - 1] + k - 1, cols[2][at], cols[3][at], q[at]]
-
-
-_PATH = "doc bigint, text bigint, lo int, hi int, from_doc bigint, from_text bigint, from_lo int"
-_ROW = f"bucket int, seed bigint, {_PATH}, edges binary"
-_NAMES = [x.split()[0] for x in _ROW.split(", ")]
-_KINDS = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+class Stretches:
+    """The nodes of a batch, cut where the minimiser's place changes.
 
+    ``node`` are hashes, never 0; per stretch ``at`` is its first node, ``n`` how many they are, ``seed`` the minimiser,
+    ``text`` and ``lo`` the text and the word it starts at, ``before`` and ``after`` the nodes beside it (0: the text's edge).
+    """
 
-def _rows(*columns) -> pa.RecordBatch:
-    n = len(columns[0])
-    return pa.record_batch([pa.nulls(n, t) if x is None else pa.array(x, t) for x, t in zip(columns, _KINDS)], _NAMES)
+    def __init__(self, words: Words, k: int, hot: np.ndarray | None = None, keep=None):
+        length, seed = k - 1, k // 2
+        node, start = windows(words, length)
+        short, place = windows(words, seed)
+        text = np.searchsorted(words.first, start, side="right") - 1
+        whole = words.counts[text] >= k  # without an edge a node says nothing
+        node, start, text = np.where(node == 0, np.uint64(1), node)[whole], start[whole], text[whole]
+        first = np.searchsorted(place, start)
+        best, least = first.copy(), short[first] if len(first) else np.zeros(0, np.uint64)
+        for j in range(1, length - seed + 1):
+            other = short[first + j]
+            better = other < least  # strict: the leftmost of equals, so equal nodes choose alike
+            best[better] = first[better] + j
+            least = np.minimum(least, other)
+        joins = np.zeros(len(node), bool)
+        joins[1:] = (start[1:] == start[:-1] + 1) & (text[1:] == text[:-1])
+        new = ~joins
+        new[1:] |= best[1:] != best[:-1]
+        if hot is not None and len(hot):
+            at = np.minimum(np.searchsorted(hot, least), len(hot) - 1)
+            new |= hot[at] == least
+        self.node, (self.at, self.n) = node, _runs(new)
+        self.seed, self.text = least[self.at], text[self.at]
+        self.lo = start[self.at] - words.first[self.text]
+        self.before = np.where(joins[self.at], node[self.at - 1], np.uint64(0)) if len(self.at) else np.zeros(0, np.uint64)
+        last = self.at + self.n
+        more = np.append(joins, False)[last]
+        self.after = np.where(more, np.append(node, np.uint64(0))[last], np.uint64(0))
+        if keep is not None:
+            self._choose(keep(self.seed))
+
+    def _choose(self, mask: np.ndarray) -> None:
+        each = np.repeat(mask, self.n)
+        self.node, self.n = self.node[each], self.n[mask]
+        self.at = np.cumsum(self.n) - self.n
+        self.seed, self.text, self.lo, self.before, self.after = (x[mask] for x in (self.seed, self.text, self.lo, self.before, self.after))
+
+    def buckets(self, log_buckets: int, hot: np.ndarray) -> np.ndarray:
+        """The group of each stretch: by minimiser, or by node for the very frequent ones."""
+        key = self.seed
+        if len(hot) and len(key):
+            at = np.minimum(np.searchsorted(hot, key), len(hot) - 1)
+            key = np.where(hot[at] == key, mix(self.node[self.at]), key)
+        return bloom.segment_of(key, log_buckets)
+
+
+def stretch_ids(node: np.ndarray, at: np.ndarray, n: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """A hash of each stretch's nodes and neighbours."""
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    offset = np.arange(len(node)) - np.repeat(at, n)
+    body = np.add.reduceat(mix(node + (offset + 1).astype(np.uint64) * _C1), at)
+    return mix(body ^ mix(before + _C2) ^ mix(mix(after + _C1)))
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, text key, text): rows of one id and one text are one document; null ids come first."""
+    """(doc, key, raw): rows of one id and one text are one document; null ids come first."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("doc"), F.xxhash64(text).alias("key"), text.cast("binary").alias("raw"))
 
@@ -113,154 +129,314 @@ def repeated_seeds(docs: DataFrame, k: int, text_col: str = "text") -> DataFrame
     """(seed, n): minimiser hashes chosen at two or more places of the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+
+        def out():
+            seeds, n = np.unique(np.concatenate(parts), return_counts=True)
+            return pa.record_batch([pa.array(seeds.view(np.int64)), pa.array(n.astype(np.int32))], ["seed", "n"])
+
         for batch in batches:
-            parts = []
             for _, b in steps(batch, 0):
-                w = split_words(b.column(0))
-                _, _, place, least = stretches(w, k)
-                new = np.ones(len(place), bool)
-                new[1:] = place[1:] != place[:-1]
-                parts.append(least[new])
-            seeds, n = np.unique(np.concatenate(parts or [np.zeros(0, np.uint64)]), return_counts=True)
-            yield pa.record_batch([pa.array(seeds.view(np.int64)), pa.array(n.astype(np.int32))], ["seed", "n"])
+                parts.append(Stretches(split_words(b.column(0)), k).seed)
+                size += len(parts[-1])
+                if size > TASK_SEEDS:
+                    yield out()
+                    parts, size = [], 0
+        if size:
+            yield out()
 
     ship(docs.sparkSession)
     found = docs.select(F.col(text_col).cast("binary").alias("raw")).mapInArrow(run, "seed bigint, n int")
     return found.groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1")
 
 
-def seed_filter(seeds: DataFrame, count: int) -> bloom.Filter:
-    """The filter of all seeds, at most FILTER_BYTES long, built segment by segment."""
+def key_filter(keys: DataFrame, count: int) -> bloom.Filter:
+    """The filter of the 64-bit values in the first column, at most FILTER_BYTES long, built segment by segment."""
     log_segments = min(20, max(4, math.ceil(math.log2(max(1, count) / 2**17))))
     bits = min(BITS_PER_KEY, 8 * FILTER_BYTES / max(1, count))
     most = 8 * FILTER_BYTES >> log_segments
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
-        h = t.column("seed").to_numpy().view(np.uint64)
+        h = t.column("key").to_numpy().view(np.uint64)
         size = max(8, min(most, int(bits * len(h))) // 8 * 8)
         return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "size": [size], "data": [bloom.build(h, np.ones(len(h), np.int8), PROBES, size)]})
 
-    cut = F.shiftrightunsigned(F.col("seed"), 64 - log_segments).cast("int")
-    parts = seeds.select(cut.alias("segment"), "seed").groupBy("segment").applyInArrow(run, "segment int, size bigint, data binary").toArrow()
+    cut = F.shiftrightunsigned(F.col("key"), 64 - log_segments).cast("int")
+    parts = keys.toDF("key").select(cut.alias("segment"), "key").groupBy("segment").applyInArrow(run, "segment int, size bigint, data binary").toArrow()
     return bloom.Filter.of(parts, log_segments, PROBES)
 
 
-def repeated_paths(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Passages of ``k`` words or more that also start earlier in the corpus.
-
-    One row per path: ``doc`` and ``text`` (hash of the text), ``lo`` and ``hi`` (first and last word), and
-    ``from_doc``, ``from_text``, ``from_lo``: an earlier place with the same words.  Earlier means a
-    smaller id (null first), then the text's hash among rows that share an id, then the position.
-    """
+#: Rows of the graph: fragments from a branch on that end at one (ENDED) or may go on (HEAD), open fragments (OPEN): the edge that identifies
+#: or leads into it, its last edge, its length in edges; and where heads lie in stretches (PLACE): stretch, its first node, head, offset.
+ENDED, HEAD, OPEN, PLACE = 0, 1, 2, 3
+_GRAPH = "kind tinyint, a bigint, b bigint, y bigint, z bigint, n int"
+
+
+def _distinct(*columns: np.ndarray) -> np.ndarray:
+    """Indices of the first of equal rows."""
+    order = np.lexsort(columns)
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[order][1:] != c[order][:-1]
+    return order[new]
+
+
+def fragments(node: np.ndarray, n: np.ndarray, times: np.ndarray, before: np.ndarray, after: np.ndarray) -> pa.Table:
+    """The graph rows of all stretches of a group."""
+    at = np.cumsum(n) - n
+    ids = stretch_ids(node, at, n, before, after)
+    prev, nxt = np.roll(node, 1), np.roll(node, -1)
+    prev[at], nxt[at + n - 1] = before, after
+    opens = np.zeros(len(node), bool)
+    opens[at] = True
+    # a node branches unless all its occurrences have the same neighbours
+    order = np.lexsort((nxt, node))
+    s, sn, sp = node[order], nxt[order], prev[order]
+    begin = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
+    low, high = np.minimum.reduceat(sp, begin), np.maximum.reduceat(sp, begin)
+    least, most = np.minimum.reduceat(sn, begin), np.maximum.reduceat(sn, begin)
+    branch = np.zeros(len(node), bool)
+    branch[order] = np.repeat((low != high) | (least != most) | (low == 0) | (least == 0), np.diff(np.append(begin, len(s))))
+    edge = np.flatnonzero(np.r_[True, (s[1:] != s[:-1]) | (sn[1:] != sn[:-1])])
+    seen = np.add.reduceat(np.repeat(times, n)[order].astype(np.int64), edge)
+    repeats = np.zeros(len(node), bool)
+    repeats[order] = np.repeat(seen > 1, np.diff(np.append(edge, len(s))))
+
+    real = np.flatnonzero(nxt != 0)
+    starts = (opens | branch)[real]
+    f, size = _runs(starts)
+    first, last = real[f], real[f + size - 1]
+    keep = repeats[first]
+    first, last, size = first[keep], last[keep], size[keep]
+    is_open = opens[first] & ~branch[first]
+    inner = np.append(~opens, False)[last + 1]  # the stretch goes on after the last edge, so a branch ended the fragment
+    kind = np.where(is_open, OPEN, np.where(inner, ENDED, HEAD)).astype(np.int8)
+    a, b = np.where(is_open, prev[first], node[first]), np.where(is_open, node[first], nxt[first])
+    one = _distinct(b, a, is_open)
+    owner = np.repeat(np.arange(len(n)), n)[first]
+    heads = np.flatnonzero(~is_open)
+    offset = first - at[owner]
+    heads = heads[_distinct(offset[heads], ids[owner[heads]])]
+    own = owner[heads]
+    cols = [
+        np.r_[kind[one], np.full(len(heads), PLACE, np.int8)], np.r_[a[one], ids[own]], np.r_[b[one], node[at[own]]],
+        np.r_[node[last[one]], node[first[heads]]], np.r_[nxt[last[one]], nxt[first[heads]]], np.r_[size[one], offset[heads]].astype(np.int32),
+    ]
+    names = [x.split()[0] for x in _GRAPH.split(", ")]
+    return pa.table([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in cols], names)
+
+
+def compact(parts: DataFrame) -> DataFrame:
+    """(a, b, n): the first edge and the number of edges of each path, from the fragments."""
+    whole = parts.where(F.col("kind") == ENDED).select("a", "b", "n")
+    is_open = F.col("kind") == OPEN
+    now = parts.where(F.col("kind") != ENDED)
+    left = now.where(is_open).count()
+    goal, turn, moved = left // DOUBLING_SHARE, 0, left
+
+    def joined(rows: DataFrame, taken: DataFrame, how: str) -> DataFrame:
+        """Rows with what they lead into at their end: its end is theirs then."""
+        into = taken.toDF(*[f"_{c}" for c in parts.columns])
+        both = rows.join(into, (F.col("y") == F.col("_a")) & (F.col("z") == F.col("_b")), how)
+        hit = F.col("a").isNotNull() & F.col("_a").isNotNull()
+        pick = lambda c: F.coalesce(c, f"_{c}").alias(c)
+        # a row of ``taken`` that nothing led into stays as it is
+        return both.select(pick("kind"), pick("a"), pick("b"), F.coalesce("_y", "y").alias("y"), F.coalesce("_z", "z").alias("z"), (F.coalesce("n", F.lit(0)) + F.coalesce("_n", F.lit(0))).cast("int").alias("n"), hit.alias("hit"))
+
+    while left > goal:
+        coin = is_open & (F.xxhash64(F.lit(turn), "a", "b") % 2 == 0)
+        now = joined(now.where(~coin), now.where(coin), "full_outer").drop("hit").checkpoint()
+        left, turn = now.where(is_open).count(), turn + 1
+    while left and moved:
+        now = joined(now, now.where(is_open), "left").checkpoint()
+        moved, now = now.where("hit").count(), now.drop("hit")
+    return whole.union(now.where(~is_open).select("a", "b", "n"))
+
+
+_SPAN = "doc bigint, key bigint, lo int, hi int"
+
+
+def _with_spans(docs: DataFrame, spans: DataFrame, doc, key) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` that have spans, with array ``_spans`` of (lo, hi), and a superset's complement: the
+    rows that a filter of bounded size knows to have none, which are not shuffled."""
+    per = spans.groupBy(F.col("doc").alias("_sd"), F.col("key").alias("_sk")).agg(F.collect_set(F.struct("lo", "hi")).alias("_spans")).checkpoint()
+    ids = per.select(F.xxhash64("_sd", "_sk").alias("key"))
+    shared = docs.sparkSession.sparkContext.broadcast(key_filter(ids, ids.count()))
+
+    @F.pandas_udf("boolean")
+    def may(h: pd.Series) -> pd.Series:
+        return pd.Series(shared.value.has(h.to_numpy(np.int64).view(np.uint64), 1))
+
+    marked = docs.withColumns({"_sd0": doc, "_sk0": key}).withColumn("_may", may(F.xxhash64("_sd0", "_sk0")))
+    few = marked.where("_may").join(per.hint("shuffle_hash"), (F.col("_sd0") == F.col("_sd")) & (F.col("_sk0") == F.col("_sk")), "left")
+    return few.select(*docs.columns, "_spans"), marked.where("not _may").select(*docs.columns)
+
+
+def path_spans(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, key, lo, hi): every occurrence of a repeated path, in words of its text, both ends included."""
     spark = docs.sparkSession
-    ensure_checkpoints(spark)
-    ship(spark)
     seeds = repeated_seeds(docs, k, text_col).checkpoint()
     count, places = seeds.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    shared = spark.sparkContext.broadcast(seed_filter(seeds, count))
+    frequent = seeds.where(F.col("n") > max(GROUP_SEEDS, places // HOT_SEEDS)).select("seed").toArrow().column("seed").to_numpy().view(np.uint64)
+    shared = spark.sparkContext.broadcast((key_filter(seeds.select("seed"), count), np.sort(frequent)))
     log_buckets = min(24, max(3, math.ceil(math.log2(max(1, places) / GROUP_SEEDS))))
 
-    def edges_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repeated = shared.value
+    def cut(column: pa.Array) -> tuple[Words, Stretches]:
+        seen, hot = shared.value
+        w = split_words(column)
+        return w, Stretches(w, k, hot, lambda seed: seen.has(seed, 1))
+
+    def stretches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = shared.value[1]
+        kept, size = [], 0
+
+        def out() -> pa.RecordBatch:
+            """As a partial aggregate: each different stretch once, a row per group."""
+            node, n, before, after, bucket = (np.concatenate(x) for x in zip(*kept))
+            at = np.cumsum(n) - n
+            ids = stretch_ids(node, at, n, before, after)
+            _, one, times = np.unique(ids, return_index=True, return_counts=True)
+            order = np.argsort(bucket[one], kind="stable")
+            one, times = one[order], times[order].astype(np.int32)
+            n, bucket = n[one], bucket[one]
+            flat = np.repeat(at[one] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            head, many = _runs(np.r_[True, bucket[1:] != bucket[:-1]])
+            node_at = np.append(np.cumsum(n) - n, n.sum())
+            blobs = []
+            for x, cuts in ((node[flat], node_at), (n.astype(np.int32), None), (times, None), (before[one], None), (after[one], None)):
+                raw, width = x.tobytes(), x.itemsize
+                ends = [(a, a + m) for a, m in zip(head.tolist(), many.tolist())]
+                blobs.append(pa.array([raw[width * (i if cuts is None else int(cuts[i])) : width * (j if cuts is None else int(cuts[j]))] for i, j in ends], pa.binary()))
+            return pa.record_batch([pa.array(bucket[head]), *blobs], ["bucket", "node", "n", "times", "before", "after"])
+
         for batch in batches:
-            doc_ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            kept, size = [], 0
-            for at, b in steps(batch, 2):
-                w = split_words(b.column(2))
-                edge, start, place, least = stretches(w, k)
-                new = np.ones(len(place), bool)
-                new[1:] = place[1:] != place[:-1]
-                first, n = _runs(new)
-                may = np.repeat(repeated.has(least[first], 1), n)
-                edge, start, place, least = edge[may], start[may], place[may], least[may]
-                doc = np.searchsorted(w.first, start, side="right") - 1
-                kept.append((least, edge, doc_ids[at + doc], keys[at + doc], start - w.first[doc], place - w.first[doc]))
-                size += len(edge)
-                if size > TASK_EDGES:
-                    yield from passed_on(*(np.concatenate(x) for x in zip(*kept)))
+            for _, b in steps(batch, 0):
+                _, s = cut(b.column(0))
+                kept.append((s.node, s.n, s.before, s.after, s.buckets(log_buckets, hot)))
+                size += len(s.node)
+                if size > TASK_NODES:
+                    yield out()
                     kept, size = [], 0
-            if size:
-                yield from passed_on(*(np.concatenate(x) for x in zip(*kept)))
-
-    def passed_on(least, edge, doc, text, start, place) -> Iterator[pa.RecordBatch]:
-        """As a partial aggregate: one of each edge, in stretches, and the paths of the others."""
-        later, earliest = resolve(least, edge, doc, text, start)
-        found = _paths(doc, text, start, earliest, later, k)
-        home = (found[0] ^ found[1]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        yield _rows(bloom.segment_of(home, log_buckets), None, *found, None)
-        least, edge, doc, text, start, place = (x[~later] for x in (least, edge, doc, text, start, place))
-        new = np.ones(len(least), bool)
-        new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (start[1:] != start[:-1] + 1)
-        at, n = _runs(new)
-        raw = edge.tobytes()
-        blobs = [raw[8 * a : 8 * (a + m)] for a, m in zip(at.tolist(), n.tolist())]
-        yield _rows(bloom.segment_of(least[at], log_buckets), least[at].view(np.int64), doc[at], text[at], start[at], start[at] + n - 1, None, None, None, blobs)
-
-    def settle(t: pa.Table) -> pa.Table:
-        names = [x.split()[0] for x in _PATH.split(", ")]
-        done = t.filter(t.column("seed").is_null()).select(names)
-        rest = t.filter(t.column("seed").is_valid())
-        col = {c: rest.column(c).to_numpy() for c in ("seed", "doc", "text", "lo", "hi")}
-        n = col["hi"] - col["lo"] + 1
-        edge = np.frombuffer(b"".join(rest.column("edges").to_pylist()), np.uint64)
-        each = np.repeat(np.arange(len(n)), n)
-        start = col["lo"][each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-        doc, text = col["doc"][each], col["text"][each]
-        later, earliest = resolve(col["seed"].view(np.uint64)[each], edge, doc, text, start)
-        found = [pa.array(x, kind) for x, kind in zip(_paths(doc, text, start, earliest, later, k), _KINDS[2:9])]
-        return pa.concat_tables([done, pa.table(found, names=names)])
-
-    moved = _keyed(docs, id_col, text_col).mapInArrow(edges_of, _ROW)
-    parts = moved.groupBy("bucket").applyInArrow(settle, _PATH)
-    # parts of a path go on together in the text and at the earlier place
-    place = ["from_doc", "from_text", "_apart"]
-    parts = parts.withColumn("_apart", F.col("lo") - F.col("from_lo"))
-    w = Window.partitionBy("doc", "text").orderBy(*place, "lo")
+        if size:
+            yield out()
+
+    def graph(t: pa.Table) -> pa.Table:
+        get = lambda name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
+        return fragments(get("node", np.uint64), get("n", np.int32), get("times", np.int32), get("before", np.uint64), get("after", np.uint64))
+
+    keyed = _keyed(docs, id_col, text_col)
+    packed = keyed.select("raw").mapInArrow(stretches_of, "bucket int, node binary, n binary, times binary, before binary, after binary")
+    found = packed.groupBy("bucket").applyInArrow(graph, _GRAPH).checkpoint()
+    lengths = compact(found.where(F.col("kind") != PLACE)).toDF("y", "z", "edges")
+    heads = found.where(F.col("kind") == PLACE).join(lengths, ["y", "z"]).select(F.col("a").alias("id"), F.col("b").alias("node"), F.col("n").alias("offset"), "edges").checkpoint()
+    ids = heads.select("id")
+    wanted = spark.sparkContext.broadcast(key_filter(ids, ids.count()))
+
+    def occurrences_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for at, b in steps(batch, 2):
+                _, s = cut(b.column(2))
+                ids = stretch_ids(s.node, s.at, s.n, s.before, s.after)
+                hit = np.flatnonzero(wanted.value.has(ids, 1)) if len(ids) else np.zeros(0, np.int64)
+                own = at + s.text[hit]
+                cols = [ids[hit].view(np.int64), s.node[s.at[hit]].view(np.int64), doc[own], key[own], s.lo[hit].astype(np.int32)]
+                yield pa.record_batch(list(map(pa.array, cols)), ["id", "node", "doc", "key", "at"])
+
+    seen_at = keyed.mapInArrow(occurrences_of, "id bigint, node bigint, doc bigint, key bigint, at int")
+    lo = F.col("at") + F.col("offset")
+    return seen_at.join(heads, ["id", "node"]).select("doc", "key", lo.alias("lo"), (lo + F.col("edges") + F.lit(k - 2)).alias("hi"))
+
+
+def repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Path occurrences whose words also stand earlier, with that place: ``from_doc``, ``from_key``, ``from_lo``.
+
+    The words between the coordinates are read and digested (128 bits); occurrences with
+    equal words repeat the earliest of them."""
+    keyed = _keyed(docs, id_col, text_col)
+    texts, _ = _with_spans(keyed, path_spans(docs, k, id_col, text_col), F.col("doc"), F.col("key"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, b in steps(batch, 2):
+                rows = []
+                for doc, key, raw, spans in zip(*(b.column(i) for i in range(4))):
+                    spans = spans.as_py()
+                    if spans:
+                        words = raw.as_py().split()
+                        for s in spans:
+                            d = hashlib.blake2b(b" ".join(words[s["lo"] : s["hi"] + 1]), digest_size=16).digest()
+                            rows.append((int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), doc.as_py(), key.as_py(), s["lo"], s["hi"]))
+                cols = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, [pa.int64()] * 4 + [pa.int32()] * 2)]
+                yield pa.record_batch(cols, ["d1", "d2", "doc", "key", "lo", "hi"])
+
+    read = texts.where("_spans is not null").mapInArrow(run, f"d1 bigint, d2 bigint, {_SPAN}").checkpoint()
+    first = read.groupBy("d1", "d2").agg(F.min(F.struct("doc", "key", "lo")).alias("f"), F.count("*").alias("_times")).where("_times > 1").drop("_times")
+    both = read.join(first, ["d1", "d2"]).select("doc", "key", "lo", "hi", F.col("f.doc").alias("from_doc"), F.col("f.key").alias("from_key"), F.col("f.lo").alias("from_lo"))
+    return both.where("doc <> from_doc or key <> from_key or lo <> from_lo")
+
+
+def repeated_paths(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Passages of ``k`` words or more that also start earlier in the corpus.
+
+    One row per passage: ``doc`` and ``text`` (hash of the text), ``lo`` and ``hi`` (first and last word), and
+    ``from_doc``, ``from_text``, ``from_lo``: an earlier place with the same words.  Earlier means a
+    smaller id (null first), then the text's hash among rows that share an id, then the position.
+    Paths that follow each other at both places are one passage.
+    """
+    ensure_checkpoints(docs.sparkSession)
+    ship(docs.sparkSession)
+    parts = repeats(docs, k, id_col, text_col).distinct().withColumn("_apart", F.col("lo") - F.col("from_lo"))
+    place = ["from_doc", "from_key", "_apart"]
+    w = Window.partitionBy("doc", "key").orderBy(*place, "lo")
     goes_on = F.col("lo") == F.lag("hi").over(w) - F.lit(k - 2)
     for c in place:
         goes_on = goes_on & (F.col(c) == F.lag(c).over(w))
     numbered = parts.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_path", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy("doc", "text", "_path").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("from_doc").alias("from_doc"), F.first("from_text").alias("from_text"), F.min("from_lo").alias("from_lo")).drop("_path")
+    merged = numbered.groupBy("doc", "key", "_path").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("from_doc").alias("from_doc"), F.first("from_key").alias("from_text"), F.min("from_lo").alias("from_lo"))
+    return merged.select("doc", F.col("key").alias("text"), "lo", "hi", "from_doc", "from_text", "from_lo")
 
 
-def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All rows and columns, the text reduced to its kept words joined by one space, with
-    ``n_words`` and ``n_removed``.
+def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
+    """All rows and columns, the text reduced to its kept words joined by one space; with ``counts`` also
+    ``n_words`` and ``n_removed``, in place of columns of these names.
 
     A word goes if a run of ``k`` words over it also starts earlier.  Null and empty texts have
     no words and become empty; rows equal in id and text are one document and are treated
-    alike; ids that are null come first; columns named like the two new ones are replaced.
+    alike; ids that are null come first; an empty table gives no rows.  No other column name is reserved.
     """
-    paths = repeated_paths(docs, k, id_col, text_col)
-    spans = paths.groupBy(F.col("doc").alias("_span_doc"), F.col("text").alias("_span_key")).agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("_spans"))
-    keep = [c for c in docs.columns if c not in (text_col, "n_words", "n_removed")]
+    ensure_checkpoints(docs.sparkSession)
+    ship(docs.sparkSession)
+    own = ("n_words", "n_removed") if counts else ()
+    keep = [c for c in docs.columns if c != text_col and c not in own]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    left = docs.select(*keep, text.cast("binary").alias("_raw"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("_doc"), F.xxhash64(text).alias("_key"))
-    both = left.join(spans.hint("shuffle_hash"), (F.col("_doc") == F.col("_span_doc")) & (F.col("_key") == F.col("_span_key")), "left").select(*keep, "_raw", "_spans")
-    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep) + f"`{text_col}` string, n_words bigint, n_removed bigint"
+    # the user's columns travel in a struct, so that their names can't clash
+    rows = docs.select(F.struct(*[F.col(c) for c in keep], F.lit(0).alias("_")).alias("row"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("doc"), F.xxhash64(text).alias("key"), text.cast("binary").alias("raw"))
+    some, none = _with_spans(rows, repeats(docs, k, id_col, text_col).select("doc", "key", "lo", "hi"), F.col("doc"), F.col("key"))
+    both = some.union(none.withColumn("_spans", F.lit(None).cast("array<struct<lo:int,hi:int>>"))).select("row", "raw", "_spans")
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, text string, n_words bigint, n_removed bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, b in steps(batch, len(keep)):
-                raw, spans = b.column(len(keep)), b.column(len(keep) + 1)
-                w = split_words(raw, hashed=False)
-                owner = np.repeat(np.arange(b.num_rows), np.asarray(spans.value_lengths().fill_null(0)))
-                flat = spans.flatten()
-                delta = np.zeros(len(w.start) + 1, np.int64)
-                if len(flat):
-                    np.add.at(delta, w.first[owner] + flat.field("lo").to_numpy(), 1)
-                    np.add.at(delta, w.first[owner] + flat.field("hi").to_numpy() + 1, -1)
-                gone = np.cumsum(delta)[:-1] > 0
-                lost = np.add.reduceat(np.append(gone, False), np.minimum(w.first[:-1], len(gone)), dtype=np.int64) * (w.counts > 0)
-                texts = []
-                for i, x in enumerate(raw):
-                    parts = x.as_py().split()
-                    texts.append(b" ".join([p for p, g in zip(parts, gone[w.first[i] : w.first[i + 1]].tolist()) if not g] if lost[i] else parts))
-                columns = [b.column(i) for i in range(len(keep))]
-                yield pa.record_batch([*columns, pa.array(texts, pa.binary()).cast(pa.string()), pa.array(w.counts.astype(np.int64)), pa.array(lost)], [*keep, text_col, "n_words", "n_removed"])
+            for _, b in steps(batch, 1):
+                texts, n, lost = [], [], []
+                for raw, spans in zip(b.column(1), b.column(2)):
+                    words, spans = raw.as_py().split(), spans.as_py()
+                    n.append(len(words))
+                    if spans:
+                        gone = np.zeros(len(words) + 1, np.int64)
+                        for s in spans:
+                            gone[s["lo"]] += 1
+                            gone[s["hi"] + 1] -= 1
+                        stays = np.cumsum(gone)[:-1] == 0
+                        words = [w for w, s in zip(words, stays.tolist()) if s]
+                    lost.append(n[-1] - len(words))
+                    texts.append(b" ".join(words))
+                yield pa.record_batch([b.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(lost, pa.int64())], ["row", "text", "n_words", "n_removed"])
 
     out = both.mapInArrow(run, schema)
-    return out.select(*[c for c in docs.columns if c not in ("n_words", "n_removed")], "n_words", "n_removed")
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c not in own], *own)
 
 
 def digests(cleaned: DataFrame) -> DataFrame:
