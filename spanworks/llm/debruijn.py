@@ -32,11 +32,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanworks.llm import bloom
-from spanworks.llm.tokens import Words, mix, split_words, steps, windows
+from spanworks.llm.tokens import Words, first_least, long_windows, mix, split_words, steps
 from spanworks.session import ensure_checkpoints, ship
 
 #: Largest filter in bytes, and bits for each key while it fits.
@@ -44,7 +45,7 @@ FILTER_BYTES, BITS_PER_KEY, PROBES = 64_000_000, 16, 3
 #: Minimiser occurrences that one group of the graph step is planned for, and minimisers that may count as very frequent.
 GROUP_SEEDS, HOT_SEEDS = 32_768, 1_000_000
 #: Minimisers, and nodes, that a task collects before it passes them on.
-TASK_SEEDS, TASK_NODES = 1_000_000, 1_500_000
+TASK_SEEDS, TASK_NODES = 500_000, 500_000
 #: Part of the open fragments that is left for pointer doubling.
 DOUBLING_SHARE = 16
 _NULL = -(2**63)
@@ -66,18 +67,13 @@ class Stretches:
 
     def __init__(self, words: Words, k: int, hot: np.ndarray | None = None, keep=None):
         length, seed = k - 1, k // 2
-        node, start = windows(words, length)
-        short, place = windows(words, seed)
+        (node, start), (short, place) = long_windows(words, (length, seed))
         text = np.searchsorted(words.first, start, side="right") - 1
         whole = words.counts[text] >= k  # without an edge a node says nothing
         node, start, text = np.where(node == 0, np.uint64(1), node)[whole], start[whole], text[whole]
-        first = np.searchsorted(place, start)
-        best, least = first.copy(), short[first] if len(first) else np.zeros(0, np.uint64)
-        for j in range(1, length - seed + 1):
-            other = short[first + j]
-            better = other < least  # strict: the leftmost of equals, so equal nodes choose alike
-            best[better] = first[better] + j
-            least = np.minimum(least, other)
+        # the leftmost of equals, so equal nodes choose alike
+        best = first_least(short, length - seed + 1, np.searchsorted(place, start))
+        least = short[best]
         joins = np.zeros(len(node), bool)
         joins[1:] = (start[1:] == start[:-1] + 1) & (text[1:] == text[:-1])
         new = ~joins
@@ -349,6 +345,13 @@ def path_spans(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: s
     return seen_at.join(heads, ["id", "node"]).select("doc", "key", lo.alias("lo"), (lo + F.col("edges") + F.lit(k - 2)).alias("hi"))
 
 
+def _bounds(spans: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many spans each row has, and the ends of all."""
+    flat = spans.flatten()
+    n = pc.fill_null(spans.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return n, flat.field("lo").to_numpy(zero_copy_only=False), flat.field("hi").to_numpy(zero_copy_only=False)
+
+
 def repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Path occurrences whose words also stand earlier, with that place: ``from_doc``, ``from_key``, ``from_lo``.
 
@@ -360,16 +363,15 @@ def repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, b in steps(batch, 2):
-                rows = []
-                for doc, key, raw, spans in zip(*(b.column(i) for i in range(4))):
-                    spans = spans.as_py()
-                    if spans:
-                        words = raw.as_py().split()
-                        for s in spans:
-                            d = hashlib.blake2b(b" ".join(words[s["lo"] : s["hi"] + 1]), digest_size=16).digest()
-                            rows.append((int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), doc.as_py(), key.as_py(), s["lo"], s["hi"]))
-                cols = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, [pa.int64()] * 4 + [pa.int32()] * 2)]
-                yield pa.record_batch(cols, ["d1", "d2", "doc", "key", "lo", "hi"])
+                n, lo, hi = _bounds(b.column(3))
+                found, at = [], 0
+                for raw, m in zip(b.column(2), n.tolist()):
+                    words = raw.as_py().split() if m else []
+                    found += [hashlib.blake2b(b" ".join(words[i : j + 1]), digest_size=16).digest() for i, j in zip(lo[at : at + m].tolist(), hi[at : at + m].tolist())]
+                    at += m
+                own = pa.array(np.repeat(np.arange(b.num_rows), n))
+                d = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
+                yield pa.record_batch([pa.array(d[:, 0]), pa.array(d[:, 1]), b.column(0).take(own), b.column(1).take(own), pa.array(lo), pa.array(hi)], ["d1", "d2", "doc", "key", "lo", "hi"])
 
     read = texts.where("_spans is not null").mapInArrow(run, f"d1 bigint, d2 bigint, {_SPAN}").checkpoint()
     first = read.groupBy("d1", "d2").agg(F.min(F.struct("doc", "key", "lo")).alias("f"), F.count("*").alias("_times")).where("_times > 1").drop("_times")
@@ -420,15 +422,16 @@ def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, b in steps(batch, 1):
-                texts, n, lost = [], [], []
-                for raw, spans in zip(b.column(1), b.column(2)):
-                    words, spans = raw.as_py().split(), spans.as_py()
+                texts, n, lost, at = [], [], [], 0
+                spans, lo, hi = _bounds(b.column(2))
+                for raw, m in zip(b.column(1), spans.tolist()):
+                    words = raw.as_py().split()
                     n.append(len(words))
-                    if spans:
+                    if m:
                         gone = np.zeros(len(words) + 1, np.int64)
-                        for s in spans:
-                            gone[s["lo"]] += 1
-                            gone[s["hi"] + 1] -= 1
+                        np.add.at(gone, lo[at : at + m], 1)
+                        np.add.at(gone, hi[at : at + m] + 1, -1)
+                        at += m
                         stays = np.cumsum(gone)[:-1] == 0
                         words = [w for w, s in zip(words, stays.tolist()) if s]
                     lost.append(n[-1] - len(words))

@@ -17,9 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that a task works on at once.  Its arrays take about twenty times as much.
-STEP_BYTES = 4_000_000
+STEP_BYTES = 1_000_000
 
-_MULT = np.uint64(0x9E3779B97F4A7C15)
+_MULT, _MULT2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _PRIME = np.uint64(0x100000001B3)
 _SEED = np.uint64(0xCBF29CE484222325)
 _LONG = 48  # words of more bytes are hashed one by one
@@ -140,3 +140,46 @@ def windows(words: Words, k: int, hashes: np.ndarray | None = None) -> tuple[np.
     text = np.repeat(np.arange(len(words.first) - 1), words.counts)
     whole = text[:n] == text[k - 1 :]
     return mix(acc[whole]), np.flatnonzero(whole)
+
+
+def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """One hash of two, in their order."""
+    h = left * _MULT + right * _MULT2
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(29))
+
+
+def long_windows(words: Words, sizes: tuple[int, ...]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Like :func:`windows`, for several sizes: runs are put together from runs of 1, 2, 4, ... words."""
+    powers, k = {1: words.hash}, 1
+    while 2 * k <= max(sizes):
+        h = powers[k]
+        powers[2 * k] = _pair(h[:-k], h[k:]) if len(h) > k else h[:0]
+        k *= 2
+    text = np.repeat(np.arange(len(words.first) - 1), words.counts)
+    out = []
+    for size in sizes:
+        n = len(words.hash) - size + 1
+        if n <= 0:
+            out.append((np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+            continue
+        acc, at = None, 0
+        for k in sorted(powers, reverse=True):
+            if size & k:
+                part = powers[k][at : at + n]
+                acc, at = part if acc is None else _pair(acc, part), at + k
+        whole = text[:n] == text[size - 1 :]
+        out.append((mix(acc[whole]), np.flatnonzero(whole)))
+    return out
+
+
+def first_least(values: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
+    """For each index in ``at`` that of the least of the ``width`` values from there on, the first of equals."""
+    best, k = np.arange(len(values)), 1
+    while 2 * k <= width:
+        left, right = best[:-k], best[k:]
+        best = np.where(values[right] < values[left], right, left)
+        k *= 2
+    left, right = best[at], best[at + width - k]
+    return np.where(values[right] < values[left], right, left)
