@@ -27,6 +27,8 @@ SIGNATURE_SHARE = 0.57
 SMALL_BAND = 64
 #: Ids up to which a set of documents is broadcast (8 bytes each, about 40 in a hash table).
 BROADCAST_ROWS = 1_000_000
+#: Neighbours from which on a node is a hub; and hubs at most, which makes the first number larger for very many edges.
+HUB, HUBS = 500, 100_000
 #: Classes whose band keys a task makes at once.
 STEP = 512
 
@@ -161,29 +163,33 @@ def confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str = "
 def links_across(large: DataFrame, sets: DataFrame, threshold: int, block: int = 1000) -> DataFrame:
     """Links (u, v) that join the components inside large bands (``band_key``, ``doc``, ``comp``, ``members``).
 
-    A band is cut into blocks of about ``block`` members, and a task compares two blocks:
-    signatures first, then full sets, nearest first.  Members that are joined already
-    need no comparison, and a pair is looked at in the first band that it shares.  A task
-    passes on at most one link per member, so pairs are never made as rows.
+    Pairs inside the band's largest component need no comparison, so each pair that does has a member of
+    the rest.  The rest is cut into rows of blocks, all members into columns, and a task compares a row with a column:
+    signatures first, then full sets, nearest first; a pair is looked at in the first band that it shares.
+    A task passes on at most one link per member, so pairs are never made as rows.
     """
-    dealt = large.withColumn("blocks", F.ceil(F.col("members") / F.lit(block)).cast("int"))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("doc", "band_key"), F.col("blocks")).cast("int"))
-    # a member goes to every pair of blocks that its own block is part of
-    spread = dealt.select("band_key", "doc", "comp", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    spread = spread.select("band_key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "doc", "comp", "own").join(sets, "doc")
+    by = large.groupBy("band_key", "comp").agg(F.count("*").alias("n"))
+    most = by.groupBy("band_key").agg(F.max(F.struct("n", "comp")).alias("m")).select("band_key", F.col("m.comp").alias("main"), F.col("m.n").alias("main_n"))
+    cut = lambda n: F.ceil(n / F.lit(block)).cast("int")
+    deal = lambda n: F.pmod(F.xxhash64("doc", "band_key"), n).cast("int")
+    dealt = large.join(most, "band_key").withColumns({"across": cut(F.col("members")), "down": cut(F.col("members") - F.col("main_n"))})
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    rows = dealt.where("comp <> main").select("band_key", deal(F.col("down")).alias("i"), every(F.col("across")).alias("j"), "doc", "comp", F.lit(True).alias("rest"))
+    columns = dealt.select("band_key", every(F.col("down")).alias("i"), deal(F.col("across")).alias("j"), "doc", "comp", F.lit(False).alias("rest"))
+    spread = rows.union(columns).join(sets, "doc")
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
-        band_key, i, j = (k.as_py() for k in key)
-        own, doc = t.column("own").to_numpy(), t.column("doc").to_numpy()
+        band_key = key[0].as_py()
+        rest, doc = t.column("rest").to_numpy(zero_copy_only=False), t.column("doc").to_numpy()
         held = [np.frombuffer(x, np.uint64) for x in t.column("set").to_pylist()]
         sig = np.stack([signature(s) for s in held])
         keys = band_keys(sig)
         band = int(np.argmax((keys == band_key).any(axis=0)))
         _, root = np.unique(t.column("comp").to_numpy(), return_inverse=True)
-        right = np.flatnonzero(own == j)
+        right = np.flatnonzero(~rest)
         u, v = [], []
-        for x in np.flatnonzero(own == i):
-            y = right[(root[right] != root[x]) & ((i != j) | (right > x))]
+        for x in np.flatnonzero(rest):
+            y = right[root[right] != root[x]]
             if len(y):
                 share = (sig[y] == sig[x]).mean(axis=1)
                 fit = (share >= SIGNATURE_SHARE) & ~(keys[y, :band] == keys[x, :band]).any(axis=1)
@@ -201,21 +207,26 @@ def links_across(large: DataFrame, sets: DataFrame, threshold: int, block: int =
     return spread.groupBy("band_key", "i", "j").applyInArrow(run, "u bigint, v bigint")
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of an edge (u, v).
 
     Large-star links each larger neighbour to the least of a node's neighbourhood, small-star
-    each smaller one, by joins on a table of minima; a hub is never gathered.
-    Each step is checkpointed; the loop ends when a step changes nothing.
+    each smaller one, by joins on a table of minima.  The edges of a hub, of which there are
+    few by definition, meet its minimum by a broadcast instead, so that no task gathers them.
+    Each step is checkpointed; the loop ends when a step changes nothing, after a number of
+    rounds that grows with the logarithm of the longest path.
     """
     ensure_checkpoints(edges.sparkSession)
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def star(e: DataFrame, large: bool, hub: int) -> DataFrame:
         low = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         if large:
             low = low.union(low.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = low.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("at"), F.least("at", "m").alias("m"))
-        linked = low.join(least, F.col("u") == F.col("at"))
+        least = low.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(F.col("u").alias("at"), F.least("u", "m").alias("m"), "n")
+        hubs = F.broadcast(least.where(F.col("n") > hub).select("at", "m"))
+        of_hubs = low.join(hubs, F.col("u") == F.col("at"))
+        others = low.join(hubs.select("at"), F.col("u") == F.col("at"), "left_anti").join(least.where(F.col("n") <= hub).select("at", "m"), F.col("u") == F.col("at"))
+        linked = of_hubs.select("u", "v", "m").union(others.select("u", "v", "m"))
         if large:
             out = linked.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
@@ -226,16 +237,14 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         return tuple(e.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0))).first())
 
     now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
-    seen = mark(now)
-    for _ in range(rounds):
-        now = star(star(now, True), False).checkpoint()
+    seen, at = None, mark(now)
+    while at != seen and at[0]:
+        hub = max(HUB, 2 * at[0] // HUBS)
+        now, seen = star(star(now, True, hub), False, hub).checkpoint(), at
         at = mark(now)
-        if at == seen:
-            break
-        seen = at
-    else:
-        raise RuntimeError("components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+    # each node but the least points to it now
+    least = now.groupBy("v").agg(F.lit(1).alias("_")).select(F.col("v").alias("node"), F.col("v").alias("component"))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(least)
 
 
 def near_duplicates(docs: DataFrame, threshold: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -252,7 +261,9 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, id_col: str = "doc_id"
     some = sigs.where("n_shingles > 0 and doc_id is not null")
     classes = some.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.min("sig").alias("sig")).checkpoint()
     named = classes.select("set_key", F.col("doc_id").alias("class"))
-    members = some.select("doc_id", "set_key").join(named, "set_key").select(F.col("doc_id").alias("u"), F.col("class").alias("v")).where("u <> v").distinct()
+    # ids that have several texts join the classes of these
+    several = some.groupBy("doc_id").agg(F.min("set_key").alias("a"), F.max("set_key").alias("b")).where("a <> b").select("doc_id")
+    shared_ids = some.select("doc_id", "set_key").join(several, "doc_id", "left_semi").join(named, "set_key").select(F.col("doc_id").alias("u"), F.col("class").alias("v")).where("u <> v").distinct()
 
     bands = band_rows(classes)
     shared = bands.groupBy("band_key").agg(F.min("doc").alias("lead"), F.max("doc").alias("last")).where("lead <> last").select("band_key", "lead")
@@ -271,7 +282,10 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, id_col: str = "doc_id"
     large = inside.where(F.col("members") > SMALL_BAND)
     across = links_across(large, sets_of(large.select("doc"), docs, id_col, text_col), threshold)
 
-    whole = components(links.union(later).union(across).union(members))
-    out = sigs.join(whole, sigs["doc_id"] == whole["node"], "left")
+    # components of classes; their members are attached by one join
+    whole = components(links.union(later).union(across).union(shared_ids))
+    placed = named.join(whole, named["class"] == whole["node"], "left").select(F.col("set_key").alias("_key"), F.coalesce("component", "class").alias("component")).checkpoint()
+    rows = sigs.select("doc_id", "n_shingles", "set_key")
+    out = rows.join(placed, (rows["set_key"] == placed["_key"]) & (rows["n_shingles"] > 0) & rows["doc_id"].isNotNull(), "left")
     comp = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
