@@ -1,8 +1,9 @@
 """TIFF images in a column: walk the directories and emit one row per page.
 
 Covers both byte orders, strips and tiles, no compression, PackBits, LZW and deflate,
-8-bit samples in chunky order, and horizontal differencing.  A page is decoded on its
-own, and rows leave a task in batches of bounded size.
+samples of 1, 2, 4, 8, 16 and 32 bits in chunky or planar order, horizontal differencing
+and the floating-point predictor.  A page is decoded on its own, and rows leave a task
+in batches of bounded size.
 """
 
 from __future__ import annotations
@@ -23,13 +24,15 @@ from spanworks.session import ship
 
 #: Bytes of samples after which a task passes its rows on.
 BATCH_BYTES = 4_000_000
+#: Largest page that is decoded, in bytes of samples, and samples of an image that are held while its other pages are decoded.
+MAX_PAGE, HOLD_BYTES = 1 << 28, 1 << 24
 #: Payload row, rows of a strip, edge of a tile, rows of a page.
 WIDTH, STRIP_ROWS, TILE, PAGE_ROWS = 192, 32, 64, 256
 
 # Fixed values of the format: tags, field types, compression schemes.
 IMAGE_WIDTH, IMAGE_LENGTH, BITS, COMPRESSION, PHOTOMETRIC = 256, 257, 258, 259, 262
 STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS, PLANAR = 273, 277, 278, 279, 284
-PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS = 317, 322, 323, 324, 325
+PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS, SAMPLE_FORMAT = 317, 322, 323, 324, 325, 339
 FIELD = {1: "B", 3: "H", 4: "I"}
 NONE, LZW, DEFLATE, PACKBITS, OLD_DEFLATE = 1, 5, 8, 32773, 32946
 CLEAR, END = 256, 257
@@ -130,15 +133,16 @@ def packbits_encode(data: bytes) -> bytes:
 
 
 def _inflate(data: bytes) -> bytes:
-    return zlib.decompressobj().decompress(data)
+    """At most MAX_PAGE bytes, whatever the data claim."""
+    return zlib.decompressobj().decompress(data, MAX_PAGE)
 
 
 _DECODE = {NONE: bytes, LZW: lzw_decode, DEFLATE: _inflate, OLD_DEFLATE: _inflate, PACKBITS: packbits_decode}
 _ENCODE = {NONE: bytes, LZW: lzw_encode, DEFLATE: lambda d: zlib.compress(d, 1), PACKBITS: packbits_encode}
 
 
-def directories(data: bytes) -> Iterator[dict[int, tuple]]:
-    """The fields of each image directory, in the order of the chain."""
+def directories(data: bytes) -> Iterator[dict]:
+    """The fields of each image directory, in the order of the chain; ``order`` is that of the bytes."""
     order = {b"II": "<", b"MM": ">"}.get(bytes(data[:2]))
     if order is None or len(data) < 8 or struct.unpack_from(order + "H", data, 2)[0] != 42:
         raise ValueError("not a TIFF")
@@ -147,11 +151,13 @@ def directories(data: bytes) -> Iterator[dict[int, tuple]]:
         if at in seen:
             raise ValueError("directories form a loop")
         seen.add(at)
-        (count,), fields = struct.unpack_from(order + "H", data, at), {}
+        (count,), fields = struct.unpack_from(order + "H", data, at), {"order": order}
         for k in range(count):
             tag, kind, n = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
             if kind not in FIELD:
                 continue
+            if n > len(data):
+                raise ValueError("a field is longer than the file")
             form = f"{order}{n}{FIELD[kind]}"
             place = at + 2 + 12 * k + 8
             if struct.calcsize(form) > 4:
@@ -161,32 +167,72 @@ def directories(data: bytes) -> Iterator[dict[int, tuple]]:
         (at,) = struct.unpack_from(order + "I", data, at + 2 + 12 * count)
 
 
-def read_page(data: bytes, fields: dict[int, tuple]) -> np.ndarray:
-    """The samples of one directory: height x width x samples per pixel."""
-    one = lambda tag, default=None: fields[tag][0] if tag in fields else default
-    width, height, spp = one(IMAGE_WIDTH), one(IMAGE_LENGTH), one(SAMPLES, 1)
-    if width is None or height is None or set(fields.get(BITS, (1,))) != {8} or one(PLANAR, 1) != 1:
-        raise ValueError("only 8-bit chunky samples are read")
-    scheme, differ = one(COMPRESSION, NONE), one(PREDICTOR, 1)
-    if scheme not in _DECODE or differ not in (1, 2):
-        raise ValueError(f"compression {scheme} with predictor {differ} is not read")
-    if TILE_OFFSETS in fields:
-        offsets, counts, w, h = fields[TILE_OFFSETS], fields[TILE_COUNTS], one(TILE_WIDTH), one(TILE_LENGTH)
-    else:
-        offsets, counts, w, h = fields[STRIP_OFFSETS], fields[STRIP_COUNTS], width, min(one(ROWS_PER_STRIP, height), height)
-    across = -(-width // w)
-    out = np.zeros((height, width, spp), np.uint8)
-    for k, (o, n) in enumerate(zip(offsets, counts)):
-        top, left = (k // across) * h, (k % across) * w
-        rows = h if TILE_OFFSETS in fields else min(h, height - top)
-        if o + n > len(data):
+class Page:
+    """What a directory says of its samples; raises ValueError for what isn't read."""
+
+    def __init__(self, fields: dict):
+        one = lambda tag, default=None: fields[tag][0] if fields.get(tag) else default
+        self.order, self.width, self.height, self.spp = fields["order"], one(IMAGE_WIDTH), one(IMAGE_LENGTH), one(SAMPLES, 1)
+        bits, formats = set(fields.get(BITS, (1,))), set(fields.get(SAMPLE_FORMAT, (1,)))
+        self.scheme, self.predictor, self.planar = one(COMPRESSION, NONE), one(PREDICTOR, 1), one(PLANAR, 1) == 2 and self.spp > 1
+        if not self.width or not self.height or not self.spp:
+            raise ValueError("a page without samples")
+        self.bits = bits.pop() if len(bits) == 1 else 0
+        self.real = formats == {3}
+        if self.bits not in (1, 2, 4, 8, 16, 32) or len(formats) != 1 or (self.real and self.bits != 32):
+            raise ValueError("samples of this size or kind are not read")
+        if self.scheme not in _DECODE or self.predictor not in (1, 2, 3) or (self.predictor == 2 and self.bits < 8) or (self.predictor == 3) > self.real:
+            raise ValueError(f"compression {self.scheme} with predictor {self.predictor} is not read")
+        self.item = max(1, self.bits // 8)
+        self.size = self.width * self.height * self.spp * self.item
+        if self.size > MAX_PAGE:
+            raise ValueError(f"a page of {self.size} bytes is larger than {MAX_PAGE}")
+        self.tiled = TILE_OFFSETS in fields
+        if self.tiled:
+            self.offsets, self.counts, self.w, self.h = fields[TILE_OFFSETS], fields[TILE_COUNTS], one(TILE_WIDTH), one(TILE_LENGTH)
+        else:
+            self.offsets, self.counts, self.w, self.h = fields[STRIP_OFFSETS], fields[STRIP_COUNTS], self.width, min(one(ROWS_PER_STRIP, self.height), self.height)
+        if not self.w or not self.h or self.w * self.h * self.spp * self.item > MAX_PAGE:
+            raise ValueError("blocks of this size are not read")
+
+    def kind(self, order: str) -> np.dtype:
+        return np.dtype(f"{order}{'f' if self.real else 'u'}{self.item}")
+
+    def block(self, raw: bytes, rows: int, spp: int) -> np.ndarray:
+        """Samples of a decoded strip or tile: rows x width x samples."""
+        line = self.w * spp
+        wide = -(-line * self.bits // 8)
+        if len(raw) < rows * wide:
             raise ValueError("data ends early")
-        part = np.frombuffer(_DECODE[scheme](data[o : o + n]), np.uint8, rows * w * spp).reshape(rows, w, spp)
-        if differ == 2:
-            part = np.cumsum(part, axis=1, dtype=np.uint8)
-        here = out[top : top + rows, left : left + w]
-        here[:] = part[: here.shape[0], : here.shape[1]]
-    return out
+        flat = np.frombuffer(raw, np.uint8, rows * wide).reshape(rows, wide)
+        if self.bits < 8:
+            each = np.unpackbits(flat, axis=1).reshape(rows, -1, self.bits)[:, :line]
+            return (each @ (1 << np.arange(self.bits - 1, -1, -1, dtype=np.uint8))).astype(np.uint8).reshape(rows, self.w, spp)
+        if self.predictor == 3:
+            # bytes of a row by significance, the highest first, with differences between neighbours
+            summed = np.cumsum(flat.reshape(rows, -1, spp), axis=1, dtype=np.uint8).reshape(rows, self.item, line)
+            return np.ascontiguousarray(summed.transpose(0, 2, 1)).view(">f4").reshape(rows, self.w, spp)
+        part = flat.view(self.kind(self.order)).reshape(rows, self.w, spp)
+        return np.cumsum(part, axis=1, dtype=part.dtype.newbyteorder("=")) if self.predictor == 2 else part
+
+    def read(self, data: bytes) -> np.ndarray:
+        """All samples: height x width x samples per pixel, little-endian."""
+        across, down = -(-self.width // self.w), -(-self.height // self.h)
+        planes = self.spp if self.planar else 1
+        if len(self.offsets) < across * down * planes or len(self.counts) < len(self.offsets):
+            raise ValueError("strips or tiles are missing")
+        out = np.zeros((self.height, self.width, self.spp), self.kind("<"))
+        for k in range(across * down * planes):
+            plane, at = divmod(k, across * down)
+            top, left = (at // across) * self.h, (at % across) * self.w
+            rows = self.h if self.tiled else min(self.h, self.height - top)
+            o, n = self.offsets[k], self.counts[k]
+            if o + n > len(data):
+                raise ValueError("data ends early")
+            part = self.block(_DECODE[self.scheme](data[o : o + n]), rows, 1 if self.planar else self.spp)
+            here = out[top : top + rows, left : left + self.w, plane : plane + 1 if self.planar else None]
+            here[:] = part[: here.shape[0], : here.shape[1]]
+        return out
 
 
 def write_tiff(payload: bytes, width: int = WIDTH) -> bytes:
@@ -250,14 +296,15 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(id_col, F.col(text_col).cast("binary").alias("raw")).mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, media binary")
 
 
-PAGE_FIELDS = "page int, pages int, width int, height int, samples_per_pixel int, compression int, samples binary, error string"
+PAGE_FIELDS = "page int, pages int, width int, height int, samples_per_pixel int, bits int, compression int, samples binary, error string"
 
 
 def read_pages(images: DataFrame, media_col: str = "media") -> DataFrame:
     """One row per page of every image, beside the image's other columns.
 
     Pages of an image follow each other in order.  An image that can't be read (null,
-    empty, no TIFF, damaged) gives one row with ``error`` and null page fields.
+    empty, no TIFF, damaged in any page, larger than MAX_PAGE a page) gives that one row with ``error``
+    and null page fields.  Samples are little-endian; those of less than 8 bits have a byte each.
     Repeated rows give repeated pages; an empty table gives no rows.  Columns of the
     input that are named like a page field are left out.
     """
@@ -267,15 +314,20 @@ def read_pages(images: DataFrame, media_col: str = "media") -> DataFrame:
     schema = "".join(f"`{c}` {images.schema[c].dataType.simpleString()}, " for c in keep) + PAGE_FIELDS
 
     def pages_of(data: bytes | None) -> Iterator[tuple]:
+        """All pages or one error: large images are decoded once to see that they can be."""
         try:
-            found = list(directories(data or b""))
-            for k, fields in enumerate(found):
-                p = read_page(data, fields)
-                yield k, len(found), p.shape[1], p.shape[0], p.shape[2], fields.get(COMPRESSION, (NONE,))[0], p.tobytes(), None
-        except (ValueError, struct.error, zlib.error, IndexError, KeyError) as e:
-            yield None, None, None, None, None, None, None, f"{type(e).__name__}: {e}"
-
-    types = [pa.int32()] * 6 + [pa.binary(), pa.string()]
+            found = [Page(f) for f in directories(data or b"")]
+            if not found:
+                raise ValueError("no pages")
+            small = sum(p.size for p in found) <= HOLD_BYTES
+            held = [p.read(data) if small else p.read(data).size for p in found]
+        except Exception as e:  # whatever is wrong with an image is a row, not the end of the job
+            yield (None,) * 8 + (f"{type(e).__name__}: {e}",)
+            return
+        for k, p in enumerate(found):
+            yield k, len(found), p.width, p.height, p.spp, p.bits, p.scheme, (held[k] if small else p.read(data)).tobytes(), None
+
+    types = [pa.int32()] * 7 + [pa.binary(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -291,7 +343,7 @@ def read_pages(images: DataFrame, media_col: str = "media") -> DataFrame:
                 for row in pages_of(media.as_py()):
                     source.append(i)
                     rows.append(row)
-                    size += len(row[6] or b"")
+                    size += len(row[7] or b"")
                     if size > BATCH_BYTES:
                         yield out()
                         source, rows, size = [], [], 0

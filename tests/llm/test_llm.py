@@ -203,6 +203,86 @@ def test_op4_pages(spark):
         assert tiff.lzw_decode(tiff.lzw_encode(d)) == d and tiff.packbits_decode(tiff.packbits_encode(d)) == d
 
 
+def tiff(width, height, data, order="<", bits=8, spp=1, planar=1, predictor=1, kind=1, rows=None, **more):
+    """A one-page file of uncompressed strips; ``data`` is a list of strips."""
+    import struct
+
+    fields = {256: [width], 257: [height], 258: [bits] * spp, 259: [1], 273: [], 277: [spp], 278: [rows or height], 279: [len(d) for d in data], 284: [planar], 317: [predictor], 339: [kind] * spp} | {int(k[1:]): v for k, v in more.items()}
+    at, body = 8, b""
+    for d in data:
+        fields[273].append(at + len(body))
+        body += d
+    side, entries, base = b"", b"", at + len(body)
+    for tag, v in sorted(fields.items()):
+        raw = struct.pack(f"{order}{len(v)}I", *v)
+        if len(raw) > 4:
+            entries += struct.pack(order + "HHII", tag, 4, len(v), base + len(side))
+            side += raw
+        else:
+            entries += struct.pack(order + "HHI", tag, 4, len(v)) + raw.ljust(4, b"\0")
+    return (b"II*\0" if order == "<" else b"MM\0*") + struct.pack(order + "I", base + len(side)) + body + side + struct.pack(order + "H", len(fields)) + entries + b"\0\0\0\0"
+
+
+def test_op4_kinds_of_samples():
+    import numpy as np
+
+    from spanworks.llm.tiff import Page, directories
+
+    rng = np.random.default_rng(3)
+    read = lambda raw: [Page(f).read(raw) for f in directories(raw)]
+    for order in "<>":
+        a = rng.integers(0, 2**16, (5, 7, 3)).astype("u2")
+        d = np.diff(a, axis=1, prepend=np.zeros((5, 1, 3), "u2"))
+        assert (read(tiff(7, 5, [a.astype(f"{order}u2").tobytes()], order, 16, 3))[0] == a).all()
+        assert (read(tiff(7, 5, [d.astype(f"{order}u2").tobytes()], order, 16, 3, predictor=2))[0] == a).all()
+        planes = [a[:, :, k].astype(f"{order}u2")[r : r + 2].tobytes() for k in range(3) for r in (0, 2, 4)]
+        assert (read(tiff(7, 5, planes, order, 16, 3, planar=2, rows=2))[0] == a).all()
+    for bits in (1, 2, 4):
+        a = rng.integers(0, 2**bits, (5, 11)).astype("u1")
+        each = np.unpackbits(a[:, :, None], axis=2)[:, :, 8 - bits :].reshape(5, -1)
+        assert (read(tiff(11, 5, [np.packbits(each, axis=1).tobytes()], bits=bits))[0][:, :, 0] == a).all()
+    a = rng.normal(size=(4, 6)).astype("f4")
+    split = a.astype(">f4").view("u1").reshape(4, 6, 4).transpose(0, 2, 1).reshape(4, 24)
+    raw = np.diff(split, axis=1, prepend=np.zeros((4, 1), "u1")).tobytes()
+    assert (read(tiff(6, 4, [raw], bits=32, predictor=3, kind=3))[0][:, :, 0] == a).all()
+
+
+def test_op4_damage_is_one_row(spark):
+    from spanworks.llm import tiff as t
+
+    two = bytearray(t.write_tiff(b"ab  " * (192 * 300 // 4)))
+    second = list(t.directories(bytes(two)))[1]
+    at = bytes(two).index(second[t.STRIP_OFFSETS][0].to_bytes(4, "little") if t.STRIP_OFFSETS in second and len(second[t.STRIP_OFFSETS]) == 1 else b"\0\0\0\0") if t.STRIP_OFFSETS in second else 0
+    images = [tiff(0, 5, [b"x" * 35]), tiff(7, 0, [b"x" * 35]), tiff(2**31, 2**31, [b"x"]), tiff(7, 5, [b"x" * 3]), tiff(7, 5, [b"x" * 35], m322=[0], m323=[16], m324=[8], m325=[35]), tiff(7, 5, [b"x" * 35], predictor=9), tiff(7, 5, [b"x" * 35], m259=[77]), tiff(7, 5, [b"x" * 35], bits=5), bytes(two[: len(two) - 40]), bytes(two[:at] + b"\xff\xff\xff\x7f" + two[at + 4 :])]
+    rows = t.read_pages(spark.createDataFrame(list(enumerate(map(bytes, images))), "id long, media binary")).collect()
+    assert sorted(r.id for r in rows) == list(range(len(images))) and all(r.error and r.page is None for r in rows)
+    assert t.read_pages(spark.createDataFrame([], "id long, media binary")).count() == 0
+
+
+def test_empty_tables(spark, docs):
+    import public_tokenizers
+
+    from spanworks.llm import minhash, pieces, tiff as t
+
+    none = docs.limit(0)
+    assert t.media_rows(none).count() == 0 and minhash.near_duplicates(none).count() == 0
+    assert pieces.encode_decode(none, public_tokenizers.path("piece_bpe_32k.model")).count() == 0
+
+
+def test_op4_stored_form(docs, plain):
+    """The feature and the digests of the stored form, worked out from the file that each text gives."""
+    from spanworks.llm import tiff as t
+
+    got = by_id(t.media_rows(docs).collect())
+    for i, text in plain:
+        raw = (text or "").encode()
+        media = t.write_tiff(raw + b" " * (-len(raw) % 192 if raw else 192))
+        pages = [t.Page(f).read(media) for f in t.directories(media)]
+        x = [b for p in pages for b in p.ravel().tolist()]
+        want = f"pages={len(pages)} size=192x{len(x) // 192} min={min(x)} max={max(x)} mean={sum(x) / len(x):.4f} rms={(sum(b * b for b in x) / len(x)) ** 0.5:.4f}"
+        assert (got[i].media_bytes, got[i].media_sha256, got[i].feature) == (len(media), hashlib.sha256(media).hexdigest(), want)
+
+
 @pytest.mark.parametrize("kw", [{}, {"max_repeat": 1.5}, {"budget": 30000.0}])
 def test_op5(docs, plain, kw):
     from spanworks.llm import mixing
