@@ -112,13 +112,14 @@ def good_ids(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").alias("_id")).distinct()
 
 
-def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: float = RISK, error: float = ERROR, id_col: str = "doc_id") -> DataFrame:
+def cutoffs(good: DataFrame, stratum: str, risk: float = RISK, error: float = ERROR, text_key: str | None = None) -> DataFrame:
     """(stratum, rule, cutoff): the strictest cutoff that the holdout supports; none if it supports none.
 
-    All labelled rows that pass the base rules and are good (quality 1, not toxic) count.
+    ``good`` are the measured rows of good labelled documents (quality 1, not toxic); those that pass the base
+    rules count.  Equal texts of a stratum, as ``text_key`` tells them, are one draw: copies would make the test too sure.
     """
-    good = good_ids(labels)
-    held = measured.where(~F.col("base_failed")).join(good, F.col(id_col) == F.col("_id"), "left_semi")
+    held = good.where(~F.col("base_failed"))
+    held = held.dropDuplicates([stratum, text_key]) if text_key else held
     rules = F.array(*[F.struct(F.lit(name).alias("rule"), F.col(name).alias("score"), F.array(*map(F.lit, cuts)).alias("cuts")) for name, (_, cuts) in RULES.items()])
     long = held.select(F.col(stratum).alias("stratum"), F.explode(rules).alias("r")).select("stratum", "r.rule", "r.cuts", F.size(F.filter("r.cuts", lambda c: F.col("r.score") < c)).alias("passed"))
     # a document passes its first `passed` cutoffs and is rejected by the stricter ones
@@ -149,32 +150,48 @@ def verdicts(measured: DataFrame, limits: DataFrame, stratum: str) -> DataFrame:
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
 
-def _without_own(docs: DataFrame, *needed: str) -> DataFrame:
-    own = {*STATISTICS, *RULES, "_w"} - set(needed)
-    return docs.select(*[c for c in docs.columns if c not in own])
+def _text_key(text_col: str) -> Column:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return F.struct(F.xxhash64(text), F.crc32(text.cast("binary")), F.length(text))
+
+
+def _limits(docs: DataFrame, labels: DataFrame, stratum: str, id_col: str, text_col: str, risk: float, error: float) -> DataFrame:
+    good = good_ids(labels).checkpoint()
+    good = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good.hint("shuffle_hash")
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(stratum).alias("stratum"), F.col(text_col).alias("text"), _text_key(text_col).alias("text_key"))
+    held = narrow.join(good, F.col("id") == F.col("_id"), "left_semi")
+    return cutoffs(features(held, "text").drop("text"), "stratum", risk, error, "text_key").checkpoint()
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", text_col: str = "text", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """All rows and columns with the statistics, ``base_failed`` and ``kept``.
+    """All rows and columns with the statistics, ``base_failed`` and ``kept``, which replace columns of these names.
 
     Strata without enough labels have no cutoffs.  Null and empty texts have no words and
     fail the base; null strata are a stratum; ids that are null have no label; labels of
-    unknown ids are ignored; an empty table gives no rows; columns named like a
-    statistic or a rule are replaced.  Statistics of labelled good rows are taken twice, for the cutoffs
-    and for the verdict, so that texts are neither shuffled nor stored in between.
+    unknown ids are ignored; an empty table gives no rows; rows that repeat are judged alike.  Statistics of labelled good
+    rows are taken twice, for the cutoffs and for the verdict, so that texts are neither shuffled nor stored in between.
     """
     ensure_checkpoints(docs.sparkSession)
-    docs = _without_own(docs, stratum, id_col, text_col)
-    good = good_ids(labels).checkpoint()
-    good = F.broadcast(good) if good.count() <= BROADCAST_ROWS else good.hint("shuffle_hash")
-    held = features(docs.join(good, F.col(id_col) == F.col("_id"), "left_semi").select(id_col, stratum, text_col), text_col).drop(text_col)
-    limits = cutoffs(held, labels, stratum, risk, error, id_col).checkpoint()
-    return verdicts(features(docs, text_col), limits, stratum).select(*docs.columns, *STATISTICS)
+    limits = _limits(docs, labels, stratum, id_col, text_col, risk, error)
+    # the user's columns travel in a struct, so that their names can't clash
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(stratum).alias("stratum"), F.col(text_col).alias("text"))
+    judged = verdicts(features(rows, "text"), limits, "stratum")
+    return judged.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c not in STATISTICS], *STATISTICS)
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", text_col: str = "text", risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """The rows that :func:`judge` keeps, with their own columns only."""
+    ensure_checkpoints(docs.sparkSession)
+    limits = _limits(docs, labels, stratum, id_col, text_col, risk, error)
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(stratum).alias("stratum"), F.col(text_col).alias("text"))
+    return verdicts(features(rows, "text"), limits, "stratum").where("kept").select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def judge_narrow(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", text_col: str = "text", risk: float = RISK, error: float = ERROR) -> DataFrame:
     """:func:`judge` without the texts: id, stratum and statistics, each taken once."""
     ensure_checkpoints(docs.sparkSession)
-    measured = features(docs.select(id_col, stratum, text_col), text_col).drop(text_col).checkpoint()
-    limits = cutoffs(measured, labels, stratum, risk, error, id_col).checkpoint()
-    return verdicts(measured, limits, stratum).select(id_col, stratum, *STATISTICS)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(stratum).alias("stratum"), F.col(text_col).alias("text"), _text_key(text_col).alias("text_key"))
+    measured = features(rows, "text").drop("text").checkpoint()
+    good = measured.join(good_ids(labels), F.col("id") == F.col("_id"), "left_semi")
+    limits = cutoffs(good, "stratum", risk, error, "text_key").checkpoint()
+    return verdicts(measured, limits, "stratum").select(F.col("id").alias(id_col), F.col("stratum").alias(stratum), *STATISTICS)

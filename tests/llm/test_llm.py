@@ -155,6 +155,61 @@ def test_op3_statistics(spark, docs, plain):
     assert judge_narrow(docs.limit(0), spark.read.parquet(f"{DATA}/labels.parquet")).count() == 0
 
 
+def plain_cutoffs(held, risk=0.02, error=0.05):
+    """{(stratum, rule): cutoff} of the rows (stratum, {rule: score}), by exact tails in fractions."""
+    from spanworks.llm.rules import RULES
+
+    def tail(n, k, p):
+        return sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+
+    by = defaultdict(list)
+    for s, scores in held:
+        for rule, x in scores.items():
+            by[s, rule].append(x)
+    out = {}
+    for key, xs in by.items():
+        for cut in RULES[key[1]][1]:
+            k = sum(x >= cut for x in xs)
+            if k > len(xs) * risk / len(RULES) or tail(len(xs), k, risk / len(RULES)) > error / len(by):
+                break
+            out[key] = cut
+    return out
+
+
+@pytest.mark.parametrize("risk", [0.02, 0.4])
+def test_op3_kept(spark, docs, plain, risk):
+    from spanworks.llm.rules import RULES, judge, judge_narrow, kept_documents
+
+    labels = spark.createDataFrame([(r.doc_id, r.lang, r.text) for r in docs.collect()], "doc_id long, lang string, text string").select("doc_id", F.lit(1).alias("quality"), F.when(F.col("doc_id") % 9 == 0, 1).when(F.col("doc_id") % 9 == 1, None).otherwise(0).alias("toxic"))
+    rows = docs.select("doc_id", "lang", "text", *[F.lit("own").alias(c) for c in ("n_words", "_w", "symbols_per_word", "stratum", "id", "_id", "doc")])
+    got = judge_narrow(rows, labels, risk=risk).collect()
+    names = {"symbols_per_word": ("n_symbols", "n_words"), "long_words": ("word_chars", "n_words"), "repeat_words": ("n_repeat_words", "n_words"), "dup_lines": ("n_dup_lines", "n_words")}
+    scores = lambda r: {k: r[a] / r[b] if r[b] else 0.0 for k, (a, b) in names.items()}
+    text = dict(plain)
+    held = {(r.lang, text[r.doc_id]): (r.lang, scores(r)) for r in got if not r.base_failed and r.doc_id is not None and r.doc_id % 9 != 0}
+    cuts = plain_cutoffs(held.values(), risk)
+    assert bool(cuts) == (risk > 0.1)
+    for r in got:
+        assert r.kept == (not r.base_failed and not any(x >= cuts.get((r.lang, k), math.inf) for k, x in scores(r).items()))
+    same = lambda rows: sorted((str(r.doc_id), r.kept) for r in rows)
+    assert same(judge(rows, labels, risk=risk).collect()) == same(got)
+    kept = kept_documents(rows, labels, risk=risk)
+    assert kept.columns == rows.columns and all(r.n_words == "own" for r in kept.collect())
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in got if r.kept)
+    assert set(RULES) == set(names)
+
+
+def test_op5_equal_rows_keep_the_limit(spark):
+    from spanworks.llm import mixing
+
+    rows = [(1, "a b c d e", "x", "own")] * 400 + [(k, "a b c d e f g h i j" * 20, "y", "own") for k in range(2, 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _source string").withColumns({"_full": F.lit(1), "row": F.lit(2), "block": F.lit(3)})
+    read = mixing.blocks(docs, max_repeat=1.5).collect()
+    mixed = mixing.mixed_documents(docs, max_repeat=1.5).collect()
+    assert Counter((r.doc_id, r.source) for r in read) == Counter((r.doc_id, r.source) for r in mixed)
+    assert sum(r.source == "x" for r in mixed) <= 601 and {r.row for r in mixed} == {2}
+
+
 def test_op3_binomial(spark):
     from spanworks.llm.rules import binomial_tail
 
@@ -173,7 +228,12 @@ def test_op3_cutoffs_keep_the_risk(spark):
     rows = [(i, "s", False, 0.35 if i % 100 == 0 else (i % 29) / 100, 5.0, 0.0, 0.0) for i in range(6000)] + [(i, "s", False, 1.5, 5.0, 0.0, 0.0) for i in range(9000, 9500)] + [(99_999, "few", False, 0.0, 5.0, 0.0, 0.0)]
     df = spark.createDataFrame(rows, "doc_id long, lang string, base_failed boolean, symbols_per_word double, long_words double, repeat_words double, dup_lines double")
     labels = df.select("doc_id", (F.col("doc_id") < 9000).cast("int").alias("quality"), F.lit(0).alias("toxic"))
-    got = {(r.stratum, r.rule): r.cutoff for r in rules.cutoffs(df, labels, "lang").collect()}
+    good = df.join(rules.good_ids(labels), F.col("doc_id") == F.col("_id"), "left_semi")
+    got = {(r.stratum, r.rule): r.cutoff for r in rules.cutoffs(good, "lang").collect()}
+    # copies of one text don't make a cutoff surer
+    few = good.where("doc_id < 300")
+    many = few.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20)))).withColumn("key", F.col("doc_id"))
+    assert sorted(map(tuple, rules.cutoffs(many, "lang", text_key="key").collect())) == sorted(map(tuple, rules.cutoffs(few, "lang").collect()))
     assert got["s", "symbols_per_word"] == 0.4 and not any(s == "few" for s, _ in got)
 
 
