@@ -44,8 +44,11 @@ class Mix:
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """(doc_id, key, source, tokens): a row per document without its text; tokens are words."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("key"), F.col(source_col).alias("source"), F.size(word_array(F.col(text_col))).cast("bigint").alias("tokens"))
+    """(doc_id, key, source, tokens, row): a row per document without its text; tokens are words.
+
+    ``row`` numbers the rows of the table as it is read; it only tells rows apart that are equal in id and text.
+    """
+    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("key"), F.col(source_col).alias("source"), F.size(word_array(F.col(text_col))).cast("bigint").alias("tokens"))
 
 
 def find_mix(rows: DataFrame, entropy_share: float = ENTROPY_SHARE, max_repeat: float = MAX_REPEAT, budget: float | None = None) -> Mix:
@@ -116,7 +119,7 @@ def _placed(rows: DataFrame, mix: Mix, block_tokens: int, seed: int) -> tuple[Da
     parts = max(1, math.ceil(mix.budget / block_tokens))
     last = F.col("full") - F.when(F.col("rest") > 0, 0).otherwise(1)
     read = _beside(rows, mix.sources).where(last >= 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn("turn", _turn(seed))
-    placed = running(read, ["source", "epoch"], ["turn", "doc_id"], {"at": F.col("tokens")}, number=None).where("epoch < full or at < rest")
+    placed = running(read, ["source", "epoch"], ["turn", "row"], {"at": F.col("tokens")}, number=None).where("epoch < full or at < rest")
     stream = F.col("epoch") * F.col("n") + F.col("at")
     block = F.least(F.floor(F.when(F.col("budget") > 0, stream / F.col("budget")).otherwise(0) * parts), F.lit(parts - 1)).cast("bigint")
     return placed.withColumn("block", block), parts
@@ -138,36 +141,39 @@ def blocks(docs: DataFrame, entropy_share: float = ENTROPY_SHARE, max_repeat: fl
 
 
 def mixed_documents(docs: DataFrame, entropy_share: float = ENTROPY_SHARE, max_repeat: float = MAX_REPEAT, budget: float | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """All columns of the documents, each as often as the mix reads it, in the order of :func:`blocks`.
+    """All columns of the documents, whatever their names, each as often as the mix reads it, in the order of :func:`blocks`.
 
-    A block is a range of hashes in each epoch of a source.  The ranges are found without the
+    A block is a range of hashes in each epoch of a source; rows that are equal in id and text, and so in
+    hash, are told apart by their place in the table.  The ranges are found without the
     texts and laid beside the documents by hash; then the texts are shuffled once, into
-    partitions that follow the blocks, and sorted there.
+    partitions that follow the blocks, and sorted there.  Nulls and empty tables as in :func:`blocks`.
     """
     spark = docs.sparkSession
     ensure_checkpoints(spark)
     rows = sized(docs, id_col, text_col, source_col).checkpoint()
     mix = find_mix(rows, entropy_share, max_repeat, budget)
     placed, parts = _placed(rows, mix, block_tokens, seed)
-    found = placed.groupBy("source", "epoch", "block").agg(F.min("turn").alias("_from"), F.max("turn").alias("_to")).checkpoint()
+    at = F.struct("turn", "row")
+    found = placed.groupBy("source", "epoch", "block").agg(F.min(at).alias("from"), F.max(at).alias("to")).checkpoint()
     # a hash finds its range by its leading bits: about as many values as the source has blocks
-    bits = found.groupBy("source", "epoch").count().groupBy("source").agg(F.max("epoch").alias("_last"), F.greatest(F.lit(1), F.ceil(F.log2(F.max("count")))).cast("int").alias("_bits")).checkpoint()
-    cell = lambda x: F.expr(f"shiftright({x}, 64 - _bits)")
-    ranges = found.withColumn("_next", F.lead("_from").over(Window.partitionBy("source", "epoch").orderBy("block")))
-    ranges = _beside(ranges, bits.drop("_last")).withColumn("_cell", F.explode(F.sequence(cell("_from"), cell("coalesce(_next, _to)"))))
-    ranges = ranges.select(F.col("source").alias("_of"), F.col("epoch").alias("_in"), "_cell", F.col("block").alias("_block"), "_from", "_to", "_next").checkpoint()
+    bits = found.groupBy("source", "epoch").count().groupBy("source").agg(F.max("epoch").alias("last"), F.greatest(F.lit(1), F.ceil(F.log2(F.max("count")))).cast("int").alias("bits")).checkpoint()
+    cell = lambda x: F.expr(f"shiftright({x}, 64 - bits)")
+    ranges = found.withColumn("next", F.lead("from").over(Window.partitionBy("source", "epoch").orderBy("block")))
+    ranges = _beside(ranges, bits.drop("last")).withColumn("cell", F.explode(F.sequence(cell("from.turn"), cell("coalesce(next.turn, to.turn)"))))
+    ranges = ranges.select(F.col("source").alias("of"), F.col("epoch").alias("in"), F.col("cell").alias("range_cell"), "block", "from", "to", "next").checkpoint()
     few = ranges.count() <= BROADCAST_ROWS
 
-    own = docs.withColumns({"_source": F.col(source_col), "_key": F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))})
-    ways = bits.withColumnRenamed("source", "_s")
-    own = own.join(F.broadcast(ways) if few else ways, F.col("_source").eqNullSafe(F.col("_s")))
-    own = own.withColumn("_epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_last")))).withColumn("_turn", F.xxhash64(F.lit(seed), F.col("_epoch"), F.col(id_col), F.col("_key")))
-    own = own.withColumn("_own_cell", cell("_turn"))
-    inside = (F.col("_turn") >= F.col("_from")) & F.when(F.col("_next").isNull(), F.col("_turn") <= F.col("_to")).otherwise(F.col("_turn") < F.col("_next"))
-    same = F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_epoch") == F.col("_in")) & (F.col("_own_cell") == F.col("_cell"))
-    own = own.join(F.broadcast(ranges) if few else ranges, same & inside).withColumn("_order", F.xxhash64(F.lit(seed), F.col("_block"), F.col("_turn")))
+    # the user's columns travel in a struct, so that their names can't clash
+    own = docs.select(F.struct(*docs.columns).alias("doc"), F.col(source_col).alias("source"), F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("key"), F.monotonically_increasing_id().alias("row"))
+    ways = bits.withColumnRenamed("source", "s")
+    own = own.join(F.broadcast(ways) if few else ways, F.col("source").eqNullSafe(F.col("s")))
+    own = own.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("last")))).withColumn("turn", F.xxhash64(F.lit(seed), "epoch", "id", "key"))
+    own = own.withColumns({"cell": cell("turn"), "at": at})
+    inside = (F.col("at") >= F.col("from")) & F.when(F.col("next").isNull(), F.col("at") <= F.col("to")).otherwise(F.col("at") < F.col("next"))
+    same = F.col("source").eqNullSafe(F.col("of")) & (F.col("epoch") == F.col("in")) & (F.col("cell") == F.col("range_cell"))
+    own = own.join(F.broadcast(ranges) if few else ranges, same & inside).withColumn("order", F.xxhash64(F.lit(seed), F.col("block"), F.col("turn")))
     # the place in the mix, from 0 to 1, grows with block and order
     into = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts // PARTITION_BLOCKS)
-    place = (F.col("_block") + F.col("_order") / F.lit(2.0**64) + 0.5) / parts
+    place = (F.col("block") + F.col("order") / F.lit(2.0**64) + 0.5) / parts
     own = own.repartitionById(into, F.least(F.floor(place * into), F.lit(into - 1)).cast("int"))
-    return own.sortWithinPartitions("_block", "_order", "_source", id_col, "_epoch").select(*docs.columns)
+    return own.sortWithinPartitions("block", "order", "source", "id", "epoch").select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
