@@ -374,7 +374,7 @@ def repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str
                 yield pa.record_batch([pa.array(d[:, 0]), pa.array(d[:, 1]), b.column(0).take(own), b.column(1).take(own), pa.array(lo), pa.array(hi)], ["d1", "d2", "doc", "key", "lo", "hi"])
 
     read = texts.where("_spans is not null").mapInArrow(run, f"d1 bigint, d2 bigint, {_SPAN}").checkpoint()
-    first = read.groupBy("d1", "d2").agg(F.min(F.struct("doc", "key", "lo")).alias("f"), F.count("*").alias("_times")).where("_times > 1").drop("_times")
+    first = read.groupBy("d1", "d2").agg(F.min(F.struct("doc", "key", "lo")).alias("f"), F.count("*").alias("_times")).where("_times > 1").drop("_times").checkpoint()  # read anew, so that a passage with very many places can be split in the join
     both = read.join(first, ["d1", "d2"]).select("doc", "key", "lo", "hi", F.col("f.doc").alias("from_doc"), F.col("f.key").alias("from_key"), F.col("f.lo").alias("from_lo"))
     return both.where("doc <> from_doc or key <> from_key or lo <> from_lo")
 
