@@ -1,11 +1,13 @@
 """Chat formatting into budgeted windows of whole turns, with a loss mask.
 
-Prefix sums of the turns' tokens choose the windows: a conversation's token line is cut
-into blocks of ``target`` tokens; the turns inside a block are one window, and a turn
+Prefix sums of the turns' tokens choose the windows.  A window has ``target`` + ``history`` tokens.
+It repeats the leading system turn, if that takes half of ``target`` at most; a longer one stands in
+the first window only.  What the system turn leaves of ``target`` is for new turns: the token line behind it is cut
+into blocks of that size; the turns inside a block are one window, and a turn
 across a cut is a window of its own, so that no window exceeds its budget unless a
-single turn does.  A window repeats the leading system turn and as many of the turns just
-before it as ``history`` tokens hold; what is repeated carries no loss.  Conversations
-of any length are dealt over many tasks.
+single turn does.  As many of the turns just before it as ``history`` tokens hold are repeated; what is
+repeated carries no loss.  Conversations of any length are dealt over many tasks, and
+texts join the windows at the end only.
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n``.  Inside texts and roles every ``<|`` gets a
 backslash after the ``<`` (and ``<\\|`` one more, and so on), so that control
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanworks.operators.ordered import running
+from spanworks.session import ensure_checkpoints
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 #: Budgets in tokens: the new turns of a window, and the repeated ones.  A token counts four bytes of text.
@@ -52,51 +55,64 @@ def windows(turns: DataFrame, target: int = TARGET, history: int = HISTORY) -> D
     """One row per window: ``conv_id``, ``window``, ``n_context`` (repeated turns), ``n_turns``, ``text``,
     ``loss`` (character spans [from, to) of assistant texts that are new here), ``n_tokens``.
 
-    Turns are ordered by ``turn``, then role and text; null roles and texts are empty; a null
+    Turns are ordered by ``turn``, then role and a hash of the text; null roles and texts are empty; a null
     ``conv_id`` is a conversation, a null ``turn`` comes first; repeated rows are turns each;
     an empty table gives no rows; other columns are ignored.
     """
     if not 0 <= history <= target:
         raise ValueError("history must be between 0 and target")
+    ensure_checkpoints(turns.sparkSession)
     role, text = F.coalesce(F.col("role"), F.lit("")), F.coalesce(F.col("text"), F.lit(""))
-    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text"))
-    placed = running(rows, ["conv_id"], ["turn", "role", "text"], {"at": turn_tokens(F.col("role"), F.col("text"))}, number="no").checkpoint()
-    size = turn_tokens(F.col("role"), F.col("text"))
-    placed = placed.withColumn("to", F.col("at") + size)
-    block = F.floor(F.col("at") / target)
-    inside = block == F.floor((F.col("to") - 1) / target)
-    placed = placed.withColumn("window", (2 * block + F.when(inside, 0).otherwise(1)).cast("bigint"))
+    rows = turns.select("conv_id", "turn", role.alias("role"), text.alias("text")).select("*", F.xxhash64("text").alias("hash"), turn_tokens(F.col("role"), F.col("text")).alias("tokens"))
+    key = ["conv_id", "turn", "role", "hash", "tokens"]
+    said = rows.groupBy(*key).agg(F.max("text").alias("text"), F.count("*").alias("copies")).checkpoint()
+    each = said.select(*key, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")).drop("copy")
+    placed = running(each, ["conv_id"], ["turn", "role", "hash"], {"at": F.col("tokens")}, number="no").withColumn("to", F.col("at") + F.col("tokens")).checkpoint()
+
+    # the room of new turns, and where the cuts start, follow from the system turn: a row for each conversation that has one
+    lead = placed.where("no = 0 and role = 'system'").select(F.col("conv_id").alias("_c"), F.col("to").alias("lead"), (F.col("to") <= target // 2).alias("again"))
+    known = placed.join(lead, placed["conv_id"].eqNullSafe(lead["_c"]), "left").drop("_c")
+    again = F.coalesce("again", F.lit(False))
+    known = known.withColumns({"skip": F.when(again, F.col("lead")).otherwise(0), "is_lead": (F.col("no") == 0) & again}).withColumn("room", F.lit(target) - F.col("skip"))
+    cell = lambda x: F.floor((x - F.col("skip")) / F.col("room"))
+    crosses = F.when(cell(F.col("at")) == cell(F.col("to") - 1), 0).otherwise(1)
+    known = known.withColumn("window", F.when(F.col("is_lead"), 0).otherwise(2 * cell(F.col("at")) + crosses).cast("bigint")).drop("again", "lead")
 
     # where each window starts; a turn belongs to the history of windows that start at `to` up to `at + history`
-    starts = placed.groupBy("conv_id", "window").agg(F.min("at").alias("start")).withColumn("cell", F.floor(F.col("start") / target))
-    reach = placed.where(F.col("to") - F.col("at") <= history).withColumn("cell", F.explode(F.sequence(F.floor(F.col("to") / target), F.floor((F.col("at") + history) / target)))) if history else None
-    new = placed.select("conv_id", "window", "no", "role", "text", F.lit(False).alias("again"), "at", "to")
-    parts = new
-    lead = placed.where("no = 0 and role = 'system'").select(F.col("conv_id").alias("_c"), F.col("role").alias("role"), "text", F.col("to").alias("lead_to"))
-    if reach is not None:
-        w = starts.select(F.col("conv_id").alias("_c"), F.col("window").alias("_w"), F.col("start"), F.col("cell").alias("_cell"))
-        seen = reach.join(w, reach["conv_id"].eqNullSafe(w["_c"]) & (reach["cell"] == w["_cell"]) & (F.col("to") <= F.col("start")) & (F.col("at") >= F.col("start") - history))
-        parts = parts.union(seen.where("not (no = 0 and role = 'system')").select("conv_id", F.col("_w").alias("window"), "no", "role", "text", F.lit(True).alias("again"), "at", "to"))
-    first = starts.where("start > 0").join(lead, starts["conv_id"].eqNullSafe(lead["_c"])).where("start >= lead_to")
-    parts = parts.union(first.select("conv_id", "window", F.lit(0).cast("bigint").alias("no"), "role", "text", F.lit(True).alias("again"), F.lit(0).cast("bigint").alias("at"), F.col("lead_to").alias("to")))
+    begun = known.where("not is_lead")
+    starts = begun.groupBy("conv_id", "window", "skip", "room").agg(F.min("at").alias("start"))
+    narrow = ["turn", "role", "hash", "tokens"]
+    parts = known.select("conv_id", "window", "no", *narrow, F.lit(False).alias("repeated"))
+    if history:
+        w = starts.select(F.col("conv_id").alias("_c"), F.col("window").alias("_w"), "start", cell(F.col("start")).alias("_cell"))
+        reach = begun.where(F.col("tokens") <= history).withColumn("cell", F.explode(F.sequence(cell(F.col("to")), cell(F.col("at") + history))))
+        before = reach.join(w, reach["conv_id"].eqNullSafe(w["_c"]) & (reach["cell"] == w["_cell"]) & (F.col("to") <= F.col("start")) & (F.col("at") >= F.col("start") - history))
+        parts = parts.union(before.select("conv_id", F.col("_w").alias("window"), "no", *narrow, F.lit(True).alias("repeated")))
+    first = known.where("is_lead").select(F.col("conv_id").alias("_c"), *narrow)
+    later = starts.where("window > 0").join(first, F.col("conv_id").eqNullSafe(F.col("_c")))
+    parts = parts.union(later.select("conv_id", "window", F.lit(0).cast("bigint").alias("no"), *narrow, F.lit(True).alias("repeated")))
 
     shown = F.struct(
-        "no", "again", (F.col("role") == "assistant").alias("speaks"), F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n")).alias("head"),
-        escape(F.col("text")).alias("body"), (F.col("to") - F.col("at")).alias("tokens"),
+        "no", "repeated", (F.col("role") == "assistant").alias("speaks"), F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n")).alias("head"),
+        escape(F.col("text")).alias("body"), "tokens",
     )
-    grouped = parts.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list(shown)).alias("t"))
+    t = said.drop("copies").toDF(*[f"_{c}" for c in key], "text")
+    same = F.lit(True)
+    for c in key:
+        same = same & parts[c].eqNullSafe(t[f"_{c}"])
+    grouped = parts.join(t, same).groupBy("conv_id", "window").agg(F.array_sort(F.collect_list(shown)).alias("t"))
     tail = f"{CLOSE}\n"
 
     def spans(acc: Column, x: Column) -> Column:
         begin = acc["n"] + F.length(x["head"])
         end = begin + F.length(x["body"])
-        hit = x["speaks"] & ~x["again"]
+        hit = x["speaks"] & ~x["repeated"]
         return F.struct((end + len(tail)).alias("n"), F.when(hit, F.concat(acc["s"], F.array(F.struct(begin.alias("from"), end.alias("to"))))).otherwise(acc["s"]).alias("s"))
 
     start = F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<from:int,to:int>>").alias("s"))
     return grouped.select(
         "conv_id", "window",
-        F.size(F.filter("t", lambda x: x["again"])).alias("n_context"), F.size("t").alias("n_turns"),
+        F.size(F.filter("t", lambda x: x["repeated"])).alias("n_context"), F.size("t").alias("n_turns"),
         F.array_join(F.transform("t", lambda x: F.concat(x["head"], x["body"], F.lit(tail))), "").alias("text"),
         F.aggregate("t", start, spans)["s"].alias("loss"),
         F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a + x["tokens"]).alias("n_tokens"),
@@ -105,8 +121,10 @@ def windows(turns: DataFrame, target: int = TARGET, history: int = HISTORY) -> D
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Each window's new turns and loss texts, parsed from its text: ``turns`` (role, newline, text, newline
-    of each) and ``loss_text``, both without escapes, ``new_turns``, ``chars``."""
-    pieces = F.slice(F.split(F.col("text"), r"<\|im_start\|>"), F.col("n_context") + 2, F.greatest(F.col("n_turns") - F.col("n_context"), F.lit(0)))
+    of each) and ``loss_text``, both without escapes, ``new_turns``, ``chars``.
+
+    Turns are told apart by the template's marks in the text; only how many of them are repeated comes from ``n_context``."""
+    pieces = F.filter(F.split(F.col("text"), r"<\|im_start\|>"), lambda x, k: k > F.col("n_context"))
 
     def turn(x: Column) -> Column:
         at = F.locate("\n", x)
@@ -115,7 +133,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
     said = F.transform("loss", lambda s: unescape(F.substring(F.col("text"), s["from"] + 1, s["to"] - s["from"])))
     return formatted.select(
-        "conv_id", "window", (F.col("n_turns") - F.col("n_context")).alias("new_turns"),
+        "conv_id", "window", F.size(pieces).alias("new_turns"),
         F.array_join(F.transform(pieces, turn), "").alias("turns"), F.array_join(said, "").alias("loss_text"), F.length("text").alias("chars"),
     )
 

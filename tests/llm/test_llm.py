@@ -138,6 +138,19 @@ def test_op2(spark):
     assert chat.windows(rows.limit(0)).count() == 0
 
 
+def test_op2_budget_with_a_long_system_turn(spark):
+    from spanworks.llm import chat
+
+    turn = lambda k: "user" if k % 2 else "assistant"
+    rows = [(1, 0, "system", "s" * 40_000)] + [(1, k, turn(k), f"said {k} " * 60) for k in range(1, 60)]
+    rows += [(2, 0, "system", "s" * 2_000)] + [(2, k, turn(k), f"said {k} " * 60) for k in range(1, 60)]
+    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    for w in made:
+        assert w.n_turns == 1 or w.n_tokens <= chat.TARGET + chat.HISTORY
+    assert sum(len(w.text) for w in made if w.conv_id == 1) < 2 * sum(len(r[3]) for r in rows[:60])
+    assert all(w.text.startswith("<|im_start|>system\n") for w in made if w.conv_id == 2) and max(w.n_tokens for w in made if w.conv_id == 2) <= chat.TARGET + chat.HISTORY
+
+
 def test_op3_statistics(spark, docs, plain):
     from spanworks.llm.rules import judge_narrow
 
