@@ -22,30 +22,34 @@ ENTROPY_SHARE, MAX_REPEAT = 0.9, 1.5
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or an accepted cutoff go."""
+    """Documents that fail the base rules or an accepted cutoff go; so null and empty texts go too."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return rules.judge(docs, labels).where("kept").select(*docs.columns)
+    return rules.kept_documents(docs, labels)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays."""
+    """Of each group of near-duplicates the document with the smallest id stays.
+
+    Rows of one id are one document, so rows that share the smallest id all stay; rows
+    without an id or without words are in no group and stay.
+    """
     gone = minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct().checkpoint()
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone.hint("shuffle_hash")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words of passages that start earlier too go; every document stays."""
-    return debruijn.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
+    """Words of passages that start earlier too go; every document stays, its text as words joined by one space (none for null)."""
+    return debruijn.remove_repeats(docs, counts=False).withColumn("n_chars", F.length("text").cast("bigint")).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix reads them: each once at least."""
+    """Documents as often as the mix reads them: each once at least, empty ones as often as their source's epochs take them."""
     return mixing.mixed_documents(docs, ENTROPY_SHARE, MAX_REPEAT)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids (little-endian unsigned 32-bit) and a digest of what they decode to."""
+    """Token ids (little-endian unsigned 32-bit) and a digest of what they decode to; an empty text is begin and end alone."""
     import public_tokenizers
 
     coded = pieces.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), ("doc_id", "lang", "source"))
@@ -60,8 +64,8 @@ STAGES = [
     ("encode_pieces", encode_pieces),
 ]
 
-#: MinHash, running sums in an order of hashes, and SentencePiece have no SQL form.  Tests check columns, row counts, that
-#: no text repeats after the near-duplicate stage, and the mix's order; no test holds the whole run against brute force.
+#: MinHash, running sums in an order of hashes, and SentencePiece have no SQL form.  A test holds the first three stages and
+#: the encoding against plain Python, and the mix against the operator's own tests.
 ORACLE_SQL = None
 
 
