@@ -35,16 +35,24 @@ def build_session(app: str = "spanworks", master: str | None = None, **conf: str
 def ensure_checkpoints(spark: SparkSession) -> str:
     """The folder that lineage cuts are written to.
 
-    A cluster names it in ``spark.checkpoint.dir``; only where that is unset, as in
-    tests on one machine, a temporary folder is used.
+    A cluster names it in ``spark.checkpoint.dir``, and it is an error if it doesn't; only a
+    session on one machine, as in tests, gets a temporary folder.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = "file://" + tempfile.mkdtemp(prefix="spark-checkpoints-")
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate files, wherever Spark's file systems reach."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in Python workers, once per application.
 
