@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanworks.operators.ordered import running
 from spanworks.session import ship
@@ -52,7 +53,7 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
     ``text_crc32``, ``law``, ``shard``, ``slot`` and ``grown_shard`` (the shard with one
     shard more).  Slots are gapless from 0 in each shard, in order of id; the slot
     numbering never gathers a shard in one task.  Null ids share the shard of key 0 and
-    come first; null and empty texts have size ``overhead``; repeated rows get a slot
+    come first; ids that are no whole numbers are keyed by a hash of their text; null and empty texts have size ``overhead``; repeated rows get a slot
     each; an empty table gives no rows; other columns are ignored.
     """
     ship(docs.sparkSession)
@@ -62,6 +63,8 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
         (F.octet_length(text) + F.lit(overhead)).cast("bigint").alias("size"),
         F.crc32(text.cast("binary")).cast("bigint").alias("text_crc32"),
     )
-    placed = narrow.withColumns({"shard": jump_shard(F.col("doc_id"), shards), "grown_shard": jump_shard(F.col("doc_id"), shards + 1)})
+    whole = isinstance(docs.schema[id_col].dataType, T.IntegralType)
+    key = F.col("doc_id") if whole else F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("string")))
+    placed = narrow.withColumns({"shard": jump_shard(key, shards), "grown_shard": jump_shard(key, shards + 1)})
     slotted = running(placed, ["shard"], ["doc_id", "text_crc32"], number="slot")
     return slotted.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

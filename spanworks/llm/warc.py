@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanworks.session import ensure_checkpoints, ship
+from spanworks.session import ensure_checkpoints, remove_folder, ship
 
 #: Payloads from this size on are written once; a later equal one refers to the first.
 REVISIT_BYTES = 100
@@ -70,7 +70,7 @@ def revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     shuffle, so that thousands of copies cost a row per task."""
     raw = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     keyed = pages.where(F.col("page_id").isNotNull() & (F.octet_length(raw) >= least)).select("page_id", F.unhex(F.sha2(raw, 256)).alias("digest"))
-    first = keyed.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).where("refers_to < last").select("digest", "refers_to")
+    first = keyed.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).where("refers_to < last").select("digest", "refers_to").checkpoint()  # read anew, so that a payload with very many copies can be split in the join
     return keyed.join(first, "digest").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
 
 
@@ -227,7 +227,8 @@ def archive_pages(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     base = f"{ensure_checkpoints(pages.sparkSession).rstrip('/')}/warc-{uuid.uuid4().hex}"
     index = normalise(write_archives(pages, f"{base}/whole", least), f"{base}/records")
     read = read_records(index, f"{base}/records").checkpoint()
-    first = read.where("record_type = 'response'").groupBy(F.col("page_id").alias("target"), F.col("payload_digest").alias("same")).agg(F.max("payload_bytes").alias("full_bytes"))
+    remove_folder(pages.sparkSession, base)  # everything has been read
+    first = read.where("record_type = 'response'").groupBy(F.col("page_id").alias("target"), F.col("payload_digest").alias("same")).agg(F.max("payload_bytes").alias("full_bytes")).checkpoint()
     again = read.where("record_type = 'revisit'").drop("payload_bytes").join(first, (F.col("refers_to") == F.col("target")) & (F.col("payload_digest") == F.col("same")))
     cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return read.where("record_type = 'response'").select(*cols).union(again.withColumnRenamed("full_bytes", "payload_bytes").select(*cols))

@@ -573,6 +573,104 @@ def test_components(spark):
     assert all(got.get(x, x) == find(x) for x in root)
 
 
+def test_op8_string_ids(spark):
+    from spanworks.llm.sharding import shard
+
+    rows = shard(spark.createDataFrame([(x, "t") for x in ["a", "b", "7", None, "a"]], "doc_id string, text string"), 4).collect()
+    assert len(rows) == 5 and all(r.grown_shard in (r.shard, 4) for r in rows) and len({r.shard for r in rows if r.doc_id == "a"}) == 1
+
+
+def plain_statistics(t):
+    w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+    tri = [tuple(w[k : k + 3]) for k in range(len(w) - 2)]
+    c = Counter(tri)
+    covered = {k + d for k, x in enumerate(tri) if c[x] > 1 for d in range(3)}
+    lines = [x for x in (t or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    n, r = len(w), len(covered)
+    failed = n < 50 or 100 * r > 50 * n
+    ratio = lambda x: x / n if n else 0.0
+    return failed, {"symbols_per_word": ratio(len(re.findall(r"[#*$%&|<>]", t or ""))), "long_words": ratio(sum(map(len, w))), "repeat_words": ratio(r), "dup_lines": ratio(len(lines) - len(set(lines)))}
+
+
+def test_pipeline_against_a_plain_version(spark, tmp_path):
+    """Quality, near-duplicates, repeated passages and ids in plain Python, on the smallest documents and odd rows."""
+    import random
+
+    import public_tokenizers
+    import sentencepiece
+
+    import corpus_pipeline as p
+    from spanworks.llm import mixing
+
+    random.seed(6)
+    new = lambda n: " ".join("".join(random.choices("abcdefgh", k=6)) for _ in range(n))
+    base, passage = new(200), new(60)
+    odd = [(None, new(80)), (9001, None), (9002, ""), (9003, new(70_000)), (9004, base), (9004, base), (9005, base), (9006, base + " x"), (9007, passage + " " + new(60)), (9008, new(60) + "\n" + passage), (9009, "new line\n" * 60), (None, new(80))]
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    docs = docs.union(spark.createDataFrame([(i, t, "en", "src1" if k % 2 else None, None) for k, (i, t) in enumerate(odd)], docs.schema))
+    clash = ["n_words", "_w", "symbols_per_word", "_source", "_full", "_raw", "kept", "row", "doc", "stratum", "key", "block", "text_key", "component"]
+    docs = docs.withColumns({c: F.lit("own") for c in clash})
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    good = {r.doc_id for r in labels.collect() if r.quality == 1 and not r.toxic}
+    stats = [plain_statistics(t) for _, t, _ in rows]
+    cuts = plain_cutoffs({(g, t): (g, s) for (i, t, g), (bad, s) in zip(rows, stats) if i in good and not bad}.values())
+    kept = [(i, t) for (i, t, g), (bad, s) in zip(rows, stats) if not bad and not any(x >= cuts.get((g, k), math.inf) for k, x in s.items())]
+    sets = {}
+    for i, t in kept:
+        w = words(t, True)
+        sets.setdefault(i, set()).update(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    ids = sorted(i for i in sets if i is not None)
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in ids:
+        for b in ids:
+            x, y = sets[a], sets[b]
+            if b < a and 4 * min(len(x), len(y)) >= 3 * max(len(x), len(y)) and 100 * (n := len(x & y)) >= 75 * (len(x) + len(y) - n):
+                q, r = find(a), find(b)
+                root[max(q, r)] = min(q, r)
+    kept = [(i, t) for i, t in kept if i is None or find(i) == i]
+    seen, clean = {}, Counter()
+    for i, t in sorted(set(kept), key=lambda x: (x[0] is not None, x[0] or 0)):  # ids without a number tie; their texts share nothing here
+        w = words(t)
+        gone = [False] * len(w)
+        for k in range(len(w) - 19):
+            if seen.setdefault(tuple(w[k : k + 20]), (i, k)) != (i, k):
+                gone[k : k + 20] = [True] * 20
+        clean[i, b" ".join(x for x, g in zip(w, gone) if not g).decode()] += kept.count((i, t))
+
+    step = p.quality_rules(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    assert step.columns == docs.columns
+    step = p.near_duplicates(spark, step, str(tmp_path))
+    step = p.substring_dedup(spark, step, str(tmp_path))
+    assert step.columns == docs.columns and Counter((r.doc_id, r.text) for r in step.collect()) == clean
+    assert all(r[c] == "own" for r in step.limit(20).collect() for c in clash)
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    ids_of = lambda t: b"".join(x.to_bytes(4, "little") for x in sp.encode(t, add_bos=True, add_eos=True))
+    text = {i: t for i, t in clean if i is not None}
+    want = Counter(r.doc_id for r in mixing.blocks(step, p.ENTROPY_SHARE, p.MAX_REPEAT).collect())
+    got = p.run(spark, str(tmp_path)).collect()
+    assert Counter(r.doc_id for r in got) == want
+    assert all(bytes(r.ids) == ids_of(text[r.doc_id]) for r in got if r.doc_id is not None)
+    assert {bytes(r.ids) for r in got if r.doc_id is None} == {ids_of(t) for i, t in clean if i is None}
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    import corpus_pipeline as p
+
+    spark.read.parquet(f"{DATA}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{DATA}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    assert p.run(spark, str(tmp_path)).count() == 0
+
+
 def test_pipeline(spark):
     import corpus_pipeline as p
 
