@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanworks.llm import debruijn, minhash, mixing, pieces, rules
-from spanworks.session import ensure_checkpoints
+from spanworks.session import ensure_checkpoints, remove_folder
 
 #: Ids of removed duplicates up to which they are broadcast (about 16 bytes each); beyond, they are joined by a shuffle.
 BROADCAST_ROWS = 2_000_000
@@ -72,8 +72,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to the documents of ``sf_dir``."""
     folder = f"{ensure_checkpoints(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove_folder(spark, f"{folder}/{before}")
+        before = name
     return docs
