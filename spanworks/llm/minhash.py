@@ -211,22 +211,26 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of an edge (u, v).
 
     Large-star links each larger neighbour to the least of a node's neighbourhood, small-star
-    each smaller one, by joins on a table of minima.  The edges of a hub, of which there are
-    few by definition, meet its minimum by a broadcast instead, so that no task gathers them.
+    each smaller one, by joins on a table of minima.  That table is broadcast if it is small; if
+    not, only the hubs are, of which there are few by definition, so that no task gathers a hub's edges.
     Each step is checkpointed; the loop ends when a step changes nothing, after a number of
     rounds that grows with the logarithm of the longest path.
     """
     ensure_checkpoints(edges.sparkSession)
 
-    def star(e: DataFrame, large: bool, hub: int) -> DataFrame:
+    def star(e: DataFrame, large: bool, edges: int) -> DataFrame:
         low = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         if large:
             low = low.union(low.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = low.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select(F.col("u").alias("at"), F.least("u", "m").alias("m"), "n")
-        hubs = F.broadcast(least.where(F.col("n") > hub).select("at", "m"))
-        of_hubs = low.join(hubs, F.col("u") == F.col("at"))
-        others = low.join(hubs.select("at"), F.col("u") == F.col("at"), "left_anti").join(least.where(F.col("n") <= hub).select("at", "m"), F.col("u") == F.col("at"))
-        linked = of_hubs.select("u", "v", "m").union(others.select("u", "v", "m"))
+        if 2 * edges <= BROADCAST_ROWS:
+            linked = low.join(F.broadcast(least.select("at", "m")), F.col("u") == F.col("at")).select("u", "v", "m")
+        else:
+            hub = max(HUB, 2 * edges // HUBS)
+            hubs = F.broadcast(least.where(F.col("n") > hub).select("at", "m"))
+            of_hubs = low.join(hubs, F.col("u") == F.col("at"))
+            others = low.join(hubs.select("at"), F.col("u") == F.col("at"), "left_anti").join(least.where(F.col("n") <= hub).select("at", "m"), F.col("u") == F.col("at"))
+            linked = of_hubs.select("u", "v", "m").union(others.select("u", "v", "m"))
         if large:
             out = linked.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
@@ -239,8 +243,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
     seen, at = None, mark(now)
     while at != seen and at[0]:
-        hub = max(HUB, 2 * at[0] // HUBS)
-        now, seen = star(star(now, True, hub), False, hub).checkpoint(), at
+        now, seen = star(star(now, True, at[0]), False, at[0]).checkpoint(), at
         at = mark(now)
     # each node but the least points to it now
     least = now.groupBy("v").agg(F.lit(1).alias("_")).select(F.col("v").alias("node"), F.col("v").alias("component"))

@@ -552,11 +552,15 @@ def test_op10(spark, docs, plain, monkeypatch, small, block):
     assert all(got[i].n_shingles == len(sets[i]) and got[i].kept == (find(i) == i) for i in ids)
 
 
-def test_components(spark):
+@pytest.mark.parametrize("broadcast", [1_000_000, 10])
+def test_components(spark, monkeypatch, broadcast):
     import random
 
+    from spanworks.llm import minhash
     from spanworks.llm.minhash import components
 
+    monkeypatch.setattr(minhash, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(minhash, "HUB", 50)
     random.seed(2)
     edges = [(k, k + 1) for k in range(0, 200)] + [(1000, 1000 + k) for k in range(1, 300)] + [(random.randint(2000, 2300), random.randint(2000, 2300)) for _ in range(150)]
     root = {x: x for e in edges for x in e}
