@@ -160,36 +160,42 @@ def confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str = "
     return both.select("a", "b", "set_a", "set_b").mapInArrow(compare, "u bigint, v bigint").distinct()
 
 
-def links_across(large: DataFrame, sets: DataFrame, threshold: int, block: int = 1000) -> DataFrame:
+def links_across(large: DataFrame, sets: DataFrame, threshold: int, block: int = 2000) -> DataFrame:
     """Links (u, v) that join the components inside large bands (``band_key``, ``doc``, ``comp``, ``members``).
 
-    Pairs inside the band's largest component need no comparison, so each pair that does has a member of
-    the rest.  The rest is cut into rows of blocks, all members into columns, and a task compares a row with a column:
+    Pairs inside the band's largest component need no comparison.  The rest is cut into blocks that are compared
+    with each other, each two once, and with the blocks of the largest component:
     signatures first, then full sets, nearest first; a pair is looked at in the first band that it shares.
-    A task passes on at most one link per member, so pairs are never made as rows.
+    A task compares two blocks and passes on at most one link per member, so pairs are never made as rows.
     """
     by = large.groupBy("band_key", "comp").agg(F.count("*").alias("n"))
     most = by.groupBy("band_key").agg(F.max(F.struct("n", "comp")).alias("m")).select("band_key", F.col("m.comp").alias("main"), F.col("m.n").alias("main_n"))
     cut = lambda n: F.ceil(n / F.lit(block)).cast("int")
     deal = lambda n: F.pmod(F.xxhash64("doc", "band_key"), n).cast("int")
-    dealt = large.join(most, "band_key").withColumns({"across": cut(F.col("members")), "down": cut(F.col("members") - F.col("main_n"))})
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    rows = dealt.where("comp <> main").select("band_key", deal(F.col("down")).alias("i"), every(F.col("across")).alias("j"), "doc", "comp", F.lit(True).alias("rest"))
-    columns = dealt.select("band_key", every(F.col("down")).alias("i"), deal(F.col("across")).alias("j"), "doc", "comp", F.lit(False).alias("rest"))
-    spread = rows.union(columns).join(sets, "doc")
+    dealt = large.join(most, "band_key").withColumns({"rests": cut(F.col("members") - F.col("main_n")), "mains": cut(F.col("main_n"))})
+    dealt = dealt.withColumn("own", F.when(F.col("comp") == F.col("main"), deal(F.col("mains"))).otherwise(deal(F.col("rests"))))
+    rest, main = dealt.where("comp <> main"), dealt.where("comp = main")
+    yes, no = F.lit(True), F.lit(False)
+    among = rest.select("*", every(F.col("rests")).alias("other")).withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other")})
+    spread = (
+        among.select("band_key", F.lit(0).alias("kind"), "i", "j", "doc", "comp", (F.col("own") == F.col("i")).alias("left"), (F.col("own") == F.col("j")).alias("right"))
+        .union(rest.select("band_key", F.lit(1), "own", every(F.col("mains")), "doc", "comp", yes, no))
+        .union(main.select("band_key", F.lit(1), every(F.col("rests")), "own", "doc", "comp", no, yes))
+    ).join(sets, "doc")
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
         band_key = key[0].as_py()
-        rest, doc = t.column("rest").to_numpy(zero_copy_only=False), t.column("doc").to_numpy()
+        left, right, doc = (t.column(c).to_numpy(zero_copy_only=False) for c in ("left", "right", "doc"))
         held = [np.frombuffer(x, np.uint64) for x in t.column("set").to_pylist()]
         sig = np.stack([signature(s) for s in held])
         keys = band_keys(sig)
         band = int(np.argmax((keys == band_key).any(axis=0)))
         _, root = np.unique(t.column("comp").to_numpy(), return_inverse=True)
-        right = np.flatnonzero(~rest)
+        both, right = left & right, np.flatnonzero(right)
         u, v = [], []
-        for x in np.flatnonzero(rest):
-            y = right[root[right] != root[x]]
+        for x in np.flatnonzero(left):
+            y = right[(root[right] != root[x]) & (~both[right] | (right > x))]
             if len(y):
                 share = (sig[y] == sig[x]).mean(axis=1)
                 fit = (share >= SIGNATURE_SHARE) & ~(keys[y, :band] == keys[x, :band]).any(axis=1)
@@ -204,7 +210,7 @@ def links_across(large: DataFrame, sets: DataFrame, threshold: int, block: int =
                 y = y[root[y] != root[x]]
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-    return spread.groupBy("band_key", "i", "j").applyInArrow(run, "u bigint, v bigint")
+    return spread.groupBy("band_key", "kind", "i", "j").applyInArrow(run, "u bigint, v bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:
