@@ -65,3 +65,16 @@ def area_rows(small: DataFrame, named: DataFrame) -> DataFrame:
         "guid", F.when(lone, F.concat_ws(":", F.lit("ed"), own, division)).otherwise(F.col("code")).alias("code"),
         F.when(lone, around_label(division)).otherwise(F.col("_name")).alias("name"), F.coalesce("_county", own).alias("county"),
     )
+
+
+def histories(records: DataFrame, homes: DataFrame, event: list[str], code: str) -> DataFrame:
+    """An event's record under every area that its pins were homed to, with ``areas`` (how many, where more than one) and its
+    place in the area, the newest start first, then by reference downwards.
+
+    ``records``: event (region, ref), start; ``homes``: event, code, a row per pin.
+    """
+    listed = homes.select(*event, code).distinct()
+    many = listed.groupBy(*event).agg(F.count("*").alias("_n"))
+    out = records.join(listed, event).join(many, event).withColumn("areas", F.when(F.col("_n") > 1, F.col("_n"))).drop("_n")
+    newest = Window.partitionBy(event[0], code).orderBy(F.desc("start"), *[F.desc(c) for c in event[1:]])
+    return out.withColumn("place", F.row_number().over(newest))

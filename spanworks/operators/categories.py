@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanworks.functions.text import category_prefix
+from spanworks.functions.text import category_prefix, only_pressure
 
 # Category, the work type it implies (none: as reported), and the wordings that mean it.
 CATEGORIES = [
@@ -63,6 +63,12 @@ def backfill(df: DataFrame, title: str = "title", category: str = "work_category
     return out.drop(*[c for c in ("_was", "implied_work_type", "category") if c != category])
 
 
+def flag_pressure(df: DataFrame, description: str = "description", flag: str = "reduced_pressure") -> DataFrame:
+    """Set the flag of notices whose text announces low pressure alone; it is never cleared, and a null flag stays null."""
+    says = F.coalesce(only_pressure(F.col(description)), F.lit(False)) & F.col(description).isNotNull()
+    return df.withColumn(flag, F.when((F.col(flag) == 0) & says, F.lit(1)).otherwise(F.col(flag)))
+
+
 def unmatched(df: DataFrame, title: str, n: int) -> DataFrame:
     """The commonest prefixes that no rule claims."""
     keyed = df.select(category_prefix(F.col(title)).alias("variant"))

@@ -33,6 +33,64 @@ def overlap_audit(intervals: DataFrame, groups: list[str], place: list[str], peo
     return by([*groups, *place], "published").join(by(place, "exact"), "month", "full_outer")
 
 
+def event_overlap(events: DataFrame, footprint: DataFrame, event: list[str], region: str, place: str, people: str, cap: DataFrame | None = None) -> DataFrame:
+    """Per month and in TOTAL: person-microseconds summed over events, and with each place counted once, and what
+    part of the first is counted twice.
+
+    ``events``: event, s, e; ``footprint``: event, place, people.  An event's people are those of its distinct places, at most
+    the region's in ``cap`` (region, population); all of its intervals hold for all of its places.
+    """
+    merged = union_intervals(events.select(*event, "s", "e"), event)
+    places = footprint.select(*event, place, people).dropDuplicates([*event, place])
+    who = places.groupBy(*event).agg(F.sum(people).alias("_people"))
+    if cap is not None:
+        who = who.join(cap.select(region, "population"), region, "left").withColumn("_people", F.least("_people", F.coalesce("population", "_people")))
+    published = month_slices(merged.join(who.select(*event, "_people"), event)).groupBy("month").agg(F.sum(F.col("us") * F.col("_people")).alias("published"))
+    spread = union_intervals(merged.join(places, event).select(region, place, people, "s", "e"), [region, place, people])
+    exact = month_slices(spread).groupBy("month").agg(F.sum(F.col("us") * F.col(people)).alias("exact"))
+    both = published.join(exact, "month", "full_outer").select(F.date_format("month", "yyyy-MM").alias("month"), F.coalesce("published", F.lit(0)).alias("published"), F.coalesce("exact", F.lit(0)).alias("exact"))
+    out = both.rollup("month").agg(F.sum("published").alias("published"), F.sum("exact").alias("exact"))
+    return out.select(F.coalesce("month", F.lit("TOTAL")).alias("month"), "published", "exact", F.bround(F.try_divide(100.0 * (F.col("published") - F.col("exact")), F.col("published")), 3).alias("twice_pct"))
+
+
+def replay(labelled: DataFrame, answers: DataFrame, key: str = "id") -> DataFrame:
+    """Judge an extractor's answers by a labelled round: key, true_source, verdict (correct, incorrect, abstain).
+
+    ``labelled`` as :func:`truth` takes it; rows without a verdict or with ``unsure`` are left out.  ``answers``: key,
+    source, date, time, failed; a failed call is a miss, and a missing answer or one without a source abstains.
+    """
+    from spanworks.functions.text import first_said, minute_time
+
+    verdict = F.lower(F.trim(F.coalesce("human_verdict", F.lit(""))))
+    rows = truth(labelled.where(~verdict.isin("", "unsure"))).join(answers.select(key, *[F.col(c).alias(f"_{c}") for c in ("source", "date", "time", "failed")]), key, "left")
+    same = (F.col("true_source") == first_said(F.col("_source"))) & (F.col("true_date") == first_said(F.col("_date"))) & (F.col("true_time") == minute_time(F.col("_time")))
+    judged = F.when(F.coalesce("_failed", F.lit(False)), "incorrect").when(first_said(F.col("_source")) == "", "abstain").when(same, "correct").otherwise("incorrect")
+    return rows.select(key, "true_source", judged.alias("verdict"))
+
+
+def described(cases: DataFrame, keys: list[str]) -> DataFrame:
+    """Per event what a reviewer reads: the least case id, and the longest description (of equals the first by id)."""
+    longest = F.max_by("description", F.struct(F.length(F.coalesce("description", F.lit(""))), -F.col("id")))
+    return cases.groupBy(*keys).agg(F.min("id").alias("case_id"), longest.alias("description"))
+
+
+def unquotable_windows(cases: DataFrame) -> DataFrame:
+    """Recurring windows with values that their text doesn't write: id, ``missing`` (array of open, close, first date), ``inert``.
+
+    ``cases``: id, description, start_date (text), recurrence, window_open, window_close, window_first.  A first date that is absent
+    but not after publication changes nothing: it is inert.  Rows without either are left out.
+    """
+    from spanworks.functions.text import date_spellings, quotes, time_spellings
+
+    asked = cases.where((F.col("recurrence") == "daily") & F.col("window_open").isNotNull())
+    said = lambda c, spell: F.coalesce(quotes(F.col("description"), spell(c)), F.lit(False))
+    lacks = lambda c: F.when(~said(F.col(c), time_spellings), c)
+    silent = F.col("window_first").isNotNull() & ~said(F.to_date("window_first"), date_spellings)
+    early = F.col("window_first") <= F.left(F.coalesce("start_date", F.lit("")), F.lit(10))
+    missing = F.array_compact(F.array(lacks("window_open"), lacks("window_close"), F.when(silent & ~early, "window_first")))
+    return asked.select("id", missing.alias("missing"), (silent & early).alias("inert")).where((F.size("missing") > 0) | F.col("inert"))
+
+
 def truth(rows: DataFrame) -> DataFrame:
     """Add what is true for a reviewed answer: the reviewer's fields where the answer was judged incorrect
     and they gave one, else the answer's own.  Columns model_* and human_* of source, date, time."""

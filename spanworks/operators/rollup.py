@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanworks.operators.intervals import day_slices, month_slices, union_intervals, with_month_bounds
+from spanworks.functions.times import micros
+from spanworks.operators.intervals import day_slices, in_force, month_slices, months, union_intervals, with_month_bounds
 from spanworks.operators.severity import SEVERITIES, grade, named, rank
 
 
@@ -24,7 +25,7 @@ def month_table(events: DataFrame, people: DataFrame, region: str, population: D
     """Per region and month: events by severity, person-seconds of outages, availability and grade.
 
     Months are clipped to [since, now).  A month in which a region had nothing has no row; use
-    :func:`full_months` for a row each.
+    :func:`county_months` for a row each.
     """
     cut = events.where((F.col("s") < now_us) & (F.col("e") > since_us)).withColumns({"s": F.greatest("s", F.lit(since_us)), "e": F.least("e", F.lit(now_us))})
     per = month_slices(cut).groupBy(*keys, "month").agg(F.sum("us").alias("us")).join(people, keys, "left")
@@ -42,10 +43,51 @@ def graded(table: DataFrame, since_us: int, now_us: int) -> DataFrame:
     return out.withColumns({"availability": F.bround(F.greatest(raw, F.lit(0.0)), 3), "grade": grade(raw)}).drop("lo", "hi")
 
 
-def full_months(table: DataFrame, regions: DataFrame, region: str, months: DataFrame) -> DataFrame:
-    """A row for every region and month; regions and months are small dimensions by nature."""
-    grid = regions.select(region).distinct().withColumn("month", F.explode(F.array(*[F.lit(m[0]) for m in months.collect()])))
-    return grid.join(table, [region, "month"], "left")
+def _day(us: int) -> Column:
+    return F.to_date(F.timestamp_micros(F.lit(us)))
+
+
+def county_months(table: DataFrame, health: DataFrame, region: str, population: DataFrame, since_us: int, now_us: int) -> DataFrame:
+    """A row for every region and month of :func:`month_table`, quiet ones included, with person-hours and hours of the
+    month that count, and health notices: in force in the month, and standing now.
+
+    ``health``: region, ref, s, e of the notices that mark a health risk, for as long as they were in force.
+    """
+    grid = population.select(region, "population", F.explode(months(_day(since_us), _day(now_us))).alias("month"))
+    counts = [f"n_{v}" for v in SEVERITIES]
+    full = grid.join(table.select(region, "month", *counts, "person_us"), [region, "month"], "left").fillna(0, [*counts, "person_us"])
+    held = union_intervals(health.select(region, "ref", "s", "e"), [region, "ref"])
+    inside = held.where((F.col("s") < now_us) & (F.col("e") > since_us)).withColumns({"s": F.greatest("s", F.lit(since_us)), "e": F.least("e", F.lit(now_us))})
+    in_month = month_slices(inside).groupBy(region, "month").agg(F.countDistinct("ref").alias("health_n"))
+    now = held.where(in_force(F.col("s"), F.col("e"), F.lit(now_us))).groupBy(region).agg(F.countDistinct("ref").alias("health_now"))
+    out = full.join(in_month, [region, "month"], "left").join(now, region, "left").fillna(0, ["health_n", "health_now"])
+    bounds = with_month_bounds(out)
+    period = F.greatest(F.least(F.col("hi"), F.lit(now_us)) - F.greatest(F.col("lo"), F.lit(since_us)), F.lit(1_000_000))
+    out = bounds.withColumns({"person_h": F.bround(F.col("person_us") / 3.6e9).cast("bigint"), "period_h": F.bround(period / 3.6e9).cast("bigint")}).drop("lo", "hi")
+    return graded(out, since_us, now_us)
+
+
+def county_days(days: DataFrame, region: str, population: DataFrame, since_us: int, now_us: int) -> DataFrame:
+    """Every day of the months from since to now: ``sev`` is the worst class, ``nd`` before collection began, or empty; and
+    whether the day has been reached, and was clear.  ``days`` is :func:`day_status`."""
+    grid = population.select(region, F.explode(F.sequence(F.trunc(_day(since_us), "MM"), F.last_day(_day(now_us)))).alias("day"))
+    early = micros(F.date_add("day", 1)) <= since_us
+    both = grid.join(days.select(region, "day", F.col("sev").alias("_sev"), F.col("pct").alias("_pct")), [region, "day"], "left")
+    sev = F.when(early, "nd").otherwise(F.coalesce("_sev", F.lit("")))
+    reached = ~early & (F.col("day") <= _day(now_us))
+    return both.select(region, "day", sev.alias("sev"), F.when(early, 0.0).otherwise(F.coalesce("_pct", F.lit(0.0))).alias("pct"), reached.alias("elapsed"), (reached & (sev == "")).alias("clear"))
+
+
+def event_records(pins: DataFrame, spans: DataFrame, people: DataFrame, keys: list[str]) -> DataFrame:
+    """What a history prints of an event: :func:`event_meta` with people, covered hours, and elapsed hours where windows make these differ.
+
+    ``spans``: keys, s, e; ``people``: keys, people.  Hours are null for an event that is closed and never reported an end: nobody measured them.
+    """
+    merged = union_intervals(spans.select(*keys, "s", "e"), keys).groupBy(*keys).agg((F.sum(F.col("e") - F.col("s")) / 3.6e9).alias("_h"), ((F.max("e") - F.min("s")) / 3.6e9).alias("_span"))
+    out = event_meta(pins, keys).join(merged, keys, "left").join(people.select(*keys, "people"), keys, "left")
+    known = F.col("open") | (F.col("confirmed") > 0) | (F.col("scheduled") > 0)
+    apart = known & (F.col("_span") - F.col("_h") > 0.1)
+    return out.withColumns({"hours": F.when(known, F.bround("_h", 1)), "span_h": F.when(apart, F.bround("_span", 1)), "people": F.nullif(F.col("people"), F.lit(0))}).drop("_h", "_span")
 
 
 def day_status(events: DataFrame, people: DataFrame, region: str, population: DataFrame, keys: list[str]) -> DataFrame:

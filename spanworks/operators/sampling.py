@@ -27,6 +27,13 @@ def stratified(df: DataFrame, stratum: str, key: str, quotas: dict[str, int], se
     return df.withColumn("pick", F.row_number().over(w)).where(F.col("pick") <= quota)
 
 
+def draw(df: DataFrame, seen: DataFrame, text: str, key: str, stratum: str, quotas: dict[str, int], seed: int = 0, default: int = 0) -> DataFrame:
+    """A round to label: rows drawn before go first, then copies of a text, then each stratum gives its quota."""
+    fresh = df.join(seen.select(key).distinct(), key, "left_anti")
+    firsts = first_of_text(fresh, text, key).select(key)
+    return stratified(fresh.join(firsts, key, "left_semi"), stratum, key, quotas, seed, default)
+
+
 def uniform(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """Exactly ``n`` rows (all, if there are fewer)."""
     return df.orderBy(seeded_order(F.col(key), seed), key).limit(n)

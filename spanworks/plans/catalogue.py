@@ -612,3 +612,138 @@ def streamed_windows(spark, d):
     from spanworks.streaming.windows import daily_counts
 
     return daily_counts(spark, f"{d}/events.parquet")
+
+
+# --- full tables, histories and reviews
+
+
+def _health(spark, d):
+    return B.notices(spark, d).where("category = 'signup'")
+
+
+@query
+def county_months(spark, d):
+    """Every region and month, quiet ones included."""
+    out = rollup.county_months(_months(spark, d), _health(spark, d), "region", B.population(spark, d), B.SINCE_US, B.NOW_US)
+    return out.select("region", F.date_format("month", "yyyy-MM").alias("month"), *[f"n_{s}" for s in severity.SEVERITIES], "person_h", "period_h", "availability", "grade", "health_n", "health_now")
+
+
+@query
+def county_days(spark, d):
+    """Every day of the months, those before collection began and quiet ones included."""
+    days = rollup.day_status(_events(spark, d), _people(spark, d), "region", B.population(spark, d), EVENT)
+    return rollup.county_days(days, "region", B.population(spark, d), B.SINCE_US, B.NOW_US).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@query
+def event_records(spark, d):
+    """What a history prints of each event."""
+    key = ["region", "ref"]
+    n = B.notices(spark, d).select(
+        *key, "id", "sev", F.col("s").alias("start"), F.lit("t").alias("title"), F.lit("").alias("location"), (F.col("value") > 60).alias("has_end"), (F.col("value") > 90).alias("observed_end"),
+        F.lit(False).alias("health"), F.when(F.col("id") % 5 == 0, "Open").otherwise("Closed").alias("status"), F.lit(None).cast("bigint").alias("closed_at"), "s", "e",
+    )
+    people = rollup.event_people(B.footprint(spark, d).select(*key, "area", "pop"), key, "area", "pop")
+    return rollup.event_records(n, n, people, key).select(*key, "sev", "pins", "confirmed", "scheduled", "open", "people", "hours", "span_h")
+
+
+@query
+def area_histories(spark, d):
+    """Events under every area that one of their notices was homed to, the newest first; notices near no area are unplaced."""
+    key = ["region", "ref"]
+    n = B.notices(spark, d).withColumn("digit", F.pmod("id", F.lit(10)))
+    near = n.join(B.areas(spark, d).select("region", "area", "pop", F.pmod("area", F.lit(10)).alias("digit")), ["region", "digit"])
+    homes = n.select("id", *key).join(A.dominant(near, "id", "area", "pop").select("id", "area"), "id", "left").withColumn("area", F.coalesce(F.col("area").cast("string"), F.lit("unplaced")))
+    return A.histories(n.groupBy(*key).agg(F.min("s").alias("start")), homes, key, "area")
+
+
+@query
+def event_overlap(spark, d):
+    """Person-time of outages by event and with each area counted once, a region's people being the cap."""
+    n = B.notices(spark, d).where("sev = 'outage'")
+    f = B.footprint(spark, d).where("sev = 'outage'").select("region", "ref", "area", "pop").distinct()
+    return evaluation.event_overlap(n.select("region", "ref", "s", "e"), f, ["region", "ref"], "region", "area", "pop", B.population(spark, d))
+
+
+@query
+def consequential_review(spark, d):
+    """Consequential events with what a reviewer reads of them."""
+    said = B.notices(spark, d).select(*EVENT, "id", F.repeat(F.lit("x"), (F.col("id") % 7).cast("int")).alias("description"))
+    return consequential_events(spark, d).join(evaluation.described(said, EVENT), EVENT)
+
+
+@query
+def mixed_events(spark, d):
+    """Events of which some notices have expanded windows and some don't."""
+    tag = F.when(F.col("id") % 3 == 0, "expanded").when(F.col("id") % 3 == 1, "none").otherwise("expanded_inherited")
+    return evaluation.mixed_events(B.notices(spark, d).withColumn("recurrence_tag", tag), ["region", "ref"])
+
+
+def _window_texts(spark, d):
+    k = F.col("o_orderkey")
+    o = B.table(spark, d, "orders").select(k.alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"), F.to_date("o_orderdate").alias("day"))
+    k = F.col("id")
+    first = F.date_add("day", (k % 3 - 1).cast("int"))
+    said = F.concat(F.lit("<p>Nightly from "), F.when(k % 4 == 0, "10pm").when(k % 4 == 1, "22:00").when(k % 4 == 2, "9.30pm").otherwise("late"), F.lit(" until "), F.when(k % 5 == 0, "7:15 am").otherwise("7am"), F.lit("</p> "), F.when(k % 2 == 0, F.date_format(first, "d MMMM")).otherwise("soon"))
+    return o.select(
+        "id", "start_date", said.alias("description"), F.when(k % 11 != 0, "daily").alias("recurrence"), F.when(k % 13 != 0, "22:00").alias("window_open"), F.lit("07:00").alias("window_close"), F.date_format(first, "yyyy-MM-dd").alias("window_first")
+    )
+
+
+@query
+def unquotable_windows(spark, d):
+    """Windows whose values their text doesn't write."""
+    return evaluation.unquotable_windows(_window_texts(spark, d)).select("id", F.array_join("missing", ",").alias("missing"), "inert")
+
+
+@query
+def pressure_backfill(spark, d):
+    """The pressure flag, set where a text announces nothing else."""
+    k = F.col("o_orderkey")
+    o = B.table(spark, d, "orders").select(k, F.when(k % 4 != 3, F.when(k % 2 == 0, "It may cause low pressure to X.").otherwise("It may cause low pressure and disruptions.")).alias("description"), F.when(k % 3 == 0, 0).when(k % 3 == 1, 1).cast("int").alias("reduced_pressure"))
+    return categories.flag_pressure(o).select("o_orderkey", "reduced_pressure")
+
+
+@query
+def replayed_round(spark, d):
+    """A labelled round replayed: accuracy by what is true."""
+    k = F.col("o_orderkey")
+    o = B.table(spark, d, "orders").select(
+        k.alias("id"), F.when(k % 7 == 0, "").when(k % 7 == 1, " Unsure").when(k % 7 == 2, "incorrect").otherwise("correct").alias("human_verdict"), F.when(k % 2 == 0, "not_found").otherwise("completion_update").alias("model_source"),
+        F.when(k % 4 == 0, "completion_update").alias("human_source"), F.lit("2026-05-01").alias("model_date"), F.lit("").alias("human_date"), F.lit("08:15:30").alias("model_time"), F.lit("").alias("human_time"),
+    )
+    answers = o.where("id % 5 <> 0").select("id", F.when(F.col("id") % 5 != 1, "completion_update").alias("source"), F.lit("2026-05-01").alias("date"), F.lit("08:15").alias("time"), (F.col("id") % 10 == 2).alias("failed"))
+    return evaluation.accuracy(evaluation.replay(o, answers), "true_source", "verdict")
+
+
+@query
+def draw_round(spark, d):
+    """Documents to label: none that has a label, one of each text, a quota of each language."""
+    docs = B.table(spark, d, "documents").select("doc_id", "lang", "text")
+    return sampling.draw(docs, B.table(spark, d, "labels"), "text", "doc_id", "lang", {"en": 30}, seed=3, default=10).select("doc_id", "lang", "pick")
+
+
+@query
+def window_labels(spark, d):
+    """A series named by its unclipped edges."""
+    o = B.table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    lo = F.col("day").cast("timestamp") + F.expr("interval 23 hours")
+    w = intervals.civil_windows(F.col("day"), F.lit("22:00"), F.lit("07:00"), lo, lo + F.expr("interval 3 days"))
+    return o.select("o_orderkey", evaluation.window_label(w).alias("label"))
+
+
+@query
+def loaded_cases(spark, d):
+    """Cases of a county with a start, beside what was inferred of their ends."""
+    from spanworks.plans.resolve import load_cases
+
+    k = F.col("o_orderkey")
+    cases = B.table(spark, d, "orders").select(k.alias("id"), F.when(k % 5 != 0, "Mayo").alias("county"), F.when(k % 7 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("start_date"))
+    null = F.lit(None).cast("string")
+    ends = B.table(spark, d, "orders").where("o_orderkey % 2 = 0").select(k.alias("case_id"), F.col("o_totalprice").alias("notice_to_end_seconds"), F.lit("completion_update").alias("end_source"), *[null.alias(f"end_{c}") for c in ("local_date", "local_time", "recurrence", "window_open", "window_close", "window_first_date")])
+    return load_cases(cases, ends).select("id", "county", "start_date", "span", "end_source")
+
+
+from spanworks.plans import round_trips  # noqa: E402
+
+QUERIES |= round_trips.QUERIES

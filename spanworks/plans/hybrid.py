@@ -52,7 +52,8 @@ def extract_all(cases: DataFrame, model: Callable[[str, str], dict] | None = Non
 def enrich(wanted: DataFrame, keys: list[str], lookup: Callable[..., str], give_up: int = 10) -> DataFrame:
     """``keys`` with ``raw_json``: an answer, or a placeholder that is tried again another time.
 
-    A partition that fails ``give_up`` times in a row raises, so that a dead service isn't hammered."""
+    The keys are looked up one after the other, as such services ask for; after ``give_up`` failures in a row the run
+    raises, so that a dead service isn't hammered."""
     ship(wanted.sparkSession)
     kinds = "".join(f"`{k}` {wanted.schema[k].dataType.simpleString()}, " for k in keys)
 
@@ -71,4 +72,4 @@ def enrich(wanted: DataFrame, keys: list[str], lookup: Callable[..., str], give_
                     out.append('{"geocode_failed": "true"}')
             yield pa.record_batch([*(b.column(i) for i in range(len(keys))), pa.array(out, pa.string())], [*keys, "raw_json"])
 
-    return wanted.select(*keys).distinct().mapInArrow(run, kinds + "raw_json string")
+    return wanted.select(*keys).distinct().coalesce(1).mapInArrow(run, kinds + "raw_json string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from spanworks.operators import categories, severity
+from spanworks.plans import round_trips
 from spanworks.plans.bindings import NOW_US, SINCE_US
 
 SEV = "case event_type when 'error' then 'outage' when 'signup' then 'quality' when 'view' then 'degraded' else 'maintenance' end"
@@ -228,3 +229,56 @@ select recurrence_tag, count(*) as notices, round_even(sum(us)::double / 3.6e9::
     "data_horizon": "select cast(max(o_orderdate) as varchar) as horizon, count(*) as rows, count(*) filter (o_orderstatus = 'P') as pending from orders",
     "streamed_windows": "select strftime(ts, '%Y-%m-%d') as day, event_type, count(*) as n, round(sum(value), 2) as total from events group by all",
 }
+
+_GRID = f"grid as (select region, population, unnest(generate_series(date_trunc('month', make_timestamp({SINCE_US})), date_trunc('month', make_timestamp({NOW_US})), interval 1 month)) as slot from population)"
+_COUNTS = ", ".join(f"coalesce(n_{s}, 0) as n_{s}" for s in severity.SEVERITIES)
+_DAYS = """day_of as (select region, slot, sev, pct from (select *, row_number() over (partition by region, slot order by rank) as r from (
+    select d.region, slot, list_position(['outage', 'quality', 'degraded', 'maintenance'], d.sev) as rank, any_value(d.sev) as sev, round_even(least(100, 100 * sum(coalesce(people, 0))::double / any_value(population)), 1) as pct
+    from (select distinct region, sev, ref, slot from dx) d left join people using (region, sev, ref) join population using (region) group by d.region, slot, rank)) where r = 1)"""
+
+SQL |= {
+    "county_months": MONTHS + f""", {union('hu', "(select * from n where category = 'signup')", 'region, ref')}, hc as (select region, ref, greatest(s, {SINCE_US}) as s, least(e, {NOW_US}) as e from hu where s < {NOW_US} and e > {SINCE_US}),
+{slices('hs', 'hc', 'month')}, hm as (select region, slot, count(distinct ref) as health_n from hs group by all), hn as (select region, count(distinct ref) as health_now from hu where s <= {NOW_US} and {NOW_US} <= e group by region), {_GRID},
+q as (select grid.region, grid.slot, grid.population, {_COUNTS}, coalesce(person_us, 0) as person_us, coalesce(health_n, 0) as health_n, coalesce(health_now, 0) as health_now,
+    greatest(least(epoch_us(grid.slot + interval 1 month), {NOW_US}) - greatest(epoch_us(grid.slot), {SINCE_US}), 1000000) as period
+    from grid left join t on t.region = grid.region and t.slot = grid.slot left join hm on hm.region = grid.region and hm.slot = grid.slot left join hn on hn.region = grid.region),
+r as (select *, 100 * (1 - person_us::double / (population::double * period)) as raw from q)
+select region, strftime(slot, '%Y-%m') as month, {', '.join(f'n_{s}' for s in severity.SEVERITIES)}, cast(round_even(person_us / 3.6e9::double, 0) as bigint) as person_h, cast(round_even(period / 3.6e9::double, 0) as bigint) as period_h,
+round_even(greatest(raw, 0), 3) as availability, case when raw >= 99.9 then 'A' when raw >= 99.75 then 'B' when raw >= 99.45 then 'C' when raw >= 99.0 then 'D' else 'F' end as grade, health_n, health_now from r""",
+    "county_days": f"""with {N}, {AREAS}, {FOOT}, {PEOPLE}, {POPULATION}, {EVENTS}, {slices('dx', 'ev', 'day')}, {_DAYS},
+g as (select region, unnest(generate_series(date_trunc('month', make_timestamp({SINCE_US})), cast(last_day(make_timestamp({NOW_US})) as timestamp), interval 1 day)) as slot from population),
+j as (select g.region, g.slot, epoch_us(g.slot + interval 1 day) <= {SINCE_US} as early, cast(g.slot as date) <= cast(make_timestamp({NOW_US}) as date) as come, coalesce(sev, '') as sev, coalesce(pct, 0.0) as pct from g left join day_of d on d.region = g.region and d.slot = g.slot)
+select region, strftime(slot, '%Y-%m-%d') as day, case when early then 'nd' else sev end as sev, case when early then 0.0 else pct end as pct, not early and come as elapsed, not early and come and sev = '' as clear from j""",
+    "event_records": f"""with {N}, {AREAS}, {FOOT}, {union('u', 'n', 'region, ref')}, w as (select region, ref, sum(e - s)::double / 3.6e9::double as h, (max(e) - min(s))::double / 3.6e9::double as span from u group by all),
+p as (select region, ref, cast(sum(pop) as bigint) as people from (select distinct region, ref, area, pop from foot) group by all),
+m as (select region, ref, count(*) as pins, count(*) filter (value > 90) as confirmed, count(*) filter (value > 60 and not value > 90) as scheduled, bool_or(id % 5 = 0) as open,
+    (['outage', 'quality', 'degraded', 'maintenance'])[min(list_position(['outage', 'quality', 'degraded', 'maintenance'], sev))] as sev from n group by all),
+k as (select *, open or confirmed > 0 or scheduled > 0 as known from m join w using (region, ref) left join p using (region, ref))
+select region, ref, sev, pins, confirmed, scheduled, open, nullif(people, 0) as people, case when known then round_even(h, 1) end as hours, case when known and span - h > 0.1::double then round_even(span, 1) end as span_h from k""",
+    "area_histories": f"""with {N}, {AREAS}, r as (select n.id, ar.area, row_number() over (partition by n.id order by ar.pop desc, ar.area) as r from n join ar on ar.region = n.region and n.id % 10 = ar.area % 10),
+h as (select distinct region, ref, coalesce(cast(r.area as varchar), 'unplaced') as area from n left join r on r.id = n.id and r.r = 1), c as (select region, ref, count(*) as k from h group by all), m as (select region, ref, min(s) as start from n group by all)
+select region, ref, start, area, case when k > 1 then k end as areas, row_number() over (partition by region, area order by start desc, ref desc) as place from h join c using (region, ref) join m using (region, ref)""",
+    "event_overlap": f"""with {N}, {AREAS}, {FOOT}, {POPULATION}, o as (select region, ref, s, e from n where sev = 'outage'), {union('ou', 'o', 'region, ref')}, f as (select distinct region, ref, area, pop from foot where sev = 'outage'),
+w as (select region, ref, least(sum(pop), coalesce(any_value(population), sum(pop))) as people from f left join population using (region) group by all), pj as (select ou.*, people from ou join w using (region, ref)), {slices('px', 'pj', 'month')},
+sj as (select region, area, pop, s, e from ou join f using (region, ref)), {union('su', 'sj', 'region, area, pop')}, {slices('sx', 'su', 'month')},
+p as (select slot, sum(us * people) as published from px group by slot), q as (select slot, sum(us * pop) as exact from sx group by slot), b as (select strftime(slot, '%Y-%m') as month, coalesce(published, 0) as published, coalesce(exact, 0) as exact from p full outer join q using (slot))
+select coalesce(month, 'TOTAL') as month, cast(sum(published) as bigint) as published, cast(sum(exact) as bigint) as exact, round_even(100.0::double * (sum(published) - sum(exact))::double / nullif(sum(published), 0)::double, 3) as twice_pct from b group by rollup (month)""",
+    "consequential_review": SQL["consequential_events"].replace("with n as", "with n as", 1).rsplit("select e.region", 1)[0] + f""", d as (select region, sev, ref, min(id) as case_id, repeat('x', cast(max(id % 7) as int)) as description from n group by all)
+select e.region, e.sev, e.ref, case when e.sev = 'degraded' then 'downgraded' else 'charged' end as effect, cast(round_even(coalesce(h, 0), 0) as bigint) as person_h, case_id, description from e left join h using (region, sev, ref) join d using (region, sev, ref)
+where e.sev = 'degraded' or (e.sev = 'outage' and e.ref like '%5-error')""",
+    "mixed_events": f"with {N} select region, ref, count(*) as pins, count(*) filter (id % 3 <> 1) as expanded from n group by all having count(*) filter (id % 3 <> 1) between 1 and count(*) - 1",
+    "unquotable_windows": """with o as (select o_orderkey as id, o_orderkey as k, array_to_string(list_filter([case when o_orderkey % 4 > 1 then 'window_open' end, case when o_orderkey % 5 = 0 then 'window_close' end, case when o_orderkey % 2 = 1 and o_orderkey % 3 = 2 then 'window_first' end], lambda x: x is not null), ',') as missing,
+o_orderkey % 2 = 1 and o_orderkey % 3 < 2 as inert from orders where o_orderkey % 11 <> 0 and o_orderkey % 13 <> 0) select id, missing, inert from o where missing <> '' or inert""",
+    "pressure_backfill": "select o_orderkey, case o_orderkey % 3 when 0 then case when o_orderkey % 4 in (0, 2) then 1 else 0 end when 1 then 1 end as reduced_pressure from orders",
+    "replayed_round": """with o as (select o_orderkey as k, o_orderkey % 7 = 2 as wrong from orders where o_orderkey % 7 > 1), t as (select k, case when wrong and k % 4 = 0 then 'completion_update' when k % 2 = 0 then 'not_found' else 'completion_update' end as true_source from o),
+v as (select true_source, case when k % 5 = 0 then 'abstain' when k % 10 = 2 then 'incorrect' when k % 5 = 1 then 'abstain' when true_source = 'completion_update' then 'correct' else 'incorrect' end as v from t),
+g as (select coalesce(true_source, 'TOTAL') as true_source, count(*) as n, count(*) filter (v = 'correct') as correct, count(*) filter (v = 'incorrect') as incorrect, count(*) filter (v = 'abstain') as abstained from v group by rollup (true_source))
+select *, round_even(100 * correct::double / nullif(correct + incorrect, 0), 2) as accuracy from g""",
+    "draw_round": """with f as (select min(doc_id) as doc_id, text from documents where doc_id not in (select doc_id from labels) group by text), r as (select doc_id, lang, row_number() over (partition by lang order by md5('3:' || doc_id), doc_id) as pick from documents join f using (doc_id))
+select doc_id, lang, pick from r where pick <= case lang when 'en' then 30 else 10 end""",
+    "window_labels": """with o as (select o_orderkey, cast(o_orderdate as date) as day, cast(cast(o_orderdate as date) as timestamp) + interval 23 hour as lo from orders), d as (select *, unnest([day, cast(day + 1 as date)]) as d0, unnest([0, 1]) as i from o),
+w as (select o_orderkey, i, greatest(lo, timezone('UTC', timezone('Europe/Dublin', cast(d0 as timestamp) + interval 22 hour))) as s, timezone('UTC', timezone('Europe/Dublin', cast(d0 as timestamp) + interval 31 hour)) as e from d),
+l as (select o_orderkey, i, timezone('Europe/Dublin', timezone('UTC', s)) as s, timezone('Europe/Dublin', timezone('UTC', e)) as e from w)
+select o_orderkey, strftime(max(s) filter (i = 1), '%H:%M') || '-' || strftime(max(e) filter (i = 0), '%H:%M') || ' from ' || strftime(max(s) filter (i = 0), '%Y-%m-%d') as label from l group by o_orderkey""",
+    "loaded_cases": "select o_orderkey as id, 'Mayo' as county, strftime(o_orderdate, '%Y-%m-%d') as start_date, case when o_orderkey % 2 = 0 then o_totalprice end as span, case when o_orderkey % 2 = 0 then 'completion_update' end as end_source from orders where o_orderkey % 5 <> 0 and o_orderkey % 7 <> 0",
+} | round_trips.SQL

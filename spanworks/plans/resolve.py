@@ -20,6 +20,15 @@ DAILY = "daily"
 COLUMNS = "id bigint, county string, reference_num string, work_category string, work_type string, status string, start timestamp, location string, description string, water_restrictions int, reduced_pressure int, span double, end_source string, end_date string, end_time string, recurrence string, window_open string, window_close string, window_first string"
 
 
+def load_cases(cases: DataFrame, inferred: DataFrame) -> DataFrame:
+    """Cases of a county that have a start, with what was inferred of their ends (at most a row each; null where nothing was)."""
+    ends = inferred.select(
+        F.col("case_id").alias("id"), F.col("notice_to_end_seconds").alias("span"), "end_source", F.col("end_local_date").alias("end_date"), F.col("end_local_time").alias("end_time"),
+        F.col("end_recurrence").alias("recurrence"), F.col("end_window_open").alias("window_open"), F.col("end_window_close").alias("window_close"), F.col("end_window_first_date").alias("window_first"),
+    )
+    return cases.where("county is not null and start_date is not null").join(ends, "id", "left")
+
+
 def event_windows(cases: DataFrame) -> DataFrame:
     """(county, ref, w_open, w_close, w_first): the commonest window that an event's pins claim."""
     claims = cases.where(F.col("recurrence") == DAILY).select("county", "ref", F.col("window_open").alias("w_open"), F.col("window_close").alias("w_close"), F.col("window_first").alias("w_first"))
@@ -42,7 +51,7 @@ def resolve(cases: DataFrame, now: Column, counties: DataFrame | None = None, im
     paired = pairing.first_after(issues.where("ends is not null"), lifts, ["county", "ends", "scheme"])
     observed = c.where((F.col("end_source") == OBSERVED) & F.col("span").isNotNull())
     spans = typical.typical_spans(observed.select(F.col("work_category").alias("_cat"), "span"), "_cat", "span", cap=CAP_US / 1e6)
-    overall = observed.agg(F.median(F.least("span", F.lit(CAP_US / 1e6))).alias("_overall")).withColumn("_one", F.lit(1))
+    overall = typical.spread_median(observed.select(F.least("span", F.lit(CAP_US / 1e6)).alias("x")), [], "x").select(F.col("median").alias("_overall"), F.lit(1).alias("_one"))
     windows = event_windows(c).withColumnsRenamed({"county": "_wc", "ref": "_wr"})
     speaks = c.where(describes_recurrence(F.col("description"))).select("county", "ref").union(c.where(F.col("recurrence") == DAILY).select("county", "ref")).distinct().select(F.col("county").alias("_rc"), F.col("ref").alias("_rr"), F.lit(True).alias("repeats"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from spanworks.functions.times import micros
@@ -14,6 +14,14 @@ from spanworks.plans.resolve import exploded, resolve
 UNPLACED = "unplaced"
 
 
+def observed(cases: DataFrame, name: str = "build") -> tuple[DataFrame, Observation]:
+    """The resolved cases, and figures of the build that are there once they have been read: cases, imputed, refused windows, open."""
+    watch = Observation(name)
+    tag = F.coalesce("recurrence_tag", F.lit(""))
+    figures = [F.count("*").alias("cases"), F.count_if("imputed").alias("imputed"), F.count_if(tag.startswith("refused")).alias("refused"), F.count_if(tag.startswith("expanded")).alias("expanded"), F.count_if(F.col("outcome") == "accrues").alias("accruing")]
+    return cases.observe(watch, *figures), watch
+
+
 def build(cases: DataFrame, small_areas: DataFrame, area_of: DataFrame, counties: DataFrame, now: Column, since: Column) -> dict[str, DataFrame]:
     """Tables of the site.
 
@@ -54,8 +62,15 @@ def build(cases: DataFrame, small_areas: DataFrame, area_of: DataFrame, counties
     area_months = area_months.withColumns({c: F.when(F.col("code") != UNPLACED, F.col(c)) for c in ("person_us", "availability", "grade")})
     ended = exploded(got).where("sev = 'outage'").groupBy("county", "ref").agg(((F.max("e") - F.min("s")) / 3.6e9).alias("hours"), F.bool_or("observed_end").alias("o"), F.bool_or("has_end").alias("h"), F.bool_or("imputed").alias("i"))
     tiers = ended.withColumn("tier", F.when(F.col("o"), "observed").when(F.col("h"), "scheduled").when(F.col("i"), "imputed"))
-    history = got.groupBy("county", "ref").agg(F.min("start").alias("start"), F.count("*").alias("pins")).join(spread.join(area_of.select("guid", "code"), "guid").select("county", "ref", "code").distinct(), ["county", "ref"])
+    event = ["county", "ref"]
+    whole = rollup.event_people(spread.select(*event, "guid", "pop"), event, "guid", "pop").join(counties, "county").withColumn("people", F.least("people", "population"))
+    shown = got.withColumn("health", marks_health(F.col("work_category")))
+    records = rollup.event_records(shown, exploded(got).select(*event, "s", "e"), whole, event)
+    labels = area_of.groupBy("county", "code").agg(F.min("name").alias("name"))
+    history = A.histories(records, placed.select(*event, "code"), event, "code").join(labels, ["county", "code"], "left")
+    in_force = exploded(got.where(marks_health(F.col("work_category"))), "in_force").select("county", "ref", "s", "e")
     return {
+        "county_months": rollup.county_months(months, in_force, "county", population, us_since, us_now), "county_days": rollup.county_days(days, "county", population, us_since, us_now),
         "months": months, "days": days, "top": top, "standing": standing, "area_months": area_months, "history": history,
         "medians": typical.tier_medians(tiers, ["county"]), "national": typical.tier_medians(tiers, []),
         "recurrence": got.groupBy("recurrence_tag").agg(F.count("*").alias("notices")),

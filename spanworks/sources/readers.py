@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -12,16 +13,43 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from spanworks.functions.geo import mercator_to_lonlat
 from spanworks.functions.times import from_epoch_ms
 
-TEXTS = ["TITLE", "DESCRIPTION", "WORKTYPE", "STATUS", "GLOBALID", "APPROVALSTATUS", "LOCATION", "COUNTY", "REFERENCENUM"]
-FLAGS = ["BOILWATERNOTICE", "TRAFFICDISRUPTIONS", "POLLUTION", "WATEROUTAGE", "DONOTDRINK", "DISCOLOURATION", "REDUCEDPRESSURE", "WATERRESTRICTIONS"]
-FEATURE = T.StructType([
-    T.StructField("attributes", T.StructType([T.StructField("OBJECTID", T.LongType()), *[T.StructField(c, T.StringType()) for c in TEXTS], T.StructField("STARTDATE", T.LongType()), T.StructField("ENDDATE", T.LongType()), *[T.StructField(c, T.IntegerType()) for c in FLAGS]])),
-    T.StructField("geometry", T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])),
-])
-NAMES = {"TITLE": "title", "DESCRIPTION": "description", "WORKTYPE": "work_type", "STATUS": "status", "GLOBALID": "global_id", "APPROVALSTATUS": "approval_status", "LOCATION": "location", "COUNTY": "county", "REFERENCENUM": "reference_num"}
-FLAG_NAMES = {"BOILWATERNOTICE": "boil_water_notice", "TRAFFICDISRUPTIONS": "traffic_disruptions", "POLLUTION": "pollution", "WATEROUTAGE": "water_outage", "DONOTDRINK": "do_not_drink", "DISCOLOURATION": "discolouration", "REDUCEDPRESSURE": "reduced_pressure", "WATERRESTRICTIONS": "water_restrictions"}
+# The feed's fields, their types, and the names of the archive's columns.
+FIELDS = [
+    ("OBJECTID", "bigint", "id"),
+    ("TITLE", "string", "title"),
+    ("DESCRIPTION", "string", "description"),
+    ("WORKTYPE", "string", "work_type"),
+    ("STATUS", "string", "status"),
+    ("GLOBALID", "string", "global_id"),
+    ("APPROVALSTATUS", "string", "approval_status"),
+    ("LOCATION", "string", "location"),
+    ("COUNTY", "string", "county"),
+    ("REFERENCENUM", "string", "reference_num"),
+    ("STARTDATE", "bigint", "start_date"),
+    ("ENDDATE", "bigint", "end_date"),
+    ("BOILWATERNOTICE", "int", "boil_water_notice"),
+    ("TRAFFICDISRUPTIONS", "int", "traffic_disruptions"),
+    ("POLLUTION", "int", "pollution"),
+    ("WATEROUTAGE", "int", "water_outage"),
+    ("DONOTDRINK", "int", "do_not_drink"),
+    ("DISCOLOURATION", "int", "discolouration"),
+    ("REDUCEDPRESSURE", "int", "reduced_pressure"),
+    ("WATERRESTRICTIONS", "int", "water_restrictions"),
+]
 COUNTY_TYPOS = {"Dnegal": "Donegal"}
 
+FEATURE = f"attributes struct<{', '.join(f'{c}: {t}' for c, t, _ in FIELDS)}>, geometry struct<x: double, y: double>"
+#: Answers of a service after which a page is asked for again.
+RETRIED = (429, 500, 502, 503, 504)
+
+
+class FeedError(Exception):
+    """A service answered with an HTTP status other than success."""
+
+    def __init__(self, status: int):
+        super().__init__(f"status {status}")
+        self.status = status
+
 
 class _Page(InputPartition):
     def __init__(self, offset: int):
@@ -30,10 +58,16 @@ class _Page(InputPartition):
 
 
 class FeedSource(DataSource):
-    """A paged feed, a partition per page.  ``fetch`` (registered by name) answers (offset, size)
-    with a list of JSON strings; ``count`` tells how many rows there are.  Pages are retried."""
+    """A paged feed.  ``fetch`` (registered by name) answers (offset, size) with a page: a list of JSON strings, or an
+    object with ``features`` and ``exceededTransferLimit``, or with ``error``, which raises.
 
-    fetchers: dict[str, Callable[[int, int], list[str]]] = {}
+    With option ``count`` there is a partition per page.  Without it one partition walks the
+    pages until one is empty or says that it is the last.  With ``one_page`` a feed that has
+    more than a page raises.  Lost connections and the answers in RETRIED are asked again ``tries`` times, after
+    ``backoff`` seconds and twice as long each time; other answers raise.
+    """
+
+    fetchers: dict[str, Callable[[int, int], list[str] | dict]] = {}
 
     @classmethod
     def name(cls) -> str:
@@ -47,22 +81,39 @@ class FeedSource(DataSource):
 
 
 class _FeedReader(DataSourceReader):
-    def __init__(self, options: dict, fetch: Callable[[int, int], list[str]]):
-        self.size, self.count, self.tries, self.fetch = int(options.get("size", 1000)), int(options["count"]), int(options.get("tries", 4)), fetch
+    def __init__(self, options: dict, fetch: Callable[[int, int], list[str] | dict]):
+        self.size, self.tries, self.fetch = int(options.get("size", 1000)), int(options.get("tries", 4)), fetch
+        self.count = int(options["count"]) if "count" in options else None
+        self.backoff, self.one_page = float(options.get("backoff", 0)), str(options.get("one_page", "false")).lower() == "true"
 
     def partitions(self) -> list[InputPartition]:
-        return [_Page(o) for o in range(0, max(self.count, 1), self.size)]
+        return [_Page(0)] if self.count is None else [_Page(o) for o in range(0, max(self.count, 1), self.size)]
 
-    def read(self, partition: _Page) -> Iterator[tuple]:
-        for left in reversed(range(self.tries)):
+    def page(self, offset: int) -> tuple[list[str], bool]:
+        """Rows of a page, and whether more may follow."""
+        for turn in range(self.tries):
             try:
-                page = self.fetch(partition.offset, self.size)
+                got = self.fetch(offset, self.size)
                 break
-            except OSError:
-                if not left:
+            except (OSError, FeedError) as e:
+                if turn + 1 == self.tries or (isinstance(e, FeedError) and e.status not in RETRIED):
                     raise
-        for row in page:
-            yield (row,)
+                time.sleep(self.backoff * 2**turn)
+        if isinstance(got, list):
+            return got, len(got) >= self.size
+        if "error" in got:
+            raise ValueError(f"the feed failed at offset {offset}: {got['error']}")
+        return got.get("features", []), bool(got.get("exceededTransferLimit", False))
+
+    def read(self, partition: _Page) -> Iterator[tuple]:
+        offset, more = partition.offset, True
+        while more:
+            rows, more = self.page(offset)
+            if more and self.one_page:
+                raise ValueError("the feed has more than one page")
+            for row in rows:
+                yield (row,)
+            offset, more = offset + self.size, more and bool(rows) and self.count is None
 
 
 def features(raw: DataFrame, column: str = "feature") -> DataFrame:
@@ -71,6 +122,11 @@ def features(raw: DataFrame, column: str = "feature") -> DataFrame:
     return parsed.select(F.when(F.col("f.attributes").isNull(), F.raise_error(F.lit("a page holds no features"))).otherwise(F.col("f.attributes")).alias("attributes"), F.col("f.geometry").alias("geometry"))
 
 
+def read_cached(spark: SparkSession, path: str) -> DataFrame:
+    """Features that were kept as one JSON array."""
+    return spark.read.schema(FEATURE).option("multiLine", True).option("mode", "FAILFAST").json(path)
+
+
 def usable(attributes: str = "attributes"):
     blank = F.lit("")
     return F.coalesce(F.nullif(F.col(f"{attributes}.TITLE"), blank), F.nullif(F.col(f"{attributes}.DESCRIPTION"), blank)).isNotNull()
@@ -83,10 +139,18 @@ def map_cases(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     for wrong, right in COUNTY_TYPOS.items():
         county = F.when(county == wrong, right).otherwise(county)
     lon, lat = mercator_to_lonlat(F.col("geometry.x"), F.col("geometry.y"))
-    texts = {n: a(c) for c, n in NAMES.items()} | {"county": county, "title": F.coalesce(F.nullif(F.trim(F.col("attributes.TITLE")), F.lit("")), F.lit("unknown"))}
+    title = F.coalesce(F.nullif(F.trim(F.col("attributes.TITLE")), F.lit("")), F.lit("unknown"))
+
+    def clean(field: str, kind: str) -> Column:
+        if field in ("TITLE", "COUNTY"):
+            return title if field == "TITLE" else county
+        if field.endswith("DATE"):
+            return from_epoch_ms(F.col(f"attributes.{field}"))
+        return a(field) if kind == "string" else F.col(f"attributes.{field}")
+
     cases = found.where(usable()).select(
-        F.col("attributes.OBJECTID").alias("id"), *[c.alias(n) for n, c in texts.items()], from_epoch_ms(F.col("attributes.STARTDATE")).alias("start_date"), from_epoch_ms(F.col("attributes.ENDDATE")).alias("end_date"),
-        *[F.col(f"attributes.{c}").alias(n) for c, n in FLAG_NAMES.items()], lat.alias("full_lat"), lon.alias("full_lon"), F.bround(lat, 4).alias("rounded_lat"), F.bround(lon, 4).alias("rounded_lon"),
+        *[clean(field, kind).alias(name) for field, kind, name in FIELDS],
+        lat.alias("full_lat"), lon.alias("full_lon"), F.bround(lat, 4).alias("rounded_lat"), F.bround(lon, 4).alias("rounded_lon"),
     )
     return cases, found.where(~usable()).select(F.col("attributes.OBJECTID").alias("id"))
 
@@ -126,3 +190,20 @@ def read_snapshots(spark: SparkSession, folder: str, schema: str = "id bigint, s
 def areas_with_people(areas: DataFrame, people: DataFrame, guid: str = "guid") -> DataFrame:
     """Areas that have a population."""
     return areas.join(people.select(guid), guid, "left_semi")
+
+
+def newest_round(spark: SparkSession, pattern: str) -> str:
+    """The path that was written last among those that match a glob; none is an error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    if not found:
+        raise FileNotFoundError(f"no round matches {pattern}")
+    return max(found, key=lambda f: (f.getModificationTime(), f.getPath().toString())).getPath().toString()
+
+
+def sampled_before(spark: SparkSession, pattern: str, key: str = "case_id") -> DataFrame:
+    """The ids that any earlier round drew; none if there are no rounds."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p):
+        return spark.createDataFrame([], f"{key} bigint")
+    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(pattern).select(F.col(key).cast("bigint").alias(key)).distinct()

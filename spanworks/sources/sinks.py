@@ -35,6 +35,19 @@ def append_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+def append_missing(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Append the records that a log lacks, so that a run that ended early can be taken up again."""
+    if exists(df.sparkSession, path):
+        df = df.join(df.sparkSession.read.json(path).select(*keys).distinct(), keys, "left_anti")
+    append_log(df, path)
+
+
+def round_name(answers: DataFrame, day: str, model: str = "model", version: str = "prompt_version") -> str:
+    """A round's name says what produced its answers; ``mixed`` where they differ."""
+    m, v = answers.agg(*[F.when(F.min(c).eqNullSafe(F.max(c)), F.max(c).cast("string")).otherwise("mixed") for c in (model, version)]).first()
+    return f"end_time_sample_{day}_{m}_pv{v}"
+
+
 def new_round(df: DataFrame, path: str) -> str:
     """Write a CSV round under a name that is free: ``path``, ``path_r2``, ``path_r3`` ..."""
     k, target = 1, path

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanworks.operators.state import upsert
-from spanworks.session import ensure_checkpoints
+from spanworks.session import ensure_checkpoints, remove_folder
 
 
 def tumbling(events: DataFrame, at: str = "ts", keys: tuple[str, ...] = ("event_type",), size: str = "1 hour", late: str = "10 minutes") -> DataFrame:
@@ -17,17 +17,34 @@ def tumbling(events: DataFrame, at: str = "ts", keys: tuple[str, ...] = ("event_
     return t.groupBy(F.window("_at", size).alias("w"), *keys).agg(F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
 
 
-def daily_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Run :func:`tumbling` with windows of a day over a folder or file until it has caught up, and read the sink."""
-    schema = spark.read.parquet(path).schema
+def file_stream(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
+    """A stream over a folder of Parquet files, or over one file and none beside it, ``files`` at a time."""
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if files:
+        reader = reader.option("maxFilesPerTrigger", files)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory():
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", p.getName()).parquet(p.getParent().toString())
+
+
+def daily_counts(spark: SparkSession, path: str, files: int | None = None, late: str = "10 minutes") -> DataFrame:
+    """Run :func:`tumbling` with windows of a day over a folder or file until it has caught up, and read the sink.
+
+    Each micro-batch passes on the windows that it changed, and what it said last of a window counts.  State behind
+    the watermark is dropped, and so are events that come later than that.
+    """
     base = f"{ensure_checkpoints(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     q = (
-        tumbling(spark.readStream.schema(schema).parquet(f"{path}*"), size="1 day")
-        .writeStream.outputMode("complete").foreachBatch(lambda b, _: b.write.mode("overwrite").parquet(f"{base}/out"))
+        tumbling(file_stream(spark, path, files), size="1 day", late=late)
+        .writeStream.outputMode("update").foreachBatch(lambda b, k: b.write.mode("overwrite").parquet(f"{base}/out/batch={k}"))
         .option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "event_type", "n", "total")
+    said = spark.read.parquet(f"{base}/out").groupBy("w", "event_type").agg(F.max_by(F.struct("n", "total"), "batch").alias("x"))
+    out = said.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "event_type", "x.n", "x.total").checkpoint()
+    remove_folder(spark, base)
+    return out
 
 
 def upsert_batches(stream: DataFrame, folder: str, now, key: str = "id"):
