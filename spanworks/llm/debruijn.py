@@ -46,8 +46,9 @@ FILTER_BYTES, BITS_PER_KEY, PROBES = 64_000_000, 16, 3
 GROUP_SEEDS, HOT_SEEDS = 32_768, 1_000_000
 #: Minimisers, and nodes, that a task collects before it passes them on.
 TASK_SEEDS, TASK_NODES = 500_000, 500_000
-#: Part of the open fragments that is left for pointer doubling.
-DOUBLING_SHARE = 16
+#: Open fragments up to which they are broadcast for pointer doubling (40 bytes each, about 100 in a hash table); where there are
+#: more than a part of all, a join halves their number by chance first.
+BROADCAST_ROWS, DOUBLING_SHARE = 200_000, 16
 _NULL = -(2**63)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -73,7 +74,7 @@ class Stretches:
         node, start, text = np.where(node == 0, np.uint64(1), node)[whole], start[whole], text[whole]
         # the leftmost of equals, so equal nodes choose alike
         best = first_least(short, length - seed + 1, np.searchsorted(place, start))
-        least = short[best]
+        least = mix(short[best])  # minima are small numbers; mixed, they are dealt evenly
         joins = np.zeros(len(node), bool)
         joins[1:] = (start[1:] == start[:-1] + 1) & (text[1:] == text[:-1])
         new = ~joins
@@ -229,11 +230,12 @@ def compact(parts: DataFrame) -> DataFrame:
     is_open = F.col("kind") == OPEN
     now = parts.where(F.col("kind") != ENDED)
     left = now.where(is_open).count()
-    goal, turn, moved = left // DOUBLING_SHARE, 0, left
+    goal, turn, moved = max(left // DOUBLING_SHARE, BROADCAST_ROWS), 0, left
 
     def joined(rows: DataFrame, taken: DataFrame, how: str) -> DataFrame:
         """Rows with what they lead into at their end: its end is theirs then."""
         into = taken.toDF(*[f"_{c}" for c in parts.columns])
+        into = F.broadcast(into) if how == "left" and left <= BROADCAST_ROWS else into
         both = rows.join(into, (F.col("y") == F.col("_a")) & (F.col("z") == F.col("_b")), how)
         hit = F.col("a").isNotNull() & F.col("_a").isNotNull()
         pick = lambda c: F.coalesce(c, f"_{c}").alias(c)

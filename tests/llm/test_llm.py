@@ -509,6 +509,8 @@ def test_op9_overfull_filter_changes_nothing(docs, monkeypatch):
     want = sorted((r.doc_id or -1, r.kept_sha256) for r in debruijn.digests(debruijn.remove_repeats(docs)).collect())
     monkeypatch.setattr(debruijn, "FILTER_BYTES", 512)
     monkeypatch.setattr(debruijn, "GROUP_SEEDS", 50)
+    monkeypatch.setattr(debruijn, "HOT_SEEDS", 20)
+    monkeypatch.setattr(debruijn, "BROADCAST_ROWS", 5)
     assert want == sorted((r.doc_id or -1, r.kept_sha256) for r in debruijn.digests(debruijn.remove_repeats(docs)).collect())
 
 
