@@ -79,3 +79,69 @@ def test_rankings_and_medians(site):
     assert [(x.county, x.person_h) for x in site["top"]][0] == ("Carlow", 24000)
     assert site["national"][0].median_observed == 24.0 and site["national"][0].observed_n == 2
     assert {x.recurrence_tag for x in site["recurrence"]} == {"none"} and len(site["days"]) == 2
+
+
+def test_quiet_months_and_days(site):
+    months = {(r.county, str(r.month)): r for r in site["county_months"]}
+    assert len(months) == 4 and (months["Carlow", "2026-05-01"].n_outage, months["Carlow", "2026-05-01"].person_h, months["Carlow", "2026-05-01"].period_h) == (1, 24_000, 216)
+    quiet = months["Carlow", "2026-04-01"]
+    assert (quiet.n_outage, quiet.availability, quiet.grade, quiet.health_n, quiet.health_now) == (0, 100.0, "A", 0, 0)
+    days = {(r.county, str(r.day)): r for r in site["county_days"]}
+    assert len(days) == 2 * 61 and days["Carlow", "2026-04-19"].sev == "nd" and not days["Carlow", "2026-04-19"].elapsed
+    assert days["Carlow", "2026-05-01"].sev == "outage" and days["Carlow", "2026-05-02"].clear and not days["Carlow", "2026-05-11"].elapsed
+
+
+def test_histories_follow_the_pins(site):
+    found = {(r.county, r.code, r.ref): r for r in site["history"]}
+    assert set(found) == {("Carlow", "T1", "CAR1"), ("Mayo", "unplaced", "M")}
+    r = found["Carlow", "T1", "CAR1"]
+    assert (r.name, r.hours, r.people, r.areas, r.place, r.confirmed) == ("Testtown", 24.0, 1000, None, 1, 1)
+
+
+def test_build_figures(spark):
+    from spanworks.plans.site import observed
+
+    rows, watch = observed(resolve(cases(spark, {}, dict(span=None, end_source=None, end_date=None, end_time=None)), F.lit(NOW).cast("timestamp")), "figures")
+    assert rows.count() == 2 and watch.get["cases"] == 2 and watch.get["imputed"] == 1
+
+
+def test_snapshot_names(spark, tmp_path):
+    from spanworks.sources.readers import read_snapshots
+
+    (tmp_path / "2000-01-01").mkdir()
+    (tmp_path / "2000-01-01" / "2026-05-01.jsonl").write_text('{"id": 1, "status": "Open"}\n')
+    assert read_snapshots(spark, f"{tmp_path}/2000-01-01").first().tag == "2026-05-01"
+    (tmp_path / "2000-01-01" / "other.jsonl").write_text('{"id": 1, "status": "Open"}\n')
+    with pytest.raises(Exception, match="no date names the snapshot"):
+        read_snapshots(spark, f"{tmp_path}/2000-01-01").collect()
+
+
+def test_last_row_of_a_batch_counts(spark):
+    from spanworks.operators.state import upsert
+
+    none = spark.createDataFrame([], "id long, status string, start_date string, first_seen string, last_seen string, closed_at string, first_start_date string")
+    rows = spark.createDataFrame([(1, "Zz", "2026-01-01"), (1, "Aa", "2026-01-02")], "id long, status string, start_date string").coalesce(1)
+    assert upsert(none, rows, F.lit("now")).first().status == "Aa"
+
+
+def test_feed_errors():
+    from spanworks.sources.readers import FeedError, FeedSource
+
+    calls = []
+
+    def fetch(offset, size):
+        calls.append(offset)
+        if len(calls) < 3:
+            raise FeedError(503)
+        return {"features": ["{}"] * 2, "exceededTransferLimit": offset < 4}
+
+    FeedSource.fetchers |= {"walk": fetch, "error": lambda o, n: {"error": "gone"}, "denied": lambda o, n: (_ for _ in ()).throw(FeedError(403)), "empty": lambda o, n: {"features": [], "exceededTransferLimit": True}}
+    read = lambda **o: [r for p in FeedSource(o).reader(None).partitions() for r in FeedSource(o).reader(None).read(p)]
+    assert len(read(fetch="walk", size="2")) == 6 and calls == [0, 0, 0, 2, 4]
+    assert read(fetch="empty") == []
+    with pytest.raises(ValueError, match="gone"):
+        read(fetch="error")
+    with pytest.raises(FeedError):
+        read(fetch="denied")
+    with pytest.raises(ValueError, match="more than one page"):
+        read(fetch="walk", size="2", one_page="true") if calls.clear() is None and calls.extend([0, 0]) is None else None
