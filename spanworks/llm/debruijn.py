@@ -242,7 +242,7 @@ def compact(parts: DataFrame) -> DataFrame:
         # a row of ``taken`` that nothing led into stays as it is
         return both.select(pick("kind"), pick("a"), pick("b"), F.coalesce("_y", "y").alias("y"), F.coalesce("_z", "z").alias("z"), (F.coalesce("n", F.lit(0)) + F.coalesce("_n", F.lit(0))).cast("int").alias("n"), hit.alias("hit"))
 
-    while left > goal:
+    while left > goal and turn < 64:
         coin = is_open & (F.xxhash64(F.lit(turn), "a", "b") % 2 == 0)
         now = joined(now.where(~coin), now.where(coin), "full_outer").drop("hit").checkpoint()
         left, turn = now.where(is_open).count(), turn + 1
@@ -416,7 +416,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
     keep = [c for c in docs.columns if c != text_col and c not in own]
     text = F.coalesce(F.col(text_col), F.lit(""))
     # the user's columns travel in a struct, so that their names can't clash
-    rows = docs.select(F.struct(*[F.col(c) for c in keep], F.lit(0).alias("_")).alias("row"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("doc"), F.xxhash64(text).alias("key"), text.cast("binary").alias("raw"))
+    rows = docs.select(F.struct(*(keep or [F.lit(0).alias("none")])).alias("row"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("doc"), F.xxhash64(text).alias("key"), text.cast("binary").alias("raw"))
     some, none = _with_spans(rows, repeats(docs, k, id_col, text_col).select("doc", "key", "lo", "hi"), F.col("doc"), F.col("key"))
     both = some.union(none.withColumn("_spans", F.lit(None).cast("array<struct<lo:int,hi:int>>"))).select("row", "raw", "_spans")
     schema = f"row {rows.schema['row'].dataType.simpleString()}, text string, n_words bigint, n_removed bigint"
