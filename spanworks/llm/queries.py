@@ -77,6 +77,12 @@ def op9_debruijn_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanworks.llm.variants import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(own.items()))
