@@ -45,5 +45,34 @@ runs as (
 )
 select w.word, w.n, coalesce(r.n_near, 0) as n_near, f.form, f.form_n, coalesce(e.root, w.word) as root
 from words w left join around r using (word) left join forms f using (word) left join ends e using (word)
+""",
+    "op13_prefix_trie": f"""
+with recursive crc as ({CRC_TABLE}),
+turns as (
+    select conv_id, row_number() over (partition by conv_id order by turn nulls first) - 1 as no, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+), convs as (
+    select conv_id, conv_id - conv_id % 20 as base, {CRC.format("cast(conv_id as varchar)")} % 4 as h from (select distinct conv_id from conversations), crc
+), parts as (
+    select c.conv_id, 0 as part, t.no, t.role, t.text from convs c join turns t on t.conv_id = c.base and t.no < c.h
+    union all select c.conv_id, 1, t.no, t.role, t.text from convs c join turns t on t.conv_id = c.conv_id and t.no >= c.h
+), placed as (
+    select conv_id, row_number() over (partition by conv_id order by part, no) as depth, sha256(role || chr(0) || text) as own, len(regexp_extract_all(text, '[^ \\t-\\r]+')) as words from parts
+), paths as (
+    select conv_id, cast(0 as bigint) as depth, '' as path, cast(null as varchar) as up, cast(0 as bigint) as words from convs
+    union all select p.conv_id, p.depth, sha256(q.path || p.own), q.path, p.words from paths q join placed p on p.conv_id = q.conv_id and p.depth = q.depth + 1
+), ends as (
+    select path, string_agg(cast(conv_id as varchar), ',' order by conv_id) as ids from (select conv_id, arg_max(path, depth) as path from paths group by conv_id) group by path
+), nodes as (
+    select depth, path, any_value(up) as up, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words from paths group by depth, path
+), kids as (
+    select up, count(*) as n from nodes where depth > 0 group by up
+), below as (
+    select path as top, path from nodes union all select b.top, n.path from below b join nodes n on n.up = b.path and n.depth > 0
+), sums as (
+    select b.top, sum(case when k.n is null then 1 else 0 end) as n_leaves, sum((n.n_convs - 1) * n.words) as saved from below b join nodes n on n.path = b.path left join kids k on k.up = n.path group by b.top
+)
+select n.conv_id, cast(n.depth as bigint) as depth, u.conv_id as parent_conv_id, n.n_convs, coalesce(k.n, 0) as n_children, cast(s.n_leaves as bigint) as n_leaves,
+       cast(s.saved as bigint) as saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from nodes n left join nodes u on u.path = n.up and n.depth > 0 left join kids k on k.up = n.path left join ends e on e.path = n.path join sums s on s.top = n.path
 """,
 }

@@ -83,6 +83,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanworks.llm.trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(own.items()))
