@@ -83,6 +83,13 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_language_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spanworks.llm.language import identify
+
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    return identify(table(spark, sf_dir, "documents"), held_out)
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanworks.llm.trie import prefix_trie
 
