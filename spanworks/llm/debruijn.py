@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanworks.llm import bloom
+from spanworks.llm.columns import ids_of, named_again, other_columns, with_numbers
 from spanworks.llm.tokens import Words, first_least, long_windows, mix, split_words, steps
 from spanworks.session import ensure_checkpoints, ship
 
@@ -391,6 +392,8 @@ def repeated_paths(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
     """
     ensure_checkpoints(docs.sparkSession)
     ship(docs.sparkSession)
+    ids, kind = ids_of(docs, id_col), docs.schema[id_col].dataType.simpleString()
+    docs, id_col = with_numbers(docs, id_col, ids)
     parts = repeats(docs, k, id_col, text_col).distinct().withColumn("_apart", F.col("lo") - F.col("from_lo"))
     place = ["from_doc", "from_key", "_apart"]
     w = Window.partitionBy("doc", "key").orderBy(*place, "lo")
@@ -399,7 +402,8 @@ def repeated_paths(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
         goes_on = goes_on & (F.col(c) == F.lag(c).over(w))
     numbered = parts.withColumn("_new", F.when(goes_on, 0).otherwise(1)).withColumn("_path", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     merged = numbered.groupBy("doc", "key", "_path").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.first("from_doc").alias("from_doc"), F.first("from_key").alias("from_text"), F.min("from_lo").alias("from_lo"))
-    return merged.select("doc", F.col("key").alias("text"), "lo", "hi", "from_doc", "from_text", "from_lo")
+    out = merged.select("doc", F.col("key").alias("text"), "lo", "hi", "from_doc", "from_text", "from_lo")
+    return named_again(out.withColumns({c: F.nullif(F.col(c), F.lit(_NULL)) for c in ("doc", "from_doc")}), ids, kind, "doc", "from_doc")
 
 
 def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
@@ -408,12 +412,14 @@ def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
 
     A word goes if a run of ``k`` words over it also starts earlier.  Null and empty texts have
     no words and become empty; rows equal in id and text are one document and are treated
-    alike; ids that are null come first; an empty table gives no rows.  No other column name is reserved.
+    alike; ids that are null come first; ids that are no whole numbers are taken in their own order; an empty table gives
+    no rows.  Names are compared as the session does, so in any case of letters by default; no other name is reserved.
     """
     ensure_checkpoints(docs.sparkSession)
     ship(docs.sparkSession)
     own = ("n_words", "n_removed") if counts else ()
-    keep = [c for c in docs.columns if c != text_col and c not in own]
+    keep, columns = other_columns(docs, text_col, *own), other_columns(docs, *own)
+    docs, id_col = with_numbers(docs, id_col, ids_of(docs, id_col))
     text = F.coalesce(F.col(text_col), F.lit(""))
     # the user's columns travel in a struct, so that their names can't clash
     rows = docs.select(F.struct(*(keep or [F.lit(0).alias("none")])).alias("row"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL)).alias("doc"), F.xxhash64(text).alias("key"), text.cast("binary").alias("raw"))
@@ -441,7 +447,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
                 yield pa.record_batch([b.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(lost, pa.int64())], ["row", "text", "n_words", "n_removed"])
 
     out = both.mapInArrow(run, schema)
-    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns if c not in own], *own)
+    return out.select(*[F.col("row").getField(c).alias(c) if c in keep else F.col("text").alias(c) for c in columns], *own)
 
 
 def digests(cleaned: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanworks.llm.columns import ids_of, named_again, with_numbers
 from spanworks.llm.tokens import mix, split_words, steps, windows
 from spanworks.session import ensure_checkpoints, ship
 
@@ -262,10 +263,13 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, id_col: str = "doc_id"
     Words are lower-cased in A-Z; a text of fewer than five words is one shingle; null and
     empty texts have none and are linked with nothing.  Rows that share an id are one
     node: each is linked as its own text demands.  Rows with a null id are kept, with a
-    null component.  Other columns are ignored; an empty table gives no rows.
+    null component.  Ids keep their type; those that are no whole numbers are taken in their own
+    order.  Other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
     ensure_checkpoints(spark)
+    ids, kind = ids_of(docs, id_col), docs.schema[id_col].dataType.simpleString()
+    docs, id_col = with_numbers(docs.select(id_col, text_col), id_col, ids)
     sigs = signatures(docs, id_col, text_col).checkpoint()
     some = sigs.where("n_shingles > 0 and doc_id is not null")
     classes = some.groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), F.min("sig").alias("sig")).checkpoint()
@@ -294,7 +298,10 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, id_col: str = "doc_id"
     # components of classes; their members are attached by one join
     whole = components(links.union(later).union(across).union(shared_ids))
     placed = named.join(whole, named["class"] == whole["node"], "left").select(F.col("set_key").alias("_key"), F.coalesce("component", "class").alias("component")).checkpoint()
+    # rows without words or an id have no class to look up, and would share one key in the join
     rows = sigs.select("doc_id", "n_shingles", "set_key")
-    out = rows.join(placed, (rows["set_key"] == placed["_key"]) & (rows["n_shingles"] > 0) & rows["doc_id"].isNotNull(), "left")
-    comp = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    found = rows.where(linked).join(placed, F.col("set_key") == F.col("_key"), "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    out = found.union(rows.where(~linked).select("doc_id", "n_shingles", F.col("doc_id")))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return named_again(out.withColumn("kept", kept), ids, kind, "doc_id", "component_id")

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanworks.llm.columns import other_columns
 from spanworks.session import ensure_checkpoints
 
 _SEPARATORS = " \t\n\x0b\x0c\r"
@@ -164,10 +165,11 @@ def _limits(docs: DataFrame, labels: DataFrame, stratum: str, id_col: str, text_
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", text_col: str = "text", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """All rows and columns with the statistics, ``base_failed`` and ``kept``, which replace columns of these names.
+    """All rows and columns with the statistics, ``base_failed`` and ``kept``, which replace columns of these names
+    (compared as the session does, so in any case of letters by default).
 
     Strata without enough labels have no cutoffs.  Null and empty texts have no words and
-    fail the base; null strata are a stratum; ids that are null have no label; labels of
+    fail the base; null strata are a stratum; ids are of any type that compares with that of the labels; ids that are null have no label; labels of
     unknown ids are ignored; an empty table gives no rows; rows that repeat are judged alike.  Statistics of labelled good
     rows are taken twice, for the cutoffs and for the verdict, so that texts are neither shuffled nor stored in between.
     """
@@ -176,7 +178,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str
     # the user's columns travel in a struct, so that their names can't clash
     rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(stratum).alias("stratum"), F.col(text_col).alias("text"))
     judged = verdicts(features(rows, "text"), limits, "stratum")
-    return judged.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c not in STATISTICS], *STATISTICS)
+    return judged.select(*[F.col("doc").getField(c).alias(c) for c in other_columns(docs, *STATISTICS)], *STATISTICS)
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", text_col: str = "text", risk: float = RISK, error: float = ERROR) -> DataFrame:

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from spanworks.llm.tokens import steps
 from spanworks.session import ship
@@ -355,7 +356,10 @@ def read_pages(images: DataFrame, media_col: str = "media") -> DataFrame:
 
 def media_rows(docs: DataFrame) -> DataFrame:
     """The row of the contract for each document: stored, read back page by page, and
-    digested over the pages of an image, which follow each other in their partition."""
+    digested over the pages of an image, which follow each other in their partition.
+
+    Null and empty texts are stored as 192 blanks; ids keep their type, null ones too; rows that repeat are stored each;
+    an empty table gives no rows; other columns are ignored."""
     stored = store_texts(docs)
     images = stored.select("doc_id", "n_bytes", "media", F.octet_length("media").cast("bigint").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -392,7 +396,7 @@ def media_rows(docs: DataFrame) -> DataFrame:
         if open_row:
             yield pa.RecordBatch.from_pylist([dict(zip(names, close()))], schema)
 
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    types = [to_arrow_type(docs.schema["doc_id"].dataType), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
     schema = pa.schema(list(zip(names, types)))
     ddl = f"doc_id {kind}, n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
     return read_pages(images).mapInArrow(run, ddl)

@@ -84,23 +84,25 @@ def ending_digests(ends: DataFrame) -> DataFrame:
     numbered = running(ends.select("conv_id", *_KEY), _KEY, ["conv_id"], number="no")
     ids = F.array_join(F.transform(F.array_sort(F.collect_list("conv_id")), lambda x: x.cast("string")), ",")
     pieces = numbered.groupBy(*_KEY, F.floor(F.col("no") / PIECE).alias("piece")).agg(ids.alias("ids"))
-    n = len(_KEY)
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [*[pa.int64()] * len(_KEY), pa.string()]
+        return pa.record_batch([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], [*_KEY, "ends_sha256"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, digest = None, None
-        row = lambda: pa.record_batch([pa.array([v], pa.int64()) for v in now] + [pa.array([digest.hexdigest()])], [*_KEY, "ends_sha256"])
         for b in batches:
             done = []
             for *key, piece, ids in zip(*[c.to_pylist() for c in b.columns]):
                 if key != now:
                     if now is not None:
-                        done.append(row())
+                        done.append((*now, digest.hexdigest()))
                     now, digest = key, hashlib.sha256()
                 digest.update(f",{ids}".encode() if piece else ids.encode())
             if done:
-                yield pa.Table.from_batches(done).combine_chunks().to_batches()[0]
+                yield out(done)
         if now is not None:
-            yield row()
+            yield out([(*now, digest.hexdigest())])
 
     in_order = pieces.repartition(*_KEY).sortWithinPartitions(*_KEY, "piece")
     return in_order.select(*_KEY, "piece", "ids").mapInArrow(run, ", ".join(f"{c} bigint" for c in _KEY) + ", ends_sha256 string")

@@ -14,7 +14,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,6 +28,7 @@ REVISIT_BYTES = 100
 BROADCAST_ROWS = 1_000_000
 #: Uncompressed bytes after which a task opens another archive, and bytes read or inflated at once.
 ROLL_BYTES, READ_BYTES = 128_000_000, 1 << 20
+EMPTY_ID = "''"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
@@ -39,14 +40,25 @@ def _place(folder: str):
     return where, path
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+def urn(page_id: int | str | None) -> str:
+    """A record's name: the id in percent code, two quotes for the empty text, nothing for null."""
+    return f"<urn:page:{'' if page_id is None else quote(str(page_id), safe='') or EMPTY_ID}>"
+
+
+def id_of(name: str | None) -> str | None:
+    """The id that a record's name holds, as text."""
+    body = name[len("<urn:page:") : -1] if name else ""
+    return None if not body else "" if body == EMPTY_ID else unquote(body)
+
+
+def record(page_id: int | str | None, url: str | None, payload: bytes, refers_to: int | str | None) -> bytes:
     """One WARC/1.1 record; a revisit has no payload of its own."""
     digest = hashlib.sha256(payload).hexdigest()
     block = HTTP_HEAD if refers_to is not None else HTTP_HEAD + payload
     head = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+        f"WARC-Record-ID: {urn(page_id)}",
         f"WARC-Target-URI: {quote(url or '', safe=':/?#[]@!$&()*+,;=%~')}",
         "WARC-Date: 1970-01-01T00:00:00Z",
         f"WARC-Payload-Digest: sha256:{digest}",
@@ -54,7 +66,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
         f"Content-Length: {len(block)}",
     ]
     if refers_to is not None:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to}>"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {urn(refers_to)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -187,9 +199,8 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
 
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
-    """Read each indexed record by its offset: page id, type, the digest of what was read, its size, and what it refers to."""
+    """Read each indexed record by its offset: page id (as text), type, the digest of what was read, its size, and what it refers to."""
     ship(index.sparkSession)
-    of = lambda urn: int(urn[len("<urn:page:") : -1]) if urn and len(urn) > len("<urn:page:>") else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, _ = _place(folder)
@@ -209,12 +220,12 @@ def read_records(index: DataFrame, folder: str) -> DataFrame:
                 digest = hashlib.sha256(payload).hexdigest() if whole else head["warc-payload-digest"].removeprefix("sha256:")
                 if whole and head["warc-payload-digest"] != f"sha256:{digest}":
                     raise ValueError(f"record {head['warc-record-id']} is damaged")
-                rows.append((of(head["warc-record-id"]), len(payload) if whole else None, digest, head["warc-type"], of(head.get("warc-refers-to"))))
-            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+                rows.append((id_of(head["warc-record-id"]), len(payload) if whole else None, digest, head["warc-type"], id_of(head.get("warc-refers-to"))))
+            types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
             if rows:
                 yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows), types)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    return index.select("file", "offset", "length").mapInArrow(run, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
+    return index.select("file", "offset", "length").mapInArrow(run, "page_id string, payload_bytes bigint, payload_digest string, record_type string, refers_to string")
 
 
 def archive_pages(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
@@ -222,11 +233,12 @@ def archive_pages(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
 
     A null html is an empty payload; a page with a null id is a response; rows that
     repeat an id are records each; a null url is an empty target; an empty table gives no
-    rows; other columns are ignored.  A revisit's size is that of the record it refers to.
+    rows; ids are whole numbers or text and keep their type; other columns are ignored.  A revisit's size is that of the record it refers to.
     """
     base = f"{ensure_checkpoints(pages.sparkSession).rstrip('/')}/warc-{uuid.uuid4().hex}"
     index = normalise(write_archives(pages, f"{base}/whole", least), f"{base}/records")
-    read = read_records(index, f"{base}/records").checkpoint()
+    kind = pages.schema["page_id"].dataType.simpleString()
+    read = read_records(index, f"{base}/records").withColumns({c: F.col(c).cast(kind) for c in ("page_id", "refers_to")}).checkpoint()
     remove_folder(pages.sparkSession, base)  # everything has been read
     first = read.where("record_type = 'response'").groupBy(F.col("page_id").alias("target"), F.col("payload_digest").alias("same")).agg(F.max("payload_bytes").alias("full_bytes")).checkpoint()
     again = read.where("record_type = 'revisit'").drop("payload_bytes").join(first, (F.col("refers_to") == F.col("target")) & (F.col("payload_digest") == F.col("same")))
