@@ -744,6 +744,7 @@ def loaded_cases(spark, d):
     return load_cases(cases, ends).select("id", "county", "start_date", "span", "end_source")
 
 
-from spanworks.plans import round_trips  # noqa: E402
+from spanworks.plans import round_trips, streams  # noqa: E402
 
-QUERIES |= round_trips.QUERIES
+streams.bind(_versions, YEARS, _issues)
+QUERIES |= round_trips.QUERIES | streams.QUERIES

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pyarrow as pa
+from pyspark import BarrierTaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from spanworks.functions.text import text_hash
 from spanworks.plans.extract import extract_ends
@@ -49,27 +52,47 @@ def extract_all(cases: DataFrame, model: Callable[[str, str], dict] | None = Non
     return keyed.select("id", F.col("h").alias("_h"), F.col("start_date").alias("_s")).join(answered, same).select("id", "h", "model", "end_source", "local_date", "local_time", "error")
 
 
-def enrich(wanted: DataFrame, keys: list[str], lookup: Callable[..., str], give_up: int = 10) -> DataFrame:
+def enrich(wanted: DataFrame, keys: list[str], lookup: Callable[..., str], give_up: int = 10, workers: int | None = None) -> DataFrame:
     """``keys`` with ``raw_json``: an answer, or a placeholder that is tried again another time.
 
-    The keys are looked up one after the other, as such services ask for; after ``give_up`` failures in a row the run
-    raises, so that a dead service isn't hammered."""
-    ship(wanted.sparkSession)
+    ``workers`` tasks (as many as there are cores, unless named) look up their share one after the other.  They run as one barrier stage with one
+    breaker: after each round of ``give_up / workers`` lookups they tell each other how many failed, and once ``give_up`` lookups and
+    all since the last success have failed, the run raises.  So a dead service is asked ``give_up`` + ``workers`` times at most in an attempt,
+    whatever the number of tasks.  Barrier stages need all their tasks at once: executors must not be allotted
+    dynamically, and ``workers`` must be at most their cores; 1 needs neither.
+
+    The answers are written to the checkpoint folder before this returns, so that nothing is asked twice.  Null
+    keys are looked up as such; keys that repeat are looked up once; an empty table asks nothing.
+    """
+    spark = wanted.sparkSession
+    ship(spark)
+    ensure_checkpoints(spark)
+    workers = workers or max(1, min(spark.sparkContext.defaultParallelism, give_up))
+    quota = max(1, give_up // workers)
     kinds = "".join(f"`{k}` {wanted.schema[k].dataType.simpleString()}, " for k in keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        failed = 0
-        for b in batches:
-            out = []
-            for row in zip(*(b.column(i).to_pylist() for i in range(len(keys)))):
+        tell = BarrierTaskContext.get().allGather if workers > 1 else lambda said: [said]
+        rows = (row for b in batches for row in zip(*(b.column(i).to_pylist() for i in range(len(keys)))))
+        failing, waiting = 0, True
+        while waiting:
+            asked, out, failed = [], [], 0
+            for row in islice(rows, quota):
+                asked.append(row)
                 try:
                     out.append(lookup(*row))
-                    failed = 0
-                except OSError as e:
+                except OSError:
                     failed += 1
-                    if failed >= give_up:
-                        raise RuntimeError(f"{failed} lookups failed in a row") from e
                     out.append('{"geocode_failed": "true"}')
-            yield pa.record_batch([*(b.column(i) for i in range(len(keys))), pa.array(out, pa.string())], [*keys, "raw_json"])
+            told = [tuple(map(int, x.split())) for x in tell(f"{len(asked)} {failed}")]
+            tried, all_failed = (sum(x) for x in zip(*told))
+            failing = failing + all_failed if all_failed == tried else 0
+            if failing >= give_up:
+                raise RuntimeError(f"{failing} lookups failed in a row")
+            if asked:
+                yield pa.record_batch([*(pa.array(x, t) for x, t in zip(zip(*asked), types)), pa.array(out, pa.string())], [*keys, "raw_json"])
+            waiting = tried > 0
 
-    return wanted.select(*keys).distinct().coalesce(1).mapInArrow(run, kinds + "raw_json string")
+    types = [to_arrow_type(wanted.schema[k].dataType) for k in keys]
+    dealt = wanted.select(*keys).distinct().repartition(workers)
+    return dealt.mapInArrow(run, kinds + "raw_json string", barrier=workers > 1).checkpoint()

@@ -5,6 +5,7 @@ Each writes to a folder of its own that executors share, reads what is there, an
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
 from collections.abc import Callable
@@ -18,7 +19,7 @@ from spanworks.operators import state
 from spanworks.plans import bindings as B
 from spanworks.plans import hybrid
 from spanworks.session import ensure_checkpoints, remove_folder, ship
-from spanworks.sources import readers, sinks
+from spanworks.sources import attributes, logs, readers, replayed, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -38,44 +39,126 @@ def trip(f: Callable[[SparkSession, str, str], DataFrame]):
     return f
 
 
-def _page(offset: int, size: int) -> dict:
-    """A page of a made-up feed of 2,500 features."""
-    found = []
-    for i in range(offset, min(offset + size, 2500)):
-        texts = {"TITLE": "" if i % 7 == 0 else f" Burst {i} ", "DESCRIPTION": "" if i % 14 == 0 else "d", "COUNTY": "Dnegal" if i % 3 == 0 else "Mayo", "STATUS": "" if i % 2 else "Open"}
-        found.append(json.dumps({"attributes": {"OBJECTID": i, **texts, "STARTDATE": i * 3_600_000, "WATEROUTAGE": i % 2}, "geometry": {"x": 1000.0 * i, "y": 0.0}}))
-    return {"features": found, "exceededTransferLimit": offset + size < 2500}
+_ORDER = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+_DAY = dt.datetime(1970, 1, 1)
 
 
-def _feed(spark: SparkSession, **options: str) -> DataFrame:
+def _feature(r: dict) -> str:
+    """An order as a feature: titles and descriptions are empty for some, a county is misspelt, an open status is a word."""
+    k, c = r["o_orderkey"], r["o_custkey"]
+    a = {
+        "OBJECTID": k, "TITLE": "" if k % 7 == 0 else f" Burst {k} ", "DESCRIPTION": "" if k % 14 == 0 else "d", "COUNTY": "Dnegal" if c % 3 == 0 else "Mayo",
+        "STATUS": {"O": "Open", "F": "Closed"}.get(r["o_orderstatus"], ""), "STARTDATE": (dt.datetime.combine(r["o_orderdate"], dt.time()) - _DAY) // dt.timedelta(milliseconds=1), "WATEROUTAGE": c % 2,
+    }
+    return json.dumps({"attributes": a, "geometry": {"x": 1000.0 * c, "y": 0.0}})
+
+
+def _feed(spark: SparkSession, d: str, fetch: Callable | None = None, stream: bool = False, **options: str):
+    """The orders as a paged feed."""
     ship(spark)
 
-    class Demo(readers.FeedSource):
-        fetchers = {"demo": _page}
+    class Orders(readers.FeedSource):
+        fetchers = {"orders": fetch or replayed.pages_of(f"{d}/orders.parquet", _ORDER, _feature)}
+
+    spark.dataSource.register(Orders)
+    return (spark.readStream if stream else spark.read).format("paged_feed").options(fetch="orders", **options).load()
+
 
-    spark.dataSource.register(Demo)
-    return spark.read.format("paged_feed").options(fetch="demo", **options).load()
+def _flat(cases: DataFrame) -> DataFrame:
+    return cases.select("id", "title", "county", "status", F.date_format("start_date", "yyyy-MM-dd HH:mm").alias("start"), "water_outage", F.round("full_lon", 6).alias("lon"), F.round("full_lat", 6).alias("lat"))
 
 
 @trip
 def feed_cases(spark, d, folder):
-    """A feed walked page by page, flattened and cleaned."""
-    cases, _ = readers.map_cases(readers.features(_feed(spark, size="1000")))
-    return cases.select("id", "title", "county", "status", F.date_format("start_date", "yyyy-MM-dd HH:mm").alias("start"), "water_outage", F.round("full_lon", 6).alias("lon"), F.round("full_lat", 6).alias("lat"))
+    """A feed whose size nobody has told: its pages are planned, read by a task each, flattened and cleaned."""
+    return _flat(readers.map_cases(readers.features(_feed(spark, d, size="5000")))[0])
 
 
 @trip
 def feed_rejects(spark, d, folder):
     """Features without title and description, the feed read by pages of a known number."""
-    return readers.map_cases(readers.features(_feed(spark, size="400", count="2500")))[1]
+    return readers.map_cases(readers.features(_feed(spark, d, size="4000", count=str(B.table(spark, d, "orders").count()))))[1]
+
+
+@trip
+def retried_feed(spark, d, folder):
+    """A service that fails at each page once and is asked again."""
+    pages, failed = replayed.pages_of(f"{d}/orders.parquet", _ORDER, _feature), set()
+
+    def fetch(offset: int, size: int) -> dict:
+        if offset not in failed:
+            failed.add(offset)
+            raise readers.FeedError(503)
+        return pages(offset, size)
+
+    return readers.map_cases(readers.features(_feed(spark, d, fetch, size="5000")))[0].select("id", "title")
+
+
+@trip
+def streamed_feed(spark, d, folder):
+    """A feed as a stream: offsets are rows, and each trigger plans the pages that are new."""
+    for _ in range(2):
+        raw = readers.features(_feed(spark, d, stream=True, size="5000"))
+        write = readers.map_cases(raw)[0].select("id", "title", "county").writeStream.foreachBatch(lambda b, k: b.write.mode("overwrite").parquet(f"{folder}/out/batch={k}"))
+        write.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop("batch")
 
 
 @trip
 def cached_features(spark, d, folder):
-    """Features kept as one JSON array."""
-    text = "[" + ",".join(_page(0, 300)["features"]) + "]"
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(folder)
-    return readers.map_cases(readers.read_cached(spark, folder))[0].select("id", "title")
+    """Features kept as JSON arrays, a file for each some thousands of them."""
+    raw = _feed(spark, d, size="5000")
+    n = max(1, B.table(spark, d, "orders").count() // 5000)
+    arrays = raw.groupBy(F.pmod(F.xxhash64("feature"), F.lit(n)).alias("part")).agg(F.concat(F.lit("["), F.array_join(F.collect_list("feature"), ","), F.lit("]")).alias("value"))
+    arrays.repartition(n, "part").write.partitionBy("part").text(folder)
+    return readers.map_cases(readers.read_cached(spark, folder).select("attributes", "geometry"))[0].select("id", "title")
+
+
+def _attributes(r: dict) -> str:
+    a = {"OBJECTID": r["o_orderkey"], "COUNTY": r["o_orderpriority"], "STATUS": r["o_orderstatus"], "STARTDATE": (dt.datetime.combine(r["o_orderdate"], dt.time()) - _DAY) // dt.timedelta(milliseconds=1)}
+    return json.dumps({"attributes": a})
+
+
+@trip
+def feed_attributes(spark, d, folder):
+    """Typed attributes of a service; status, county and date are asked for in the request, the rest is filtered here."""
+    named = {"OBJECTID": ("o_orderkey", None), "COUNTY": ("o_orderpriority", None), "STATUS": ("o_orderstatus", None), "STARTDATE": ("o_orderdate", lambda ms: _DAY + dt.timedelta(milliseconds=ms))}
+    fetch = replayed.selected_pages(f"{d}/orders.parquet", _ORDER, named, _attributes)
+    a = attributes.read_attributes(spark, fetch, size=5000)
+    since = (dt.datetime(1998, 1, 1) - _DAY) // dt.timedelta(milliseconds=1)
+    return a.where(F.col("COUNTY").isin("1-URGENT", "2-HIGH") & (F.col("STATUS") == "O") & (F.col("STARTDATE") >= since) & (F.col("OBJECTID") % 2 == 0)).select("OBJECTID", "COUNTY", "STARTDATE")
+
+
+@trip
+def one_page_attributes(spark, d, folder):
+    """An attribute scan that must fit a page; a service that has more is an error."""
+    fetch = replayed.selected_pages(f"{d}/nation.parquet", ["n_nationkey", "n_name"], {"OBJECTID": ("n_nationkey", None)}, lambda r: json.dumps({"attributes": {"OBJECTID": r["n_nationkey"], "TITLE": r["n_name"]}}))
+    return attributes.read_attributes(spark, fetch, size=2000, one_page="true").select("OBJECTID", "TITLE")
+
+
+@trip
+def whole_runs(spark, d, folder):
+    """A log of runs that are there whole or not at all; a run that comes again adds nothing."""
+    o = B.table(spark, d, "orders").select(F.col("o_orderkey").alias("case_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"), F.when(F.col("o_orderkey") % 3 == 0, "not_found").alias("end_source"))
+    for run in ("a", "b", "a"):
+        logs.append_run(o.where(F.col("case_id") % 2 == (1 if run == "b" else 0)).withColumn("model", F.lit(run)), folder, run)
+    return logs.read_runs(spark, folder, readers.LOG).select("case_id", "start_date", "model", "end_source", "recurrence")
+
+
+@trip
+def western_csv(spark, d, folder):
+    """CSV in Windows-1252: signs that Latin-1 has no place for come back."""
+    signs = dict(zip("€–“”", "\x80\x96\x93\x94"))
+    p = B.table(spark, d, "part").select("p_partkey", F.translate(F.concat(F.lit("“"), "p_name", F.lit("” – €é")), "".join(signs), "".join(signs.values())).alias("said"))
+    p.write.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"').csv(folder)
+    return readers.read_csv(spark, folder, "p_partkey bigint, said string", encoding="windows-1252")
+
+
+@trip
+def marked_csv(spark, d, folder):
+    """CSV with a byte-order mark before its first name."""
+    B.table(spark, d, "part").select(F.col("p_partkey").alias("\ufeffp_partkey"), "p_name").write.option("header", True).option("escape", '"').csv(folder)
+    return readers.read_csv(spark, folder, "p_partkey bigint, p_name string")
 
 
 @trip
@@ -101,7 +184,7 @@ def numbered_rounds(spark, d, folder):
     k = B.table(spark, d, "customer").select(F.col("c_custkey").alias("case_id"), F.lit("rules").alias("model"), (F.col("c_custkey") % 2).alias("prompt_version"))
     name = sinks.round_name(k, "2026-01-01")
     for part in range(3):
-        sinks.new_round(k.where((F.col("case_id") % 4 == part) & (F.col("case_id") % 10 < 4)), f"{folder}/{name}")
+        sinks.new_round(k.where(F.col("case_id") % 3 == part), f"{folder}/{name}")
     last = readers.newest_round(spark, f"{folder}/*").rsplit("/", 1)[-1]
     return readers.sampled_before(spark, f"{folder}/*").withColumn("newest", F.lit(last))
 
@@ -211,16 +294,26 @@ def hybrid_answers(spark, d, folder):
 
 
 _CACHE = "c as (select cast(s_suppkey % 50 as double) as rounded_lat, cast(s_suppkey as double) as rounded_lon, s_suppkey as k, s_suppkey % 4 = 0 as failed from supplier)"
-_FEED = "f as (select range as i from range(2500))"
+_FEED = "f as (select o_orderkey as i, o_custkey as c, o_orderstatus as s, o_orderdate as placed from orders)"
+_TITLE = "case when i % 7 = 0 then 'unknown' else 'Burst ' || i end"
+_COUNTY = "case when c % 3 = 0 then 'Donegal' else 'Mayo' end"
 
 SQL: dict[str, str] = {
-    "feed_cases": f"""with {_FEED} select i as id, case when i % 7 = 0 then 'unknown' else 'Burst ' || i end as title, case when i % 3 = 0 then 'Donegal' else 'Mayo' end as county, case when i % 2 = 0 then 'Open' end as status,
-strftime(make_timestamp(i * 3600000000), '%Y-%m-%d %H:%M') as start, i % 2 as water_outage, round(degrees(1000.0::double * i / 6378137), 6) as lon, cast(0 as double) as lat from f where i % 14 <> 0""",
+    "feed_cases": f"""with {_FEED} select i as id, {_TITLE} as title, {_COUNTY} as county, case s when 'O' then 'Open' when 'F' then 'Closed' end as status,
+strftime(placed, '%Y-%m-%d %H:%M') as start, cast(c % 2 as int) as water_outage, round(degrees(1000.0::double * c / 6378137), 6) as lon, cast(0 as double) as lat from f where i % 14 <> 0""",
     "feed_rejects": f"with {_FEED} select i as id from f where i % 14 = 0",
-    "cached_features": f"with {_FEED} select i as id, case when i % 7 = 0 then 'unknown' else 'Burst ' || i end as title from f where i % 14 <> 0 and i < 300",
+    "retried_feed": f"with {_FEED} select i as id, {_TITLE} as title from f where i % 14 <> 0",
+    "streamed_feed": f"with {_FEED} select i as id, {_TITLE} as title, {_COUNTY} as county from f where i % 14 <> 0",
+    "cached_features": f"with {_FEED} select i as id, {_TITLE} as title from f where i % 14 <> 0",
+    "feed_attributes": """select o_orderkey as OBJECTID, o_orderpriority as COUNTY, epoch_ms(cast(o_orderdate as timestamp)) as STARTDATE from orders
+where o_orderpriority in ('1-URGENT', '2-HIGH') and o_orderstatus = 'O' and o_orderdate >= timestamp '1998-01-01' and o_orderkey % 2 = 0""",
+    "one_page_attributes": "select n_nationkey as OBJECTID, n_name as TITLE from nation",
+    "whole_runs": "select o_orderkey as case_id, strftime(o_orderdate, '%Y-%m-%d') as start_date, case when o_orderkey % 2 = 0 then 'a' else 'b' end as model, case when o_orderkey % 3 = 0 then 'not_found' end as end_source, cast(null as varchar) as recurrence from orders",
+    "western_csv": "select p_partkey, '“' || p_name || '” – €é' as said from part",
+    "marked_csv": "select p_partkey, p_name from part",
     "log_append": "select o_orderkey as case_id, strftime(o_orderdate, '%Y-%m-%d') as start_date, case when o_orderkey % 2 = 0 then 'rules' else 'later' end as model, case when o_orderkey % 3 = 0 then 'not_found' end as end_source, cast(null as varchar) as recurrence from orders",
     "csv_round": """select p_partkey, 'say "' || p_name || '",' || chr(10) || p_brand as said from part""",
-    "numbered_rounds": "select c_custkey as case_id, 'end_time_sample_2026-01-01_rules_pvmixed_r3' as newest from customer where c_custkey % 4 < 3 and c_custkey % 10 < 4",
+    "numbered_rounds": "select c_custkey as case_id, 'end_time_sample_2026-01-01_rules_pvmixed_r3' as newest from customer",
     "snapshot_replay": """with o as (select o_custkey as id, year(o_orderdate) as y, arg_max(o_orderstatus, o_orderkey) as s from orders group by all), l as (select id, max(y) as last from o where s = 'O' group by id)
 select o.id, min(y) || '-12-31' as closed_tag from o join l using (id) where s <> 'O' and y > last group by o.id""",
     "replaced_rows": "select s_suppkey, case when s_suppkey % 3 = 0 then s_name || '-5' else s_name end as s_name, case when s_suppkey % 3 = 0 then 5 else 0 end as v from supplier",

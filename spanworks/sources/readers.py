@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 from spanworks.functions.geo import mercator_to_lonlat
 from spanworks.functions.times import from_epoch_ms
@@ -52,18 +52,20 @@ class FeedError(Exception):
 
 
 class _Page(InputPartition):
-    def __init__(self, offset: int):
+    """Rows of a feed from ``offset`` on: a page, those up to ``end``, or (``walks``) a page and all that may follow it."""
+
+    def __init__(self, offset: int, walks: bool = False, end: int | None = None):
         super().__init__(offset)
-        self.offset = offset
+        self.offset, self.walks, self.end = offset, walks, end
 
 
 class FeedSource(DataSource):
     """A paged feed.  ``fetch`` (registered by name) answers (offset, size) with a page: a list of JSON strings, or an
     object with ``features`` and ``exceededTransferLimit``, or with ``error``, which raises.
 
-    With option ``count`` there is a partition per page.  Without it one partition walks the
-    pages until one is empty or says that it is the last.  With ``one_page`` a feed that has
-    more than a page raises.  Lost connections and the answers in RETRIED are asked again ``tries`` times, after
+    There is a partition per page.  Without option ``count`` the driver first looks for the last page that has a row:
+    it doubles its step until a page is empty, then bisects, and asks for one row each time.  The last partition walks on,
+    should the feed have grown meanwhile.  With ``one_page`` a feed that has more than a page raises.  Lost connections and the answers in RETRIED are asked again ``tries`` times, after
     ``backoff`` seconds and twice as long each time; other answers raise.
     """
 
@@ -79,6 +81,9 @@ class FeedSource(DataSource):
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return _FeedReader(self.options, self.fetchers[self.options["fetch"]])
 
+    def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
+        return _FeedStream(self.options, self.fetchers[self.options["fetch"]])
+
 
 class _FeedReader(DataSourceReader):
     def __init__(self, options: dict, fetch: Callable[[int, int], list[str] | dict]):
@@ -87,20 +92,46 @@ class _FeedReader(DataSourceReader):
         self.backoff, self.one_page = float(options.get("backoff", 0)), str(options.get("one_page", "false")).lower() == "true"
 
     def partitions(self) -> list[InputPartition]:
-        return [_Page(0)] if self.count is None else [_Page(o) for o in range(0, max(self.count, 1), self.size)]
-
-    def page(self, offset: int) -> tuple[list[str], bool]:
+        if self.one_page:
+            return [_Page(0, walks=True)]
+        if self.count is not None:
+            return [_Page(o) for o in range(0, max(self.count, 1), self.size)]
+        last = self.last_filled(0, self.size)
+        return [*(_Page(k * self.size) for k in range(last)), _Page(last * self.size, walks=True)]
+
+    def last_filled(self, low: int, unit: int) -> int:
+        """The largest k such that a row stands at ``k * unit``; ``low`` is known to be one, or nothing is there at all."""
+
+        def ends(k: int) -> bool | None:
+            """None where there is no row, else whether it is the feed's last."""
+            rows, more = self.page(k * unit, 1)
+            return None if not rows else not more
+
+        step, high = 1, None
+        while high is None or high - low > 1:
+            k = low + step if high is None else (low + high) // 2
+            end = ends(k)
+            if end:
+                return k
+            if end is None:
+                high = k
+            else:
+                low, step = k, 2 * step
+        return low
+
+    def page(self, offset: int, size: int | None = None) -> tuple[list[str], bool]:
         """Rows of a page, and whether more may follow."""
+        size = self.size if size is None else size
         for turn in range(self.tries):
             try:
-                got = self.fetch(offset, self.size)
+                got = self.fetch(offset, size)
                 break
             except (OSError, FeedError) as e:
                 if turn + 1 == self.tries or (isinstance(e, FeedError) and e.status not in RETRIED):
                     raise
                 time.sleep(self.backoff * 2**turn)
         if isinstance(got, list):
-            return got, len(got) >= self.size
+            return got, len(got) >= size
         if "error" in got:
             raise ValueError(f"the feed failed at offset {offset}: {got['error']}")
         return got.get("features", []), bool(got.get("exceededTransferLimit", False))
@@ -113,7 +144,37 @@ class _FeedReader(DataSourceReader):
                 raise ValueError("the feed has more than one page")
             for row in rows:
                 yield (row,)
-            offset, more = offset + self.size, more and bool(rows) and self.count is None
+            offset, more = offset + self.size, more and bool(rows) and partition.walks
+
+
+class _FeedStream(DataSourceStreamReader):
+    """A feed that only grows at its end, as one in the order of OBJECTID does: an offset is the number of rows before it, so
+    that a batch that is run again reads the rows that it read before."""
+
+    def __init__(self, options: dict, fetch: Callable[[int, int], list[str] | dict]):
+        self.feed, self.known = _FeedReader(options, fetch), 0
+
+    def initialOffset(self) -> dict:
+        return {"rows": 0}
+
+    def latestOffset(self) -> dict:
+        if self.known or self.feed.page(0, 1)[0]:
+            self.known = self.feed.last_filled(max(self.known - 1, 0), 1) + 1
+        return {"rows": self.known}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        at, to = start["rows"], end["rows"]
+        return [_Page(o, end=min(o + self.feed.size, to)) for o in range(at, to, self.feed.size)]
+
+    def read(self, partition: _Page) -> Iterator[tuple]:
+        rows, _ = self.feed.page(partition.offset, partition.end - partition.offset)
+        if len(rows) != partition.end - partition.offset:
+            raise ValueError(f"the feed has {len(rows)} of the rows {partition.offset} to {partition.end}: it has shrunk")
+        for row in rows:
+            yield (row,)
+
+    def commit(self, end: dict) -> None:
+        pass
 
 
 def features(raw: DataFrame, column: str = "feature") -> DataFrame:
