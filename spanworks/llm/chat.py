@@ -1,9 +1,10 @@
 """Chat formatting into budgeted windows of whole turns, with a loss mask.
 
-Prefix sums of the turns' tokens choose the windows.  A window has ``target`` + ``history`` tokens.
-It repeats the leading system turn, if that takes half of ``target`` at most; a longer one stands in
-the first window only.  What the system turn leaves of ``target`` is for new turns: the token line behind it is cut
-into blocks of that size; the turns inside a block are one window, and a turn
+Prefix sums of the turns' tokens choose the windows.  Every window has the system turn that holds for it: the last
+one before its first new turn, repeated unless it is new there itself.  A window's budget is ``target`` + ``history`` tokens; the
+longest system turn of the conversation is set aside from ``target``, and what it leaves is for new turns, but half of ``target`` at least,
+so that in a conversation with a longer system turn the budget is that turn, half of ``target`` and ``history``.  The token line
+behind a leading system turn is cut into blocks of that size; the turns inside a block are one window, and a turn
 across a cut is a window of its own, so that no window exceeds its budget unless a
 single turn does.  As many of the turns just before it as ``history`` tokens hold are repeated; what is
 repeated carries no loss.  Conversations of any length are dealt over many tasks, and
@@ -67,30 +68,34 @@ def windows(turns: DataFrame, target: int = TARGET, history: int = HISTORY) -> D
     key = ["conv_id", "turn", "role", "hash", "tokens"]
     said = rows.groupBy(*key).agg(F.max("text").alias("text"), F.count("*").alias("copies")).checkpoint()
     each = said.select(*key, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")).drop("copy")
-    placed = running(each, ["conv_id"], ["turn", "role", "hash"], {"at": F.col("tokens")}, number="no").withColumn("to", F.col("at") + F.col("tokens")).checkpoint()
+    placed = running(each, ["conv_id"], ["turn", "role", "hash"], {"at": F.col("tokens"), "systems": (F.col("role") == "system").cast("bigint")}, number="no").withColumn("to", F.col("at") + F.col("tokens")).checkpoint()
 
-    # the room of new turns, and where the cuts start, follow from the system turn: a row for each conversation that has one
-    lead = placed.where("no = 0 and role = 'system'").select(F.col("conv_id").alias("_c"), F.col("to").alias("lead"), (F.col("to") <= target // 2).alias("again"))
+    # the room of new turns, and where the cuts start, follow from the system turns: a row for each conversation that has any
+    system = F.col("role") == "system"
+    lead = placed.where(system).groupBy(F.col("conv_id").alias("_c")).agg(F.max("tokens").alias("longest"), F.max(F.when(F.col("no") == 0, F.col("to"))).alias("lead"))
     known = placed.join(lead, placed["conv_id"].eqNullSafe(lead["_c"]), "left").drop("_c")
-    again = F.coalesce("again", F.lit(False))
-    known = known.withColumns({"skip": F.when(again, F.col("lead")).otherwise(0), "is_lead": (F.col("no") == 0) & again}).withColumn("room", F.lit(target) - F.col("skip"))
+    room = F.greatest(F.lit(target) - F.coalesce("longest", F.lit(0)), F.lit(target - target // 2))
+    known = known.withColumns({"skip": F.coalesce("lead", F.lit(0)), "is_lead": (F.col("no") == 0) & system, "room": room})
     cell = lambda x: F.floor((x - F.col("skip")) / F.col("room"))
     crosses = F.when(cell(F.col("at")) == cell(F.col("to") - 1), 0).otherwise(1)
-    known = known.withColumn("window", F.when(F.col("is_lead"), 0).otherwise(2 * cell(F.col("at")) + crosses).cast("bigint")).drop("again", "lead")
+    known = known.withColumn("window", F.when(F.col("is_lead"), 0).otherwise(2 * cell(F.col("at")) + crosses).cast("bigint")).drop("longest", "lead")
 
     # where each window starts; a turn belongs to the history of windows that start at `to` up to `at + history`
     begun = known.where("not is_lead")
-    starts = begun.groupBy("conv_id", "window", "skip", "room").agg(F.min("at").alias("start"))
+    first = F.min(F.struct("no", "at", "systems", "role")).alias("first")
+    starts = begun.groupBy("conv_id", "window", "skip", "room").agg(first).select("conv_id", "window", "skip", "room", F.col("first.at").alias("start"), F.when(F.col("first.role") != "system", F.col("first.systems") - 1).alias("holds"))
     narrow = ["turn", "role", "hash", "tokens"]
     parts = known.select("conv_id", "window", "no", *narrow, F.lit(False).alias("repeated"))
     if history:
-        w = starts.select(F.col("conv_id").alias("_c"), F.col("window").alias("_w"), "start", cell(F.col("start")).alias("_cell"))
+        w = starts.select(F.col("conv_id").alias("_c"), F.col("window").alias("_w"), "start", "holds", cell(F.col("start")).alias("_cell"))
         reach = begun.where(F.col("tokens") <= history).withColumn("cell", F.explode(F.sequence(cell(F.col("to")), cell(F.col("at") + history))))
         before = reach.join(w, reach["conv_id"].eqNullSafe(w["_c"]) & (reach["cell"] == w["_cell"]) & (F.col("to") <= F.col("start")) & (F.col("at") >= F.col("start") - history))
+        before = before.where(~system | ~F.col("systems").eqNullSafe(F.col("holds")))
         parts = parts.union(before.select("conv_id", F.col("_w").alias("window"), "no", *narrow, F.lit(True).alias("repeated")))
-    first = known.where("is_lead").select(F.col("conv_id").alias("_c"), *narrow)
-    later = starts.where("window > 0").join(first, F.col("conv_id").eqNullSafe(F.col("_c")))
-    parts = parts.union(later.select("conv_id", "window", F.lit(0).cast("bigint").alias("no"), *narrow, F.lit(True).alias("repeated")))
+    # the system turn that holds, unless it is the leading one and the window the first
+    told = known.where(system).select(F.col("conv_id").alias("_c"), F.col("systems").alias("_s"), "no", *narrow)
+    later = starts.where("holds >= 0 and not (window = 0 and holds = 0 and skip > 0)").join(told, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("holds") == F.col("_s")))
+    parts = parts.union(later.select("conv_id", "window", "no", *narrow, F.lit(True).alias("repeated")))
 
     shown = F.struct(
         "no", "repeated", (F.col("role") == "assistant").alias("speaks"), F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n")).alias("head"),

@@ -1,7 +1,9 @@
 """Each operator against a plain version of its contract, on the smallest tables and on odd rows."""
 
 import hashlib
+import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -138,17 +140,79 @@ def test_op2(spark):
     assert chat.windows(rows.limit(0)).count() == 0
 
 
-def test_op2_budget_with_a_long_system_turn(spark):
+def plain_windows(turns, target, history):
+    """{window: [(number, repeated)]} of one conversation's (role, text), by walking its turns."""
+    tokens = [-(-(len(r.encode()) + len(x.encode())) // 4) + 6 for r, x in turns]
+    to, at = list(itertools.accumulate(tokens)), [0, *itertools.accumulate(tokens)][: len(tokens)]
+    system = [r == "system" for r, _ in turns]
+    room = max(target - max((n for n, s in zip(tokens, system) if s), default=0), target - target // 2)
+    lead = bool(system and system[0])
+    skip = to[0] if lead else 0
+    cell = lambda x: (x - skip) // room
+    new = defaultdict(list)
+    for k in range(lead, len(turns)):
+        new[2 * cell(at[k]) + (cell(at[k]) != cell(to[k] - 1))].append(k)
+    out = {}
+    for w, own in new.items():
+        first = own[0]
+        holds = None if system[first] else max((k for k in range(first) if system[k]), default=None)
+        known = {k for k in range(lead, first) if tokens[k] <= history and at[k] >= at[first] - history}
+        known |= {holds} - {None}
+        out[w] = sorted([*((k, True) for k in known), *((k, False) for k in own)])
+    if lead:
+        out[0] = [(0, False), *(x for x in out.get(0, []) if x[0])]
+    return out
+
+
+def check_windows(made, rows, target, history):
+    """All windows against the plain version: turns, text, loss and tokens."""
+    conv = defaultdict(list)
+    for c, t, r, x in rows:
+        conv[c].append((t, r, x))
+    want = {}
+    for c, turns in conv.items():
+        said = [x[1:] for x in sorted(turns, key=lambda x: x[0])]
+        for w, parts in plain_windows(said, target, history).items():
+            text, loss = "", []
+            for k, again in parts:
+                role, body = said[k]
+                text += f"<|im_start|>{role}\n"
+                if role == "assistant" and not again:
+                    loss.append((len(text), len(text) + len(body)))
+                text += f"{body}<|im_end|>\n"
+            want[c, w] = (text, loss, sum(a for _, a in parts), sum(-(-(len(said[k][0].encode()) + len(said[k][1].encode())) // 4) + 6 for k, _ in parts))
+    got = {(r.conv_id, r.window): (r.text, [tuple(x) for x in r.loss], r.n_context, r.n_tokens) for r in made}
+    assert got.keys() == want.keys()
+    assert got == want
+
+
+SPOKEN = "conv_id long, turn long, role string, text string"
+
+
+@pytest.mark.parametrize("chars, at", [(40_000, 0), (4_000, 0), (2_000, 0), (2_000, 1), (5_000, 1), (100, 17)])
+def test_op2_keeps_the_system_turn(spark, chars, at):
+    from spanworks.llm import chat
+
+    rows = [(1, k, "system" if k == at else "user" if k % 2 else "assistant", "s" * chars if k == at else f"{k} " + "x" * 900) for k in range(30)]
+    made = chat.windows(spark.createDataFrame(rows, SPOKEN)).collect()
+    check_windows(made, rows, chat.TARGET, chat.HISTORY)
+    n = -(-(chars + 6) // 4) + 6
+    room = max(chat.TARGET - n, chat.TARGET // 2)
+    behind = [w for w in made if f"{at + 1} xx" in w.text or w.window > min(x.window for x in made if "s" * chars in x.text)]
+    assert behind and all(w.text.count("s" * chars) == 1 for w in behind)
+    assert all(w.n_tokens <= n + room + chat.HISTORY for w in made)
+
+
+def test_op2_windows_at_random(spark):
     from spanworks.llm import chat
 
-    turn = lambda k: "user" if k % 2 else "assistant"
-    rows = [(1, 0, "system", "s" * 40_000)] + [(1, k, turn(k), f"said {k} " * 60) for k in range(1, 60)]
-    rows += [(2, 0, "system", "s" * 2_000)] + [(2, k, turn(k), f"said {k} " * 60) for k in range(1, 60)]
-    made = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
-    for w in made:
-        assert w.n_turns == 1 or w.n_tokens <= chat.TARGET + chat.HISTORY
-    assert sum(len(w.text) for w in made if w.conv_id == 1) < 2 * sum(len(r[3]) for r in rows[:60])
-    assert all(w.text.startswith("<|im_start|>system\n") for w in made if w.conv_id == 2) and max(w.n_tokens for w in made if w.conv_id == 2) <= chat.TARGET + chat.HISTORY
+    draw, rows = random.Random(7), []
+    for c in range(60):
+        for k in range(draw.randint(1, 25)):
+            rows.append((c, k, draw.choice(["system", "user", "assistant", "assistant"]), f"{k} " + "w" * draw.choice([0, 3, 20, 90, 300, 700])))
+    df = spark.createDataFrame(rows, SPOKEN)
+    for target, history in ((120, 40), (64, 64), (100, 0)):
+        check_windows(chat.windows(df, target, history).collect(), rows, target, history)
 
 
 def test_op3_statistics(spark, docs, plain):
