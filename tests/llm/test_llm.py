@@ -46,41 +46,36 @@ def quantised(n):
     return [0, 1, 2.3][level] if level < 3 else 2 ** (level - 1) * 1.3
 
 
-def plain_scores(toks, out, share):
+def plain_scores(toks, out):
     """The model of op1 over plain counts: no filter, hashes or segments."""
     c, pairs = Counter(), Counter()
     for i, w in toks:
         if not out(i):
             c.update(w)
             pairs.update(zip(["begin", *w], w))
-    n, v = sum(c.values()), len(c)
-    head = {x: m for x, m in c.items() if m >= n * share}
-    texts = c[None]
-    group = lambda h: 30 if h == "begin" else min(head[h].bit_length(), 30) if h in head else 0
+    mass = sum(quantised(n) + 1 for n in c.values()) + 1
+    level = lambda h: (c[None] if h == "begin" else c[h]).bit_length()
     once, twice, kinds, total = Counter(), Counter(), Counter(), Counter()
     for (h, _), m in pairs.items():
-        g = group(h)
+        g = level(h)
         once[g] += m == 1
         twice[g] += m == 2
         kinds[g] += 1
         total[g] += m
-    # a rare context's own count lies beside its bigrams, in a class of its own
     discount = lambda g: min(max(once[g] / max(once[g] + 2 * twice[g], 1), 0.1), 0.95)
-    weight = lambda g: discount(g) * kinds[g] / total[g] if total[g] else 1.0
-    rest = (n - sum(head.values()) + v - len(head) + 1) / (n + v + 1) / (v - len(head) + 1)
+    weight = lambda g: (once[g] + discount(g) * (kinds[g] - once[g])) / total[g] if total[g] else 1.0
 
     def one(h, w):
-        g = group(h)
-        ctx = texts if h == "begin" else head[h] if h in head else quantised(c[h])
-        word = (head[w] + 1) / (n + v + 1) if w in head else rest
-        if not ctx:
+        g, word = level(h), (quantised(c[w]) + 1) / mass
+        if not g:
             return word
-        return min(1.0, max(min(quantised(pairs[h, w]), ctx) - discount(g), 0) / ctx + weight(g) * word)
+        ctx, m = quantised(c[None] if h == "begin" else c[h]), pairs[h, w]
+        return min(1.0, max(min(quantised(m) if m > 1 else 0, ctx) - discount(g), 0) / ctx + weight(g) * word)
 
     return {i: sum(math.log10(one(h, w)) for h, w in zip(["begin", *t], t)) for i, t in toks}
 
 
-@pytest.mark.parametrize("share, shard", [(1e-6, 64_000_000), (2e-4, 600_000), (2e-4, 64_000_000)])
+@pytest.mark.parametrize("share, shard", [(1e-6, 64_000_000), (2e-4, 600_000), (1e-2, 64_000_000), (1e-2, 200_000)])
 def test_op1(docs, plain, monkeypatch, share, shard):
     from spanworks.llm import scoring
 
@@ -94,7 +89,7 @@ def test_op1(docs, plain, monkeypatch, share, shard):
     toks = [(i, [*words(t, True), None]) for i, t in plain]
     c = Counter(x for i, w in toks if not out(i) for x in w)
     n, v = sum(c.values()), len(c)
-    want = plain_scores(toks, out, share)
+    want = plain_scores(toks, out)
     assert len(got) == len(plain)
     for r in got:
         w = next(x for i, x in toks if i == r.doc_id)
