@@ -18,10 +18,6 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def from_micros(us: Column) -> Column:
-    return F.timestamp_micros(us)
-
-
 def civil_to_utc(date: Column, time: Column, zone: str = CIVIL_ZONE) -> Column:
     """The instant of a civil date and HH:MM[:SS] time; null if either can't be read."""
     good = time.rlike(r"^\d{2}:\d{2}(:\d{2})?$") & date.cast("string").rlike(r"^\d{4}-\d{2}-\d{2}$")
@@ -29,6 +25,19 @@ def civil_to_utc(date: Column, time: Column, zone: str = CIVIL_ZONE) -> Column:
     return F.when(good, F.to_utc_timestamp(F.try_to_timestamp(full, F.lit("yyyy-MM-dd HH:mm:ss")), zone))
 
 
+def clock_us(time: Column) -> Column:
+    """Microseconds from midnight to HH:MM[:SS]; null where no clock shows it."""
+    part = lambda k: F.substring(time, 3 * k + 1, 2).try_cast("int")
+    h, m, s = part(0), part(1), F.when(F.length(time) == 5, 0).otherwise(part(2))
+    good = time.rlike(r"^\d{2}:\d{2}(:\d{2})?$") & (h < 24) & (m < 60) & (s < 60)
+    return F.when(good, (h * 3600 + m * 60 + s).cast("bigint") * 1_000_000)
+
+
+def civil_instant(local_us: Column, zone: str = CIVIL_ZONE) -> Column:
+    """The instant at which the zone's clocks show so many microseconds since 1970; no text is built or read."""
+    return F.unix_micros(F.to_utc_timestamp(F.timestamp_micros(local_us), zone))
+
+
 def reported_end(date: Column, time: Column, zone: str = CIVIL_ZONE) -> Column:
     """When a notice says it ends; a date without a time ends with its day."""
     return civil_to_utc(date, F.coalesce(time, F.lit(LAST_SECOND)), zone)

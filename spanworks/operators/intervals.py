@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanworks.functions.times import CIVIL_ZONE, civil_to_utc, micros
+from spanworks.functions.arrays import let
+from spanworks.functions.times import CIVIL_ZONE, civil_instant, clock_us, micros
+
+DAY_US = 86_400_000_000
 
 
 def union_intervals(df: DataFrame, keys: list[str], start: str = "s", end: str = "e", presplit_us: int | None = None) -> DataFrame:
@@ -68,15 +71,17 @@ def civil_windows(first: Column, opens: Column, closes: Column, lo: Column, hi:
     """
     from_day = F.greatest(first.cast("date"), F.to_date(F.from_utc_timestamp(lo - F.expr("interval 1 day"), zone)))
     to_day = F.to_date(F.from_utc_timestamp(hi, zone))
-    over = F.when(closes < opens, 1).otherwise(0)
-
-    def one(day: Column) -> Column:
-        s = F.greatest(micros(civil_to_utc(day, opens, zone)), micros(lo))
-        e = F.least(micros(civil_to_utc(F.date_add(day, over), closes, zone)), micros(hi))
+    # what holds for all days is worked out once; days that close before they open end a day later
+    closing = clock_us(closes) + F.when(closes < opens, DAY_US).otherwise(0)
+    row = F.struct(micros(lo).alias("lo"), micros(hi).alias("hi"), clock_us(opens).alias("opens"), closing.alias("closes"), F.sequence(F.unix_date(from_day), F.unix_date(F.greatest(from_day, to_day))).alias("days"))
+
+    def one(x: Column, day: Column) -> Column:
+        midnight = day.cast("bigint") * DAY_US
+        s = F.greatest(civil_instant(midnight + x["opens"], zone), x["lo"])
+        e = F.least(civil_instant(midnight + x["closes"], zone), x["hi"])
         return F.struct(s.alias("s"), e.alias("e"))
 
-    days = F.sequence(from_day, F.greatest(from_day, to_day))
-    found = F.filter(F.transform(days, one), lambda x: x["e"] > x["s"])
+    found = let(row, lambda x: F.filter(F.transform(x["days"], lambda day: one(x, day)), lambda w: w["e"] > w["s"]))
     none = F.array().cast("array<struct<s:bigint,e:bigint>>")
     return F.when((opens == closes) | (from_day > to_day), none).otherwise(found)
 

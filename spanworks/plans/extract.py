@@ -176,13 +176,16 @@ def _scheduled(block: Column, published: Column) -> Column:
             for k, w in enumerate(p):
                 same = same & (r.word(k) == w)
             estimate = estimate | same
-        return F.when(r.word().isin(UNTIL), F.struct((i + 2).alias("from"), F.lit(True).alias("must"))).when((r.word() == ESTIMATES[0][0]) & estimate, F.struct((i + 5).alias("from"), F.lit(False).alias("must")))
+        return F.when(r.word().isin(UNTIL), F.struct((i + 2).alias("from"), F.lit(True).alias("must"))).when(estimate, F.struct((i + 5).alias("from"), F.lit(False).alias("must")))
 
     def one(ends: Column) -> Column:
         sure = ~F.exists(ends, lambda m: m.isNull() | m["date"].isNull() | m["time"].isNull())
         return F.when(sure & (F.size(F.array_distinct(ends)) == 1), F.get(ends, F.lit(0)))
 
-    places = F.filter(F.transform(F.sequence(F.lit(0), F.size(block)), place), lambda x: x.isNotNull())
+    # few positions hold a word that announces an end; only these are looked at closely
+    openers = sorted({*UNTIL, *(p[0] for p in ESTIMATES)})
+    held = F.filter(F.sequence(F.lit(0), F.size(block)), lambda i: F.get(block, i)["w"].isin(openers))
+    places = F.filter(F.transform(held, place), lambda x: x.isNotNull())
     read = F.transform(places, lambda p: F.struct(p["must"].alias("must"), let(F.slice(block, p["from"], 16), lambda t: moment(t, published, on=True)).alias("m")))
     return let(F.transform(F.filter(read, lambda x: x["must"] | x["m"].isNotNull()), lambda x: x["m"]), one)
 
@@ -210,7 +213,7 @@ def extract_ends(notices: DataFrame) -> DataFrame:
     Texts without a word that could end anything aren't read further.
     """
     plain = strip_markup(F.col("description"))
-    may = F.exists(F.array(*[F.lit(x) for x in (*UNTIL, *(p[0] for p in ESTIMATES), COMPLETE)]), lambda x: F.contains(F.lower(plain), x))
+    may = F.lower(plain).rlike("|".join(sorted({*UNTIL, *(p[0] for p in ESTIMATES), COMPLETE})))
     published = F.try_to_date(F.left(F.col("start_date"), F.lit(10)), "yyyy-MM-dd")
     found = F.when(may, let(tokens(plain), lambda t: _answer(t, F.col("description"), published)))
     # exploding an array of one keeps later projections from reading the text again
