@@ -37,6 +37,20 @@ def dominant(footprint: DataFrame, key: str, area: str, weight: str) -> DataFram
     return sums.withColumn("_r", F.row_number().over(order)).where("_r = 1").drop("_r")
 
 
+def first_labels(rows: DataFrame, keys: list[str], order: str, labels: list[str], people: DataFrame | None = None) -> DataFrame:
+    """Per key the labels of its first row by ``order``; with ``people`` (guid, pop) only rows that have any count, and ``pop`` is their sum."""
+    if people is None:
+        return rows.groupBy(*keys).agg(F.min_by(F.struct(*labels), order).alias("_l")).select(*keys, "_l.*")
+    found = rows.join(people, "guid").groupBy(*keys).agg(F.min_by(F.struct(*labels), order).alias("_l"), F.sum("pop").alias("pop"))
+    return found.select(*keys, "_l.*", "pop")
+
+
+def within(homes: DataFrame, home: DataFrame, key: str, code: str) -> DataFrame:
+    """The rows of a footprint (``key``, ``code`` and more) that lie in the key's own area."""
+    own = home.select(F.col(key).alias("_k"), F.col(code).alias("_c"))
+    return homes.join(own, (F.col(key) == F.col("_k")) & (F.col(code) == F.col("_c"))).drop("_k", "_c")
+
+
 def mismatches(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
     """Keys that both have with different values."""
     return left.select(key, F.col(value).alias("ours")).join(right.select(key, F.col(value).alias("theirs")), key).where(~F.col("ours").eqNullSafe(F.col("theirs")))

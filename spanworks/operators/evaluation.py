@@ -74,6 +74,12 @@ def described(cases: DataFrame, keys: list[str]) -> DataFrame:
     return cases.groupBy(*keys).agg(F.min("id").alias("case_id"), longest.alias("description"))
 
 
+def lint_windows(cases: DataFrame, inferred: DataFrame) -> DataFrame:
+    """:func:`unquotable_windows` of the cases that have an inference: id, text and start from the one table, the window from the other."""
+    ends = inferred.select(F.col("case_id").alias("id"), "recurrence", "window_open", "window_close", "window_first")
+    return unquotable_windows(cases.select("id", "description", "start_date").join(ends, "id"))
+
+
 def unquotable_windows(cases: DataFrame) -> DataFrame:
     """Recurring windows with values that their text doesn't write: id, ``missing`` (array of open, close, first date), ``inert``.
 

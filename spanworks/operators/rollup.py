@@ -111,6 +111,27 @@ def modal(df: DataFrame, keys: list[str], value: list[str]) -> DataFrame:
     return counts.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "_n")
 
 
+def area_payload(events: DataFrame, people: DataFrame, since_us: int, now_us: int, unplaced: str) -> DataFrame:
+    """Area months: county, code, month, a count of events for each severity, person hours and availability.
+
+    ``events``: county, code, sev, ref, s, e, merged; ``people``: county, code, pop.  Months without an event have no row; what has no area
+    has counts only, as it has no population to divide by.
+    """
+    keys = ["county", "code"]
+    cut = events.where((F.col("s") < now_us) & (F.col("e") > since_us)).withColumns({"s": F.greatest("s", F.lit(since_us)), "e": F.least("e", F.lit(now_us))})
+    per = month_slices(cut).groupBy(*keys, "sev", "ref", "month").agg(F.sum("us").alias("us")).join(people, keys, "left")
+    counts = [F.countDistinct(F.when(F.col("sev") == s, F.col("ref"))).alias(f"n_{s}") for s in SEVERITIES]
+    lost = F.sum(F.when(F.col("sev") == "outage", F.col("us") * F.col("pop")).otherwise(0)).alias("person_us")
+    out = with_month_bounds(per.groupBy(*keys, "month").agg(*counts, lost, F.max("pop").alias("pop")))
+    period = F.greatest(F.least("hi", F.lit(now_us)) - F.greatest("lo", F.lit(since_us)), F.lit(1_000_000))
+    placed = F.col("code") != unplaced
+    share = 100 * (1 - F.col("person_us") / (F.greatest("pop", F.lit(1)).cast("double") * period))
+    return out.select(
+        *keys, "month", *[f"n_{s}" for s in SEVERITIES], F.when(placed, F.col("pop")).alias("pop"),
+        F.when(placed, F.bround(F.col("person_us") / 3.6e9).cast("bigint")).alias("person_h"), F.when(placed, F.bround(F.greatest(share, F.lit(0.0)), 2)).alias("availability"),
+    )
+
+
 def event_meta(pins: DataFrame, keys: list[str]) -> DataFrame:
     """Folds an event's pins: counts, first publication, worst severity, first title and location, open or not."""
     first = lambda c, cond=None: F.min_by(F.when(cond, F.col(c)) if cond is not None else F.col(c), F.when(cond, F.col("id")) if cond is not None else F.col("id"))

@@ -60,14 +60,23 @@ def log_edge(log: DataFrame, key: str, at: str, line: str, latest: bool = True)
     return log.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
-def stale(cases: DataFrame, recorded: DataFrame, key: str, fingerprint: str, version: Column | None = None) -> DataFrame:
-    """Cases whose recorded fingerprint (or version) is missing or differs."""
-    seen = recorded.select(key, F.col(fingerprint).alias("_was"), *([F.col("version").alias("_v")] if version is not None else []))
+def stale(cases: DataFrame, recorded: DataFrame, key: str, fingerprint: str, version: Column | None = None, models: list[str] | None = None, force: bool = False) -> DataFrame:
+    """Cases whose recorded fingerprint (or version) is missing or differs, or whose record is of none of the ``models``; with ``force`` all of them.
+
+    ``recorded`` has a row per key at most: the fingerprint, and ``version`` and ``model`` where these are asked for.
+    """
+    if force:
+        return cases
+    more = {"version": "_v"} if version is not None else {}
+    more |= {"model": "_m"} if models is not None else {}
+    seen = recorded.select(key, F.col(fingerprint).alias("_was"), *[F.col(c).alias(n) for c, n in more.items()])
     both = cases.join(seen, key, "left")
     same = F.col(fingerprint).eqNullSafe(F.col("_was")) & F.col("_was").isNotNull()
     if version is not None:
         same = same & F.col("_v").eqNullSafe(version)
-    return both.where(~same).drop("_was", "_v")
+    if models is not None:
+        same = same & F.coalesce(F.col("_m").isin(models), F.lit(False))
+    return both.where(~same).drop("_was", "_v", "_m")
 
 
 def never_matched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -747,7 +747,8 @@ def loaded_cases(spark, d):
     return load_cases(cases, ends).select("id", "county", "start_date", "span", "end_source")
 
 
-from spanworks.plans import round_trips, streams  # noqa: E402
+from spanworks.plans import drivers, round_trips, streams  # noqa: E402
 
 streams.bind(_versions, YEARS, _issues)
-QUERIES |= round_trips.QUERIES | streams.QUERIES
+drivers.bind(_window_texts)
+QUERIES |= round_trips.QUERIES | streams.QUERIES | drivers.QUERIES

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from spanworks.operators import categories, severity
-from spanworks.plans import round_trips, streams
+from spanworks.plans import drivers, round_trips, streams
 from spanworks.plans.bindings import NOW_US, SINCE_US
 
 SEV = "case event_type when 'error' then 'outage' when 'signup' then 'quality' when 'view' then 'degraded' else 'maintenance' end"
@@ -282,3 +282,4 @@ l as (select o_orderkey, i, timezone('Europe/Dublin', timezone('UTC', s)) as s,
 select o_orderkey, strftime(max(s) filter (i = 1), '%H:%M') || '-' || strftime(max(e) filter (i = 0), '%H:%M') || ' from ' || strftime(max(s) filter (i = 0), '%Y-%m-%d') as label from l group by o_orderkey""",
     "loaded_cases": "select o_orderkey as id, 'Mayo' as county, strftime(o_orderdate, '%Y-%m-%d') as start_date, case when o_orderkey % 2 = 0 then o_totalprice end as span, case when o_orderkey % 2 = 0 then 'completion_update' end as end_source from orders where o_orderkey % 5 <> 0 and o_orderkey % 7 <> 0",
 } | round_trips.SQL | streams.sql(N, union, SQL["upsert_state"], VERSIONS, ISSUES)
+SQL |= drivers.sql(N, AREAS, FOOT, union, slices, SQL["unquotable_windows"], severity.SEVERITIES, SINCE_US, NOW_US)

@@ -49,7 +49,7 @@ def build(cases: DataFrame, small_areas: DataFrame, area_of: DataFrame, counties
     placed = got.join(home, "id", "left").withColumn("code", F.coalesce("code", F.lit(UNPLACED)))
     akeys = ["county", "code", "sev", "ref"]
     area_events = rollup.event_intervals(exploded(placed).select(*akeys, "s", "e"), akeys)
-    inside = placed.select("id", "code").join(homes.withColumnRenamed("code", "_own"), "id").where(F.col("code") == F.col("_own"))
+    inside = A.within(homes, home, "id", "code")
     area_people = rollup.event_people(inside.select("county", "code", "sev", "ref", "guid", "pop"), akeys, "guid", "pop")
     area_pop = area_of.join(small_areas.select("guid", "pop"), "guid").groupBy("county", "code").agg(F.sum("pop").alias("population"))
     cut = area_events.where((F.col("s") < us_now) & (F.col("e") > us_since)).withColumns({"s": F.greatest("s", F.lit(us_since)), "e": F.least("e", F.lit(us_now))})
@@ -66,7 +66,7 @@ def build(cases: DataFrame, small_areas: DataFrame, area_of: DataFrame, counties
     whole = rollup.event_people(spread.select(*event, "guid", "pop"), event, "guid", "pop").join(counties, "county").withColumn("people", F.least("people", "population"))
     shown = got.withColumn("health", marks_health(F.col("work_category")))
     records = rollup.event_records(shown, exploded(got).select(*event, "s", "e"), whole, event)
-    labels = area_of.groupBy("county", "code").agg(F.min("name").alias("name"))
+    labels = A.first_labels(area_of, ["county", "code"], "guid", ["name"])
     history = A.histories(records, placed.select(*event, "code"), event, "code").join(labels, ["county", "code"], "left")
     in_force = exploded(got.where(marks_health(F.col("work_category"))), "in_force").select("county", "ref", "s", "e")
     return {
