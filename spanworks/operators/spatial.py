@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanworks.functions.geo import KM_PER_DEGREE, flat_km
+from spanworks.functions.geo import KM_PER_DEGREE, flat_km, four_decimals
 
 RADIUS_KM, FALLBACK_KM, CELL = 0.5, 8.0, 0.01
 
@@ -48,7 +48,7 @@ def affected(pins: DataFrame, areas: DataFrame, radius_km: float = RADIUS_KM, fa
 
 def footprints(pins: DataFrame, areas: DataFrame, **kw) -> DataFrame:
     """:func:`affected` computed once per cell of four decimals, from the pin with the smallest id in it."""
-    cells = pins.withColumns({"_la": F.round("lat", 4), "_lo": F.round("lon", 4)})
+    cells = pins.withColumns({"_la": four_decimals(F.col("lat")), "_lo": four_decimals(F.col("lon"))})
     first = cells.groupBy("_la", "_lo").agg(F.min(F.struct("pin", "lat", "lon")).alias("p")).select("_la", "_lo", "p.pin", "p.lat", "p.lon")
     found = affected(first.select("pin", "lat", "lon"), areas, **kw).withColumnRenamed("pin", "_first")
     shared = first.select("_la", "_lo", F.col("pin").alias("_first")).join(found, "_first")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spanworks.functions.times import micros
 
 SINCE_US, NOW_US = 1704240000000000, 1706227200000000  # 2024-01-03 and 2024-01-26, UTC
+EARLIER_US = 1705276800000000  # 2024-01-15, UTC
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:

@@ -605,10 +605,35 @@ def resolved_notices(spark, d):
     """The resolver on events: each notice's charged interval and how it was found."""
     from spanworks.plans.resolve import demo_cases, resolve
 
-    out = resolve(demo_cases(spark, d), F.timestamp_micros(F.lit(B.NOW_US)))
+    return _decided(resolve(demo_cases(spark, d), F.timestamp_micros(F.lit(B.NOW_US))))
+
+
+def _decided(out):
     return out.select("id", "sev", "outcome", F.size("intervals").alias("pieces"), F.element_at("intervals", 1)["s"].alias("s"), F.element_at("intervals", -1)["e"].alias("e"), "has_end", "observed_end", "imputed")
 
 
+@query
+def whitelisted_notices(spark, d):
+    """The resolver with a list of counties: cases of others are no events, pair nothing and count in no median."""
+    from spanworks.plans.resolve import demo_cases, resolve
+
+    known = B.table(spark, d, "nation").where("n_regionkey <> 3").select(F.concat(F.lit("c"), F.col("n_nationkey").cast("string")).alias("county"))
+    return _decided(resolve(demo_cases(spark, d), F.timestamp_micros(F.lit(B.NOW_US)), known))
+
+
+@query
+def build_changes(spark, d):
+    """The log of a build over all events and suppliers beside that of an earlier one, which had less of both."""
+    from spanworks.plans import site
+    from spanworks.plans.resolve import demo_cases, resolve
+    from spanworks.sources import sinks
+
+    cases, now = demo_cases(spark, d), F.timestamp_micros(F.lit(B.NOW_US))
+    docs = sinks.payload(B.table(spark, d, "supplier").select("s_suppkey", "s_name"), ["s_suppkey"])
+    logs = [site.log_of(resolve(c, now), p) for c, p in ((cases, docs), (cases.where(F.col("start") < F.timestamp_micros(F.lit(B.EARLIER_US))), docs.where("s_suppkey % 3 <> 0")))]
+    return site.changes(*logs)
+
+
 @query
 def streamed_windows(spark, d):
     """Events as a stream: tumbling days with a watermark, read back when the stream has caught up."""

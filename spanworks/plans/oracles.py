@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from spanworks.operators import categories, severity
 from spanworks.plans import drivers, round_trips, streams
-from spanworks.plans.bindings import NOW_US, SINCE_US
+from spanworks.plans.bindings import EARLIER_US, NOW_US, SINCE_US
 
 SEV = "case event_type when 'error' then 'outage' when 'signup' then 'quality' when 'view' then 'degraded' else 'maintenance' end"
 N = f"""n as (
@@ -283,3 +283,20 @@ select o_orderkey, strftime(max(s) filter (i = 1), '%H:%M') || '-' || strftime(m
     "loaded_cases": "select o_orderkey as id, 'Mayo' as county, strftime(o_orderdate, '%Y-%m-%d') as start_date, case when o_orderkey % 2 = 0 then o_totalprice end as span, case when o_orderkey % 2 = 0 then 'completion_update' end as end_source from orders where o_orderkey % 5 <> 0 and o_orderkey % 7 <> 0",
 } | round_trips.SQL | streams.sql(N, union, SQL["upsert_state"], VERSIONS, ISSUES)
 SQL |= drivers.sql(N, AREAS, FOOT, union, slices, SQL["unquotable_windows"], severity.SEVERITIES, SINCE_US, NOW_US)
+
+
+def _resolved(where: str) -> str:
+    """The resolver's SQL over some of the events."""
+    return SQL["resolved_notices"].replace("as county from events)", f"as county from events where {where})")
+
+
+_LOG = "notices imputed accruing refused expanded not_inferred not_inferred_open payload_documents payload_bytes".split()
+_COLUMNS = ", ".join(f"v{i}" for i in range(len(_LOG)))
+_FIGURES = """select count(*), count(*) filter (imputed), count(*) filter (outcome = 'accrues'), 0, 0, count(*) filter (id % 6 >= 4), count(*) filter (id % 6 >= 4 and id % 4 = 0)"""
+_BYTES = """(select count(*) from supplier where {0}), (select sum(strlen('{{"s_name":"' || s_name || '"}}')) from supplier where {0})"""
+SQL |= {
+    "whitelisted_notices": _resolved("user_id % 25 in (select n_nationkey from nation where n_regionkey <> 3)"),
+    "build_changes": f"""with a({_COLUMNS}) as ({_FIGURES}, {_BYTES.format('true')} from ({_resolved('true')})), b({_COLUMNS}) as ({_FIGURES}, {_BYTES.format('s_suppkey % 3 <> 0')} from ({_resolved(f'epoch_us(ts) < {EARLIER_US}')})),
+v as (select unnest({_LOG}) as figure, unnest([{', '.join(f'a.v{i}' for i in range(9))}]) as now, unnest([{', '.join(f'b.v{i}' for i in range(9))}]) as before from a, b)
+select figure, cast(before as bigint) as before, cast(now as bigint) as now, cast(now - before as bigint) as change from v""",
+}

@@ -22,6 +22,25 @@ def observed(cases: DataFrame, name: str = "build") -> tuple[DataFrame, Observat
     return cases.observe(watch, *figures), watch
 
 
+def log_of(got: DataFrame, payload: DataFrame) -> DataFrame:
+    """Figures of a build for its log, as rows (``figure``, ``value``): resolved cases by what became of them, cases that nobody has
+    inferred an end for, and the payload's documents and bytes."""
+    alone, tag = F.col("end_source").isNull(), F.col("recurrence_tag")
+    counted = {
+        "notices": F.lit(True), "imputed": F.col("imputed"), "accruing": F.col("outcome") == "accrues", "refused": tag.startswith("refused"), "expanded": tag.startswith("expanded"),
+        "not_inferred": alone, "not_inferred_open": alone & F.col("status").eqNullSafe("Open"),
+    }
+    cases = got.agg(*[F.count_if(c).alias(n) for n, c in counted.items()]).unpivot([], list(counted), "figure", "value")
+    size = payload.agg(F.count("*").alias("payload_documents"), F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).alias("payload_bytes"))
+    return cases.union(size.unpivot([], ["payload_documents", "payload_bytes"], "figure", "value"))
+
+
+def changes(now: DataFrame, before: DataFrame) -> DataFrame:
+    """Two builds' logs side by side: ``before``, ``now`` and ``change`` of each figure; one that a log lacks is null there and counts as nothing."""
+    both = before.select("figure", F.col("value").alias("before")).join(now.select("figure", F.col("value").alias("now")), "figure", "full_outer")
+    return both.withColumn("change", F.coalesce("now", F.lit(0)) - F.coalesce("before", F.lit(0)))
+
+
 def build(cases: DataFrame, small_areas: DataFrame, area_of: DataFrame, counties: DataFrame, now: Column, since: Column) -> dict[str, DataFrame]:
     """Tables of the site.
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: A round's folder belongs to the run that made this file in it; readers pass over names that begin so.
+CLAIM = "_claim"
+
 
 def _fs(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -48,13 +52,36 @@ def round_name(answers: DataFrame, day: str, model: str = "model", version: str
     return f"end_time_sample_{day}_{m}_pv{v}"
 
 
+def _claimed(spark: SparkSession, path: str) -> bool:
+    """Whether this run is the one that makes the folder: of runs that find it free, one can create the claim."""
+    if exists(spark, path):
+        return False
+    fs, p = _fs(spark, f"{path}/{CLAIM}")
+    try:
+        fs.create(p, False).close()
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
 def new_round(df: DataFrame, path: str) -> str:
-    """Write a CSV round under a name that is free: ``path``, ``path_r2``, ``path_r3`` ..."""
+    """Write a CSV round under a name that is free: ``path``, ``path_r2``, ``path_r3`` ...
+
+    The name is claimed before anything is written, so that two runs can't pick the same one (on file systems that create a
+    file at most once); a round whose write fails gives its name back.
+    """
     k, target = 1, path
-    while exists(df.sparkSession, target):
+    while not _claimed(df.sparkSession, target):
         k += 1
         target = f"{path}_r{k}"
-    df.write.mode("errorifexists").option("header", True).option("escape", '"').csv(target)
+    try:
+        df.write.mode("append").option("header", True).option("escape", '"').csv(target)
+    except BaseException:
+        fs, p = _fs(df.sparkSession, target)
+        fs.delete(p, True)
+        raise
     return target
 
 

@@ -260,3 +260,31 @@ def test_streamed_upsert(spark, tmp_path):
     spark.createDataFrame([(1, "Closed", "b")], CASE).write.mode("append").parquet(f"{tmp_path}/in")
     upsert_batches(stream, f"{tmp_path}/out", lambda e: F.lit(f"t{e}")).awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/out/version=1").first().closed_at == "t1"
+
+
+def test_four_decimals_are_those_of_the_exact_value(spark):
+    from spanworks.functions.geo import four_decimals
+
+    rng = random.Random(5)
+    values = [rng.uniform(-180, 180) for _ in range(2000)] + [s * (w + (2 * n + 1) / 20000) for w in (0, 8, 53, 127) for n in range(0, 10000, 7) for s in (1, -1)]
+    values += [0.0, -0.0, 53.03125, 53.09375, -6.03125, 1e-300, 0.00005, 0.99995, 53.99995, 53.99999999]
+    got = spark.createDataFrame([(v,) for v in values], "x double").select("x", four_decimals(F.col("x")).alias("k")).collect()
+    assert [r.k for r in got] == [round(round(r.x, 4) * 10_000) for r in got]
+    odd = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),)], "x double").select(four_decimals(F.col("x")).alias("k")).collect()
+    assert [r.k for r in odd] == [None, None, None]
+
+
+def test_build_logs_side_by_side(spark):
+    from spanworks.plans import site
+
+    got = spark.createDataFrame(
+        [(True, "imputed_from_start", None, None, "Open"), (False, "accrues", "refused: whole day", None, "Closed"), (False, None, "expanded", "x", None), (None, "token", "none", "x", "Open")],
+        "imputed boolean, outcome string, recurrence_tag string, end_source string, status string",
+    )
+    docs = spark.createDataFrame([("é",), (None,), ("",)], "payload string")
+    log = {r.figure: r.value for r in site.log_of(got, docs).collect()}
+    assert log == {"notices": 4, "imputed": 1, "accruing": 1, "refused": 1, "expanded": 1, "not_inferred": 2, "not_inferred_open": 1, "payload_documents": 3, "payload_bytes": 2}
+    none = {r.figure: r.value for r in site.log_of(got.limit(0), docs.limit(0)).collect()}
+    assert set(none) == set(log) and set(none.values()) == {0}
+    now, before = spark.createDataFrame([("a", 5), ("b", 1)], "figure string, value bigint"), spark.createDataFrame([("a", 7), ("c", 2)], "figure string, value bigint")
+    assert {tuple(r) for r in site.changes(now, before).collect()} == {("a", 7, 5, -2), ("b", None, 1, 1), ("c", 2, None, -2)}

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanworks.plans.hybrid import enrich
-from spanworks.sources import attributes, logs, readers, replayed
+from spanworks.sources import attributes, logs, readers, replayed, sinks
 from spanworks.streaming import figures
 
 ROWS = [(k, "Mayo" if k % 3 else "O'Hara", "Open" if k % 2 else None) for k in range(100)]
@@ -165,3 +165,23 @@ def test_figures_as_rows_pass(spark, tmp_path):
     spark.streams.removeListener(listener)
     assert listener.of["build"] == want
     assert figures.written_with_figures(df.limit(0), lambda t: t.write.parquet(f"{tmp_path}/b"), "at", "k") == {"n_rows": 0, "n_without_key": 0, "first_us": None, "horizon_us": None}
+
+
+def test_a_round_whose_name_is_claimed_takes_the_next(spark, tmp_path, monkeypatch):
+    k = spark.range(3).withColumnRenamed("id", "case_id")
+    path = f"{tmp_path}/round"
+    # another run has the name between this one's look and its claim
+    (tmp_path / "round").mkdir()
+    (tmp_path / "round" / sinks.CLAIM).touch()
+    real, first = sinks.exists, [True]
+    monkeypatch.setattr(sinks, "exists", lambda s, p: False if p == path and first and first.pop() else real(s, p))
+    assert sinks.new_round(k, path) == f"{path}_r2"
+    assert sinks.new_round(k, path) == f"{path}_r3"
+    assert spark.read.option("header", True).csv(f"{path}_r2").count() == 3
+
+
+def test_a_round_that_fails_gives_its_name_back(spark, tmp_path):
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).cast("string").alias("x"))
+    with pytest.raises(Exception):
+        sinks.new_round(bad, f"{tmp_path}/round")
+    assert sinks.new_round(spark.range(3), f"{tmp_path}/round") == f"{tmp_path}/round"
