@@ -87,3 +87,47 @@ def test_op7_ids(spark):
     named = spark.createDataFrame([(i, "u", WORDS if k % 2 else f"only {k}") for k, i in enumerate(odd)] + [(None, "u", WORDS)], "page_id string, url string, html string")
     got = {r.page_id: r for r in archive_pages(named).collect()}
     assert set(got) == {*odd, None} and {i: (r.record_type, r.refers_to) for i, r in got.items() if i} == {"''": ("response", None), "a b/%<>\r\n": ("response", None), "é": ("revisit", "''"), "z": ("response", None)}
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "date"])
+def test_op8_ids(docs, kind):
+    from spanworks.llm.sharding import shard
+
+    own = {"int": lambda c: F.col(c).cast("int"), "string": lambda c: F.lpad(F.col(c).cast("string"), 4, "0"), "date": lambda c: F.date_add(F.lit("2000-01-01").cast("date"), F.col(c).cast("int"))}
+    other = docs.withColumn("doc_id", own[kind]("doc_id")).withColumns({"Shard": F.lit("mine"), "SLOT": F.lit(1)})
+    got = shard(other, 3)
+    assert got.columns == shard(docs, 3).columns and got.schema["doc_id"].dataType.simpleString() == kind
+    found = got.collect()
+    assert len(found) == len(ROWS) and all(0 <= r.shard < 3 and r.grown_shard in (r.shard, 3) for r in found)
+    for k in range(3):
+        inside = sorted((r for r in found if r.shard == k), key=lambda r: r.slot)
+        assert [r.slot for r in inside] == list(range(len(inside)))
+        ids = [r.doc_id for r in inside if r.doc_id is not None]
+        assert ids == sorted(ids)
+    if kind == "int":
+        assert rows(got, "doc_id") == rows(shard(docs, 3))
+    # an id alone decides: the same ids in another table are in the same shards
+    few = {r.doc_id: (r.shard, r.grown_shard) for r in shard(other.where("text is not null"), 3).collect()}
+    assert few == {r.doc_id: (r.shard, r.grown_shard) for r in found if r.doc_id in few}
+    assert shard(other.limit(0), 3).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "date"])
+def test_op5_ids(docs, kind):
+    from spanworks.llm.mixing import blocks, mixed_documents
+
+    own = {"int": lambda c: F.col(c).cast("int"), "string": lambda c: F.lpad(F.col(c).cast("string"), 4, "0"), "date": lambda c: F.date_add(F.lit("2000-01-01").cast("date"), F.col(c).cast("int"))}
+    sources = docs.withColumn("source", F.when(F.col("doc_id") > 2, F.when(F.col("doc_id") > 7, "big").otherwise("small")))
+    other = sources.withColumn("doc_id", own[kind]("doc_id")).withColumns({"Row": F.lit("mine"), "BLOCK": F.lit(1), "Key": F.lit(2)})
+    got, plain = blocks(other), blocks(sources)
+    assert got.columns == plain.columns and got.schema["doc_id"].dataType.simpleString() == kind
+    weights = lambda df: {r.source: r.weight for r in df.select("source", "weight").distinct().collect()}
+    assert weights(got) == pytest.approx(weights(plain))
+    read = got.collect()
+    assert len({r.doc_id for r in read}) == len(ROWS) and len([r for r in read if r.epoch == 0]) == len(ROWS)
+    for b in {r.block for r in read}:
+        assert sorted(r.slot for r in read if r.block == b) == list(range(sum(r.block == b for r in read)))
+    written = mixed_documents(other)
+    assert written.columns == other.columns
+    count = lambda found: {i: sum(r.doc_id == i for r in found) for i in {r.doc_id for r in found}}
+    assert count(written.collect()) == count(read)
