@@ -42,7 +42,7 @@ def op1_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spanworks.llm.scoring import score_texts
 
     held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    return score_texts(table(spark, sf_dir, "documents"), held_out)
+    return score_texts(table(spark, sf_dir, "documents"), held_out, least=1)
 
 
 def op2_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

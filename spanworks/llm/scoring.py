@@ -2,8 +2,10 @@
 
 Counts of the training texts' words and bigrams are quantised to powers of two and put in Bloom
 filters under (key, 1) ... (key, level); a count is read back by probing levels until
-one is missing.  Bigrams seen once are left out: they count for what their contexts keep back, and
-for nothing else, which makes the filter several times smaller.  The filters are built by Spark in segments.
+one is missing.  Every bigram is held, those seen once too; on request these are left out, which makes the filter
+several times smaller, and then they count for what their contexts keep back, and for nothing else.  A bigram is
+looked for only where both of its words were seen, and is taken to be no more frequent than either.
+The filters are built by Spark in segments.
 That of the words goes to every worker, or, where it exceeds a shard, is read shard by shard into a level for
 each token that is stored beside the texts; that of the bigrams is broadcast in shards of
 bounded size, one scoring pass for each.  A token's bigram lies in one segment, so the passes' sums add up.
@@ -146,13 +148,21 @@ class Words:
         out[before == BEGIN] = self.begin_level
         return out
 
+    def around(self, tok: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The levels of some tokens and of the words before them, where these aren't all at hand."""
+        u, back = np.unique(np.concatenate([tok, before]), return_inverse=True)
+        level = self.levels.levels(u, 62)[back]
+        return level[: len(tok)], np.where(before == BEGIN, self.begin_level, level[len(tok) :])
+
+
+def _stored(b: pa.RecordBatch, column: int) -> np.ndarray:
+    return np.frombuffer(b"".join(b.column(column).to_pylist()), np.int8)
+
 
 def _levels_of(b: pa.RecordBatch, column: int | None, words: Words, tok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Exact counts and levels of a step's tokens; the levels come from a column where they were stored."""
     count, level = words.of(tok)
-    if column is not None:
-        level = np.frombuffer(b"".join(b.column(column).to_pylist()), np.int8)
-    return count, level
+    return count, level if column is None else _stored(b, column)
 
 
 def with_levels(rows: DataFrame, words: list, raw: int, kinds: str) -> DataFrame:
@@ -167,7 +177,7 @@ def with_levels(rows: DataFrame, words: list, raw: int, kinds: str) -> DataFrame
                     tok, _, start = tokens(b.column(raw))
                     _, level = shared.value.of(tok)
                     if at is not None:
-                        level = np.maximum(level, np.frombuffer(b"".join(b.column(at).to_pylist()), np.int8))
+                        level = np.maximum(level, _stored(b, at))
                     held = [level[i:j].tobytes() for i, j in zip(start[:-1].tolist(), start[1:].tolist())]
                     yield pa.record_batch([*(b.column(i) for i in range(len(names))), pa.array(held, pa.binary())], [*names, "levels"])
 
@@ -179,9 +189,9 @@ def with_levels(rows: DataFrame, words: list, raw: int, kinds: str) -> DataFrame
     return out
 
 
-def segments(texts: DataFrame, words, log_segments: int) -> DataFrame:
-    """The bigrams' filter over columns ``raw`` and perhaps ``levels``: ``segment``, ``size`` in bits, ``data``, and ``stats``,
-    which holds for each class of contexts the bigrams seen once, twice, at all, and their occurrences."""
+def segments(texts: DataFrame, words, log_segments: int, least: int) -> DataFrame:
+    """The filter of the bigrams seen ``least`` times (1 or 2) or more over columns ``raw`` and perhaps ``levels``: ``segment``,
+    ``size`` in bits, ``data``, and ``stats``, which holds for each class of contexts the bigrams seen once, twice, at all, and their occurrences."""
     stored = 1 if "levels" in texts.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,9 +228,10 @@ def segments(texts: DataFrame, words, log_segments: int) -> DataFrame:
         n, k = np.add.reduceat(counts[order].astype(np.int64), at), k[at]
         cls = (k & np.uint64(CLASSES - 1)).astype(np.int64)
         stats = np.stack([np.bincount(cls, weights=x, minlength=CLASSES) for x in (n == 1, n == 2, np.ones(len(n)), n)])
-        level = level_of(n[n > 1]) - 1
+        held = n >= least
+        level = level_of(n[held]) - (least - 1)
         bits = max(64, -(-int(level.sum(dtype=np.int64)) * BITS_PER_ENTRY // 8) * 8)
-        return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "size": [bits], "data": [bloom.build(k[n > 1], level, PROBES, bits)], "stats": [stats.ravel().tolist()]})
+        return pa.table({"segment": pa.array([key[0].as_py()], pa.int32()), "size": [bits], "data": [bloom.build(k[held], level, PROBES, bits)], "stats": [stats.ravel().tolist()]})
 
     counted = texts.mapInArrow(run, "segment int, keys binary, counts binary")
     return counted.groupBy("segment").applyInArrow(build, "segment int, size bigint, data binary, stats array<double>")
@@ -230,33 +241,36 @@ class Model:
     """What one scoring pass needs beside the words: one shard of the bigrams' filter and the classes' parameters.
 
     ``mass`` is what the quantised counts of all words add up to, with one more for each and for a word never seen.
+    The filter holds bigrams seen ``least`` times or more.
     """
 
-    def __init__(self, shard: bloom.Filter, first: int, last: int, stats: np.ndarray, mass: float):
-        self.shard, self.first, self.last, self.mass = shard, first, last, mass
+    def __init__(self, shard: bloom.Filter, first: int, last: int, stats: np.ndarray, mass: float, least: int):
+        self.shard, self.first, self.last, self.mass, self.least = shard, first, last, mass, least
         once, twice, kinds, total = stats.reshape(4, CLASSES)
         self.discount = np.clip(once / np.maximum(once + 2 * twice, 1), 0.1, 0.95)
-        # a context keeps back the discounts of its bigrams, and all of those that it was seen with once
-        self.weight = np.where(total > 0, (once + self.discount * (kinds - once)) / np.maximum(total, 1), 1.0)
+        # a context keeps back the discounts of its bigrams, and all of those that the filter doesn't hold
+        out = once if least > 1 else np.zeros(CLASSES)
+        self.weight = np.where(total > 0, (out + self.discount * (kinds - out)) / np.maximum(total, 1), 1.0)
+
+    def here(self, tok: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """The tokens whose bigram's segment is in this shard; the context's class doesn't change the segment."""
+        seg = bloom.segment_of(pair_keys(tok, before, np.zeros(len(tok), np.int8)), self.shard.log_segments)
+        return np.flatnonzero((seg >= self.first) & (seg <= self.last))
 
     def score(self, tok: np.ndarray, before: np.ndarray, level: np.ndarray, context: np.ndarray) -> np.ndarray:
-        """log10 probability of each token whose segment is in this shard, else 0."""
+        """log10 probability of tokens whose segment is in this shard."""
         pair = pair_keys(tok, before, context)
-        seg = bloom.segment_of(pair, self.shard.log_segments)
-        here = np.flatnonzero((seg >= self.first) & (seg <= self.last))
-        pair, cls, word = pair[here], context[here].astype(np.int64), (LEVEL_COUNT[level[here]] + 1) / self.mass
-        ctx = LEVEL_COUNT[cls]
+        cls, own = context.astype(np.int64), LEVEL_COUNT[level]
+        ctx, word = LEVEL_COUNT[cls], (own + 1) / self.mass
         cls = np.minimum(cls, CLASSES - 1)
-        live = np.flatnonzero(ctx > 0)
+        live = np.flatnonzero((ctx > 0) & (own > 0))
         known = self.shard.levels(pair[live], 62)
         seen = np.zeros(len(pair))
-        seen[live] = np.where(known > 0, LEVEL_COUNT[np.minimum(known + 1, 62)], 0)
-        seen = np.minimum(seen, ctx)
+        seen[live] = np.where(known > 0, LEVEL_COUNT[np.minimum(known + self.least - 1, 62)], 0)
+        seen = np.minimum(seen, np.minimum(ctx, own))
         p = np.maximum(seen - self.discount[cls], 0) / np.maximum(ctx, 1) + self.weight[cls] * word
         p = np.where(ctx > 0, p, word)  # a context never seen says nothing
-        out = np.zeros(len(tok))
-        out[here] = np.log10(np.minimum(p, 1.0))
-        return out
+        return np.log10(np.minimum(p, 1.0))
 
 
 def cut_shards(sizes: pa.Table, limit: int, log_segments: int) -> list[tuple[int, int]]:
@@ -271,9 +285,10 @@ def cut_shards(sizes: pa.Table, limit: int, log_segments: int) -> list[tuple[int
     return list(zip(starts, [*(x - 1 for x in starts[1:]), (1 << log_segments) - 1]))
 
 
-def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", least: int = 2) -> DataFrame:
     """Score every text with a model of the texts that are not held out.
 
+    With ``least`` 1 the filter holds every bigram, with 2 those seen twice or more.
     Returns per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score.  Null
     and empty texts are an end alone; a null ``held_out`` counts as held out; ids keep their type; rows that
     repeat are counted and returned as often; with no training text each token has
@@ -312,31 +327,40 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
         stored = raw + 1
 
     log_segments = min(24, max(4, math.ceil(math.log2(max(1, total) / SEGMENT_KEYS))))
-    built = segments(rows.where(~F.col("held_out")).select(*rows.columns[raw:]), words, log_segments).checkpoint()
+    built = segments(rows.where(~F.col("held_out")).select(*rows.columns[raw:]), words, log_segments, least).checkpoint()
     stats = np.zeros(4 * CLASSES)
     for at, x in built.select(F.posexplode("stats").alias("at", "x")).groupBy("at").agg(F.sum("x")).collect():
         stats[at] = x
     cuts = cut_shards(sizes_of(built), limit, log_segments)
 
-    def one_pass(cut: tuple[int, int]) -> DataFrame:
-        model = spark.sparkContext.broadcast(Model(share(built, cut, log_segments), *cut, stats, mass))
+    def one_pass(k: int, cut: tuple[int, int]) -> DataFrame:
+        model = spark.sparkContext.broadcast(Model(share(built, cut, log_segments), *cut, stats, mass, least))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m, own = model.value, words.value
             for batch in batches:
                 for _, b in steps(batch, raw):
                     tok, before, start = tokens(b.column(raw))
-                    count, level = _levels_of(b, stored, own, tok)
+                    here, count, log_p = m.here(tok, before), np.zeros(len(tok), np.int64), np.zeros(len(tok))
+                    if k == 0 or stored is not None:
+                        if k == 0:
+                            count, level = _levels_of(b, stored, own, tok)
+                        else:
+                            level = _stored(b, stored)
+                        level, context = level[here], own.contexts(level, before)[here]
+                    else:
+                        level, context = own.around(tok[here], before[here])
+                    log_p[here] = m.score(tok[here], before[here], level, context)
                     add = lambda x: np.add.reduceat(x, start[:-1]) if len(start) > 1 else np.zeros(0)
-                    part = [add(np.log10(count + 1.0)), add((count > 0).astype(np.int64)), add(m.score(tok, before, level, own.contexts(level, before)))]
+                    part = [add(np.log10(count + 1.0)), add((count > 0).astype(np.int64)), add(log_p)]
                     yield pa.record_batch([*(b.column(i) for i in range(3)), pa.array(np.diff(start).astype(np.int64)), *map(pa.array, part)], ["doc_id", "key", "held_out", "n_tokens", "head_base", "head_known", "part"])
 
         out = rows.mapInArrow(run, f"doc_id {kind}, key bigint, held_out boolean, n_tokens bigint, head_base double, head_known bigint, part double").checkpoint()
         model.unpersist()
         return out
 
-    # one pass at a time, so that a worker holds one shard
-    passes = [one_pass(cut) for cut in cuts]
+    # one pass at a time, so that a worker holds one shard; only the first reads the exact counts
+    passes = [one_pass(k, cut) for k, cut in enumerate(cuts)]
     out = passes[0]
     same = lambda a, b: a["doc_id"].eqNullSafe(b["_id"]) & (a["key"] == b["_key"])
     if len(passes) > 1:

@@ -101,6 +101,53 @@ def test_op1(docs, plain, monkeypatch, share, shard):
     assert all(r.score <= 0 for r in got)
 
 
+def plain_whole_scores(toks, out):
+    """The model of op1's query over plain counts: bigrams seen once count like all others."""
+    c, pairs, after = Counter(), Counter(), defaultdict(Counter)
+    for i, w in toks:
+        if not out(i):
+            c.update(w)
+            pairs.update(zip(["begin", *w], w))
+    seen = lambda h: c[None] if h == "begin" else c[h]
+    for (h, _), m in pairs.items():
+        after[seen(h).bit_length()][m] += 1
+    mass = sum(quantised(n) + 1 for n in c.values()) + 1
+
+    def one(h, w):
+        word, of = (quantised(c[w]) + 1) / mass, after[seen(h).bit_length()]
+        if not seen(h):
+            return word
+        discount = min(max(of[1] / max(of[1] + 2 * of[2], 1), 0.1), 0.95)
+        back = discount * sum(of.values()) / sum(m * k for m, k in of.items())
+        return min(1.0, max(quantised(pairs[h, w]) - discount, 0) / quantised(seen(h)) + back * word)
+
+    return {i: sum(math.log10(one(h, w)) for h, w in zip(["begin", *t], t)) for i, t in toks}
+
+
+@pytest.mark.parametrize("shard, cut", [(64_000_000, [False, False]), (6_000_000, [False, True]), (200_000, [True, True])])
+def test_op1_holds_every_bigram(spark, docs, monkeypatch, tmp_path, shard, cut):
+    from spanworks.llm import queries, scoring
+
+    shards, plan = [], scoring.cut_shards
+    monkeypatch.setattr(scoring, "cut_shards", lambda *a: shards.append(plan(*a)) or shards[-1])
+    monkeypatch.setattr(scoring, "SHARD_BYTES", shard)
+    monkeypatch.setattr(scoring, "SHARD_SHARE", 0.0)
+    monkeypatch.setattr(scoring, "BITS_PER_ENTRY", 1024)  # so that the filter hardly errs
+    out = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    trained = next(i for i in range(9000, 9100) if not out(i))
+    same, turned = [i for i in range(9100, 9200) if out(i)][:2]
+    unique = [f"once{k}" for k in range(40)]
+    rows = [(r.doc_id, r.text) for r in docs.where("doc_id is not null").select("doc_id", "text").collect()]
+    rows += [(trained, " ".join(unique)), (same, " ".join(unique)), (turned, " ".join(unique[::-1]))]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.score for r in queries.op1_bloom_lm(spark, str(tmp_path)).collect()}
+    want = plain_whole_scores([(i, [*words(t, True), None]) for i, t in rows], out)
+    assert got.keys() == want.keys() and all(math.isclose(got[i], want[i], rel_tol=1e-3) for i in want)
+    assert [len(x) > 1 for x in shards] == cut, "the words' filter, then the bigrams', in one shard or more"
+    assert got[same] == pytest.approx(got[trained])
+    assert got[same] > got[turned] / 2, "bigrams seen once tell a text from its words the other way round"
+
+
 def test_op1_without_training(spark, docs):
     from spanworks.llm.scoring import score_texts
 
