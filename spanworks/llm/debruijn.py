@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from spanworks.llm import bloom
 from spanworks.llm.columns import ids_of, named_again, other_columns, with_numbers
 from spanworks.llm.tokens import Words, first_least, long_windows, mix, split_words, steps
-from spanworks.session import ensure_checkpoints, ship
+from spanworks.session import ensure_checkpoints, release, released, ship
 
 #: Largest filter in bytes, and bits for each key while it fits.
 FILTER_BYTES, BITS_PER_KEY, PROBES = 64_000_000, 16, 3
@@ -60,6 +60,11 @@ def _runs(change: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.append(start, len(change)))
 
 
+def _blobs(t: pa.Table, name: str, kind: type) -> np.ndarray:
+    """The values packed in a binary column, one row's after the other's."""
+    return np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
+
+
 class Stretches:
     """The nodes of a batch, cut where the minimiser's place changes.
 
@@ -124,14 +129,23 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_seeds(docs: DataFrame, k: int, text_col: str = "text") -> DataFrame:
-    """(seed, n): minimiser hashes chosen at two or more places of the corpus."""
+    """(seed, n): minimiser hashes chosen at two or more places of the corpus.
 
+    Most are chosen once only, so they go to their groups packed, and no task keeps a row for each of them.
+    """
+    spark = docs.sparkSession
+    log_groups = min(20, max(8, math.ceil(math.log2(int(spark.conf.get("spark.sql.shuffle.partitions")))) + 2))
+
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, size = [], 0
 
         def out():
             seeds, n = np.unique(np.concatenate(parts), return_counts=True)
-            return pa.record_batch([pa.array(seeds.view(np.int64)), pa.array(n.astype(np.int32))], ["seed", "n"])
+            group = bloom.segment_of(seeds, log_groups)  # the high bits, so groups are in order
+            head, many = _runs(np.r_[True, group[1:] != group[:-1]])
+            blobs = [pa.array([x[i : i + m].tobytes() for i, m in zip(head.tolist(), many.tolist())], pa.binary()) for x in (seeds, n.astype(np.int32))]
+            return pa.record_batch([pa.array(group[head]), *blobs], ["group", "seed", "n"])
 
         for batch in batches:
             for _, b in steps(batch, 0):
@@ -143,9 +157,19 @@ def repeated_seeds(docs: DataFrame, k: int, text_col: str = "text") -> DataFrame
         if size:
             yield out()
 
-    ship(docs.sparkSession)
-    found = docs.select(F.col(text_col).cast("binary").alias("raw")).mapInArrow(run, "seed bigint, n int")
-    return found.groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1")
+    def counted(t: pa.Table) -> pa.Table:
+        seeds, n = _blobs(t, "seed", np.uint64), _blobs(t, "n", np.int32)
+        order = np.argsort(seeds)
+        seeds = seeds[order]
+        head, _ = _runs(np.r_[True, seeds[1:] != seeds[:-1]])
+        total = np.add.reduceat(n[order].astype(np.int64), head)
+        rows = pa.table({"seed": seeds[head][total > 1].view(np.int64), "n": total[total > 1]})
+        release()
+        return rows
+
+    ship(spark)
+    packed = docs.select(F.col(text_col).cast("binary").alias("raw")).mapInArrow(run, "group int, seed binary, n binary")
+    return packed.groupBy("group").applyInArrow(counted, "seed bigint, n bigint")
 
 
 def key_filter(keys: DataFrame, count: int) -> bloom.Filter:
@@ -286,6 +310,7 @@ def path_spans(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: s
         w = split_words(column)
         return w, Stretches(w, k, hot, lambda seed: seen.has(seed, 1))
 
+    @released
     def stretches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot = shared.value[1]
         kept, size = [], 0
@@ -321,8 +346,10 @@ def path_spans(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: s
             yield out()
 
     def graph(t: pa.Table) -> pa.Table:
-        get = lambda name, kind: np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
-        return fragments(get("node", np.uint64), get("n", np.int32), get("times", np.int32), get("before", np.uint64), get("after", np.uint64))
+        kinds = {"node": np.uint64, "n": np.int32, "times": np.int32, "before": np.uint64, "after": np.uint64}
+        rows = fragments(*(_blobs(t, name, kind) for name, kind in kinds.items()))
+        release()
+        return rows
 
     keyed = _keyed(docs, id_col, text_col)
     packed = keyed.select("raw").mapInArrow(stretches_of, "bucket int, node binary, n binary, times binary, before binary, after binary")
@@ -332,6 +359,7 @@ def path_spans(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: s
     ids = heads.select("id")
     wanted = spark.sparkContext.broadcast(key_filter(ids, ids.count()))
 
+    @released
     def occurrences_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, key = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -363,6 +391,7 @@ def repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_col: str
     keyed = _keyed(docs, id_col, text_col)
     texts, _ = _with_spans(keyed, path_spans(docs, k, id_col, text_col), F.col("doc"), F.col("key"))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, b in steps(batch, 2):
@@ -427,6 +456,7 @@ def remove_repeats(docs: DataFrame, k: int = 20, id_col: str = "doc_id", text_co
     both = some.union(none.withColumn("_spans", F.lit(None).cast("array<struct<lo:int,hi:int>>"))).select("row", "raw", "_spans")
     schema = f"row {rows.schema['row'].dataType.simpleString()}, text string, n_words bigint, n_removed bigint"
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, b in steps(batch, 1):

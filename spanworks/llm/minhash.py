@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from spanworks.llm.columns import ids_of, named_again, with_numbers
 from spanworks.llm.tokens import mix, split_words, steps, windows
-from spanworks.session import ensure_checkpoints, ship
+from spanworks.session import ensure_checkpoints, released, ship
 
 #: Words of a shingle; bands and minima per band: a pair at 0.75 is missed in 5 of a million cases.
 WORDS, BANDS, ROWS = 5, 32, 4
@@ -72,6 +72,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """Per row: ``doc_id``, ``n_shingles``, ``set_key`` (128 bits of the whole set), ``sig``."""
     ship(docs.sparkSession)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, b in steps(batch, 1):
@@ -95,6 +96,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 def band_rows(classes: DataFrame) -> DataFrame:
     """(doc, band_key) for every class and band."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
@@ -109,6 +111,7 @@ def agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose signatures agree in the required share of minima."""
     sigs = classes.select("doc_id", "sig")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint32).reshape(-1, BANDS * ROWS) for i in (2, 3))
@@ -126,6 +129,7 @@ def sets_of(ids: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: s
     ids = ids.distinct().checkpoint()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids.hint("shuffle_hash")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, b in steps(batch, 1):
@@ -149,6 +153,7 @@ def near(s: np.ndarray, others: list[np.ndarray], threshold: int) -> np.ndarray:
 def confirmed(pairs: DataFrame, docs: DataFrame, threshold: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pairs (a, b) that are near on their full sets, as (u, v)."""
 
+    @released
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [[np.frombuffer(x, np.uint64) for x in b.column(i).to_pylist()] for i in (2, 3)]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanworks.llm.tokens import steps
-from spanworks.session import ensure_checkpoints, ship
+from spanworks.session import ensure_checkpoints, released, ship
 
 #: Chunks in the broadcast table, and the longest of these in characters: at most about 60 MB.
 TABLE_ROWS, TABLE_CHARS = 200_000, 32
@@ -100,6 +100,7 @@ def frequent_chunks(docs: DataFrame, model: str, text_col: str = "text") -> Data
     ship(docs.sparkSession)
     ensure_checkpoints(docs.sparkSession)
 
+    @released
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
 
@@ -114,6 +115,7 @@ def frequent_chunks(docs: DataFrame, model: str, text_col: str = "text") -> Data
                     seen.clear()
         yield out()
 
+    @released
     def ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = Segmenter(model, {}).segment(b.column(0).to_pylist())
@@ -146,6 +148,7 @@ def encode_decode(docs: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id"
         known = dict(zip(t.column("chunk").to_pylist(), t.column("ids").to_pylist()))
     shared = spark.sparkContext.broadcast(known)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seg = Segmenter(model, shared.value)
         sp = seg.sp
