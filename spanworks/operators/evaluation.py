@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanworks.operators.intervals import month_slices, union_intervals
+from spanworks.operators.intervals import DAY_US, month_slices, person_us, union_intervals
 
 
 def accuracy(df: DataFrame, by: str, verdict: str) -> DataFrame:
@@ -33,24 +33,47 @@ def overlap_audit(intervals: DataFrame, groups: list[str], place: list[str], peo
     return by([*groups, *place], "published").join(by(place, "exact"), "month", "full_outer")
 
 
-def event_overlap(events: DataFrame, footprint: DataFrame, event: list[str], region: str, place: str, people: str, cap: DataFrame | None = None) -> DataFrame:
-    """Per month and in TOTAL: person-microseconds summed over events, and with each place counted once, and what
+def _alike(members: DataFrame, group: list[str], place: str, people: str, apart: list[str]) -> DataFrame:
+    """Places of the same groups as one: a row for each of these groups, with ``_where``, all of them, and the people together.
+
+    ``apart`` are columns of the group that tell places of one name apart."""
+    alike = members.groupBy(*apart, place, people).agg(F.array_sort(F.collect_set(F.struct(*group))).alias("_where"))
+    return alike.groupBy("_where").agg(F.sum(people).alias("_people")).select("_where", "_people", F.explode("_where").alias("_g")).select("_where", "_people", "_g.*")
+
+
+def _once(merged: DataFrame, alike: DataFrame, group: list[str]) -> DataFrame:
+    """Per month ``exact``: person-microseconds with each place counted once."""
+    spread = union_intervals(merged.join(alike, group).select("_where", "_people", "s", "e"), ["_where", "_people"], presplit_us=DAY_US)
+    return month_slices(spread).groupBy("month").agg(F.sum(person_us(F.col("us"), F.col("_people"))).alias("exact"))
+
+
+def event_overlap(events: DataFrame, footprint: DataFrame, event: list[str], region: str, place: str, people: str, cap: DataFrame | None = None, group: list[str] | None = None) -> DataFrame:
+    """Per month and in TOTAL: person-microseconds (decimals) summed over events, and with each place counted once, and what
     part of the first is counted twice.
 
     ``events``: event, s, e; ``footprint``: event, place, people.  An event's people are those of its distinct places, at most
-    the region's in ``cap`` (region, population); all of its intervals hold for all of its places.
+    the region's in ``cap`` (region, population); all of its intervals hold for all of its places.  With ``group`` (region and more)
+    ``footprint`` is group, place, people, and each event is in one group, whose columns it brings and all of whose places are its
+    own: then there is no row for each event and place.
     """
-    merged = union_intervals(events.select(*event, "s", "e"), event)
-    places = footprint.select(*event, place, people).dropDuplicates([*event, place])
-    who = places.groupBy(*event).agg(F.sum(people).alias("_people"))
+    at = group or event
+    key = list(dict.fromkeys([*event, *at]))
+    merged = union_intervals(events.select(*key, "s", "e"), key)
+    places = footprint.select(*at, place, people).distinct()
+    who = places.groupBy(*at).agg(F.sum(people).alias("_people"))
     if cap is not None:
         who = who.join(cap.select(region, "population"), region, "left").withColumn("_people", F.least("_people", F.coalesce("population", "_people")))
-    published = month_slices(merged.join(who.select(*event, "_people"), event)).groupBy("month").agg(F.sum(F.col("us") * F.col("_people")).alias("published"))
-    spread = union_intervals(merged.join(places, event).select(region, place, people, "s", "e"), [region, place, people])
-    exact = month_slices(spread).groupBy("month").agg(F.sum(F.col("us") * F.col(people)).alias("exact"))
-    both = published.join(exact, "month", "full_outer").select(F.date_format("month", "yyyy-MM").alias("month"), F.coalesce("published", F.lit(0)).alias("published"), F.coalesce("exact", F.lit(0)).alias("exact"))
+    published = month_slices(merged.join(who.select(*at, "_people"), at)).groupBy("month").agg(F.sum(person_us(F.col("us"), F.col("_people"))).alias("published"))
+    if group:
+        exact = _once(merged, _alike(places, group, place, people, [region]), group)
+    else:
+        spread = union_intervals(merged.join(places, event).select(region, place, people, "s", "e"), [region, place, people])
+        exact = month_slices(spread).groupBy("month").agg(F.sum(person_us(F.col("us"), F.col(people))).alias("exact"))
+    none = F.lit(0).cast("decimal(38,0)")
+    both = published.join(exact, "month", "full_outer").select(F.date_format("month", "yyyy-MM").alias("month"), F.coalesce("published", none).alias("published"), F.coalesce("exact", none).alias("exact"))
     out = both.rollup("month").agg(F.sum("published").alias("published"), F.sum("exact").alias("exact"))
-    return out.select(F.coalesce("month", F.lit("TOTAL")).alias("month"), "published", "exact", F.bround(F.try_divide(100.0 * (F.col("published") - F.col("exact")), F.col("published")), 3).alias("twice_pct"))
+    twice = 100.0 * (F.col("published") - F.col("exact")).cast("double")
+    return out.select(F.coalesce("month", F.lit("TOTAL")).alias("month"), "published", "exact", F.bround(F.try_divide(twice, F.col("published").cast("double")), 3).alias("twice_pct"))
 
 
 def replay(labelled: DataFrame, answers: DataFrame, key: str = "id") -> DataFrame:

@@ -33,6 +33,11 @@ def overlap_us(start: Column, end: Column, lo: Column, hi: Column) -> Column:
     return F.greatest(F.lit(0).cast("bigint"), F.least(end, hi) - F.greatest(start, lo))
 
 
+def person_us(us: Column, people: Column) -> Column:
+    """Microseconds times people, as a decimal: a month of a few million people, or a sum over events, is beyond a long."""
+    return us.cast("decimal(19,0)") * people.cast("decimal(18,0)")
+
+
 def months(first: Column, last: Column) -> Column:
     """First days of the months from ``first`` to ``last``, both included."""
     return F.sequence(F.trunc(first, "MM"), F.trunc(last, "MM"), F.expr("interval 1 month"))

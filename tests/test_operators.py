@@ -288,3 +288,23 @@ def test_build_logs_side_by_side(spark):
     assert set(none) == set(log) and set(none.values()) == {0}
     now, before = spark.createDataFrame([("a", 5), ("b", 1)], "figure string, value bigint"), spark.createDataFrame([("a", 7), ("c", 2)], "figure string, value bigint")
     assert {tuple(r) for r in site.changes(now, before).collect()} == {("a", 7, 5, -2), ("b", None, 1, 1), ("c", 2, None, -2)}
+
+
+def _reached(spark):
+    """Events in groups that share their places with another group or have them alone, and people too many for a long."""
+    h = 3_600_000_000
+    events = spark.createDataFrame([(1, 0, "a", 0, 2 * h), (1, 0, "b", h, 3 * h), (1, 0, "b", h, 2 * h), (2, 0, "c", 0, 4 * h), (1, 5, "d", 0, h)], "region long, digit long, ref string, s long, e long")
+    members = spark.createDataFrame([(1, 0, 10, 7_000_000_000), (1, 0, 20, 5), (2, 0, 20, 5), (2, 0, 30, 11), (2, 0, 30, 12), (3, 0, 40, 1)], "region long, digit long, area long, pop long")
+    return events, members, ["region", "digit"], h
+
+
+def test_event_overlap_of_groups(spark):
+    events, members, group, h = _reached(spark)
+    each = events.join(members, group).select("region", "ref", "area", "pop").distinct()
+    cap = spark.createDataFrame([(2, 20)], "region long, population long")
+    got, want = (
+        {r.month: (int(r.published), int(r.exact), r.twice_pct) for r in evaluation.event_overlap(events, f, ["region", "ref"], "region", "area", "pop", cap, g).collect()}
+        for f, g in ((members, group), (each, None))
+    )
+    published, exact = (2 * 7_000_000_005 + 2 * 7_000_000_005 + 4 * 20) * h, (3 * 7_000_000_005 + 4 * 28) * h
+    assert published > 2**63 and got == want == {m: (published, exact, 25.0) for m in ("1970-01", "TOTAL")}
