@@ -22,17 +22,30 @@ def agreement(df: DataFrame, by: str, kind: str, kinds: list[str]) -> DataFrame:
 
 
 def overlap_audit(intervals: DataFrame, groups: list[str], place: list[str], people: str) -> DataFrame:
-    """Per month: person-microseconds summed over groups, and with each place counted once.
+    """Per month: person-microseconds (decimals) summed over groups, and with each place counted once.
 
     ``intervals``: groups, place, s, e (microseconds), people of the place.
     """
     def by(keys: list[str], name: str) -> DataFrame:
         merged = union_intervals(intervals.select(*keys, people, "s", "e"), [*keys, people])
-        return month_slices(merged).groupBy("month").agg(F.sum(F.col("us") * F.col(people)).alias(name))
+        return month_slices(merged).groupBy("month").agg(F.sum(person_us(F.col("us"), F.col(people))).alias(name))
 
     return by([*groups, *place], "published").join(by(place, "exact"), "month", "full_outer")
 
 
+def reached_audit(events: DataFrame, members: DataFrame, event: list[str], group: list[str], place: str, people: str) -> DataFrame:
+    """:func:`overlap_audit` of events that lie in one group each and reach all of its places, without a row for each event and place.
+
+    ``events``: event, group, s, e (microseconds); ``members``: group, place, people, where a place may be in several groups.
+    """
+    key = list(dict.fromkeys([*event, *group]))
+    merged = union_intervals(events.select(*key, "s", "e"), key)
+    places = members.select(*group, place, people).distinct()
+    sums = places.groupBy(*group).agg(F.sum(people).alias("_people"))
+    published = month_slices(merged.join(sums, group)).groupBy("month").agg(F.sum(person_us(F.col("us"), F.col("_people"))).alias("published"))
+    return published.join(_once(merged, _alike(places, group, place, people, []), group), "month", "full_outer")
+
+
 def _alike(members: DataFrame, group: list[str], place: str, people: str, apart: list[str]) -> DataFrame:
     """Places of the same groups as one: a row for each of these groups, with ``_where``, all of them, and the people together.
 

@@ -308,3 +308,12 @@ def test_event_overlap_of_groups(spark):
     )
     published, exact = (2 * 7_000_000_005 + 2 * 7_000_000_005 + 4 * 20) * h, (3 * 7_000_000_005 + 4 * 28) * h
     assert published > 2**63 and got == want == {m: (published, exact, 25.0) for m in ("1970-01", "TOTAL")}
+
+
+def test_reached_audit(spark):
+    events, members, group, h = _reached(spark)
+    each = events.join(members, group)
+    plain = evaluation.overlap_audit(each, ["region", "ref"], ["area"], "pop").collect()
+    got = evaluation.reached_audit(events, members, ["region", "ref"], group, "area", "pop").collect()
+    # the area of two regions counts once, for as long as any of its events lasts
+    assert [int(x) for x in got[0][1:]] == [int(x) for x in plain[0][1:]] == [(4 * 7_000_000_005 + 4 * 28) * h, (3 * 7_000_000_000 + 4 * 28) * h]
