@@ -21,19 +21,34 @@ def _celled(points: DataFrame, cell: float, rings_lat: int = 0, rings_lon: int =
     return out
 
 
-def within(pins: DataFrame, areas: DataFrame, radius_km: float, cell: float, max_abs_lat: float = 60.0) -> DataFrame:
-    """(pin, area, km) for areas within a radius of a pin.
+def positions(pins: DataFrame, areas: DataFrame, radius_km: float, cell: float, max_abs_lat: float = 60.0) -> DataFrame:
+    """(lat, lon, lat2, lon2, km) for the positions of areas within a radius of a position of pins, each pair once.
 
-    An equi-join on grid cells with the distance as residual: pins go to all cells around
-    them that the radius can reach, so no pair outside neighbouring cells is formed.
-    ``pins`` has pin, lat, lon; ``areas`` has area, lat, lon.
+    An equi-join on grid cells with the distance as residual: positions of areas go to all cells around
+    them that the radius can reach, so no pair outside neighbouring cells is formed.  Points at one place are compared once.
     """
     rings_lat = math.ceil(radius_km / (KM_PER_DEGREE * cell))
     rings_lon = math.ceil(radius_km / (KM_PER_DEGREE * math.cos(math.radians(max_abs_lat)) * cell))
-    left = _celled(pins.select("pin", "lat", "lon"), cell, rings_lat, rings_lon)
-    right = _celled(areas.select("area", F.col("lat"), F.col("lon")), cell).withColumnsRenamed({"lat": "lat2", "lon": "lon2"})
+    left = _celled(pins.select("lat", "lon").distinct(), cell)
+    right = _celled(areas.select("lat", "lon").distinct(), cell, rings_lat, rings_lon).withColumnsRenamed({"lat": "lat2", "lon": "lon2"})
     km = flat_km(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
-    return left.join(right, ["_y", "_x"]).where(km <= radius_km).select("pin", "area", km.alias("km"))
+    return left.join(right, ["_y", "_x"]).withColumn("km", km).where(F.col("km") <= radius_km).select("lat", "lon", "lat2", "lon2", "km")
+
+
+def _spread(pins: DataFrame, areas: DataFrame, found: DataFrame, digits: int | None = None) -> DataFrame:
+    """(pin, area, km) for the pins and areas at the positions that were found; km is rounded before it is in many rows."""
+    if digits is not None:
+        found = found.withColumn("km", F.round("km", digits))
+    there = areas.select("area", F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    return pins.select("pin", "lat", "lon").join(found, ["lat", "lon"]).join(there, ["lat2", "lon2"]).select("pin", "area", "km")
+
+
+def within(pins: DataFrame, areas: DataFrame, radius_km: float, cell: float, max_abs_lat: float = 60.0, digits: int | None = None) -> DataFrame:
+    """(pin, area, km) for areas within a radius of a pin; km is rounded to ``digits``, if given.
+
+    ``pins`` has pin, lat, lon; ``areas`` has area, lat, lon.  :func:`positions` are compared; pins and areas come in at the end.
+    """
+    return _spread(pins, areas, positions(pins, areas, radius_km, cell, max_abs_lat), digits)
 
 
 def affected(pins: DataFrame, areas: DataFrame, radius_km: float = RADIUS_KM, fallback_km: float = FALLBACK_KM, cell: float = CELL) -> DataFrame:
