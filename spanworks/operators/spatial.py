@@ -51,14 +51,21 @@ def within(pins: DataFrame, areas: DataFrame, radius_km: float, cell: float, max
     return _spread(pins, areas, positions(pins, areas, radius_km, cell, max_abs_lat), digits)
 
 
-def affected(pins: DataFrame, areas: DataFrame, radius_km: float = RADIUS_KM, fallback_km: float = FALLBACK_KM, cell: float = CELL) -> DataFrame:
+def affected(pins: DataFrame, areas: DataFrame, radius_km: float = RADIUS_KM, fallback_km: float = FALLBACK_KM, cell: float = CELL, digits: int | None = None) -> DataFrame:
     """Areas within the radius; for a pin without any, the nearest within the fallback; else none.
 
-    The fallback runs over coarser cells and only for pins that found nothing; ties go to the smaller area id."""
-    near = within(pins, areas, radius_km, cell)
-    alone = pins.join(near.select("pin").distinct(), "pin", "left_anti")
-    far = within(alone, areas, fallback_km, 10 * cell).groupBy("pin").agg(F.min(F.struct("km", "area")).alias("m"))
-    return near.withColumn("nearest", F.lit(False)).union(far.select("pin", "m.area", "m.km", F.lit(True)))
+    The fallback runs over coarser cells and only for pins that found nothing; ties go to the smaller area id.  km is rounded to ``digits``, if given.  What is
+    found is told by position, so that the areas of pins come in at the end and are never shuffled."""
+    points = pins.select("pin", "lat", "lon")
+    found = positions(points, areas, radius_km, cell)
+    near = _spread(points, areas, found, digits).withColumn("nearest", F.lit(False))
+    served = points.join(found.select("lat", "lon").distinct(), ["lat", "lon"]).select("pin")
+    alone = points.join(served, "pin", "left_anti")
+    first = areas.where(F.col("area").isNotNull()).groupBy(F.col("lat").alias("lat2"), F.col("lon").alias("lon2")).agg(F.min("area").alias("area"))
+    best = positions(alone, areas, fallback_km, 10 * cell).join(first, ["lat2", "lon2"]).groupBy("lat", "lon").agg(F.min(F.struct("km", "area")).alias("m"))
+    far = alone.join(best, ["lat", "lon"]).groupBy("pin").agg(F.min("m").alias("m"))
+    km = F.col("m.km") if digits is None else F.round("m.km", digits)
+    return near.union(far.select("pin", "m.area", km, F.lit(True)))
 
 
 def footprints(pins: DataFrame, areas: DataFrame, **kw) -> DataFrame:
