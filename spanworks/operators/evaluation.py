@@ -164,7 +164,7 @@ def consequential(events: DataFrame, months: DataFrame, keys: list[str]) -> Data
     """Events whose class recurrence changes, or outages whose text says that they recur, with their person-hours.
 
     ``events``: keys, sev, plain_sev, says_recurring; ``months``: keys, us, people."""
-    lost = months.groupBy(*keys).agg((F.sum(F.col("us") * F.col("people")) / 3.6e9).alias("_h"))
+    lost = months.groupBy(*keys).agg((F.sum(person_us(F.col("us"), F.col("people"))).cast("double") / 3.6e9).alias("_h"))
     down = (F.col("plain_sev") == "outage") & (F.col("sev") == "degraded")
     missed = (F.col("sev") == "outage") & F.col("says_recurring")
     out = events.where(down | missed).withColumn("effect", F.when(down, "downgraded").otherwise("charged"))
